@@ -259,7 +259,7 @@ def align_samples_multi(samples: DataFrame, sync: DataFrame, keys: Sequence[str]
     lines = both.withColumn("slope", slope)
     # samples before the first record extend the first line backwards
     start = F.when(F.col("prv").isNull(), F.lit(float("-inf"))).otherwise(F.col("r"))
-    lines = both.select(*keys, start.alias("__from"), F.struct("r", "o", "slope").alias("__l"))
+    lines = both.select(*keys, start.alias("__from"), F.struct("r", "o", slope.alias("slope")).alias("__l"))
     return (
         asof_join(samples, lines, keys, "rel_sec", "__from", ["__l"], width)
         .where("__l IS NOT NULL")
