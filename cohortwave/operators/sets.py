@@ -63,7 +63,7 @@ def answers(ev: DataFrame) -> DataFrame:
     )
 
 
-def dedupe_events(ev: DataFrame, keys: Sequence[str] = ("session_id", MONO, "event_type"), payload: str = PAY) -> DataFrame:
+def dedupe_events(ev: DataFrame, keys: Sequence[str] = ("session_id", MONO, "event_type", "block_index", "trial_index"), payload: str = PAY) -> DataFrame:
     """U4: exact duplicates after a second ingest of the same file."""
     return ev.withColumn("__h", F.sha2(F.to_json(F.col(payload)) if dict(ev.dtypes)[payload] == "variant" else F.col(payload), 256)).dropDuplicates([*keys, "__h"]).drop("__h")
 

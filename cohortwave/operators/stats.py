@@ -59,7 +59,7 @@ def schulte_stats(clicks: DataFrame, blocks: DataFrame, block: Sequence[str] = B
         _n("repeat").alias("repeats"),
         _n("correct").alias("found"),
     )
-    return blocks.join(c, list(block), "left").withColumn(
+    return blocks.select(*block, "skipped", "truncated").join(c, list(block), "left").withColumn(
         "completion_time_sec", F.when(~F.coalesce("skipped", F.lit(False)) & ~F.col("truncated"), F.col("last_correct_sec"))
     ).select(*block, "completion_time_sec", *[F.coalesce(x, F.lit(0).cast("bigint")).alias(x) for x in ("misclicks", "repeats", "found")])
 

@@ -384,7 +384,7 @@ def visible_answers(d: Tables):
 def union_dedupe(d: Tables):
     twice = U.union_sessions(d.events, d.events.drop("value"))
     ev = twice.select(F.col("user_id").alias("session_id"), F.col("ts").alias(MONO), "event_type", F.col("props").alias(PAY))
-    return U.dedupe_events(ev).agg(F.count("*").alias("n"))
+    return U.dedupe_events(ev, ["session_id", MONO, "event_type"]).agg(F.count("*").alias("n"))
 
 
 @plan(EV + "SELECT session_id, k, count(*) AS times, count(DISTINCT et) AS sessions FROM ev GROUP BY 1, 2 HAVING count(*) > 1")

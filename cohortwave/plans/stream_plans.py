@@ -12,7 +12,7 @@ MONTH = "40 days"  # the table is one file, so order inside it is open: let the
 
 
 def _stream(d: Tables) -> DataFrame:
-    raw = d.spark.readStream.schema(d.events.schema).parquet(f"{d.dir}/events.parquet*")
+    raw = d.spark.readStream.schema(d.events.schema).option("maxFilesPerTrigger", 64).parquet(f"{d.dir}/events.parquet*")
     return as_events(raw)
 
 

@@ -94,7 +94,7 @@ def emotion_labels(metadata: DataFrame) -> DataFrame:
 
 def read_texts(spark: SparkSession, path: str) -> DataFrame:
     """Whole small text files as (path, value)."""
-    return spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("path"), "value")
+    return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
 
 
 def text_lines(texts: DataFrame, ident: str = "path", text: str = "value") -> DataFrame:
