@@ -18,6 +18,15 @@ def slice_id(t: str | Column, width: float) -> Column:
     return F.floor((F.col(t) if isinstance(t, str) else t) / F.lit(width))
 
 
+def slice_width(df: DataFrame, t: str, rows_per_slice: int = 5_000_000) -> float:
+    """A width of `t` whose slices hold about `rows_per_slice` rows of the whole table, so no
+    (key, slice) can hold more, however many rows one key has. Reads one column once."""
+    n, lo, hi = df.agg(F.count(t), F.min(t).cast("double"), F.max(t).cast("double")).first()
+    slices = max(1, -(-n // rows_per_slice))
+    # slices are cut at multiples of the width, so one slice needs a width beyond the largest value
+    return (hi - lo) / slices if slices > 1 and hi > lo else max(abs(lo or 0.0), abs(hi or 0.0), 0.5) * 2
+
+
 def _directed(cols: Sequence[str], descending: bool) -> list[Column]:
     return [F.col(c).desc() if descending else F.col(c).asc() for c in cols]
 

@@ -8,10 +8,19 @@ from cohortwave.functions.ordered import range_join
 from cohortwave.schema import PANAS_NEGATIVE, PANAS_POSITIVE, RUN, STAI_NEGATIVE, STAI_POSITIVE
 
 
+# The characters Unicode counts as white space.
+_SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def strip(s: Column) -> Column:
+    """Without white space at both ends."""
+    return F.btrim(s, F.lit(_SPACES))
+
+
 def safe_label(s: Column) -> Column:
-    """a label usable as a folder name; Unicode word characters, dot and dash survive."""
-    joined = F.regexp_replace(F.lower(F.regexp_replace(s, r"(?U)^\s+|\s+$", "")), r"(?U)[^\w.-]+", "_")
-    return F.coalesce(F.nullif(F.regexp_replace(joined, r"^[._]+|[._]+$", ""), F.lit("")), F.lit("unlabelled"))
+    """a label usable as a folder name; letters and digits of any script, `_`, dot and dash survive."""
+    joined = F.regexp_replace(F.lower(strip(s)), r"[^\p{L}\p{N}_.-]+", "_")
+    return F.coalesce(F.nullif(F.btrim(joined, F.lit("._")), F.lit("")), F.lit("unlabelled"))
 
 
 def video_code(s: Column) -> Column:
@@ -22,22 +31,18 @@ def video_code(s: Column) -> Column:
 
 
 def eval_expression(expr: Column) -> Column:
-    """value of a space-separated expression, read left to right without precedence."""
-    tok = F.split(expr, " ")
-
-    def step(acc: Column, i: Column) -> Column:
-        op, x = F.get(tok, i * 2 - 1), F.get(tok, i * 2).try_cast("double")
-        return (
-            F.when(op == "+", acc + x)
-            .when(op == "-", acc - x)
-            .when(op == "*", acc * x)
-            .when(op == "/", F.try_divide(acc, x))
-        )
-
-    n_ops = F.floor(F.size(tok) / 2).cast("int")
-    # sequence(1, 0) would count down, so a lone operand gets an empty list
-    steps = F.when(n_ops >= 1, F.sequence(F.lit(1), n_ops)).otherwise(F.array().cast("array<int>"))
-    return F.aggregate(steps, F.get(tok, F.lit(0)).try_cast("double"), step)
+    """value of a space-separated expression, read left to right without precedence.
+
+    A fold over the tokens that remembers the pending operator.
+    """
+    start = F.struct(F.lit(None).cast("double").alias("v"), F.lit("").alias("op"))
+
+    def step(acc: Column, tok: Column) -> Column:
+        v, op, x = acc["v"], acc["op"], tok.try_cast("double")
+        value = F.when(op == "", x).when(op == "+", v + x).when(op == "-", v - x).when(op == "*", v * x).when(op == "/", F.try_divide(v, x))
+        return F.when(tok.isin("+", "-", "*", "/"), F.struct(v.alias("v"), tok.alias("op"))).otherwise(F.struct(value.alias("v"), op.alias("op")))
+
+    return F.aggregate(F.split(expr, " "), start, step, lambda acc: acc["v"])
 
 
 def answer_audit(df: DataFrame, expression: str = "expression", answer: str = "correct_answer", given: str = "participant_answer", logged: str = "correct") -> DataFrame:

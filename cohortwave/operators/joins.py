@@ -20,7 +20,7 @@ def pair_events(
     end: str,
     keys: Sequence[str],
     *,
-    start_cols: Sequence[Column] = (),
+    start_cols: dict[str, Column] | None = None,
     end_cols: dict[str, Column] | None = None,
     width: float = 600.0,
     run_end: DataFrame | None = None,
@@ -31,11 +31,16 @@ def pair_events(
     A start with no such end is `truncated`: it closes at the run's last event. Rows are looked at
     from the end of the log, so the next event is carried back to the start.
     """
-    end_cols = end_cols or {}
-    e = ev.where(F.col("event_type").isin(start, end))
-    nxt = F.struct(F.col("event_type").alias("et"), F.col(MONO).alias("t"), F.col(HOST).alias("h"), *[c.alias(n) for n, c in end_cols.items()])
-    seen = running(e, keys, ORDER, {"__next": ("last", nxt)}, width, inclusive=False, descending=True).where(F.col("event_type") == start)
-    hit = F.col("__next.et") == end
+    start_cols, end_cols = start_cols or {}, end_cols or {}
+    is_start = F.col("event_type") == start
+    # only what either role needs is shuffled, not the payload
+    e = ev.where(F.col("event_type").isin(start, end)).select(
+        *keys, *ORDER, HOST, is_start.alias("__start"), *[F.when(is_start, c).alias(n) for n, c in start_cols.items()],
+        F.struct(*[F.when(~is_start, c).alias(n) for n, c in end_cols.items()]).alias("__end") if end_cols else F.lit(None).cast("int").alias("__end"),
+    )
+    nxt = F.struct("__start", F.col(MONO).alias("t"), F.col(HOST).alias("h"), F.col("__end").alias("end"))
+    seen = running(e, keys, ORDER, {"__next": ("last", nxt)}, width, inclusive=False, descending=True).where("__start")
+    hit = ~F.col("__next.__start")
     last = run_end if run_end is not None else ev.groupBy(*run_keys).agg(F.max(MONO).alias("__last_t"), F.max(HOST).alias("__last_h"))
     # runs are keyed by session, task and ordinal, which are set on every block and baseline row
     return seen.join(last, list(run_keys), "left").select(
@@ -46,7 +51,7 @@ def pair_events(
         F.col(HOST).alias("host_t0"),
         F.when(hit, F.col("__next.h")).otherwise(F.col("__last_h")).alias("host_t1"),
         (~F.coalesce(hit, F.lit(False))).alias("truncated"),
-        *[F.when(hit, F.col(f"__next.{n}")).alias(n) for n in end_cols],
+        *[F.when(hit, F.col(f"__next.end.{n}")).alias(n) for n in end_cols],
     )
 
 
@@ -54,11 +59,10 @@ def pair_blocks(ev: DataFrame, width: float = 600.0) -> DataFrame:
     """Blocks as intervals; pause blocks without an index pair in order within their condition."""
     return pair_events(
         ev, "block_start", "block_end", [*BLOCK, "condition_label"],
-        start_cols=[
-            field("tier", "int").alias("tier"), field("nominal_difficulty", "int").alias("nominal_difficulty"),
-            F.coalesce(field("practice", "boolean"), F.lit(False)).alias("practice"),
-            F.coalesce(field("num_trials", "int"), field("n_stimuli", "int")).alias("planned_trials"), field("grid_size", "int").alias("grid_size"),
-        ],
+        start_cols={
+            "tier": field("tier", "int"), "nominal_difficulty": field("nominal_difficulty", "int"), "practice": F.coalesce(field("practice", "boolean"), F.lit(False)),
+            "planned_trials": F.coalesce(field("num_trials", "int"), field("n_stimuli", "int")), "grid_size": field("grid_size", "int"),
+        },
         end_cols={
             "skipped": field("skipped", "boolean"), "accuracy": field("accuracy", "double"), "mean_rt_ms": field("mean_rt_ms", "double"),
             "n_trials": field("n_trials", "int"), "completion_time_sec": field("completion_time_sec", "double"),
@@ -75,7 +79,7 @@ def pair_baselines(ev: DataFrame, width: float = 600.0) -> DataFrame:
     )
     last = ev.groupBy(*RUN).agg(F.max(MONO).alias("__last_t"), F.max(HOST).alias("__last_h"))
     paired = pair_events(
-        at, "baseline_start", "baseline_end", [*BLOCK, "position"], start_cols=[F.col("planned_sec")], width=width, run_end=last
+        at, "baseline_start", "baseline_end", [*BLOCK, "position"], start_cols={"planned_sec": F.col("planned_sec")}, width=width, run_end=last
     )
     return paired.withColumn("real_sec", F.col("t1") - F.col("t0"))
 
@@ -191,9 +195,9 @@ def merge_manual_clips(clips: DataFrame, entries: DataFrame, metadata: DataFrame
     merged = first.join(known, "video_code", "left").join(meta, "video_code", "left")
     top = clips.agg(F.coalesce(F.max(F.regexp_extract("clip_id", r"(\d+)", 1).try_cast("int")), F.lit(0)).alias("top"))
     fresh = merged.where("known_id IS NULL AND modal_emotion IS NOT NULL")
-    number = numbered(fresh, [], ["line_no"], "k", width=1000.0).join(F.broadcast(top))  # `top` is one row
+    number = numbered(fresh, [], ["line_no"], "k", width=1000.0).withColumn("num", (F.col("k") + top.scalar()).cast("string"))
     new = number.select(
-        F.concat(F.lit("clip_"), F.expr("lpad(cast(top + k AS STRING), greatest(2, length(cast(top + k AS STRING))), '0')")).alias("clip_id"),
+        F.concat(F.lit("clip_"), F.expr("lpad(num, greatest(2, length(num)), '0')")).alias("clip_id"),
         F.col("wanted_group").alias("valence_group"),
         F.col("modal_emotion").alias("fine_grained_label"),
         F.col("video_code").alias("title"),

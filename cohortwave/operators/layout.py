@@ -60,7 +60,7 @@ def chunk_evenly(items: DataFrame, k: int, keys: Sequence[str], order: Sequence[
     """`k` chunks in order, the first `n mod k` of them one larger (the rule of ntile, on split keys)."""
     n = numbered(items, keys, order, "__pos", width=width)
     size = items.groupBy(*keys).agg(F.count("*").alias("__n"))
-    joined = n.join(size, list(keys)) if keys else n.join(F.broadcast(size))  # no keys: one count row
+    joined = n.join(size, list(keys)) if keys else n.withColumn("__n", size.scalar())
     return joined.withColumn("chunk", chunk_of(F.col("__pos") - 1, F.col("__n"), k)).drop("__pos", "__n")
 
 

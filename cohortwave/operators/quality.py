@@ -1,6 +1,6 @@
 """Quality flags."""
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -22,9 +22,41 @@ def frame_drop_flags(trials: DataFrame, drops: DataFrame, pad: float, keys: Sequ
     return mask_invalid(trials, drops.select(*keys, F.col(t).alias("t0"), F.col(t).alias("t1")), keys, pad, width=width)
 
 
-def _next_kept(t: np.ndarray, gap: float) -> np.ndarray:
-    """For each event the first later one more than `gap` away."""
-    return np.searchsorted(t, t + gap, side="right")
+def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Consecutive rows with equal keys, from batches sorted by them; holds one group at a time."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        tbl = pa.Table.from_batches([*held, batch])
+        new = np.zeros(tbl.num_rows - 1, dtype=bool)
+        for k in keys:
+            col = tbl.column(k)
+            a, b = col.slice(1), col.slice(0, tbl.num_rows - 1)
+            new |= pc.or_(pc.fill_null(pc.not_equal(a, b), False), pc.xor(pc.is_null(a), pc.is_null(b))).to_numpy()
+        cuts = [0, *(np.flatnonzero(new) + 1).tolist()]
+        for lo, hi in zip(cuts, cuts[1:]):
+            yield tbl.slice(lo, hi - lo)
+        held = tbl.slice(cuts[-1]).to_batches()
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _packed(tables: Iterator[pa.Table], rows: int = 10_000) -> Iterator[pa.RecordBatch]:
+    """Small results gathered into batches worth sending."""
+    pile, n = [], 0
+    for t in tables:
+        pile.append(t)
+        n += t.num_rows
+        if n >= rows:
+            yield from pa.concat_tables(pile).combine_chunks().to_batches()
+            pile, n = [], 0
+    if pile:
+        yield from pa.concat_tables(pile).combine_chunks().to_batches()
+
+
+def _repeat_keys(tbl: pa.Table, keys: list[str], n: int) -> list[pa.Array]:
+    return [tbl.column(k).take(pa.array(np.zeros(n, dtype="int64"))).combine_chunks() for k in keys]
 
 
 def debounce(events: DataFrame, keys: Sequence[str], t: str, min_gap: float, *, qualifies: Column | None = None, tie: str = "event_seq", width: float | None = None) -> DataFrame:
@@ -33,68 +65,63 @@ def debounce(events: DataFrame, keys: Sequence[str], t: str, min_gap: float, *,
     The rule is sequential, but a slice of time acts on the last kept time as a step function with
     few steps (chains from different starts soon meet). Slices compute theirs in parallel, the
     small step tables are chained per key, and each slice then replays from its true start.
-    Returns keys, `t` and `tie` of the kept events.
+    Spark partitions and sorts; the tasks only walk sorted arrays. Returns keys, `t` and `tie` of
+    the kept events.
     """
     width = width or 200 * min_gap
     if width < min_gap:
         raise ValueError("a slice must not be shorter than min_gap")
     keys = list(keys)
     q = events if qualifies is None else events.where(qualifies)
-    rows = q.select(*keys, F.col(t).cast("double").alias("__t"), F.col(tie).cast("bigint").alias("__tie"), slice_id(t, width).alias("__s"))
+    rows = q.select(*keys, slice_id(t, width).alias("__s"), F.col(t).cast("double").alias("__t"), F.col(tie).cast("bigint").alias("__tie"))
     fields = {f.name: f for f in rows.schema.fields}
-    key_fields = [fields[k] for k in keys]
-    step_schema = T.StructType([*key_fields, T.StructField("__s", T.LongType()), T.StructField("first", T.DoubleType()), T.StructField("kept", T.DoubleType())])
-    start_schema = T.StructType([*key_fields, T.StructField("__s", T.LongType()), T.StructField("start", T.DoubleType())])
-    out_schema = T.StructType([*key_fields, fields["__t"], fields["__tie"]])
+    part = [*keys, "__s"]
+    step_schema = T.StructType([*[fields[k] for k in part], T.StructField("first", T.DoubleType()), T.StructField("kept", T.DoubleType())])
+    start_schema = T.StructType([*[fields[k] for k in part], T.StructField("start", T.DoubleType())])
+    out_schema = T.StructType([*[fields[k] for k in keys], fields["__t"], fields["__tie"]])
 
-    def head(tbl: pa.Table, n: int) -> list[pa.Array]:
-        """The group's key values, repeated."""
-        return [tbl.column(k).take(pa.array(np.zeros(n, dtype="int64"))).combine_chunks() for k in keys]
-
-    def steps(tbl: pa.Table) -> pa.Table:
+    def slice_steps(tbl: pa.Table) -> pa.Table:
         ts = np.unique(tbl.column("__t").to_numpy())
-        s = tbl.column("__s")[0].as_py()
-        nxt = _next_kept(ts, min_gap)
-        last = np.arange(len(ts))
+        nxt = np.searchsorted(ts, ts + min_gap, side="right").tolist()  # first event more than min_gap away
+        last = list(range(len(ts)))
         for i in range(len(ts) - 1, -1, -1):
             if nxt[i] < len(ts):
                 last[i] = last[nxt[i]]
         # events that can come first here: those up to min_gap after the slice began, and the one after
-        reach = min(int(np.searchsorted(ts, s * width + min_gap, side="right")), len(ts) - 1)
+        reach = min(int(np.searchsorted(ts, tbl.column("__s")[0].as_py() * width + min_gap, side="right")), len(ts) - 1)
         firsts, kept = ts[: reach + 1], ts[last[: reach + 1]]
         new = np.append(kept[1:] != kept[:-1], True)  # one step per distinct result, at its highest entry
-        n = int(new.sum())
-        return pa.Table.from_arrays([*head(tbl, n), pa.array(np.full(n, s)), pa.array(firsts[new]), pa.array(kept[new])], names=step_schema.names)
-
-    def chain(tbl: pa.Table) -> pa.Table:
-        s, first, kept = (tbl.column(c).to_numpy() for c in ("__s", "first", "kept"))
-        at = np.lexsort((first, s))
-        s, first, kept = s[at], first[at], kept[at]
-        slices, begin = np.unique(s, return_index=True)
-        end, state, starts = np.append(begin[1:], len(s)), -np.inf, []
-        for a, b in zip(begin, end):
-            starts.append(state)
-            i = a + int(np.searchsorted(first[a:b], state + min_gap, side="right"))
-            if i < b:
-                state = float(kept[i])
-        return pa.Table.from_arrays([*head(tbl, len(slices)), pa.array(slices), pa.array(starts, pa.float64())], names=start_schema.names)
-
-    def replay(tbl: pa.Table) -> pa.Table:
-        start = pc.max(tbl.column("start")).as_py()
-        ev = tbl.filter(pc.is_valid(tbl.column("__t")))
-        t, tie = ev.column("__t").to_numpy(), ev.column("__tie").to_numpy()
-        at = np.lexsort((tie, t))
-        ts = t[at]
-        nxt, keep = _next_kept(ts, min_gap), []
+        return pa.Table.from_arrays([*_repeat_keys(tbl, part, int(new.sum())), pa.array(firsts[new]), pa.array(kept[new])], names=step_schema.names)
+
+    def chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def starts() -> Iterator[pa.Table]:
+            who, state = None, -np.inf
+            for g in _groups(batches, part):
+                key = [g.column(k)[0].as_py() for k in keys]
+                if key != who:
+                    who, state = key, -np.inf
+                yield pa.Table.from_arrays([*_repeat_keys(g, part, 1), pa.array([state], pa.float64())], names=start_schema.names)
+                i = int(np.searchsorted(g.column("first").to_numpy(), state + min_gap, side="right"))
+                if i < g.num_rows:
+                    state = g.column("kept")[i].as_py()
+
+        yield from _packed(starts())
+
+    def slice_kept(tbl: pa.Table) -> pa.Table:
+        start, ts = tbl.column("start")[0].as_py(), tbl.column("__t").slice(1).to_numpy()
+        nxt, keep = np.searchsorted(ts, ts + min_gap, side="right").tolist(), []
         i = int(np.searchsorted(ts, start + min_gap, side="right"))
         while i < len(ts):
-            keep.append(at[i])
-            i = int(nxt[i])
-        return ev.take(pa.array(keep, pa.int64())).select([*keys, "__t", "__tie"])
-
-    table = rows.groupBy(*keys, "__s").applyInArrow(steps, step_schema)
-    starts = table.groupBy(*keys).applyInArrow(chain, start_schema)
-    kept = rows.unionByName(starts, allowMissingColumns=True).groupBy(*keys, "__s").applyInArrow(replay, out_schema)
+            keep.append(i + 1)
+            i = nxt[i]
+        return tbl.take(pa.array(keep, pa.int64())).select(out_schema.names)
+
+    steps = lambda batches: _packed(slice_steps(g) for g in _groups(batches, part))
+    replay = lambda batches: _packed(slice_kept(g) for g in _groups(batches, part))
+    table = rows.repartition(*part).sortWithinPartitions(*part, "__t").mapInArrow(steps, step_schema)
+    starts = table.repartition(*keys).sortWithinPartitions(*part, "first").mapInArrow(chain, start_schema)
+    line = rows.unionByName(starts, allowMissingColumns=True)  # the start row has no time, so it sorts first
+    kept = line.repartition(*part).sortWithinPartitions(*part, "__t", "__tie").mapInArrow(replay, out_schema)
     return kept.select(*keys, F.col("__t").alias(t), F.col("__tie").alias(tie))
 
 

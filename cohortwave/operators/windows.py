@@ -118,3 +118,13 @@ def gauge_gap_check(events: DataFrame, timeout_sec: float, gauge: Sequence[str]
     """Triggers that came before the gauge's previous alert had timed out."""
     r = running(events, gauge, order or [t], {"__prev": ("last", F.col(t))}, width, inclusive=False)
     return r.withColumn("gap_sec", F.col(t) - F.col("__prev")).drop("__prev").where(F.col("gap_sec") < timeout_sec)
+
+
+def activity_stretches(ev: DataFrame, keys: Sequence[str], order: Sequence[str], gap: float, t: str = "t", width: float = 600.0) -> DataFrame:
+    """Stretches of activity that a silence of `gap` or more ends (batch form of the session window)."""
+    slim = ev.select(*keys, *dict.fromkeys([*order, t]))
+    seen = running(slim, keys, order, {"__prev": ("last", F.col(t))}, width, inclusive=False)
+    fresh = F.when(F.col("__prev").isNull() | (F.col(t) - F.col("__prev") >= gap), 1)
+    return running(seen, keys, order, {"stretch": ("count", fresh)}, width).groupBy(*keys, "stretch").agg(
+        F.min(t).alias("start_t"), F.max(t).alias("last_t"), F.count("*").alias("n")
+    )

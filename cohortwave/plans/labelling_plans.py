@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from cohortwave.operators import joins as J, labelling as B, stats as A
 from cohortwave.plans.event_plans import _BLOCKS, _blocks
 from cohortwave.plans.registry import plan
-from cohortwave.plans.views import DAY, EV, Tables
+from cohortwave.plans.views import EV, Tables
 
 SES = ["session_id"]
 HOUR = 3600.0
@@ -38,7 +38,7 @@ def labelled_intervals(d: Tables):
    SELECT CAST(s AS VARCHAR) AS session_id, a AS block_index, b AS trial_index, c AS clip_id FROM x WHERE t0 < e""")
 def overlapping_intervals(d: Tables):
     i = d.trials.select("session_id", F.col("price").alias("t0"), (F.col("price") + F.col("rt_sec") * 10).alias("t1"), "block_index", "trial_index", "clip_id")
-    return B.overlapping_intervals(i, SES, 5000.0, ["t0", "t1", "block_index", "trial_index", "clip_id"]).select("session_id", "block_index", "trial_index", "clip_id")
+    return B.overlapping_intervals(i, SES, d.width("trials", "price"), ["t0", "t1", "block_index", "trial_index", "clip_id"]).select("session_id", "block_index", "trial_index", "clip_id")
 
 
 @plan(_I + "SELECT e.session_id, e.seq AS sample_idx, i.label FROM ev e LEFT JOIN i ON i.session_id = e.session_id AND e.t >= i.t0 AND e.t < i.t1")
@@ -123,7 +123,7 @@ def align_samples_multi(d: Tables):
     rel = F.col("t") - 1704067200
     s = d.ev.select("session_id", F.lit("dev").alias("device_id"), F.col("event_seq").alias("sample_idx"), rel.alias("rel_sec"))
     sync = d.ev.where("event_type = 'signup'").select("session_id", F.lit("dev").alias("device_id"), (F.col("t") + F.col("k") * 0.01).alias("sync_time_host_utc"), rel.alias("device_rel_sec"), F.lit("ok").alias("result"))
-    return J.align_samples_multi(s, sync, width=DAY).select("session_id", "sample_idx", r("wall", 3).alias("wall"))
+    return J.align_samples_multi(s, sync, width=d.width()).select("session_id", "sample_idx", r("wall", 3).alias("wall"))
 
 
 @plan()

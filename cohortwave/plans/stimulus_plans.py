@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from cohortwave.functions.scalars import safe_label as to_label, video_code
 from cohortwave.operators import joins as J, layout as L, stats as A
 from cohortwave.plans.registry import plan
-from cohortwave.plans.views import DAY, EV, Tables
+from cohortwave.plans.views import EV, Tables
 from cohortwave.sources import readers as R
 
 ANCHOR = r'<a href="([^"]*)">([^<]*)</a>'
@@ -16,12 +16,12 @@ _LINKS = f"""WITH a AS (SELECT page_id, regexp_extract_all(html, '{ANCHOR}', 2)
 
 @plan(_LINKS + "SELECT page_id, CAST(pos AS INT) AS pos, name, url FROM l")
 def extract_links(d: Tables):
-    return R.extract_links(d.pages, ANCHOR, name_group=2, url_group=1)
+    return R.extract_links(d.spread("pages"), ANCHOR, name_group=2, url_group=1)
 
 
 @plan(_LINKS + "SELECT name AS code, arg_max(url, (page_id, pos)) AS url FROM l WHERE name <> '' GROUP BY 1")
 def last_link(d: Tables):
-    links = R.extract_links(d.pages, ANCHOR, name_group=2, url_group=1)
+    links = R.extract_links(d.spread("pages"), ANCHOR, name_group=2, url_group=1)
     return R.last_link_per_code(links, F.col("name")).select("code", "url")
 
 
@@ -45,9 +45,9 @@ def unmatched_files(d: Tables):
     return _matched(d)[1]
 
 
-@plan("""SELECT doc_id, s FROM (SELECT doc_id, coalesce(nullif(regexp_replace(regexp_replace(lower(regexp_replace(text, '^\\s+|\\s+$', '', 'g')), '[^\\pL\\pN\\pM_.-]+', '_', 'g'), '^[._]+|[._]+$', '', 'g'), ''), 'unlabelled') AS s FROM documents)""")
+@plan("""SELECT doc_id, s FROM (SELECT doc_id, coalesce(nullif(regexp_replace(regexp_replace(lower(regexp_replace(text, '^\\s+|\\s+$', '', 'g')), '[^\\pL\\pN_.-]+', '_', 'g'), '^[._]+|[._]+$', '', 'g'), ''), 'unlabelled') AS s FROM documents)""")
 def safe_label(d: Tables):
-    return d.documents.select("doc_id", to_label(F.col("text")).alias("s"))
+    return d.spread("documents").select("doc_id", to_label(F.col("text")).alias("s"))
 
 
 @plan("""SELECT page_id, CASE WHEN m = '' THEN '' ELSE 'VID_' || CAST(CAST(m AS BIGINT) AS VARCHAR) END AS code FROM (
@@ -65,7 +65,7 @@ def code_norm(d: Tables):
    e AS (SELECT doc_id, CASE WHEN len(parts) <> 2 THEN 'arity' WHEN trim(parts[2]) NOT IN ('positive', 'negative', 'neutral') THEN 'group' ELSE 'fine' END AS verdict FROM p)
   SELECT doc_id, verdict, count(*) AS n FROM e GROUP BY 1, 2""")
 def manual_clips(d: Tables):
-    rows = R.parse_manual_clips(d.documents, "doc_id", "text")
+    rows = R.parse_manual_clips(d.spread("documents"), "doc_id", "text")
     return rows.groupBy("doc_id", F.coalesce("error", F.lit("fine")).alias("verdict")).agg(F.count("*").alias("n"))
 
 
@@ -141,12 +141,12 @@ def fixed_selection(d: Tables):
 @plan("""SELECT p_brand AS valence_group, p_partkey AS clip_id, CAST((row_number() OVER (PARTITION BY p_brand ORDER BY p_retailprice, p_partkey) - 1 + CAST(substr(p_brand, 7) AS INT)) % 3 AS INT) AS block FROM part""")
 def interleaved_blocks(d: Tables):
     c = d.clips.withColumn("group_index", F.expr("cast(substring(valence_group, 7) AS INT)"))
-    return L.interleave_in_order(c, ["arousal_score", "clip_id"], 3, ["valence_group"], "group_index", 20.0).select("valence_group", "clip_id", "block")
+    return L.interleave_in_order(c, ["arousal_score", "clip_id"], 3, ["valence_group"], "group_index", d.width("clips", "arousal_score")).select("valence_group", "clip_id", "block")
 
 
 @plan("SELECT p_brand AS valence_group, p_partkey AS clip_id, CAST(ntile(4) OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1 AS INT) AS chunk FROM part")
 def chunk_evenly(d: Tables):
-    return L.chunk_evenly(d.clips, 4, ["valence_group"], ["clip_id"], 2000.0).select("valence_group", "clip_id", "chunk")
+    return L.chunk_evenly(d.clips, 4, ["valence_group"], ["clip_id"], d.width("clips", "clip_id")).select("valence_group", "clip_id", "chunk")
 
 
 @plan("SELECT p_brand AS valence_group, count(*) AS n_clips, CAST(sum(p_size) AS DOUBLE) AS clip_sec FROM part GROUP BY 1")
@@ -168,8 +168,8 @@ def _participants(d: Tables):
 def seeded_sample_sizes(d: Tables):
     """Every participant draws min(6, pool) clips of each group."""
     types = d.clips.select(F.col("fine_grained_label").alias("valence_group"), "clip_id")
-    groups = types.select("valence_group").distinct()
-    wants = _participants(d).join(F.broadcast(groups))  # six clip types
+    groups = F.array(*[F.lit(g) for g in ("STANDARD", "ECONOMY", "MEDIUM", "PROMO", "LARGE", "SMALL")])
+    wants = _participants(d).select("participant_id", F.explode(groups).alias("valence_group"))
     s = L.seeded_sample(wants.join(types, "valence_group"), 6, 42)
     return s.groupBy("participant_id", "valence_group").agg(F.count_distinct("clip_id").alias("n"))
 

@@ -52,11 +52,11 @@ def stream_rolling_rate(d: Tables):
     return out.select("session_id", F.unix_micros("start").alias("start_us"), "n", F.round("rate", 6).alias("rate"))
 
 
-@plan(EV + """SELECT session_id, epoch_us(date_trunc('day', ts)) AS start_us, count(*) AS n, round(avg(value), 4) AS mean_value, arg_max(value, (ts, seq)) AS last_value FROM ev GROUP BY 1, 2""")
+@plan(EV + """SELECT session_id, epoch_us(date_trunc('day', ts)) AS start_us, count(*) AS n, round(avg(value), 8) AS mean_value, arg_max(value, (ts, seq)) AS last_value FROM ev GROUP BY 1, 2""")
 def stream_downsample(d: Tables):
     df = S.downsample_stream(_stream(d), SES, "value", "1 day", MONTH, F.struct("ts", "event_seq"))
     out = _latest(_result(d, df, "ticks", each=S.batch_files, mode="update"), ["session_id", "start"])
-    return out.select("session_id", F.unix_micros("start").alias("start_us"), "n", F.round("mean_value", 4).alias("mean_value"), "last_value")
+    return out.select("session_id", F.unix_micros("start").alias("start_us"), "n", F.round("mean_value", 8).alias("mean_value"), "last_value")
 
 
 @plan(EV + """, s AS (SELECT *, CASE WHEN t - lag(t) OVER (PARTITION BY session_id ORDER BY t, seq) < 86400 THEN 0 ELSE 1 END AS fresh FROM ev),

@@ -7,9 +7,11 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from cohortwave.functions.ordered import slice_width
 from cohortwave.schema import HOST, MONO, PAY
 
 DAY = 86400.0
+_WIDTHS: dict[tuple[str, str, str], float] = {}
 
 
 class Tables:
@@ -20,11 +22,26 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        df = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        setattr(self, name, df)  # the footer is read once
+        return df
+
+    def spread(self, name: str) -> DataFrame:
+        """A table for work that is heavy per row: one that arrives in fewer pieces than there are
+        cores is dealt out first. A large table has more pieces than that and is left alone."""
+        df, cores = getattr(self, name), self.spark.sparkContext.defaultParallelism
+        return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+    def width(self, table: str = "ev", t: str = "t") -> float:
+        """Slice width for ordered work on a table, found once per folder."""
+        at = (self.dir, table, t)
+        if at not in _WIDTHS:
+            _WIDTHS[at] = slice_width(getattr(self, table), t)
+        return _WIDTHS[at]
 
     @cached_property
     def ev(self) -> DataFrame:
-        return as_events(self.events)
+        return as_events(self.spread("events"))
 
     def study(self, types: dict[str, str], payload: Column | None = None) -> DataFrame:
         """Events in the log's shape, their types renamed by `types`."""
@@ -33,13 +50,7 @@ class Tables:
 
     @cached_property
     def trials(self) -> DataFrame:
-        """Lines as trials: block = order, session = supplier, reaction time = quantity."""
-        return self.lineitem.select(
-            F.col("l_suppkey").cast("string").alias("session_id"), F.col("l_orderkey").alias("block_index"), F.col("l_linenumber").alias("trial_index"),
-            F.col("l_partkey").alias("clip_id"), F.col("l_quantity").alias("rt_sec"), (F.col("l_returnflag") != "R").alias("correct"),
-            (F.col("l_linestatus") == "O").alias("congruent"), F.col("l_extendedprice").alias("price"), F.col("l_discount").alias("discount"),
-            F.col("l_tax").alias("tax"), F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("status"),
-        )
+        return as_trials(self.lineitem)
 
     @cached_property
     def clips(self) -> DataFrame:
@@ -62,6 +73,16 @@ def as_events(events: DataFrame) -> DataFrame:
     )
 
 
+def as_trials(lineitem: DataFrame) -> DataFrame:
+    """Lines as trials: block = order, session = supplier, reaction time = quantity."""
+    return lineitem.select(
+        F.col("l_suppkey").cast("string").alias("session_id"), F.col("l_orderkey").alias("block_index"), F.col("l_linenumber").alias("trial_index"),
+        F.col("l_partkey").alias("clip_id"), F.col("l_quantity").alias("rt_sec"), (F.col("l_returnflag") != "R").alias("correct"),
+        (F.col("l_linestatus") == "O").alias("congruent"), F.col("l_extendedprice").alias("price"), F.col("l_discount").alias("discount"),
+        F.col("l_tax").alias("tax"), F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("status"),
+    )
+
+
 # The same view for the SQL side.
 EV = """WITH ev AS (
   SELECT CAST(user_id AS VARCHAR) AS session_id, event_type AS et, epoch_us(ts) / 1e6 AS t,

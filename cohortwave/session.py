@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "cohortwave", master: str | None = None, **conf) -> SparkSession:
@@ -16,6 +16,8 @@ def build_session(app: str = "cohortwave", master: str | None = None, **conf) ->
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # call sites of single column expressions are not recorded; plans build several times faster
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         b = b.master(master)
@@ -35,3 +37,11 @@ def work_dir(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         root = tempfile.mkdtemp(prefix="cohortwave-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def keep(df: DataFrame, name: str) -> DataFrame:
+    """`df` as a written table in the shared folder: a fact table that several operators read is
+    computed once, and lost executors cost only the reading."""
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

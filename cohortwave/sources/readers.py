@@ -5,7 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from cohortwave import schema as S
-from cohortwave.functions.scalars import safe_label, video_code
+from cohortwave.functions.scalars import safe_label, strip, video_code
 
 _CORRUPT = "_corrupt_record"
 _RAW_EVENTS = T.StructType([*S.ENVELOPE.fields, T.StructField(_CORRUPT, T.StringType())])
@@ -97,35 +97,32 @@ def read_texts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
 
 
+# What ends a line of text.
+_LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
+
+
 def text_lines(texts: DataFrame, ident: str = "path", text: str = "value") -> DataFrame:
     """Lines with 1-based numbers; the final line break opens no extra line."""
-    body = F.regexp_replace(text, r"(\r\n|\r|\n)\z", "")
-    return texts.select(ident, F.posexplode(F.split(body, r"\r\n|\r|\n")).alias("__p", "line")).select(
-        ident, (F.col("__p") + 1).alias("line_no"), "line"
+    lines = F.col("__l")
+    full = F.when(F.element_at(lines, -1) == "", F.slice(lines, F.lit(1), F.size(lines) - 1)).otherwise(lines)
+    return (
+        texts.select(ident, F.split(text, _LINE_END).alias("__l"))
+        .select(ident, F.posexplode(full).alias("__p", "line"))
+        .select(ident, (F.col("__p") + 1).alias("line_no"), "line")
     )
 
 
-def _strip(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
-
-
 def parse_manual_clips(texts: DataFrame, ident: str = "path", text: str = "value", groups: Sequence[str] = S.VALENCE_GROUPS) -> DataFrame:
     """`code, group` lines; `error` names what is wrong with a rejected line."""
-    parts = F.transform(F.split(F.col("body"), ","), _strip)
-    rows = (
-        text_lines(texts, ident, text)
-        .withColumn("body", _strip(F.get(F.split("line", "#", 2), F.lit(0))))
-        .where("body <> ''")
-        .withColumn("parts", parts)
-    )
-    two = F.size("parts") == 2
+    body = strip(F.substring_index("line", "#", 1))
+    rows = text_lines(texts, ident, text).withColumn("body", body).where("body <> ''")
+    two = F.length("body") - F.length(F.replace("body", F.lit(","), F.lit(""))) == 1
     return rows.select(
         ident,
         "line_no",
-        F.when(two, F.get("parts", F.lit(0))).alias("video_code"),
-        F.when(two, F.get("parts", F.lit(1))).alias("valence_group"),
-        F.when(~two, F.lit("arity")).when(~F.get("parts", F.lit(1)).isin(*groups), F.lit("group")).alias("error"),
-    )
+        F.when(two, strip(F.substring_index("body", ",", 1))).alias("video_code"),
+        F.when(two, strip(F.substring_index("body", ",", -1))).alias("valence_group"),
+    ).withColumn("error", F.when(F.col("valence_group").isNull(), F.lit("arity")).when(~F.col("valence_group").isin(*groups), F.lit("group")))
 
 
 def read_manual_clips(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
