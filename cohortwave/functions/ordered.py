@@ -91,27 +91,26 @@ def running(
     )
 
 
-def rolling(
-    df: DataFrame,
-    keys: Sequence[str],
-    t: str,
-    span: float,
-    aggs: Mapping[str, Column],
-    width: float,
-) -> DataFrame:
-    """Aggregates over rows with `now - t <= span`, current row's peers included.
+def rolling_mean(df: DataFrame, keys: Sequence[str], t: str, span: float, value: Column, out: str, width: float) -> DataFrame:
+    """Mean of `value` over rows with `now - t <= span`, rows of the same time included.
 
-    Rows near the end of a slice are copied into the next ones as a halo, so each (key, slice)
-    can be computed alone. `aggs` maps names to plain aggregate columns.
+    Each row enters the sum at `t` and leaves it after `t + span`, so the mean is one running sum
+    over that line. Unlike a sliding frame it does not re-add a window per row, however dense the
+    key. Integers are summed as such, other values as decimals, so nothing is left behind.
     """
-    home = slice_id(t, width)
-    w = W.partitionBy(*keys, _SLICE).orderBy(t).rangeBetween(-span, 0)
-    return (
-        df.withColumn(_SLICE, F.explode(F.sequence(home, slice_id(F.col(t) + F.lit(span), width))))
-        .withColumns({n: a.over(w) for n, a in aggs.items()})
-        .where(F.col(_SLICE) == home)
-        .drop(_SLICE)
+    whole = dict(df.select(value.alias("v")).dtypes)["v"] in ("int", "bigint", "smallint", "tinyint", "boolean")
+    v = value.cast("int").cast("bigint") if whole else value.cast("decimal(28,9)")
+    n, none = F.when(v.isNotNull(), F.lit(1)).otherwise(0), F.lit(None)
+    at = F.col(t)
+    # at one time: rows enter, then the points are read, then rows leave
+    enter = F.struct(at.alias("at"), F.lit(0).alias("k"), v.alias("v"), n.alias("n"))
+    read = F.struct(at.alias("at"), F.lit(1).alias("k"), none.cast("int").alias("v"), none.cast("int").alias("n"))
+    leave = F.struct((at + F.lit(span)).alias("at"), F.lit(2).alias("k"), (-v).alias("v"), (-n).alias("n"))
+    line = df.select(*keys, F.struct(*df.columns).alias("__p"), F.explode(F.array(enter, read, leave)).alias("e")).select(
+        *keys, F.col("e.at").alias("__at"), F.col("e.k").alias("__k"), F.col("e.v").alias("__v"), F.col("e.n").alias("__n"), F.when(F.col("e.k") == 1, F.col("__p")).alias("__p")
     )
+    sums = running(line, keys, ["__at", "__k"], {"__s": ("sum", F.col("__v")), "__c": ("sum", F.col("__n"))}, width).where("__k = 1")
+    return sums.select("__p.*", F.when(F.col("__c") > 0, F.col("__s").cast("double") / F.col("__c")).alias(out))
 
 
 def clamped_cumsum(df: DataFrame, keys: Sequence[str], order: Sequence[str], delta: Column, out: str, width: float) -> DataFrame:

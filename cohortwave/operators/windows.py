@@ -4,7 +4,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cohortwave.functions.ordered import asof_join, clamped_cumsum, numbered, range_join, rolling, running
+from cohortwave.functions.ordered import asof_join, clamped_cumsum, numbered, range_join, rolling_mean, running
 from cohortwave.schema import BLOCK, NEAR_MISS_SEC, ROLLING_SEC, RUN
 
 
@@ -17,15 +17,16 @@ def clamped_score(trials: DataFrame, order: Sequence[str], keys: Sequence[str] =
 
 
 def rolling_collision_rate(outcomes: DataFrame, t_ms: str = "resolve_ms", keys: Sequence[str] = RUN, sec: float = ROLLING_SEC, width_ms: float = 600_000) -> DataFrame:
-    """Share of collisions among outcomes of the last `sec` seconds, not reset between tiers."""
-    rate = F.avg((F.col("outcome") == "collision").cast("double"))
-    return rolling(outcomes, keys, t_ms, sec * 1000, {"rolling_collision_rate": rate}, width_ms)
+    """Share of collisions among outcomes of the last `sec` seconds, not reset between tiers.
+
+    Rows with a null outcome (ticks, say) only read the rate."""
+    hit = F.when(F.col("outcome").isNotNull(), (F.col("outcome") == "collision").cast("int"))
+    return rolling_mean(outcomes, keys, t_ms, sec * 1000, hit, "rolling_collision_rate", width_ms)
 
 
 def rolling_avg_rt(changes: DataFrame, t_ms: str = "client_ms", keys: Sequence[str] = RUN, sec: float = ROLLING_SEC, width_ms: float = 600_000) -> DataFrame:
     """Mean reaction time of forced lane changes, blocked ones too, in the same window."""
-    rt = F.avg(F.when(F.col("forced"), F.col("reaction_time_ms")))
-    return rolling(changes, keys, t_ms, sec * 1000, {"rolling_avg_reaction_time_ms": rt}, width_ms)
+    return rolling_mean(changes, keys, t_ms, sec * 1000, F.when(F.col("forced"), F.col("reaction_time_ms")), "rolling_avg_reaction_time_ms", width_ms)
 
 
 def time_since_last(ev: DataFrame, flag: Column, out: str, t: str, order: Sequence[str], keys: Sequence[str] = RUN, width: float = 600.0) -> DataFrame:

@@ -289,7 +289,7 @@ _MS = EV + ", x AS (SELECT *, epoch_us(ts) AS us FROM ev)\n"
 def rolling_rate(d: Tables):
     o = d.ev.where("event_type IN ('error', 'purchase')").withColumns({"resolve_ms": F.unix_micros("ts"), "outcome": F.when(F.col("event_type") == "error", "collision").otherwise("avoided")})
     # microseconds here, so that the frame is exact on integers
-    out = X.rolling_collision_rate(o, "resolve_ms", SES, 86_400_000, 7 * 86_400_000_000)
+    out = X.rolling_collision_rate(o, "resolve_ms", SES, 86_400_000, d.width() * 1e6)
     return out.select("session_id", "event_seq", r("rolling_collision_rate", 6).alias("rate"))
 
 
@@ -300,7 +300,7 @@ def rolling_rate(d: Tables):
 )
 def rolling_avg(d: Tables):
     c = d.ev.where("event_type IN ('click', 'view')").select("session_id", "event_seq", F.unix_micros("ts").alias("client_ms"), (F.col("event_type") == "click").alias("forced"), F.col("value").alias("reaction_time_ms"))
-    out = X.rolling_avg_rt(c, "client_ms", SES, 86_400_000, 7 * 86_400_000_000)
+    out = X.rolling_avg_rt(c, "client_ms", SES, 86_400_000, d.width() * 1e6)
     return out.select("session_id", "event_seq", r("rolling_avg_reaction_time_ms", 8).alias("rt"))
 
 

@@ -73,11 +73,11 @@ def test_rolling_equals_pruned_list(data, width):
     want = {}
     for k, rs in by_key(rows).items():
         for r in rs:
-            near = [x[4] for x in rs if 0 <= round(r[1] * 10) - round(x[1] * 10) <= 15]
+            near = [round(x[4], 9) for x in rs if 0 <= round(r[1] * 10) - round(x[1] * 10) <= 15]
             want[r[2]] = round(sum(near) / len(near), 9)
     ms = df.withColumn("ms", F.round(F.col("t") * 10).cast("bigint"))
-    out = O.rolling(ms, KEYS, "ms", 15, {"m": F.avg("v")}, width * 10)
-    assert {r.seq: round(r.m, 9) for r in out.collect()} == want
+    out = O.rolling_mean(ms, KEYS, "ms", 15, F.round("v", 9), "m", width * 10)
+    assert {r.seq: r.m for r in out.collect()} == {k: pytest.approx(v, abs=1e-8) for k, v in want.items()}
 
 
 @pytest.mark.parametrize("width,gap", [(2.0, 1.0), (7.0, 0.35), (500.0, 3.0), (3.0, 3.0)])
