@@ -99,6 +99,12 @@ def pivot_items(answers: DataFrame, keys: Sequence[str], items: Sequence[str], i
 
 
 def prefix_matches(submissions: DataFrame, drops: DataFrame, keys: Sequence[str], bucket: float, text: str = "participant_answer", answer: str = "correct_answer") -> DataFrame:
-    """per wrong commit, the live drops whose answer starts with what was typed."""
-    hits = range_join(submissions, drops, keys, "t", "t0", "t1", bucket)
-    return hits.where(F.startswith(F.col(answer).cast("string"), F.col(text).cast("string")))
+    """per wrong commit, the live drops whose answer starts with what was typed.
+
+    Answers are opened into their prefixes, so text and prefix meet in the join key.
+    """
+    whole = F.col(answer).cast("string")
+    prefixes = F.transform(F.sequence(F.lit(1), F.greatest(F.length(whole), F.lit(1))), lambda n: F.substring(whole, F.lit(1), n))
+    d = drops.withColumn("__typed", F.explode(prefixes))
+    s = submissions.withColumn("__typed", F.col(text).cast("string"))
+    return range_join(s, d, [*keys, "__typed"], "t", "t0", "t1", bucket).drop("__typed")

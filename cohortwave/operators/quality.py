@@ -4,10 +4,10 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from cohortwave.functions.ordered import exact_median, range_join, running, slice_id
+from cohortwave.functions.ordered import exact_median, running, slice_id
+from cohortwave.functions.sorted_batches import groups, packed, repeat_keys
 from cohortwave.operators.joins import mask_invalid, pair_events
 from cohortwave.schema import BLOCK, HOST, MONO, ORDER, RUN, TRIAL
 
@@ -22,43 +22,6 @@ def frame_drop_flags(trials: DataFrame, drops: DataFrame, pad: float, keys: Sequ
     return mask_invalid(trials, drops.select(*keys, F.col(t).alias("t0"), F.col(t).alias("t1")), keys, pad, width=width)
 
 
-def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """Consecutive rows with equal keys, from batches sorted by them; holds one group at a time."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        tbl = pa.Table.from_batches([*held, batch])
-        new = np.zeros(tbl.num_rows - 1, dtype=bool)
-        for k in keys:
-            col = tbl.column(k)
-            a, b = col.slice(1), col.slice(0, tbl.num_rows - 1)
-            new |= pc.or_(pc.fill_null(pc.not_equal(a, b), False), pc.xor(pc.is_null(a), pc.is_null(b))).to_numpy()
-        cuts = [0, *(np.flatnonzero(new) + 1).tolist()]
-        for lo, hi in zip(cuts, cuts[1:]):
-            yield tbl.slice(lo, hi - lo)
-        held = tbl.slice(cuts[-1]).to_batches()
-    if held:
-        yield pa.Table.from_batches(held)
-
-
-def _packed(tables: Iterator[pa.Table], rows: int = 10_000) -> Iterator[pa.RecordBatch]:
-    """Small results gathered into batches worth sending."""
-    pile, n = [], 0
-    for t in tables:
-        pile.append(t)
-        n += t.num_rows
-        if n >= rows:
-            yield from pa.concat_tables(pile).combine_chunks().to_batches()
-            pile, n = [], 0
-    if pile:
-        yield from pa.concat_tables(pile).combine_chunks().to_batches()
-
-
-def _repeat_keys(tbl: pa.Table, keys: list[str], n: int) -> list[pa.Array]:
-    return [tbl.column(k).take(pa.array(np.zeros(n, dtype="int64"))).combine_chunks() for k in keys]
-
-
 def debounce(events: DataFrame, keys: Sequence[str], t: str, min_gap: float, *, qualifies: Column | None = None, tie: str = "event_seq", width: float | None = None) -> DataFrame:
     """Q3: keep a qualifying event only if more than `min_gap` after the last kept one.
 
@@ -91,21 +54,21 @@ def debounce(events: DataFrame, keys: Sequence[str], t: str, min_gap: float, *,
         reach = min(int(np.searchsorted(ts, tbl.column("__s")[0].as_py() * width + min_gap, side="right")), len(ts) - 1)
         firsts, kept = ts[: reach + 1], ts[last[: reach + 1]]
         new = np.append(kept[1:] != kept[:-1], True)  # one step per distinct result, at its highest entry
-        return pa.Table.from_arrays([*_repeat_keys(tbl, part, int(new.sum())), pa.array(firsts[new]), pa.array(kept[new])], names=step_schema.names)
+        return pa.Table.from_arrays([*repeat_keys(tbl, part, int(new.sum())), pa.array(firsts[new]), pa.array(kept[new])], names=step_schema.names)
 
     def chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def starts() -> Iterator[pa.Table]:
             who, state = None, -np.inf
-            for g in _groups(batches, part):
+            for g in groups(batches, part):
                 key = [g.column(k)[0].as_py() for k in keys]
                 if key != who:
                     who, state = key, -np.inf
-                yield pa.Table.from_arrays([*_repeat_keys(g, part, 1), pa.array([state], pa.float64())], names=start_schema.names)
+                yield pa.Table.from_arrays([*repeat_keys(g, part, 1), pa.array([state], pa.float64())], names=start_schema.names)
                 i = int(np.searchsorted(g.column("first").to_numpy(), state + min_gap, side="right"))
                 if i < g.num_rows:
                     state = g.column("kept")[i].as_py()
 
-        yield from _packed(starts())
+        yield from packed(starts())
 
     def slice_kept(tbl: pa.Table) -> pa.Table:
         start, ts = tbl.column("start")[0].as_py(), tbl.column("__t").slice(1).to_numpy()
@@ -116,8 +79,8 @@ def debounce(events: DataFrame, keys: Sequence[str], t: str, min_gap: float, *,
             i = nxt[i]
         return tbl.take(pa.array(keep, pa.int64())).select(out_schema.names)
 
-    steps = lambda batches: _packed(slice_steps(g) for g in _groups(batches, part))
-    replay = lambda batches: _packed(slice_kept(g) for g in _groups(batches, part))
+    steps = lambda batches: packed(slice_steps(g) for g in groups(batches, part))
+    replay = lambda batches: packed(slice_kept(g) for g in groups(batches, part))
     table = rows.repartition(*part).sortWithinPartitions(*part, "__t").mapInArrow(steps, step_schema)
     starts = table.repartition(*keys).sortWithinPartitions(*part, "first").mapInArrow(chain, start_schema)
     line = rows.unionByName(starts, allowMissingColumns=True)  # the start row has no time, so it sorts first
@@ -155,12 +118,21 @@ def single_lane_double(obstacles: DataFrame, block: Sequence[str] = BLOCK) -> Da
     return obstacles.groupBy(*block, "wave", "lane").agg(F.count("*").alias("n")).where("n > 1")
 
 
-def safe_lane_invariant(obstacles: DataFrame, keys: Sequence[str] = RUN, bucket_ms: float = 2000.0) -> DataFrame:
-    """Q8: spawns after which every lane held a live hazard (the new one included)."""
-    at = obstacles.select(*TRIAL, "lanes", F.col("spawn_ms").alias("at_ms"))
-    live = obstacles.select(*keys, F.col("spawn_ms").alias("from_ms"), "resolve_ms", "lane")
-    hit = range_join(at, live, keys, "at_ms", "from_ms", "resolve_ms", bucket_ms, how="left")
-    return hit.groupBy(*TRIAL, "lanes", "at_ms").agg(F.count_distinct("lane").alias("blocked")).where("blocked >= lanes")
+def safe_lane_invariant(obstacles: DataFrame, n_lanes: int, keys: Sequence[str] = RUN, width_ms: float = 600_000.0) -> DataFrame:
+    """Q8: spawns after which every lane held a live hazard (the new one included).
+
+    A hazard adds to its lane at the spawn and is taken off at the resolution; running counts per
+    lane then tell how many lanes are blocked, without pairing hazards.
+    """
+    leave = F.struct(F.col("resolve_ms").alias("at"), F.lit(0).alias("k"), F.lit(-1).alias("d"))
+    enter = F.struct(F.col("spawn_ms").alias("at"), F.lit(1).alias("k"), F.lit(1).alias("d"))
+    read = F.struct(F.col("spawn_ms").alias("at"), F.lit(2).alias("k"), F.lit(0).alias("d"))
+    cols = list(dict.fromkeys([*keys, *TRIAL, "lanes", "lane", "spawn_ms"]))
+    line = obstacles.select(*cols, F.explode(F.array(leave, enter, read)).alias("e")).select(*cols, F.col("e.at").alias("__at"), F.col("e.k").alias("__k"), F.col("e.d").alias("__d"))
+    per_lane = {f"__lane_{i}": ("sum", F.when(F.col("lane") == i, F.col("__d"))) for i in range(n_lanes)}
+    live = running(line, keys, ["__at", "__k"], per_lane, width_ms).where("__k = 2")
+    blocked = sum((F.when(F.col(c) > 0, 1).otherwise(0) for c in per_lane), F.lit(0))
+    return live.select(*[c for c in cols if c != "lane"], blocked.alias("blocked")).where("blocked >= lanes")
 
 
 def unit_outliers(meta: DataFrame, col: str, keys: Sequence[str], width: float, ratio: float = 0.1) -> DataFrame:

@@ -1,10 +1,13 @@
 """Window operators over runs, all built on the sliced scans."""
 
+import heapq
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from cohortwave.functions.ordered import asof_join, clamped_cumsum, numbered, range_join, rolling_mean, running
+from cohortwave.functions.ordered import asof_join, clamped_cumsum, numbered, rolling_mean, running, slice_id
+from cohortwave.functions.sorted_batches import groups, packed, repeat_keys
 from cohortwave.schema import BLOCK, NEAR_MISS_SEC, ROLLING_SEC, RUN
 
 
@@ -55,23 +58,55 @@ def inter_click_time(clicks: DataFrame, order: Sequence[str], keys: Sequence[str
     return r.withColumn("search_sec", F.col(rt) - F.coalesce("__prev", F.lit(0.0))).drop("__prev")
 
 
-def live_state(ticks: DataFrame, obstacles: DataFrame, changes: DataFrame, lanes: int, keys: Sequence[str] = RUN, bucket_ms: float = 2000.0, width: float = 600_000.0) -> DataFrame:
+def live_state(ticks: DataFrame, obstacles: DataFrame, changes: DataFrame, lanes: int, keys: Sequence[str] = RUN, width_ms: float = 600_000.0) -> DataFrame:
     """Hazards live at each tick: their number, blocked lanes, nearest arrival, and the same in the own lane.
 
     A hazard is live on [spawn, resolve). The own lane is the last unblocked target lane, at first
-    the middle one. `ticks` need `tick_id` and `t_ms`; live hazards per tick are at most a few.
+    the middle one. `ticks` need `tick_id` and `t_ms`. Hazards go to every slice they reach into;
+    Spark sorts each slice by time and a task walks it once with a heap of arrivals per lane, so
+    no tick-hazard pairs are formed.
     """
-    moved = changes.where(~F.col("blocked")).select(*keys, F.col("client_ms").alias("__m"), F.col("to_lane").alias("own_lane"))
-    t = asof_join(ticks, moved, keys, "t_ms", "__m", ["own_lane"], width).withColumn("own_lane", F.coalesce("own_lane", F.lit(lanes // 2)))
-    o = obstacles.select(*keys, "spawn_ms", "resolve_ms", "lane", "fall_sec")
-    hit = range_join(t, o, keys, "t_ms", "spawn_ms", "resolve_ms", bucket_ms, how="left")
-    ttc = F.col("fall_sec") * 1000 - (F.col("t_ms") - F.col("spawn_ms"))
-    return hit.groupBy(*keys, "tick_id", "t_ms", "own_lane").agg(
-        F.count("spawn_ms").alias("active_obstacle_count"),
-        F.count_distinct("lane").alias("blocked_lane_count"),
-        F.min(ttc).alias("nearest_time_to_collision_ms"),
-        F.min(F.when(F.col("lane") == F.col("own_lane"), ttc)).alias("own_lane_time_to_collision_ms"),
+    keys = list(keys)
+    moved = changes.where(~F.col("blocked")).select(*keys, F.col("client_ms").alias("__m"), F.col("to_lane").cast("int").alias("own_lane"))
+    t = asof_join(ticks, moved, keys, "t_ms", "__m", ["own_lane"], width_ms).select(
+        *keys, slice_id("t_ms", width_ms).alias("__s"), F.col("t_ms").cast("double").alias("__at"), F.lit(2).alias("__k"), F.col("tick_id").cast("bigint").alias("tick_id"),
+        F.coalesce("own_lane", F.lit(lanes // 2)).alias("own_lane"),
     )
+    reach = F.sequence(slice_id("spawn_ms", width_ms), slice_id(F.greatest("spawn_ms", "resolve_ms"), width_ms))
+    o = obstacles.select(
+        *keys, F.explode(reach).alias("__s"), F.col("spawn_ms").cast("double").alias("__at"), F.lit(1).alias("__k"), F.col("resolve_ms").cast("double").alias("resolve"),
+        F.col("lane").cast("int").alias("lane"), (F.col("spawn_ms") + F.col("fall_sec") * 1000).cast("double").alias("due"),
+    )
+    line = t.unionByName(o, allowMissingColumns=True)
+    fields, part = {f.name: f for f in line.schema.fields}, [*keys, "__s"]
+    out = T.StructType(
+        [*[fields[k] for k in keys], fields["tick_id"], T.StructField("t_ms", T.DoubleType()), fields["own_lane"], T.StructField("active_obstacle_count", T.LongType()),
+         T.StructField("blocked_lane_count", T.LongType()), T.StructField("nearest_time_to_collision_ms", T.DoubleType()), T.StructField("own_lane_time_to_collision_ms", T.DoubleType())]
+    )
+
+    def walk(tbl: pa.Table) -> pa.Table:
+        cols = [tbl.column(c).to_pylist() for c in ("__at", "__k", "resolve", "lane", "due", "tick_id", "own_lane")]
+        ends, due, count, rows = [], {}, {}, []
+        for at, k, resolve, lane, arrives, tick, own in zip(*cols):
+            if k == 1:
+                heapq.heappush(ends, (resolve, lane))
+                heapq.heappush(due.setdefault(lane, []), (arrives, resolve))
+                count[lane] = count.get(lane, 0) + 1
+                continue
+            while ends and ends[0][0] <= at:
+                count[heapq.heappop(ends)[1]] -= 1
+            near = {}
+            for lane, heap in due.items():
+                while heap and heap[0][1] <= at:  # already resolved
+                    heapq.heappop(heap)
+                if heap:
+                    near[lane] = heap[0][0] - at
+            rows.append((tick, at, own, sum(count.values()), sum(c > 0 for c in count.values()), min(near.values(), default=None), near.get(own)))
+        found = [pa.array(c, f) for c, f in zip(zip(*rows) if rows else [[]] * 7, (pa.int64(), pa.float64(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64()))]
+        return pa.Table.from_arrays([*repeat_keys(tbl, keys, len(rows)), *found], names=out.names)
+
+    batches = line.repartition(*part).sortWithinPartitions(*part, "__at", "__k")
+    return batches.mapInArrow(lambda it: packed(walk(g) for g in groups(it, part)), out)
 
 
 def near_miss_class(answered: DataFrame, window: float = NEAR_MISS_SEC) -> DataFrame:

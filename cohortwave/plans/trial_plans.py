@@ -290,7 +290,7 @@ def _live(d: Tables):
 def live_state(d: Tables):
     ticks = d.ev.where("event_type = 'click'").select("session_id", F.col("event_seq").alias("tick_id"), (F.col("t") * 1000).alias("t_ms"))
     moves = d.ev.where("event_type = 'purchase'").select("session_id", (F.col("t") * 1000).alias("client_ms"), (F.col("k") % 4).alias("to_lane"), (F.col("k") % 5 == 0).alias("blocked"))
-    out = X.live_state(ticks, _live(d), moves, 4, SES, 3.6e6, d.width() * 1000)
+    out = X.live_state(ticks, _live(d), moves, 4, SES, d.width() * 1000)
     return out.select("session_id", "tick_id", "own_lane", F.col("active_obstacle_count").alias("active"), F.col("blocked_lane_count").alias("blocked"),
                       r("nearest_time_to_collision_ms", 2).alias("nearest"), r("own_lane_time_to_collision_ms", 2).alias("own_ttc"))
 
@@ -298,7 +298,7 @@ def live_state(d: Tables):
 @plan(_LIVE + """SELECT a.session_id, a.seq AS trial_index, count(DISTINCT b.lane) AS blocked FROM sp a JOIN sp b ON a.session_id = b.session_id AND b.s <= a.s AND a.s < b.e
   GROUP BY 1, 2 HAVING count(DISTINCT b.lane) >= 2""")
 def safe_lane_invariant(d: Tables):
-    return Q.safe_lane_invariant(_live(d), SES, 3.6e6).select("session_id", "trial_index", "blocked")
+    return Q.safe_lane_invariant(_live(d), 4, SES, d.width() * 1000).select("session_id", "trial_index", "blocked")
 
 
 @plan(_LIVE + """SELECT w.session_id, w.seq AS event_seq, sp.seq AS drop_seq FROM (SELECT * FROM ev WHERE et = 'error') w JOIN sp ON sp.session_id = w.session_id

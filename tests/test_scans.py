@@ -185,3 +185,28 @@ def test_camp_and_gauge(spark):
     assert X.camp_exposure(spawns, moves, starts, 0.3, 0.0, 1.0, KEYS).where("nudge_probability = 1").count() == 2
     g = spark.createDataFrame([("F1", 0.0), ("F1", 5.0), ("F2", 6.0), ("F1", 15.0)], "gauge STRING, t_sec DOUBLE")
     assert [r.gap_sec for r in X.gauge_gap_check(g, 10.0).collect()] == [5.0]
+
+
+@pytest.mark.parametrize("width", [3.0, 1000.0])
+def test_live_state_equals_loop(data, width):
+    rows, df = data
+    base = df.withColumns({"spawn_ms": F.col("t"), "resolve_ms": F.col("t") + F.col("v") * 10, "lane": F.col("seq") % 4, "fall_sec": F.col("v") / 50})
+    hazards, moves = base.where("d = 1"), df.where("d = 0 AND v < 0.3").select("s", F.col("t").alias("client_ms"), (F.col("seq") % 4).alias("to_lane"), (F.col("v") < 0.1).alias("blocked"))
+    ticks = df.where("d = -1").select("s", F.col("seq").alias("tick_id"), F.col("t").alias("t_ms"))
+    want = {}
+    for k, rs in by_key(rows).items():
+        for r in rs:
+            if r[3] == -1:
+                own = [x[2] % 4 for x in rs if x[3] == 0 and 0.1 <= x[4] < 0.3 and x[1] <= r[1]]
+                own_at = max([x[1] for x in rs if x[3] == 0 and 0.1 <= x[4] < 0.3 and x[1] <= r[1]], default=None)
+                own = {x[2] % 4 for x in rs if x[3] == 0 and 0.1 <= x[4] < 0.3 and x[1] == own_at} or {2}
+                live = [(x[2] % 4, x[1] + x[4] * 20 - r[1]) for x in rs if x[3] == 1 and x[1] <= r[1] < x[1] + x[4] * 10]
+                want[r[2]] = (len(live), len({a for a, _ in live}), min((b for _, b in live), default=None), own, live)
+    out = X.live_state(ticks, hazards, moves, 4, KEYS, width).collect()
+    assert len(out) == len(want)
+    for r in out:
+        n, lanes, near, own, live = want[r.tick_id]
+        assert (r.active_obstacle_count, r.blocked_lane_count) == (n, lanes) and r.own_lane in own
+        assert r.nearest_time_to_collision_ms == (None if near is None else pytest.approx(near))
+        mine = min((b for a, b in live if a == r.own_lane), default=None)
+        assert r.own_lane_time_to_collision_ms == (None if mine is None else pytest.approx(mine))

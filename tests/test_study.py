@@ -125,7 +125,8 @@ def test_highway(ev, blocks, manifests):
     assert r.where("near_miss <> near_miss_recomputed OR no_response <> no_response_recomputed").count() == 0
     assert rows(Q.single_lane_double(o), "wave", "lane", "n") == [(1, 1, 2)]
     assert rows(A.wave_stats(o), "wave", "hazards", "collisions", "size_ok") == [(0, 2, 0, True), (1, 2, 2, True)]
-    assert Q.safe_lane_invariant(o).count() == 0
+    assert Q.safe_lane_invariant(o, 4).count() == 0
+    assert rows(Q.safe_lane_invariant(o.withColumn("lanes", F.lit(2)), 4), "trial_index", "blocked") == [(0, 2), (1, 2)]
     ticks = hw.where("event_type = 'state_tick'").select(*RUN, F.col("event_seq").alias("tick_id"), field("client_perf_now_ms", "double").alias("t_ms"),
                                                          field("active_obstacle_count", "int").alias("n"), field("nearest_time_to_collision_ms", "double").alias("ttc"), field("own_lane_time_to_collision_ms", "double").alias("own"))
     live = X.live_state(ticks.select(*RUN, "tick_id", "t_ms"), o, J.lane_changes(hw), 4).join(ticks.select("tick_id", "n", "ttc", "own"), "tick_id")
