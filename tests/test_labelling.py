@@ -3,8 +3,10 @@
 import pytest
 from pyspark.sql import functions as F
 
-from cohortwave.operators import joins as J, labelling as B, stats as A
+from cohortwave.operators import joins as J, labelling as B, project as P, stats as A
+from cohortwave.sources import readers as R
 from cohortwave.sources.readers import read_samples
+from tests import study
 
 
 @pytest.fixture(scope="module")
@@ -81,3 +83,24 @@ def test_split_keeps_participants_together(spark, tmp_path):
     B.export_dataset(df, str(tmp_path / "out"), seed=3)
     back = spark.read.parquet(str(tmp_path / "out"))
     assert back.count() == 2000 and back.where("split = 'train'").select("participant_id").distinct().count() == n["train"]
+
+
+def test_session_package_to_dataset(spark, tmp_path):
+    """Raw files to an exported dataset, as the README shows it."""
+    root = study.build(tmp_path / "in")
+    ev = P.assign_run_ordinal(R.intact(R.read_events(spark, root)))
+    blocks = J.pair_blocks(ev).where("task = 'stress'")
+    sync = J.expand_sync(R.read_manifests(spark, root))
+    on_wall = blocks.withColumns({"t0": F.col("host_t0"), "t1": F.col("host_t1")})
+    intervals = B.labelled_intervals(("block", P.label_policy(on_wall, "ordinal")))
+    assert sorted(r.label for r in intervals.collect()) == ["0", "1", "2"]  # pauses have no label
+    spark.range(400 * 10).select(
+        F.concat(F.lit("r"), F.col("id") * 0).alias("recording_id"), F.lit("P_01_1700000000").alias("session_id"), F.lit("ear_eeg_out").alias("device_role"), F.lit("ear_eeg_out-1").alias("device_id"),
+        F.col("id").alias("sample_idx"), (F.col("id") / 10).alias("rel_sec"), F.array(F.lit(1.0).cast("float")).alias("ch"),
+    ).write.parquet(str(tmp_path / "samples"))
+    w = B.label_recordings(R.read_samples(spark, str(tmp_path / "samples")), sync, intervals, 1.0, 1.0, 30.0)
+    per = {r.label: r.n for r in w.groupBy("label").agg(F.count_distinct("t0", "window_no").alias("n")).collect()}
+    length = {r.label: int(r.t1 - r.t0 + 1e-6) for r in intervals.collect()}
+    assert per == length
+    B.export_dataset(w.join(ev.select("session_id", "participant_id").distinct(), "session_id"), str(tmp_path / "out"))
+    assert spark.read.parquet(str(tmp_path / "out")).count() == w.count()
