@@ -25,11 +25,13 @@ def pair_events(
     width: float = 600.0,
     run_end: DataFrame | None = None,
     run_keys: Sequence[str] = RUN,
+    closed_only: bool = False,
 ) -> DataFrame:
     """A start with the end event that directly follows it under the same keys, on both clocks.
 
     A start with no such end is `truncated`: it closes at the run's last event. Rows are looked at
-    from the end of the log, so the next event is carried back to the start.
+    from the end of the log, so the next event is carried back to the start. `closed_only` leaves
+    truncated ones out, and with them the pass that finds the runs' ends.
     """
     start_cols, end_cols = start_cols or {}, end_cols or {}
     is_start = F.col("event_type") == start
@@ -41,9 +43,13 @@ def pair_events(
     nxt = F.struct("__start", F.col(MONO).alias("t"), F.col(HOST).alias("h"), F.col("__end").alias("end"))
     seen = running(e, keys, ORDER, {"__next": ("last", nxt)}, width, inclusive=False, descending=True).where("__start")
     hit = ~F.col("__next.__start")
-    last = run_end if run_end is not None else ev.groupBy(*run_keys).agg(F.max(MONO).alias("__last_t"), F.max(HOST).alias("__last_h"))
-    # runs are keyed by session, task and ordinal, which are set on every block and baseline row
-    return seen.join(last, list(run_keys), "left").select(
+    if closed_only:
+        ended = seen.where(hit).withColumns({"__last_t": F.lit(None).cast("double"), "__last_h": F.lit(None).cast("double")})
+    else:
+        last = run_end if run_end is not None else ev.groupBy(*run_keys).agg(F.max(MONO).alias("__last_t"), F.max(HOST).alias("__last_h"))
+        # runs are keyed by session, task and ordinal, which are set on every block and baseline row
+        ended = seen.join(last, list(run_keys), "left")
+    return ended.select(
         *keys,
         *start_cols,
         F.col(MONO).alias("t0"),
@@ -55,7 +61,7 @@ def pair_events(
     )
 
 
-def pair_blocks(ev: DataFrame, width: float = 600.0) -> DataFrame:
+def pair_blocks(ev: DataFrame, width: float = 600.0, closed_only: bool = False) -> DataFrame:
     """Blocks as intervals; pause blocks without an index pair in order within their condition."""
     return pair_events(
         ev, "block_start", "block_end", [*BLOCK, "condition_label"],
@@ -69,17 +75,18 @@ def pair_blocks(ev: DataFrame, width: float = 600.0) -> DataFrame:
             "misclicks": field("misclicks", "int"), "avoided": field("avoided", "int"), "collisions": field("collisions", "int"),
         },
         width=width,
+        closed_only=closed_only,
     )
 
 
-def pair_baselines(ev: DataFrame, width: float = 600.0) -> DataFrame:
+def pair_baselines(ev: DataFrame, width: float = 600.0, closed_only: bool = False) -> DataFrame:
     """Baselines by block and position, planned next to real length."""
     at = ev.where(F.col("event_type").isin("baseline_start", "baseline_end")).withColumns(
         {"position": field("position", "string"), "planned_sec": field("duration_sec", "double")}
     )
-    last = ev.groupBy(*RUN).agg(F.max(MONO).alias("__last_t"), F.max(HOST).alias("__last_h"))
+    last = None if closed_only else ev.groupBy(*RUN).agg(F.max(MONO).alias("__last_t"), F.max(HOST).alias("__last_h"))
     paired = pair_events(
-        at, "baseline_start", "baseline_end", [*BLOCK, "position"], start_cols={"planned_sec": F.col("planned_sec")}, width=width, run_end=last
+        at, "baseline_start", "baseline_end", [*BLOCK, "position"], start_cols={"planned_sec": F.col("planned_sec")}, width=width, run_end=last, closed_only=closed_only
     )
     return paired.withColumn("real_sec", F.col("t1") - F.col("t0"))
 

@@ -112,9 +112,9 @@ def session_status(d: Tables):
 def _blocks(d: Tables, done: bool = True):
     """view opens a block, purchase closes it."""
     ev = d.study({"view": "block_start", "purchase": "block_end"})
-    b = J.pair_blocks(ev, d.width())
+    b = J.pair_blocks(ev, d.width(), closed_only=done)
     # blocks are a fact table that the operators behind read several times
-    return keep(b.where("NOT truncated"), "blocks") if done else b
+    return keep(b, "blocks") if done else b
 
 
 _BLOCKS = (
@@ -202,7 +202,7 @@ def asof_state(d: Tables):
     SELECT d.session_id, d.t0, b.b0 AS baseline_t0, b.b1 AS baseline_t1 FROM done d ASOF LEFT JOIN base b ON d.session_id = b.session_id AND d.t0 >= b.b1"""
 )
 def asof_baseline(d: Tables):
-    base = keep(J.pair_baselines(d.study({"click": "baseline_start", "error": "baseline_end"}), d.width()).where("NOT truncated"), "baselines")
+    base = keep(J.pair_baselines(d.study({"click": "baseline_start", "error": "baseline_end"}), d.width(), closed_only=True), "baselines")
     return J.asof_baseline(_blocks(d), base, RUN, d.width()).select("session_id", "t0", "baseline_t0", "baseline_t1")
 
 
