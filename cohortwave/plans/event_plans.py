@@ -475,11 +475,11 @@ def gauge_gap_check(d: Tables):
     EV
     + """, s AS (SELECT *, CASE WHEN t - lag(t) OVER (PARTITION BY session_id ORDER BY t, seq) < 86400 THEN 0 ELSE 1 END AS fresh FROM ev),
     g AS (SELECT *, sum(fresh) OVER (PARTITION BY session_id ORDER BY t, seq) AS stretch FROM s)
-    SELECT session_id, round(min(t), 4) AS start_t, count(*) AS n FROM g GROUP BY session_id, stretch"""
+    SELECT session_id, min(t) AS start_t, count(*) AS n FROM g GROUP BY session_id, stretch"""
 )
 def idle_gaps(d: Tables):
     s = X.activity_stretches(d.ev, SES, ORDER, 86400.0, MONO, d.width())
-    return s.select("session_id", r("start_t").alias("start_t"), "n")
+    return s.select("session_id", "start_t", "n")
 
 
 @plan(
