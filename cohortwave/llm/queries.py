@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortwave.llm import langid, simhash, toxicity
+from cohortwave.llm import langid, linedup, mixing, rendezvous, simhash, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,22 @@ def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predictions(docs, model).select("doc_id", (langid.remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op7_line_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    kept = linedup.apply_bitmaps(docs, linedup.keep_bitmaps(docs))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op8_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixing.mix(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def op9_rendezvous(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = rendezvous.assign(table(spark, sf_dir, "documents"), [1.0] * 16, [1.0] * 17)
+    return out.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
@@ -30,5 +46,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_simhash": op1_simhash, "op3_langid": op3_langid, "op10_toxicity": op10_toxicity}
-SQL: dict[str, str] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f for f in (op1_simhash, op3_langid, op7_line_bitmaps, op8_pareto_mix, op9_rendezvous, op10_toxicity)
+}
+SQL: dict[str, str] = {"op7_line_bitmaps": linedup.SQL, "op8_pareto_mix": mixing.SQL}
