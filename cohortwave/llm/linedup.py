@@ -60,7 +60,7 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", t
     lines = lines_of(F.col("text"))
     flags = F.flatten(F.transform("kept_runs", lambda n: F.concat(F.array_repeat(F.lit(True), n), F.array(F.lit(False)))))
     marked = F.arrays_zip(lines.alias("line"), flags.alias("stays"))  # no flag beyond the last dropped line
-    stay = F.transform(F.filter(marked, lambda z: F.coalesce(z["1"], F.lit(True))), lambda z: z["0"])
+    stay = F.transform(F.filter(marked, lambda z: F.coalesce(z["stays"], F.lit(True))), lambda z: z["line"])
     return d.join(b, F.col("id").eqNullSafe(F.col("b_id")) & (F.col("text_hash") == F.col("b_hash")), "left").select(
         F.col("id").alias(id_col),
         F.size(lines).cast("bigint").alias("n_lines"),
