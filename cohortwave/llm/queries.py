@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortwave.llm import langid, linedup, mixing, rendezvous, simhash, toxicity
+from cohortwave.llm import langid, linedup, mixing, rendezvous, simhash, toxicity, training_order
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predictions(docs, model).select("doc_id", (langid.remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op4_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training_order.index(table(spark, sf_dir, "documents"))
+
+
 def op7_line_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     kept = linedup.apply_bitmaps(docs, linedup.keep_bitmaps(docs))
@@ -47,6 +51,6 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash, op3_langid, op7_line_bitmaps, op8_pareto_mix, op9_rendezvous, op10_toxicity)
+    f.__name__: f for f in (op1_simhash, op3_langid, op4_training_order, op7_line_bitmaps, op8_pareto_mix, op9_rendezvous, op10_toxicity)
 }
 SQL: dict[str, str] = {"op7_line_bitmaps": linedup.SQL, "op8_pareto_mix": mixing.SQL}
