@@ -13,6 +13,7 @@ from cohortwave.llm.words import TypeTable, code_points, numbers, text_of
 WORD = re.compile(r"\w+")
 SHORTEST, LONGEST = 3, 6  # code points of a subword, word ends included
 WINDOW, STEP = 16, 8  # words of a bag, and from one bag to the next
+TURNS = 6  # first rounds: one bag in so many at a time
 SMOOTH = 40  # subwords without meaning in each bag: a very short text is no purer than a sentence
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -27,7 +28,7 @@ def subwords(words: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray]:
         return np.empty(0, np.int64), np.empty(0, np.int64)
     c = code_points("".join(f"<{w}>" for w in words)).astype(np.uint64)
     size = np.fromiter(map(len, words), np.int64, len(words)) + 2
-    owner = np.repeat(np.arange(len(words)), size)
+    owner = np.repeat(np.arange(len(words), dtype=np.int32), size)
     left = np.repeat(np.cumsum(size), size) - np.arange(len(c))  # code points to the end of the word
     grams, owners, h = [], [], np.zeros(len(c), np.uint64)
     for n in range(1, LONGEST + 1):
@@ -35,7 +36,7 @@ def subwords(words: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray]:
         if n >= SHORTEST:
             at = np.nonzero(left[: len(h)] >= n)[0]
             mixed = (h[at] ^ (h[at] >> np.uint64(29))) * _BASE
-            grams.append((mixed >> np.uint64(64 - buckets)).astype(np.int64))
+            grams.append((mixed >> np.uint64(64 - buckets)).astype(np.int32))
             owners.append(owner[at])
     return np.concatenate(grams), np.concatenate(owners)
 
@@ -88,7 +89,7 @@ class Model:
 def fit(texts: list[str], labels: list[int], *, bits: int = 17, dim: int = 8, rounds: int = 60, seed: int = 7) -> Model:
     """Embeddings of subwords and softmax weights by full-batch momentum descent, all drawn from one seed.
 
-    The first tenth of the rounds learns from all bags of a text alike, the rest from the bag that looks most
+    The first tenth of the rounds learns from all bags of a text alike, a sixth of them at a time, the rest from the bag that looks most
     toxic in each, which is what scoring looks at. Without texts of both labels every score is the share of label 1.
     """
     y = np.asarray(labels, dtype=int)
@@ -97,9 +98,13 @@ def fit(texts: list[str], labels: list[int], *, bits: int = 17, dim: int = 8, ro
         return Model(np.zeros(1 << bits), float(np.log((share + 1e-6) / (1 - share + 1e-6))), bits)
     number = numbers()
     texts_at = [np.fromiter(map(number.__getitem__, words_of(t)), np.int64) for t in texts]
-    grams, owner = subwords(list(number), bits)
-    grams = grams[np.argsort(owner, kind="stable")]  # those of a type side by side
-    per_type = np.bincount(owner, minlength=len(number))
+    types = list(number)
+    grams, per_type = [np.empty(0, np.int32)], [np.empty(0, np.int64)]
+    for at in range(0, len(types), 10_000):  # keeps the driver's memory low
+        g, owner = subwords(part := types[at : at + 10_000], bits)
+        grams.append(g[np.argsort(owner, kind="stable")])  # those of a type side by side
+        per_type.append(np.bincount(owner, minlength=len(part)))
+    grams, per_type = np.concatenate(grams), np.concatenate(per_type)
     first = np.concatenate([[0], np.cumsum(per_type)])
     spans = [windows(len(at)) for at in texts_at]
     base = np.concatenate([[0], np.cumsum([len(at) for at in texts_at])])
@@ -120,16 +125,16 @@ def fit(texts: list[str], labels: list[int], *, bits: int = 17, dim: int = 8, ro
     def ranges(start: np.ndarray, n: np.ndarray) -> np.ndarray:
         return np.repeat(start - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
 
-    def sums(of: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
-        return np.stack([np.bincount(of, weights=v, minlength=n) for v in values.T], axis=1)
+    def sums(of: np.ndarray, values: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+        """Rows `at` of `values` added up by `of`, a column at a time."""
+        return np.stack([np.bincount(of, weights=v[at], minlength=n) for v in np.ascontiguousarray(values.T)], axis=1)
 
     for r in range(rounds):
         if r < rounds // 10:
-            pick = np.arange(len(doc))
-            w = (weight / bags)[doc]
+            pick = np.arange(r % TURNS, len(doc), TURNS)
+            w = (weight / bags)[doc[pick]]
         else:
-            gain = (E @ (V[:, 1] - V[:, 0]))[grams]
-            gain = np.diff(np.concatenate([[0], np.cumsum(gain)])[first])
+            gain = np.add.reduceat((E @ (V[:, 1] - V[:, 0])).astype(np.float32)[grams], first[:-1])
             run = np.concatenate([[0], np.cumsum(gain[words] * new)])
             order = np.lexsort((-(run[hi] - run[lo]) / size, doc))
             pick = order[np.concatenate([[True], np.diff(doc[order]) > 0])]
@@ -141,13 +146,13 @@ def fit(texts: list[str], labels: list[int], *, bits: int = 17, dim: int = 8, ro
         n = per_type[types]
         gram, of = grams[ranges(first[types], n)], np.repeat(np.arange(len(types)), n)
         # forward: sums of embeddings per type, averages per bag, softmax
-        mean = sums(bag, sums(of, E[gram], len(types))[word], len(pick)) / size[pick, None]
+        mean = sums(bag, sums(of, E, gram, len(types)), word, len(pick)) / size[pick, None]
         z = mean @ V + b
         p = np.exp(z - z.max(axis=1, keepdims=True))
         p /= p.sum(axis=1, keepdims=True)
         # backward: all occurrences of a subword add up before they meet its embedding
         g = (p - np.eye(2)[y[doc[pick]]]) * w[:, None]
-        down = sums(gram, sums(word, (g / size[pick, None])[bag], len(types))[of], 1 << bits)
+        down = sums(gram, sums(word, g / size[pick, None], bag, len(types)), of, 1 << bits)
         for k, (now, d, step) in enumerate(((E, down @ V.T, 0.3), (V, mean.T @ g, 0.05), (b, g.sum(axis=0), 0.05))):
             most[k] = max(most[k], np.abs(d).max())  # steps are measured by the steepest slope so far and fade with it
             speed[k] = 0.9 * speed[k] - step * d / most[k]
