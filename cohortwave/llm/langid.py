@@ -11,7 +11,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, functions as F
 
-from cohortwave.llm.words import TypeTable, code_points, text_of
+from cohortwave.llm.words import TypeTable, code_points, in_parts
 
 LETTERS = re.compile(r"[^\W\d_]+")
 VOCABULARY = "piece_bpe_32k.model"  # in the folder of public tokenizers
@@ -207,8 +207,7 @@ def predictions(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = TypeTable(model.per_type)
         for b in batches:
-            at = table.look_up([words_of(text_of(t.as_py())) for t in b.column(1)])
-            found = [model.decide(a, table.rows) for a in at]
+            found = [model.decide(at, table.rows) for part in in_parts(b.column(1)) for at in table.look_up([words_of(t) for t in part])]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x for x, _ in found], pa.string()), pa.array([p for _, p in found], pa.float64())], names=["id", "lang_pred", "score"])
 
     kind = docs.select(id_col).schema[0].dataType.simpleString()

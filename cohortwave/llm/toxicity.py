@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cohortwave.llm.words import TypeTable, code_points, numbers, text_of
+from cohortwave.llm.words import TypeTable, code_points, in_parts, numbers
 
 WORD = re.compile(r"\w+")
 SHORTEST, LONGEST = 3, 6  # code points of a subword, word ends included
@@ -178,14 +178,19 @@ def train(docs: DataFrame, labels: DataFrame, *, most: tuple[int, int] = (1500,
     return fit([r.text for r in rows], [r.toxic for r in rows], **how)
 
 
+def scored(model: Model, table: TypeTable, texts: pa.Array) -> Iterator[float]:
+    for part in in_parts(texts):
+        for at in table.look_up([words_of(t) for t in part]):
+            yield model.score(at, table.rows)
+
+
 def scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score in 0..1) of every row, from its whole text. A null text, or one without words, is an empty bag."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = TypeTable(model.per_type)
         for b in batches:
-            at = table.look_up([words_of(text_of(t.as_py())) for t in b.column(1)])
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([model.score(a, table.rows) for a in at], pa.float64())], names=["id", "score"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(list(scored(model, table, b.column(1))), pa.float64())], names=["id", "score"])
 
     kind = docs.select(id_col).schema[0].dataType.simpleString()
     out = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(run, f"id {kind}, score double")
@@ -201,7 +206,7 @@ def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.5, text_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = TypeTable(model.per_type)
         for b in batches:
-            at = table.look_up([words_of(text_of(t.as_buffer().to_pybytes() if t.is_valid else None)) for t in b.column(b.schema.get_field_index(text_col))])
-            yield b.filter(pa.array([model.score(a, table.rows) < threshold for a in at], pa.bool_()))
+            texts = b.column(b.schema.get_field_index(text_col))
+            yield b.filter(pa.array([s < threshold for s in scored(model, table, texts)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -1,9 +1,10 @@
 """Word types of one task: a word is worked out once, texts are then sums over numbers."""
 
 from collections import defaultdict
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 
 #: Types held at a time; the table starts anew beyond it. Bounds a task's memory and has no influence on results.
 MOST_TYPES = 300_000
@@ -13,6 +14,20 @@ def text_of(raw: bytes | None) -> str:
     return raw.decode("utf-8", "replace") if raw else ""
 
 
+def in_parts(column: pa.Array, most: int = 1 << 20) -> Iterator[list[str]]:
+    """The texts of a column a few at a time, so that only about `most` bytes of them are held as words."""
+    part, held = [], 0
+    for t in column:
+        raw = t.as_buffer().to_pybytes() if t.is_valid else b""
+        part.append(text_of(raw))
+        held += len(raw)
+        if held >= most:
+            yield part
+            part, held = [], 0
+    if part:
+        yield part
+
+
 def numbers() -> defaultdict:
     """A dictionary that numbers new keys in order."""
     d: defaultdict = defaultdict()
