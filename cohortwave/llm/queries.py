@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortwave.llm import langid, linedup, mixing, rendezvous, simhash, toxicity, training_order
+from cohortwave.llm import decontaminate, langid, linedup, mixing, passages, rendezvous, simhash, toxicity, training_order, vptree
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.train(docs)
@@ -26,6 +30,14 @@ def op4_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return training_order.index(table(spark, sf_dir, "documents"))
 
 
+def op5_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vptree.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
+def op6_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 def op7_line_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     kept = linedup.apply_bitmaps(docs, linedup.keep_bitmaps(docs))
@@ -51,6 +63,9 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash, op3_langid, op4_training_order, op7_line_bitmaps, op8_pareto_mix, op9_rendezvous, op10_toxicity)
+    f.__name__: f
+    for f in (
+        op1_simhash, op2_decontaminate, op3_langid, op4_training_order, op5_vptree, op6_passages, op7_line_bitmaps, op8_pareto_mix, op9_rendezvous, op10_toxicity,
+    )
 }
 SQL: dict[str, str] = {"op7_line_bitmaps": linedup.SQL, "op8_pareto_mix": mixing.SQL}
