@@ -111,6 +111,21 @@ def mix(
     )
 
 
+
+def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
+    """The mix itself: every row of `docs` as often as `mix` takes it, columns as they are."""
+    mixed = mix(docs, id_col, text_col, source_col, **how)
+    same = ["__i", "__s", "__w"]
+    m = mixed.select(F.col(id_col).alias("__i"), F.col("source").alias("__s"), F.col("size").alias("__w"), F.col("copies").cast("int").alias("__n"))
+    m = m.withColumn("__k", F.row_number().over(W.partitionBy(*same).orderBy(F.desc("__n"))))
+    m = m.where("__n > 0").select(*[F.col(c).alias(f"{c}m") for c in [*same, "__k"]], "__n")
+    # rows equal in id, source and size are drawn one by one, and told apart by their texts
+    d = docs.withColumns({"__i": F.col(id_col), "__s": F.col(source_col), "__w": words(F.col(text_col))})
+    d = d.withColumn("__k", F.row_number().over(W.partitionBy(*same).orderBy(F.xxhash64(text_col), text_col)))
+    on = [F.col(c).eqNullSafe(F.col(f"{c}m")) for c in [*same, "__k"]]
+    return d.join(m, on).withColumn("__n", F.explode(F.array_repeat(F.lit(1), F.col("__n")))).select(*docs.columns)
+
+
 SQL = f"""
 WITH sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size FROM documents),
