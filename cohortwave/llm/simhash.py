@@ -6,7 +6,7 @@ from itertools import product
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from cohortwave.llm.graph import components
 from cohortwave.session import keep
@@ -33,16 +33,22 @@ def fingerprint(raw: bytes, shingle: int = 3) -> int:
     return int(((ones * 2 > n).astype(np.uint64) << np.arange(64, dtype=np.uint64)).sum(dtype=np.uint64))
 
 
+def _text_hash(text_col: str) -> Column:
+    """Tells rows apart that share an id, or have none."""
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """(id, fp bigint) of every row. A null or empty text has fingerprint 0."""
+    """(id, text_hash, fp bigint) of every row. A null or empty text has fingerprint 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = np.fromiter((fingerprint(t.as_py() or b"", shingle) for t in b.column(1)), dtype=np.uint64, count=b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], names=["id", "fp"])
+            fp = np.fromiter((fingerprint(t.as_py() or b"", shingle) for t in b.column(2)), dtype=np.uint64, count=b.num_rows)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fp.view(np.int64))], names=["id", "text_hash", "fp"])
 
     kind = docs.select(id_col).schema[0].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(run, f"id {kind}, fp bigint")
+    rows = docs.select(F.col(id_col).alias("id"), _text_hash(text_col).alias("text_hash"), F.col(text_col).cast("binary").alias("text"))
+    return rows.mapInArrow(run, f"id {kind}, text_hash bigint, fp bigint")
 
 
 def close_pairs(a: np.ndarray, b: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
@@ -140,21 +146,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     other and names a component (as null) only where no row has one. An empty table gives no rows. Other columns
     of `docs` are not looked at.
     """
+    return classes(docs, id_col, text_col, shingle=shingle, radius=radius, parts=parts, tile=tile).select(F.col("id").alias(id_col), "fp", "component_id")
+
+
+def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = 3, radius: int = 2, parts: int = 4, tile: int = 2048) -> DataFrame:
+    """(id, text_hash, fp, root, component_id): as near_duplicates, with the fingerprint that names the component."""
     rows = keep(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     nodes = rows.groupBy("fp").agg(F.min("id").alias("lo"))
     star = components(links(nodes.select("fp"), radius, parts, tile))
     rooted = nodes.join(star, nodes.fp == star.node, "left").select("fp", "lo", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("lo").alias("component_id"))
-    named = keep(rooted.join(least, "root").select("fp", "component_id"), "classes")
-    return rows.join(named, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+    named = keep(rooted.join(least, "root").select("fp", "root", "component_id"), "classes")
+    return rows.join(named, "fp").select("id", "text_hash", "fp", "root", "component_id")
 
 
 def hex16(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
-def keep_first(docs: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
-    """One row of `docs` for each component: the one whose id names it. Of repeated rows with that id one stays."""
-    found = near_duplicates(docs.select(id_col, "text"), id_col, **how)
-    kept = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__id")).distinct()
-    return docs.join(kept, F.col(id_col).eqNullSafe(F.col("__id")), "left_semi").dropDuplicates([id_col])
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """One row of `docs` for each component, of the id that names it; of several with that id the one of the least text hash."""
+    found = classes(docs.select(id_col, text_col), id_col, text_col, **how).where(F.col("id").eqNullSafe(F.col("component_id")))
+    kept = found.groupBy("root").agg(F.first("id").alias("__id"), F.min("text_hash").alias("__hash")).drop("root")
+    same = F.col(id_col).eqNullSafe(F.col("__id")) & (_text_hash(text_col) == F.col("__hash"))
+    marked = docs.join(kept, same).withColumn("__k", F.row_number().over(W.partitionBy("__id", "__hash").orderBy(F.lit(0))))
+    return marked.where("__k = 1").select(*docs.columns)
