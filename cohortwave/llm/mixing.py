@@ -9,6 +9,7 @@ from cohortwave.session import keep
 MOST = 3  # copies of a document, and a source's target in units of its size
 BUCKETS = 4096
 SEED = "mix-1"
+CLOSINGS = 3
 BROADCAST_SOURCES = 100_000
 
 
@@ -56,8 +57,8 @@ def mix(
     A row of importance v (1 for all unless given, never negative) is due c = v * target / sum(v * size) copies, `most`
     at most: floor(c) for certain, and one more with probability p = c - floor(c). The sample has a fixed size in words:
     rows are taken by (u / (1 - u)) / (p / (1 - p)), u uniform by a digest of seed, id and size, as long as they fit into
-    what certain copies leave of the target; then one more row of each source, the one that comes nearest to what is
-    left, if that is nearer than none. A source so misses its target by less than its best fitting row.
+    what certain copies leave of the target; then, CLOSINGS times, one more row of each source, the one that comes
+    nearest to what is left, if that is nearer than none. So a source misses its target by half a row at most.
 
     Null texts have size 0 and take part with 0 words. Null sources are one source. Repeated rows are drawn one by one.
     Ranks come from sums over `buckets` pieces of each source's order, so no source passes through one task.
@@ -94,18 +95,19 @@ def mix(
         .select("id", "source", "size", "source_size", "target", "certain", "take", "need", "bucket", "q", "k")
     )
     drawn = keep(drawn, "drawn")
-    left = drawn.groupBy("source").agg((F.first("need") - F.sum(F.col("take") * F.col("size"))).alias("left"))
-    miss = F.abs(F.col("left") - F.col("size"))
-    last = (
-        per_source(drawn.where("take = 0"), _small(left, "left")).where(miss < F.col("left"))
-        .groupBy("source").agg(F.min(F.struct(miss.alias("miss"), "q", "bucket", "k")).alias("x"))
-        .select("source", F.col("x.bucket").alias("b_"), F.col("x.k").alias("k_"), F.lit(1).alias("last"))
-    )
-    last = _small(last, "last").withColumnRenamed("source", "s_")
-    out = drawn.join(last, F.col("source").eqNullSafe(F.col("s_")) & (F.col("bucket") == F.col("b_")) & (F.col("k") == F.col("k_")), "left")
+    for _ in range(CLOSINGS):
+        left = drawn.groupBy("source").agg((F.first("need") - F.sum(F.col("take") * F.col("size"))).alias("left"))
+        miss = F.abs(F.col("left") - F.col("size"))
+        last = (
+            per_source(drawn.where("take = 0"), _small(left, "left")).where(miss < F.col("left"))
+            .groupBy("source").agg(F.min(F.struct(miss.alias("miss"), "q", "bucket", "k")).alias("x"))
+        )
+        last = _small(last.select(F.col("source").alias("s_"), F.col("x.bucket").alias("b_"), F.col("x.k").alias("k_"), F.lit(1).alias("last")), "last")
+        met = drawn.join(last, F.col("source").eqNullSafe(F.col("s_")) & (F.col("bucket") == F.col("b_")) & (F.col("k") == F.col("k_")), "left")
+        drawn = keep(met.withColumn("take", F.col("take") + F.coalesce("last", F.lit(0))).drop("s_", "b_", "k_", "last"), "drawn")
     cols = ["id", "source", "size", "source_size", "target"]
     return (
-        out.select(*cols, (F.col("certain") + F.col("take") + F.coalesce("last", F.lit(0))).alias("copies"))
+        drawn.select(*cols, (F.col("certain") + F.col("take")).alias("copies"))
         .union(ranked.where(~drawable).select(*cols, F.col("certain").alias("copies")))
         .withColumn("copies", F.col("copies").cast("bigint")).withColumnRenamed("id", id_col)
     )
@@ -153,13 +155,13 @@ cum AS (
   SELECT *, target - sum(certain * size) OVER (PARTITION BY source) AS need,
          sum(CASE WHEN q IS NULL THEN 0 ELSE size END) OVER (PARTITION BY source ORDER BY q NULLS FIRST, doc_id NULLS LAST, size ROWS UNBOUNDED PRECEDING) AS run
   FROM odds),
-took AS (SELECT *, (q IS NOT NULL AND run <= need)::INT AS take FROM cum),
-gap AS (SELECT *, need - sum(take * size) OVER (PARTITION BY source) AS gone FROM took),
-near AS (
-  SELECT *, row_number() OVER (PARTITION BY source, (q IS NOT NULL AND take = 0 AND abs(gone - size) < gone)
-                               ORDER BY abs(gone - size), q, doc_id NULLS LAST, size) AS n
-  FROM gap)
-SELECT doc_id, size, source_size, target,
-       (size * (certain + take + (q IS NOT NULL AND take = 0 AND abs(gone - size) < gone AND n = 1)::INT))::BIGINT AS taken
-FROM near
+took0 AS (SELECT *, (q IS NOT NULL AND run <= need)::INT AS take FROM cum)
+"""
+for _k in range(CLOSINGS):
+    SQL += f"""
+, gap{_k} AS (SELECT *, need - sum(take * size) OVER (PARTITION BY source) AS gone FROM took{_k}),
+fits{_k} AS (SELECT *, q IS NOT NULL AND take = 0 AND abs(gone - size) < gone AS fits FROM gap{_k}),
+near{_k} AS (SELECT *, row_number() OVER (PARTITION BY source, fits ORDER BY abs(gone - size), q, doc_id NULLS LAST, size) AS n FROM fits{_k}),
+took{_k + 1} AS (SELECT * EXCLUDE (take, gone, fits, n), take + (fits AND n = 1)::INT AS take FROM near{_k})
 """
+SQL += f"SELECT doc_id, size, source_size, target, (size * (certain + take))::BIGINT AS taken FROM took{CLOSINGS}"
