@@ -1,7 +1,8 @@
 """Ordered computations that stay parallel inside one key.
 
 A plain window puts all rows of a key into one task, so one session holding a third of the
-data would stall the job. Here every key is cut into slices of its order column. Slice totals
+data would stall the job. Here every key is cut into slices of its order column, at cut points
+that hold the number of rows per slice down wherever rows lie (`Cuts`). Slice totals
 are pre-aggregated before any shuffle, a window over the few totals gives each slice the state
 it starts from, and that state enters the slice as one extra leading row. Rows shuffle once,
 by (key, slice).
@@ -9,22 +10,81 @@ by (key, slice).
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Row, Window as W, functions as F
 
 _ROW, _SLICE = "__row", "__slice"
 
 
-def slice_id(t: str | Column, width: float) -> Column:
+#: Sampled rows per slice; sizes then stray from their mean by about 1 / sqrt of it.
+_SAMPLED = 64
+_FAN = 16
+
+
+class Cuts:
+    """Slices of nearly equal row counts: cut points of an order column at counted positions.
+
+    Points are quantiles of a sample of rows, taken with `tie`, the next order column, so that equal values are cut
+    too. The number of slices follows `spark.sql.shuffle.partitions`, so a slice of a key, however large the key and
+    wherever its rows lie, has about a task's share of the table at most. The sample is found once per object, when
+    the first plan asks for it, by a pass over two columns that keeps a bounded number of rows. `scale` serves
+    orders in other units.
+    """
+
+    def __init__(self, df: DataFrame, t: str, tie: str | None = None, slices: int | None = None, scale: float | None = None):
+        self.df, self.t, self.tie, self.scale = df, t, tie, scale
+        self.slices = slices or max(16, 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        self._sample: list[Row] | None = None
+
+    def times(self, scale: float) -> "Cuts":
+        other = Cuts(self.df, self.t, self.tie, self.slices, scale)
+        other._sample = self._sample
+        return other
+
+    def points(self) -> list[tuple]:
+        if self._sample is None:
+            # rows are picked by their place in the files, so that many equal values weigh as much as they are
+            picked = self.df.select(F.col(self.t).alias("t"), (F.col(self.tie) if self.tie else F.lit(0)).alias("o"), F.xxhash64(F.monotonically_increasing_id()).alias("h"))
+            self._sample = sorted(picked.where("t is not null").orderBy("h").limit(_SAMPLED * self.slices).select("t", "o").collect(), key=lambda r: (r.t, r.o is not None, r.o or 0))
+        s = self._sample
+        at = sorted({len(s) * i // self.slices for i in range(1, self.slices)}) if s else []
+        return [(s[i].t * self.scale if self.scale else s[i].t, s[i].o) for i in at]
+
+    def of(self, *order: str | Column) -> Column:
+        """Slice of a row: how many cut points are not above it. Heads of blocks are looked at first."""
+        points = self.points()
+        if not points:
+            return F.lit(0).cast("bigint")
+        cols = [F.col(c) if isinstance(c, str) else c for c in order]
+        tied = self.tie is not None and len(order) > 1 and order[1] == self.tie
+
+        def array(rows: list[tuple]) -> Column:
+            return F.array(*[F.struct(F.lit(t).alias("t"), F.lit(o).alias("o")) if tied else F.lit(t) for t, o in rows])
+
+        here = F.struct(cols[0].alias("t"), cols[1].alias("o")) if tied else cols[0]
+        below = lambda c: F.coalesce(c <= here, F.lit(False))
+        block = F.greatest(F.size(F.filter(array(points[::_FAN]), below)) - 1, F.lit(0))
+        return (block * _FAN + F.size(F.filter(F.slice(array(points), block * _FAN + 1, _FAN), below))).cast("bigint")
+
+    def start(self, slice_no: Column) -> Column:
+        """Where a slice begins; null for the first."""
+        points = self.points()
+        return F.get(F.array(*[F.lit(t) for t, _ in points]), (slice_no - 1).cast("int")) if points else F.lit(None).cast("double")
+
+
+#: Width of equal slices of the order column, or cut points; None finds cut points from the rows themselves.
+Slicing = float | Cuts | None
+
+
+def slice_id(t: str | Column, width: "float | Cuts") -> Column:
+    if isinstance(width, Cuts):
+        return width.of(t)
     return F.floor((F.col(t) if isinstance(t, str) else t) / F.lit(width))
 
 
-def slice_width(df: DataFrame, t: str, rows_per_slice: int = 5_000_000) -> float:
-    """A width of `t` whose slices hold about `rows_per_slice` rows of the whole table, so no
-    (key, slice) can hold more, however many rows one key has. Reads one column once."""
-    n, lo, hi = df.agg(F.count(t), F.min(t).cast("double"), F.max(t).cast("double")).first()
-    slices = max(1, -(-n // rows_per_slice))
-    # slices are cut at multiples of the width, so one slice needs a width beyond the largest value
-    return (hi - lo) / slices if slices > 1 and hi > lo else max(abs(lo or 0.0), abs(hi or 0.0), 0.5) * 2
+def _slices(df: DataFrame, order: Sequence[str], width: Slicing) -> Column:
+    if width is None:
+        width = Cuts(df, order[0], order[1] if len(order) > 1 else None)
+    return width.of(*order) if isinstance(width, Cuts) else slice_id(order[0], width)
 
 
 def _directed(cols: Sequence[str], descending: bool) -> list[Column]:
@@ -36,7 +96,7 @@ def running(
     keys: Sequence[str],
     order: Sequence[str],
     aggs: Mapping[str, tuple[str, Column]],
-    width: float | None = None,
+    width: Slicing = None,
     *,
     slice_by: Column | None = None,
     inclusive: bool = True,
@@ -45,15 +105,15 @@ def running(
     """Add running aggregates over `order` per `keys`.
 
     `aggs` maps an output name to (kind, expression) with kind one of sum, count, min, max and
-    last (latest non-null). `order` must be a total order; `order[0]` is numeric and is sliced by
-    `width` unless `slice_by`, a non-decreasing function of it, is given. `inclusive=False`
+    last (latest non-null). `order` must be a total order and is sliced by `width` (see Slicing)
+    unless `slice_by`, a non-decreasing function of it, is given. `inclusive=False`
     leaves the current row out; `descending` runs from the end.
     """
     kinds = {n: k for n, (k, _) in aggs.items()}
     val = {n: f"__v_{n}" for n in aggs}
     rows = df.withColumns(
         {
-            _SLICE: slice_by if slice_by is not None else slice_id(order[0], width),
+            _SLICE: slice_by if slice_by is not None else _slices(df, order, width),
             **{
                 val[n]: F.when(e.isNotNull(), F.lit(1)).cast("bigint") if k == "count" else e
                 for n, (k, e) in aggs.items()
@@ -91,15 +151,15 @@ def running(
     )
 
 
-def rolling_mean(df: DataFrame, keys: Sequence[str], t: str, span: float, value: Column, out: str, width: float) -> DataFrame:
+def rolling_mean(df: DataFrame, keys: Sequence[str], t: str, span: float, value: Column, out: str, width: Slicing = None) -> DataFrame:
     """Mean of `value` over rows with `now - t <= span`, rows of the same time included.
 
     Each row enters the sum at `t` and leaves it after `t + span`, so the mean is one running sum
     over that line. Unlike a sliding frame it does not re-add a window per row, however dense the
-    key. Integers are summed as such, other values as decimals, so nothing is left behind.
+    key. Integers are summed as such, other values as decimals of 18 places, so nothing is left behind.
     """
     whole = dict(df.select(value.alias("v")).dtypes)["v"] in ("int", "bigint", "smallint", "tinyint", "boolean")
-    v = value.cast("int").cast("bigint") if whole else value.cast("decimal(28,9)")
+    v = value.cast("int").cast("bigint") if whole else value.cast("decimal(38,18)")
     n, none = F.when(v.isNotNull(), F.lit(1)).otherwise(0), F.lit(None)
     at = F.col(t)
     # at one time: rows enter, then the points are read, then rows leave
@@ -113,13 +173,13 @@ def rolling_mean(df: DataFrame, keys: Sequence[str], t: str, span: float, value:
     return sums.select("__p.*", F.when(F.col("__c") > 0, F.col("__s").cast("double") / F.col("__c")).alias(out))
 
 
-def clamped_cumsum(df: DataFrame, keys: Sequence[str], order: Sequence[str], delta: Column, out: str, width: float) -> DataFrame:
+def clamped_cumsum(df: DataFrame, keys: Sequence[str], order: Sequence[str], delta: Column, out: str, width: Slicing = None) -> DataFrame:
     """Running sum that is floored at 0 after every step.
 
     Equals `P - min(0, min P)` with P the plain running sum; the pair (sum, lowest prefix) of a
     slice combines with that of the slices before it.
     """
-    rows = df.withColumns({_SLICE: slice_id(order[0], width), "__d": delta})
+    rows = df.withColumns({_SLICE: _slices(df, order, width), "__d": delta})
     local = W.partitionBy(*keys, _SLICE).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     totals = (
         rows.select(*keys, _SLICE, "__d", F.sum("__d").over(local).alias("__p"))
@@ -147,19 +207,27 @@ def clamped_cumsum(df: DataFrame, keys: Sequence[str], order: Sequence[str], del
     )
 
 
-def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, *, width: float | None = None, slice_by: Column | None = None) -> DataFrame:
+def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, *, width: Slicing = None, slice_by: Column | None = None) -> DataFrame:
     """1-based row number per key (a running count, so a large key stays split)."""
     return running(df, keys, order, {out: ("count", F.lit(1))}, width, slice_by=slice_by)
 
 
+DIGEST_BITS = 60
+
+
+def digest(seed: int, *cols: str | Column) -> Column:
+    """A number of 60 bits from the MD5 of `seed|a|b|...`, the same in every engine."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[(F.col(c) if isinstance(c, str) else c).cast("string") for c in cols])
+    return F.conv(F.substring(F.md5(text), 1, DIGEST_BITS // 4), 16, 10).cast("bigint")
+
+
 def by_hash(df: DataFrame, keys: Sequence[str], ident: Sequence[str], seed: int, out: str, where_group: Sequence[str] = ()) -> DataFrame:
     """1-based position in a seeded pseudo-random order per key.
 
-    The order is that of a 64-bit hash, whose top bits slice each key evenly.
+    The order is that of a digest, whose top bits slice each key evenly.
     """
-    h = F.xxhash64(F.lit(seed), *[F.col(c) for c in (*where_group, *ident)])
-    rows = df.withColumn("__h", h)
-    return numbered(rows, keys, ["__h", *ident], out, slice_by=F.shiftright("__h", 54)).drop("__h")
+    rows = df.withColumn("__h", digest(seed, *where_group, *ident))
+    return numbered(rows, keys, ["__h", *ident], out, slice_by=F.shiftright("__h", DIGEST_BITS - 10)).drop("__h")
 
 
 def asof_join(
@@ -169,7 +237,7 @@ def asof_join(
     t_point: str,
     t_fact: str,
     values: Sequence[str],
-    width: float,
+    width: Slicing = None,
     *,
     tie: str | None = None,
     tolerance: float | None = None,
@@ -234,7 +302,7 @@ def range_join(
     return p.join(i, on & inside, how).drop("__pb", "__b", *[f"__i_{k}" for k in keys])
 
 
-def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str, width: float) -> DataFrame:
+def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str, width: Slicing = None) -> DataFrame:
     """Exact median per key: values are counted first, then ranked by running counts per value slice."""
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("__n"))
     cum = running(counts, keys, [value], {"__cum": ("sum", F.col("__n"))}, width)

@@ -68,15 +68,24 @@ def operand_mix(audited: DataFrame, keys: Sequence[str], target: float | None =
     )
 
 
+#: Tasks whose rows come from the shell's page, which keeps one clock through a session.
+SHELL_TASKS = ("preparation", "familiarization", "debrief")
+
+
+def clock_key(task: Column, run_ordinal: Column) -> tuple[Column, Column]:
+    """(task, run) of the browser clock that stamped a row: the shell's pages share one, every run has its own."""
+    shell = task.isin(*SHELL_TASKS)
+    return F.when(shell, "shell").otherwise(task), F.when(shell, F.lit(0)).otherwise(run_ordinal)
+
+
 def client_to_host(ev: DataFrame, fit: DataFrame, client_ms: str = "client_ms", fallback: str = "timestamp_monotonic", keys: Sequence[str] = RUN) -> DataFrame:
     """browser time on the host's monotonic clock; the receipt time where no fit exists."""
-    f = fit.select(*keys, "slope", "intercept")
+    f = fit.select(*[F.col(k).alias(f"__f_{k}") for k in keys], "slope", "intercept")
+    clock = dict(zip(("task", "run_ordinal"), clock_key(F.col("task"), F.col("run_ordinal")))) if {"task", "run_ordinal"} <= set(keys) else {}
+    rows = ev.withColumns({f"__k_{k}": clock.get(k, F.col(k)) for k in keys})
+    on = [F.col(f"__k_{k}") == F.col(f"__f_{k}") for k in keys]
     mapped = F.col("slope") * F.col(client_ms) + F.col("intercept")
-    return (
-        ev.join(f, list(keys), "left")
-        .withColumns({"host_t": F.coalesce(mapped, F.col(fallback)), "clock_fitted": mapped.isNotNull()})
-        .drop("slope", "intercept")
-    )
+    return rows.join(f, on, "left").withColumns({"host_t": F.coalesce(mapped, F.col(fallback)), "clock_fitted": mapped.isNotNull()}).select(*ev.columns, "host_t", "clock_fitted")
 
 
 def stai6_score(score=lambda item: F.col(item)) -> Column:

@@ -4,7 +4,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cohortwave.functions.ordered import asof_join, numbered, range_join, running
+from cohortwave.functions.ordered import Slicing, asof_join, numbered, range_join, running
 from cohortwave.schema import BLOCK, HOST, MONO, ORDER, RUN, TRIAL, field
 
 
@@ -22,7 +22,7 @@ def pair_events(
     *,
     start_cols: dict[str, Column] | None = None,
     end_cols: dict[str, Column] | None = None,
-    width: float = 600.0,
+    width: Slicing = None,
     run_end: DataFrame | None = None,
     run_keys: Sequence[str] = RUN,
     closed_only: bool = False,
@@ -61,7 +61,7 @@ def pair_events(
     )
 
 
-def pair_blocks(ev: DataFrame, width: float = 600.0, closed_only: bool = False) -> DataFrame:
+def pair_blocks(ev: DataFrame, width: Slicing = None, closed_only: bool = False) -> DataFrame:
     """Blocks as intervals; pause blocks without an index pair in order within their condition."""
     return pair_events(
         ev, "block_start", "block_end", [*BLOCK, "condition_label"],
@@ -79,7 +79,7 @@ def pair_blocks(ev: DataFrame, width: float = 600.0, closed_only: bool = False)
     )
 
 
-def pair_baselines(ev: DataFrame, width: float = 600.0, closed_only: bool = False) -> DataFrame:
+def pair_baselines(ev: DataFrame, width: Slicing = None, closed_only: bool = False) -> DataFrame:
     """Baselines by block and position, planned next to real length."""
     at = ev.where(F.col("event_type").isin("baseline_start", "baseline_end")).withColumns(
         {"position": field("position", "string"), "planned_sec": field("duration_sec", "double")}
@@ -123,7 +123,7 @@ def pair_obstacles(spawns: DataFrame, outcomes: DataFrame, keys: Sequence[str] =
     return spawns.join(outcomes, list(keys))
 
 
-def attach_block(points: DataFrame, blocks: DataFrame, t: str = MONO, keys: Sequence[str] = RUN, width: float = 600.0) -> DataFrame:
+def attach_block(points: DataFrame, blocks: DataFrame, t: str = MONO, keys: Sequence[str] = RUN, width: Slicing = None) -> DataFrame:
     """The enclosing block of points that carry no block index.
 
     Blocks of a run do not nest, so the latest block start decides and its end is then checked;
@@ -252,7 +252,7 @@ def align_samples(samples: DataFrame, sync: DataFrame, recordings: DataFrame | N
     return samples.join(offset, "recording_id").withColumn("wall", F.col("__sync") + F.col("rel_sec")).drop("__sync")
 
 
-def align_samples_multi(samples: DataFrame, sync: DataFrame, keys: Sequence[str] = ("session_id", "device_id"), width: float = 3600.0) -> DataFrame:
+def align_samples_multi(samples: DataFrame, sync: DataFrame, keys: Sequence[str] = ("session_id", "device_id"), width: Slicing = None) -> DataFrame:
     """Offset interpolated between sync records that carry a device counter; end slopes extended.
 
     Each record is turned into the line that starts at it, so a sample needs one as-of record.
@@ -285,18 +285,18 @@ def label_samples(samples: DataFrame, intervals: DataFrame, keys: Sequence[str]
     return range_join(samples, i, keys, "wall", "t0", "t1", bucket, how="left" if keep_unlabelled else "inner").drop("t0", "t1")
 
 
-def asof_state(points: DataFrame, ticks: DataFrame, values: Sequence[str], keys: Sequence[str] = RUN, t_point: str = "t", t_tick: str = "t", tie: str | None = None, tolerance: float | None = None, width: float = 600.0) -> DataFrame:
+def asof_state(points: DataFrame, ticks: DataFrame, values: Sequence[str], keys: Sequence[str] = RUN, t_point: str = "t", t_tick: str = "t", tie: str | None = None, tolerance: float | None = None, width: Slicing = None) -> DataFrame:
     """The latest state tick at or before a point."""
     return asof_join(points, ticks, keys, t_point, t_tick, values, width, tie=tie, tolerance=tolerance)
 
 
-def asof_baseline(blocks: DataFrame, baselines: DataFrame, keys: Sequence[str] = RUN, width: float = 600.0) -> DataFrame:
+def asof_baseline(blocks: DataFrame, baselines: DataFrame, keys: Sequence[str] = RUN, width: Slicing = None) -> DataFrame:
     """The last baseline of the run that ended before the block began."""
     b = baselines.select(*keys, F.col("t0").alias("baseline_t0"), F.col("t1").alias("baseline_t1"))
     return asof_join(blocks, b, keys, "t0", "baseline_t1", ["baseline_t0", "baseline_t1"], width)
 
 
-def link_followup_session(sessions: DataFrame, width: float = 86400.0 * 30, follow_task: str = "sart") -> DataFrame:
+def link_followup_session(sessions: DataFrame, width: Slicing = None, follow_task: str = "sart") -> DataFrame:
     """Each completed main session with the participant's next follow-up session, if any."""
     main = sessions.where("session_task IS NULL AND status = 'completed'").select("participant_id", "session_id", "start_unix")
     follow = sessions.where(F.col("session_task") == follow_task).select(
@@ -305,7 +305,7 @@ def link_followup_session(sessions: DataFrame, width: float = 86400.0 * 30, foll
     return asof_join(main, follow, ["participant_id"], "start_unix", "followup_unix", ["followup_session_id", "followup_unix"], width, forward=True)
 
 
-def mask_invalid(rows: DataFrame, bad: DataFrame, keys: Sequence[str] = RUN, pad: float = 0.0, t0: str = "t0", t1: str = "t1", width: float = 600.0) -> DataFrame:
+def mask_invalid(rows: DataFrame, bad: DataFrame, keys: Sequence[str] = RUN, pad: float = 0.0, t0: str = "t0", t1: str = "t1", width: Slicing = None) -> DataFrame:
     """Flag rows that overlap a bad span (`t0`, `t1`) widened by `pad`.
 
     A row overlaps some span exactly when the furthest end among spans that begin by the row's

@@ -4,8 +4,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from cohortwave.functions.ordered import range_join, running
-from cohortwave.operators.joins import label_samples
+from cohortwave.functions.ordered import Slicing, digest, range_join, running
+from cohortwave.operators.joins import align_samples, align_samples_multi
 from cohortwave.sources.writers import write_dataset
 
 
@@ -21,7 +21,7 @@ def labelled_intervals(*sources: tuple[str, DataFrame], keys: Sequence[str] = ("
     return out
 
 
-def overlapping_intervals(intervals: DataFrame, keys: Sequence[str] = ("session_id",), width: float = 3600.0, order: Sequence[str] = ("t0", "t1")) -> DataFrame:
+def overlapping_intervals(intervals: DataFrame, keys: Sequence[str] = ("session_id",), width: Slicing = None, order: Sequence[str] = ("t0", "t1")) -> DataFrame:
     """L1: intervals that begin before an earlier one of the session has ended; must be empty."""
     r = running(intervals, keys, list(order), {"__end": ("max", F.col("t1"))}, width, inclusive=False)
     return r.where(F.col("t0") < F.col("__end")).drop("__end")
@@ -58,10 +58,15 @@ def slice_samples(samples: DataFrame, intervals: DataFrame, length: float, hop:
     )
 
 
-def completeness(sliced: DataFrame, rate_hz: float, length: float, keys: Sequence[str] = ("session_id", "device_id", "t0", "window_no"), threshold: float = 0.95) -> DataFrame:
-    """L4: samples found against the nominal number; windows below the threshold are rejected."""
+def completeness(sliced: DataFrame, windows: DataFrame, rate_hz: float, length: float, keys: Sequence[str] = ("session_id", "device_id", "t0", "window_no"), threshold: float = 0.95) -> DataFrame:
+    """L4: samples found against the nominal number; windows below the threshold are rejected.
+
+    `windows` lists what was planned (fixed windows, for each device expected), so a window that no sample fell
+    into is there with 0.
+    """
     want = rate_hz * length
-    return sliced.groupBy(*keys).agg(F.count("*").alias("found")).withColumns(
+    found = sliced.groupBy(*keys).agg(F.count("*").alias("found"))
+    return windows.select(*keys).join(found, list(keys), "left").withColumn("found", F.coalesce("found", F.lit(0))).withColumns(
         {"completeness": F.col("found") / F.lit(want), "accepted": F.col("found") / F.lit(want) >= threshold}
     )
 
@@ -77,7 +82,7 @@ def baseline_correct(features: DataFrame, baseline: DataFrame, on: Sequence[str]
 def participant_split(df: DataFrame, who: str = "participant_id", shares: dict[str, int] | None = None, seed: int = 0) -> DataFrame:
     """Split by a hash of the participant, so nobody is on two sides. Shares are percentages."""
     shares = shares or {"train": 80, "valid": 10, "test": 10}
-    slot, upper, out = F.pmod(F.xxhash64(F.lit(seed), F.col(who)), F.lit(100)), 0, None
+    slot, upper, out = F.pmod(digest(seed, who), F.lit(100)), 0, None
     for name, share in shares.items():
         upper += share
         out = F.when(slot < upper, name) if out is None else out.when(slot < upper, name)
@@ -89,14 +94,20 @@ def export_dataset(windows: DataFrame, path: str, who: str = "participant_id", s
     write_dataset(participant_split(windows, who, shares, seed), path, ["split", who])
 
 
-def label_recordings(samples: DataFrame, sync: DataFrame, intervals: DataFrame, length: float, hop: float, bucket: float = 60.0) -> DataFrame:
-    """Raw recordings to labelled windows: J14, then L3."""
-    from cohortwave.operators.joins import align_samples
+def without_overlaps(intervals: DataFrame, keys: Sequence[str] = ("session_id",), width: Slicing = None) -> DataFrame:
+    """L1: the same intervals; the job fails on one that begins before an earlier one of the session has ended."""
+    r = running(intervals, keys, ["t0", "t1"], {"__end": ("max", F.col("t1"))}, width, inclusive=False)
+    message = F.concat(F.lit("labels overlap at "), F.concat_ws("/", *[F.col(k).cast("string") for k in keys], F.col("t0").cast("string")))
+    # a filter, as a column might not be asked for
+    return r.where(F.when(F.col("t0") < F.col("__end"), F.raise_error(message).cast("boolean")).otherwise(F.lit(True))).drop("__end")
 
-    return slice_samples(align_samples(samples, sync), intervals, length, hop, bucket=bucket)
 
+def label_recordings(
+    samples: DataFrame, sync: DataFrame, intervals: DataFrame, length: float, hop: float, bucket: float = 60.0, *, recordings: DataFrame | None = None, drift: bool = False, width: Slicing = None
+) -> DataFrame:
+    """Raw recordings to labelled windows: J14 (with `recordings`, the sync at or before each start) or, with `drift`, J15, then L3.
 
-__all__ = [
-    "baseline_correct", "completeness", "export_dataset", "fixed_windows", "label_recordings", "label_samples", "labelled_intervals", "overlapping_intervals",
-    "participant_split", "slice_samples",
-]
+    Overlapping labels are an error.
+    """
+    wall = align_samples_multi(samples, sync, width=width) if drift else align_samples(samples, sync, recordings)
+    return slice_samples(wall, without_overlaps(intervals), length, hop, bucket=bucket)

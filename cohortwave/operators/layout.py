@@ -4,7 +4,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from cohortwave.functions.ordered import by_hash, numbered
+from cohortwave.functions.ordered import Slicing, by_hash, digest, numbered
 from cohortwave.operators.joins import fixed_selection
 from cohortwave.operators.windows import chunk_of
 
@@ -27,7 +27,7 @@ def shortest_k(clips: DataFrame, k: int, group: str = "valence_group", duration:
 
 def seeded_sample(pool: DataFrame, n: int | Mapping[str, int], seed: int, who: str = "participant_id", group: str = "valence_group", ident: str = "clip_id") -> DataFrame:
     """`n` items per participant and group in hash order; the same seed gives the same sample."""
-    h = F.xxhash64(F.lit(seed), F.col(who), F.col(ident))
+    h = digest(seed, who, ident)
     k = max(n.values()) if isinstance(n, Mapping) else n
     out = _first_k(pool, [who, group], [h, F.col(ident)], k, "draw")
     if isinstance(n, Mapping):
@@ -44,7 +44,7 @@ def interleaved_blocks(selected: DataFrame, num_blocks: int, seed: int, who: str
     return by_hash(placed.drop("__i"), [who, "block"], [ident], seed + 1, "position", [who])
 
 
-def interleave_in_order(selected: DataFrame, order: Sequence[str], num_blocks: int, keys: Sequence[str], group_index: str, width: float) -> DataFrame:
+def interleave_in_order(selected: DataFrame, order: Sequence[str], num_blocks: int, keys: Sequence[str], group_index: str, width: Slicing = None) -> DataFrame:
     """T4's placement rule on an order that is given instead of drawn."""
     n = numbered(selected, keys, order, "__i", width=width)
     return n.withColumn("block", F.pmod(F.col("__i") - 1 + F.col(group_index), F.lit(num_blocks)).cast("int")).drop("__i")
@@ -56,7 +56,7 @@ def grouped_blocks(selected: DataFrame, seed: int, who: str = "participant_id",
     return by_hash(selected.join(order, [who, group]), [who, "block"], [ident], seed + 1, "position", [who])
 
 
-def chunk_evenly(items: DataFrame, k: int, keys: Sequence[str], order: Sequence[str], width: float) -> DataFrame:
+def chunk_evenly(items: DataFrame, k: int, keys: Sequence[str], order: Sequence[str], width: Slicing = None) -> DataFrame:
     """`k` chunks in order, the first `n mod k` of them one larger (the rule of ntile, on split keys)."""
     n = numbered(items, keys, order, "__pos", width=width)
     size = items.groupBy(*keys).agg(F.count("*").alias("__n"))
@@ -77,8 +77,8 @@ def stroop_stimuli(participants: DataFrame, colors: Sequence[str], n_trials: int
     rows = participants.select(*keys, F.explode(F.sequence(F.lit(0), F.lit(n_trials - 1))).alias("__k")).withColumn("congruent", F.col("__k") < n_con)
     out = by_hash(rows, keys, ["__k"], seed, "trial_index", keys).withColumn("trial_index", (F.col("trial_index") - 1).cast("int"))
     palette = F.array(*[F.lit(c) for c in colors])
-    ink = F.pmod(F.xxhash64(F.lit(seed + 1), *keys, "__k"), F.lit(len(colors)))
-    step = F.when(F.col("congruent"), F.lit(0)).otherwise(F.pmod(F.xxhash64(F.lit(seed + 2), *keys, "__k"), F.lit(len(colors) - 1)) + 1)
+    ink = F.pmod(digest(seed + 1, *keys, "__k"), F.lit(len(colors)))
+    step = F.when(F.col("congruent"), F.lit(0)).otherwise(F.pmod(digest(seed + 2, *keys, "__k"), F.lit(len(colors) - 1)) + 1)
     return (
         out.withColumns({"__ink": ink, "__word": F.pmod(ink + step, F.lit(len(colors)))})
         .withColumns({"ink_color": F.get(palette, F.col("__ink").cast("int")), "word": F.get(palette, F.col("__word").cast("int"))})
@@ -106,7 +106,7 @@ def sart_table(participants: DataFrame, font_sizes: Sequence[float], reps: int,
         omits = F.array(*[F.lit(k) for k in sorted(set(omit_numbers))])
     else:
         # nine numbers sorted by their hash: a fixed-size array, computed in the row
-        ranked = F.array_sort(F.array(*[F.struct(F.xxhash64(F.lit(seed + 1), F.col(who), F.lit(k)).alias("h"), F.lit(k).alias("k")) for k in range(1, 10)]))
+        ranked = F.array_sort(F.array(*[F.struct(digest(seed + 1, who, F.lit(k)).alias("h"), F.lit(k).alias("k")) for k in range(1, 10)]))
         omits = F.array_sort(F.slice(F.transform(ranked, lambda x: x["k"]), 1, omit_count))
     return placed.select(
         who, "rep", (F.col("rep") * 9 * len(font_sizes) + F.col("__pos") - 1).cast("int").alias("trial_index"), "number", "font_size",
@@ -114,12 +114,13 @@ def sart_table(participants: DataFrame, font_sizes: Sequence[float], reps: int,
     ).withColumn("is_omit", F.array_contains("omit_numbers", F.col("number")))
 
 
-def clip_schedule(participants: DataFrame, clips: DataFrame, per_group: Mapping[str, int], seed: int, *, num_blocks: int = 3, structure: str = "interleaved", fixed: DataFrame | None = None, who: str = "participant_id") -> DataFrame:
+def clip_schedule(participants: DataFrame, clips: DataFrame, per_group: Mapping[str, int], seed: int, *, num_blocks: int = 3, structure: str = "interleaved", fixed: DataFrame | None = None, groups: Sequence[str] | None = None, who: str = "participant_id") -> DataFrame:
     """Clip order for a whole cohort. Participants fan out by group and meet each group's clips.
 
-    Fixed lists are cut before that join, so it yields only clips that are shown.
+    `groups` gives the order of groups, which rotates their clips over blocks (else that of `per_group`). Fixed lists
+    are cut before the join, so it yields only clips that are shown.
     """
-    groups = F.posexplode(F.array(*[F.lit(g) for g in per_group]))
+    groups = F.posexplode(F.array(*[F.lit(g) for g in (groups or per_group)]))
     wants = participants.select(who, groups.alias("group_index", "valence_group"))
     pool = clips
     if fixed is not None:
@@ -134,9 +135,11 @@ def clip_schedule(participants: DataFrame, clips: DataFrame, per_group: Mapping[
 def cohort_schedule(participants: DataFrame, clips: DataFrame, config: Mapping, seed: int, fixed: DataFrame | None = None, who: str = "participant_id") -> dict[str, DataFrame]:
     """Every pre-generated order of a cohort, from the protocol configuration."""
     emo, att, sart = config["emotion_task"], config["attention_focus_task"], config["sart_task"]
+    groups, per = list(emo["valence_groups"]), emo["clips_per_group"]  # one number serves all groups
+    per_group = {g: per if isinstance(per, int) else per.get(g, 0) for g in groups}
     return {
         "clips": clip_schedule(
-            participants, clips, emo["clips_per_group"], seed, num_blocks=emo.get("num_blocks", 3), structure=emo.get("block_structure", "interleaved"),
+            participants, clips, per_group, seed, num_blocks=emo.get("num_blocks", len(groups)), structure=emo.get("block_structure", "grouped_by_valence"), groups=groups,
             fixed=fixed if emo.get("clip_selection_mode") == "fixed" else None, who=who,
         ),
         "slots": slot_order(participants, ["schulte", "stroop"], att["trials_per_game"], seed + 100, who),

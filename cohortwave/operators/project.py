@@ -4,7 +4,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cohortwave.functions.ordered import running
+from cohortwave.functions.ordered import Slicing, running
 from cohortwave.schema import HOST, MONO, ORDER, PAY, PRACTICE_TASK, RUN, field
 
 
@@ -74,7 +74,7 @@ def parse_session_id(df: DataFrame) -> DataFrame:
     )
 
 
-def assign_run_ordinal(ev: DataFrame, width: float = 600.0, checkpoint_label: Column | None = None, position: Column | None = None) -> DataFrame:
+def assign_run_ordinal(ev: DataFrame, width: Slicing = None, checkpoint_label: Column | None = None, position: Column | None = None) -> DataFrame:
     """Running number of process runs per (session, task).
 
     A run opens at a `session_start_0` checkpoint, or at a `task_start` that no such checkpoint

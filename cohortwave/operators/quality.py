@@ -6,23 +6,23 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from cohortwave.functions.ordered import exact_median, running, slice_id
+from cohortwave.functions.ordered import Cuts, Slicing, exact_median, running, slice_id
 from cohortwave.functions.sorted_batches import groups, packed, repeat_keys
 from cohortwave.operators.joins import mask_invalid, pair_events
 from cohortwave.schema import BLOCK, HOST, MONO, ORDER, RUN, TRIAL
 
 
-def focus_loss_intervals(ev: DataFrame, keys: Sequence[str] = RUN, width: float = 600.0) -> DataFrame:
+def focus_loss_intervals(ev: DataFrame, keys: Sequence[str] = RUN, width: Slicing = None) -> DataFrame:
     """Q1: from focus lost to the next regained; an open span ends with the run."""
     return pair_events(ev, "focus_lost", "focus_regained", keys, width=width, run_keys=keys)
 
 
-def frame_drop_flags(trials: DataFrame, drops: DataFrame, pad: float, keys: Sequence[str] = RUN, t: str = "t", width: float = 600.0) -> DataFrame:
+def frame_drop_flags(trials: DataFrame, drops: DataFrame, pad: float, keys: Sequence[str] = RUN, t: str = "t", width: Slicing = None) -> DataFrame:
     """Q2: trials with a frame drop inside `[t0 - pad, t1 + pad]`."""
     return mask_invalid(trials, drops.select(*keys, F.col(t).alias("t0"), F.col(t).alias("t1")), keys, pad, width=width)
 
 
-def debounce(events: DataFrame, keys: Sequence[str], t: str, min_gap: float, *, qualifies: Column | None = None, tie: str = "event_seq", width: float | None = None) -> DataFrame:
+def debounce(events: DataFrame, keys: Sequence[str], t: str, min_gap: float, *, qualifies: Column | None = None, tie: str = "event_seq", width: Slicing = None) -> DataFrame:
     """Q3: keep a qualifying event only if more than `min_gap` after the last kept one.
 
     The rule is sequential, but a slice of time acts on the last kept time as a step function with
@@ -31,12 +31,12 @@ def debounce(events: DataFrame, keys: Sequence[str], t: str, min_gap: float, *,
     Spark partitions and sorts; the tasks only walk sorted arrays. Returns keys, `t` and `tie` of
     the kept events.
     """
-    width = width or 200 * min_gap
-    if width < min_gap:
-        raise ValueError("a slice must not be shorter than min_gap")
     keys = list(keys)
     q = events if qualifies is None else events.where(qualifies)
+    width = Cuts(q, t) if width is None else width
     rows = q.select(*keys, slice_id(t, width).alias("__s"), F.col(t).cast("double").alias("__t"), F.col(tie).cast("bigint").alias("__tie"))
+    begin = width.start(F.col("__s")).cast("double") if isinstance(width, Cuts) else F.col("__s") * F.lit(float(width))
+    begun = rows.withColumn("__b", F.coalesce(begin, F.lit(float("-inf"))))  # all rows of a slice come at or after it
     fields = {f.name: f for f in rows.schema.fields}
     part = [*keys, "__s"]
     step_schema = T.StructType([*[fields[k] for k in part], T.StructField("first", T.DoubleType()), T.StructField("kept", T.DoubleType())])
@@ -51,7 +51,7 @@ def debounce(events: DataFrame, keys: Sequence[str], t: str, min_gap: float, *,
             if nxt[i] < len(ts):
                 last[i] = last[nxt[i]]
         # events that can come first here: those up to min_gap after the slice began, and the one after
-        reach = min(int(np.searchsorted(ts, tbl.column("__s")[0].as_py() * width + min_gap, side="right")), len(ts) - 1)
+        reach = min(int(np.searchsorted(ts, tbl.column("__b")[0].as_py() + min_gap, side="right")), len(ts) - 1)
         firsts, kept = ts[: reach + 1], ts[last[: reach + 1]]
         new = np.append(kept[1:] != kept[:-1], True)  # one step per distinct result, at its highest entry
         return pa.Table.from_arrays([*repeat_keys(tbl, part, int(new.sum())), pa.array(firsts[new]), pa.array(kept[new])], names=step_schema.names)
@@ -81,7 +81,7 @@ def debounce(events: DataFrame, keys: Sequence[str], t: str, min_gap: float, *,
 
     steps = lambda batches: packed(slice_steps(g) for g in groups(batches, part))
     replay = lambda batches: packed(slice_kept(g) for g in groups(batches, part))
-    table = rows.repartition(*part).sortWithinPartitions(*part, "__t").mapInArrow(steps, step_schema)
+    table = begun.repartition(*part).sortWithinPartitions(*part, "__t").mapInArrow(steps, step_schema)
     starts = table.repartition(*keys).sortWithinPartitions(*part, "first").mapInArrow(chain, start_schema)
     line = rows.unionByName(starts, allowMissingColumns=True)  # the start row has no time, so it sorts first
     kept = line.repartition(*part).sortWithinPartitions(*part, "__t", "__tie").mapInArrow(replay, out_schema)
@@ -118,7 +118,7 @@ def single_lane_double(obstacles: DataFrame, block: Sequence[str] = BLOCK) -> Da
     return obstacles.groupBy(*block, "wave", "lane").agg(F.count("*").alias("n")).where("n > 1")
 
 
-def safe_lane_invariant(obstacles: DataFrame, n_lanes: int, keys: Sequence[str] = RUN, width_ms: float = 600_000.0) -> DataFrame:
+def safe_lane_invariant(obstacles: DataFrame, n_lanes: int, keys: Sequence[str] = RUN, width_ms: Slicing = None) -> DataFrame:
     """Q8: spawns after which every lane held a live hazard (the new one included).
 
     A hazard adds to its lane at the spawn and is taken off at the resolution; running counts per
@@ -135,7 +135,7 @@ def safe_lane_invariant(obstacles: DataFrame, n_lanes: int, keys: Sequence[str]
     return live.select(*[c for c in cols if c != "lane"], blocked.alias("blocked")).where("blocked >= lanes")
 
 
-def unit_outliers(meta: DataFrame, col: str, keys: Sequence[str], width: float, ratio: float = 0.1) -> DataFrame:
+def unit_outliers(meta: DataFrame, col: str, keys: Sequence[str], width: Slicing = None, ratio: float = 0.1) -> DataFrame:
     """Q9: rows whose score is below `ratio` times the group's median, so likely in another unit."""
     med = exact_median(meta, keys, col, "group_median", width)
     return meta.join(med, list(keys)).where(F.col(col) < F.col("group_median") * ratio)
@@ -164,7 +164,7 @@ def incomplete_rows(ev: DataFrame) -> DataFrame:
     return ev.where(F.col(HOST).isNull() | F.col(MONO).isNull() | F.col("session_id").isNull() | F.col("event_type").isNull())
 
 
-def clock_step(ev: DataFrame, keys: Sequence[str] = ("session_id",), order: Sequence[str] = ORDER, host: str = HOST, mono: str = MONO, tolerance: float = 0.05, width: float = 600.0) -> DataFrame:
+def clock_step(ev: DataFrame, keys: Sequence[str] = ("session_id",), order: Sequence[str] = ORDER, host: str = HOST, mono: str = MONO, tolerance: float = 0.05, width: Slicing = None) -> DataFrame:
     """Q12: gap to the previous event on both clocks; `jump` is how far the wall clock moved against the monotonic one."""
     r = running(ev, keys, order, {"__prev": ("last", F.struct(F.col(host).alias("h"), F.col(mono).alias("m")))}, width, inclusive=False)
     gap_m, gap_h = F.col(mono) - F.col("__prev.m"), F.col(host) - F.col("__prev.h")

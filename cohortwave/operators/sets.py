@@ -20,14 +20,16 @@ def distinct_conditions(trials: DataFrame, keys: Sequence[str], label: str = "va
 
 def latest_answers(answers: DataFrame, order: Column, item: str = "item_id", value: str = "value", session: str = "session_id", rules: DataFrame | None = None) -> DataFrame:
     """Last answer per session and item. `rules` (item_id, enabled, parent, equals) come from the
-    questionnaire: disabled items go, and a conditional one goes when its parent's last answer differs."""
+    questionnaire: disabled items go, and a conditional one goes when its parent's last answer differs.
+    Rules that name a session hold for that session only, others for all."""
     last = answers.groupBy(session, item).agg(F.max_by(value, order).alias(value))
     if rules is None:
         return last
-    r = rules.select(F.col("item_id").alias(item), "enabled", "parent", "equals")
+    own = [session] if session in rules.columns else []
+    r = rules.select(*own, F.col("item_id").alias(item), "enabled", "parent", "equals")
     up = last.select(session, F.col(item).alias("parent"), F.col(value).alias("__parent_value"))
     return (
-        last.join(r, item, "left")
+        last.join(r, [*own, item], "left")
         .join(up, [session, "parent"], "left")
         .where(F.coalesce("enabled", F.lit(True)) & (F.col("parent").isNull() | F.coalesce(F.col("__parent_value") == F.col("equals"), F.lit(False))))
         .select(session, item, value)

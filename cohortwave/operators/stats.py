@@ -7,7 +7,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cohortwave.functions.ordered import exact_median
+from cohortwave.functions.ordered import Slicing, exact_median
+from cohortwave.functions.scalars import clock_key
 from cohortwave.schema import BLOCK, DURATION_TOLERANCE_SEC, HOST, MIN_HEIGHT, MONO, RUN, field
 
 
@@ -78,7 +79,7 @@ def sart_stats(trials: DataFrame, keys: Sequence[str] = RUN, rt: str = "rt_sec")
     )
 
 
-def highway_block_stats(obstacles: DataFrame, keys: Sequence[str] = BLOCK, width: float = 0.05) -> DataFrame:
+def highway_block_stats(obstacles: DataFrame, keys: Sequence[str] = BLOCK, width: Slicing = None) -> DataFrame:
     """Outcomes per block or tier; silent resolutions count. The median margin is exact."""
     hit = F.col("outcome") == "collision"
     counts = obstacles.groupBy(*keys).agg(
@@ -212,11 +213,9 @@ def tier_band_check(trials: DataFrame, bands: DataFrame, tier: str = "tier") ->
 
 def clock_points(ev: DataFrame) -> DataFrame:
     """Checkpoints as (client midpoint, host counter); the shell's two labels share one clock."""
-    shell = F.col("task").isin("preparation", "debrief")
+    task, ordinal = clock_key(F.col("task"), F.col("run_ordinal"))
     return ev.where("event_type = 'sync_checkpoint'").select(
-        "session_id",
-        F.when(shell, "shell").otherwise(F.col("task")).alias("task"),
-        F.when(shell, F.lit(0)).otherwise(F.col("run_ordinal")).alias("run_ordinal"),
+        "session_id", task.alias("task"), ordinal.alias("run_ordinal"),
         ((field("client_perf_now_before_ms", "double") + field("client_perf_now_after_ms", "double")) / 2).alias("client_mid_ms"),
         field("host_perf_counter_at_receipt", "double").alias("host_counter"),
         field("round_trip_ms", "double").alias("round_trip_ms"),
@@ -238,7 +237,7 @@ def clock_fit(points: DataFrame, keys: Sequence[str] = RUN, max_round_trip_ms: f
     )
 
 
-def host_clock_fit(ev: DataFrame, keys: Sequence[str] = ("session_id",), host: str = HOST, mono: str = MONO, width: float = 0.01) -> DataFrame:
+def host_clock_fit(ev: DataFrame, keys: Sequence[str] = ("session_id",), host: str = HOST, mono: str = MONO, width: Slicing = None) -> DataFrame:
     """Wall clock minus monotonic clock per session; a spread above jitter means the wall clock was stepped."""
     gap = ev.select(*keys, (F.col(host) - F.col(mono)).alias("gap"))
     spread = gap.groupBy(*keys).agg((F.max("gap") - F.min("gap")).alias("spread"))

@@ -6,12 +6,12 @@ from collections.abc import Sequence
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from cohortwave.functions.ordered import asof_join, clamped_cumsum, numbered, rolling_mean, running, slice_id
+from cohortwave.functions.ordered import Cuts, Slicing, asof_join, clamped_cumsum, numbered, rolling_mean, running, slice_id
 from cohortwave.functions.sorted_batches import groups, packed, repeat_keys
 from cohortwave.schema import BLOCK, NEAR_MISS_SEC, ROLLING_SEC, RUN
 
 
-def clamped_score(trials: DataFrame, order: Sequence[str], keys: Sequence[str] = RUN, width: float = 600.0, correct: str = "correct", silent: str | None = "silent") -> DataFrame:
+def clamped_score(trials: DataFrame, order: Sequence[str], keys: Sequence[str] = RUN, width: Slicing = None, correct: str = "correct", silent: str | None = "silent") -> DataFrame:
     """Running score: +1 correct, -1 genuine miss, never below 0; silently cleared drops change nothing."""
     d = F.when(F.col(correct), 1).otherwise(-1)
     if silent:
@@ -19,7 +19,7 @@ def clamped_score(trials: DataFrame, order: Sequence[str], keys: Sequence[str] =
     return clamped_cumsum(trials, keys, order, d.cast("bigint"), "score", width)
 
 
-def rolling_collision_rate(outcomes: DataFrame, t_ms: str = "resolve_ms", keys: Sequence[str] = RUN, sec: float = ROLLING_SEC, width_ms: float = 600_000) -> DataFrame:
+def rolling_collision_rate(outcomes: DataFrame, t_ms: str = "resolve_ms", keys: Sequence[str] = RUN, sec: float = ROLLING_SEC, width_ms: Slicing = None) -> DataFrame:
     """Share of collisions among outcomes of the last `sec` seconds, not reset between tiers.
 
     Rows with a null outcome (ticks, say) only read the rate."""
@@ -27,18 +27,18 @@ def rolling_collision_rate(outcomes: DataFrame, t_ms: str = "resolve_ms", keys:
     return rolling_mean(outcomes, keys, t_ms, sec * 1000, hit, "rolling_collision_rate", width_ms)
 
 
-def rolling_avg_rt(changes: DataFrame, t_ms: str = "client_ms", keys: Sequence[str] = RUN, sec: float = ROLLING_SEC, width_ms: float = 600_000) -> DataFrame:
+def rolling_avg_rt(changes: DataFrame, t_ms: str = "client_ms", keys: Sequence[str] = RUN, sec: float = ROLLING_SEC, width_ms: Slicing = None) -> DataFrame:
     """Mean reaction time of forced lane changes, blocked ones too, in the same window."""
     return rolling_mean(changes, keys, t_ms, sec * 1000, F.when(F.col("forced"), F.col("reaction_time_ms")), "rolling_avg_reaction_time_ms", width_ms)
 
 
-def time_since_last(ev: DataFrame, flag: Column, out: str, t: str, order: Sequence[str], keys: Sequence[str] = RUN, width: float = 600.0) -> DataFrame:
+def time_since_last(ev: DataFrame, flag: Column, out: str, t: str, order: Sequence[str], keys: Sequence[str] = RUN, width: Slicing = None) -> DataFrame:
     """Time since the last flagged row, 0 at the row itself, null before the first."""
     r = running(ev, keys, order, {"__at": ("last", F.when(flag, F.col(t)))}, width)
     return r.withColumn(out, F.col(t) - F.col("__at")).drop("__at")
 
 
-def camp_exposure(spawns: DataFrame, changes: DataFrame, starts: DataFrame, grace: float, ramp: float, peak: float = 1.0, keys: Sequence[str] = RUN, t: str = "t", width: float = 600.0) -> DataFrame:
+def camp_exposure(spawns: DataFrame, changes: DataFrame, starts: DataFrame, grace: float, ramp: float, peak: float = 1.0, keys: Sequence[str] = RUN, t: str = "t", width: Slicing = None) -> DataFrame:
     """Time in lane at each spawn and the nudge probability that follows from it.
 
     Time counts from the last unblocked lane change, else from the run's first tier (`starts`).
@@ -52,13 +52,13 @@ def camp_exposure(spawns: DataFrame, changes: DataFrame, starts: DataFrame, grac
     return out.withColumn("nudge_probability", F.when(F.col("time_in_lane_sec").isNotNull(), p)).drop("__since")
 
 
-def inter_click_time(clicks: DataFrame, order: Sequence[str], keys: Sequence[str] = BLOCK, rt: str = "rt_sec", width: float = 600.0) -> DataFrame:
+def inter_click_time(clicks: DataFrame, order: Sequence[str], keys: Sequence[str] = BLOCK, rt: str = "rt_sec", width: Slicing = None) -> DataFrame:
     """Search time per target: difference of cumulative times between correct clicks."""
     r = running(clicks.where("correct"), keys, order, {"__prev": ("last", F.col(rt))}, width, inclusive=False)
     return r.withColumn("search_sec", F.col(rt) - F.coalesce("__prev", F.lit(0.0))).drop("__prev")
 
 
-def live_state(ticks: DataFrame, obstacles: DataFrame, changes: DataFrame, lanes: int, keys: Sequence[str] = RUN, width_ms: float = 600_000.0) -> DataFrame:
+def live_state(ticks: DataFrame, obstacles: DataFrame, changes: DataFrame, lanes: int, keys: Sequence[str] = RUN, width_ms: Slicing = None) -> DataFrame:
     """Hazards live at each tick: their number, blocked lanes, nearest arrival, and the same in the own lane.
 
     A hazard is live on [spawn, resolve). The own lane is the last unblocked target lane, at first
@@ -68,6 +68,7 @@ def live_state(ticks: DataFrame, obstacles: DataFrame, changes: DataFrame, lanes
     """
     keys = list(keys)
     moved = changes.where(~F.col("blocked")).select(*keys, F.col("client_ms").alias("__m"), F.col("to_lane").cast("int").alias("own_lane"))
+    width_ms = Cuts(ticks, "t_ms") if width_ms is None else width_ms  # one slicing for all frames
     t = asof_join(ticks, moved, keys, "t_ms", "__m", ["own_lane"], width_ms).select(
         *keys, slice_id("t_ms", width_ms).alias("__s"), F.col("t_ms").cast("double").alias("__at"), F.lit(2).alias("__k"), F.col("tick_id").cast("bigint").alias("tick_id"),
         F.coalesce("own_lane", F.lit(lanes // 2)).alias("own_lane"),
@@ -122,13 +123,13 @@ def near_miss_class(answered: DataFrame, window: float = NEAR_MISS_SEC) -> DataF
     )
 
 
-def record_history(scores: DataFrame, order: Sequence[str], score: str = "score", keys: Sequence[str] = (), width: float = 86400.0) -> DataFrame:
+def record_history(scores: DataFrame, order: Sequence[str], score: str = "score", keys: Sequence[str] = (), width: Slicing = None) -> DataFrame:
     """Sessions that set a new best, in time order. `scores` has one row per session."""
     r = running(scores, keys, order, {"__best": ("max", F.col(score))}, width, inclusive=False)
     return r.where(F.col("__best").isNull() | (F.col(score) > F.col("__best"))).withColumnRenamed("__best", "previous_best")
 
 
-def vigilance_trend(trials: DataFrame, order: Sequence[str], keys: Sequence[str] = BLOCK, rt: str = "rt_sec", width: float = 600.0) -> DataFrame:
+def vigilance_trend(trials: DataFrame, order: Sequence[str], keys: Sequence[str] = BLOCK, rt: str = "rt_sec", width: Slicing = None) -> DataFrame:
     """Per third of a block: mean reaction time and error rate, and their slopes over trial order."""
     n = numbered(trials, keys, order, "pos", width=width)
     size = trials.groupBy(*keys).agg(F.count("*").alias("n_trials"))
@@ -150,13 +151,13 @@ def chunk_of(i: Column, n: Column, k: int) -> Column:
     return F.when(i < head, F.floor(i / (base + 1))).otherwise(extra + F.floor((i - head) / F.greatest(base, F.lit(1)))).cast("int")
 
 
-def gauge_gap_check(events: DataFrame, timeout_sec: float, gauge: Sequence[str] = ("gauge",), t: str = "t_sec", width: float = 600.0, order: Sequence[str] | None = None) -> DataFrame:
+def gauge_gap_check(events: DataFrame, timeout_sec: float, gauge: Sequence[str] = ("gauge",), t: str = "t_sec", width: Slicing = None, order: Sequence[str] | None = None) -> DataFrame:
     """Triggers that came before the gauge's previous alert had timed out."""
     r = running(events, gauge, order or [t], {"__prev": ("last", F.col(t))}, width, inclusive=False)
     return r.withColumn("gap_sec", F.col(t) - F.col("__prev")).drop("__prev").where(F.col("gap_sec") < timeout_sec)
 
 
-def activity_stretches(ev: DataFrame, keys: Sequence[str], order: Sequence[str], gap: float, t: str = "t", width: float = 600.0) -> DataFrame:
+def activity_stretches(ev: DataFrame, keys: Sequence[str], order: Sequence[str], gap: float, t: str = "t", width: Slicing = None) -> DataFrame:
     """Stretches of activity that a silence of `gap` or more ends (batch form of the session window)."""
     slim = ev.select(*keys, *dict.fromkeys([*order, t]))
     seen = running(slim, keys, order, {"__prev": ("last", F.col(t))}, width, inclusive=False)

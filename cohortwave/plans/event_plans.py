@@ -75,7 +75,7 @@ def run_ordinal(d: Tables):
     ev = d.study({"signup": "task_start", "error": "sync_checkpoint", "view": "baseline_start"}).drop("run_ordinal")
     label = F.when(F.col("k") < 50, "session_start_0").otherwise("session_end_0")
     pos = F.when(F.col("event_seq") % 2 == 0, "pre_task").otherwise("mid")
-    return P.assign_run_ordinal(ev, d.width(), label, pos).select("session_id", "event_seq", "run_ordinal")
+    return P.assign_run_ordinal(ev, d.cuts(), label, pos).select("session_id", "event_seq", "run_ordinal")
 
 
 @plan(
@@ -112,7 +112,7 @@ def session_status(d: Tables):
 def _blocks(d: Tables, done: bool = True):
     """view opens a block, purchase closes it."""
     ev = d.study({"view": "block_start", "purchase": "block_end"})
-    b = J.pair_blocks(ev, d.width(), closed_only=done)
+    b = J.pair_blocks(ev, d.cuts(), closed_only=done)
     # blocks are a fact table that the operators behind read several times
     return keep(b, "blocks") if done else b
 
@@ -148,7 +148,7 @@ def completed_blocks(d: Tables):
 )
 def pair_baselines(d: Tables):
     body = F.try_parse_json(F.to_json(F.struct(F.when(F.col("k") % 2 == 0, "start").otherwise("end").alias("position"), F.col("value").alias("duration_sec"))))
-    b = J.pair_baselines(d.study({"click": "baseline_start", "error": "baseline_end"}, body), d.width())
+    b = J.pair_baselines(d.study({"click": "baseline_start", "error": "baseline_end"}, body), d.cuts())
     return b.where("NOT truncated").select("session_id", "position", "t0", r("real_sec").alias("real_sec"), "planned_sec")
 
 
@@ -180,7 +180,7 @@ def orphans(d: Tables):
 def attach_block(d: Tables):
     blocks = _blocks(d).withColumn("block_index", F.col("t0"))
     points = d.ev.where("event_type = 'click'")
-    return J.attach_block(points, blocks, MONO, RUN, d.width()).select("session_id", "event_seq", F.col("block_index").alias("block_t0"))
+    return J.attach_block(points, blocks, MONO, RUN, d.cuts()).select("session_id", "event_seq", F.col("block_index").alias("block_t0"))
 
 
 @plan(
@@ -192,7 +192,7 @@ def attach_block(d: Tables):
 def asof_state(d: Tables):
     ticks = d.ev.where("event_type = 'view'").select("session_id", "t", F.col("value").alias("state_value"), F.col("event_seq").alias("state_seq"))
     points = d.ev.where("event_type = 'purchase'").select("session_id", "event_seq", "t")
-    return J.asof_state(points, ticks, ["state_value", "state_seq"], SES, tie="state_seq", tolerance=172800.0, width=d.width()).drop("t")
+    return J.asof_state(points, ticks, ["state_value", "state_seq"], SES, tie="state_seq", tolerance=172800.0, width=d.cuts()).drop("t")
 
 
 @plan(
@@ -202,8 +202,8 @@ def asof_state(d: Tables):
     SELECT d.session_id, d.t0, b.b0 AS baseline_t0, b.b1 AS baseline_t1 FROM done d ASOF LEFT JOIN base b ON d.session_id = b.session_id AND d.t0 >= b.b1"""
 )
 def asof_baseline(d: Tables):
-    base = keep(J.pair_baselines(d.study({"click": "baseline_start", "error": "baseline_end"}), d.width(), closed_only=True), "baselines")
-    return J.asof_baseline(_blocks(d), base, RUN, d.width()).select("session_id", "t0", "baseline_t0", "baseline_t1")
+    base = keep(J.pair_baselines(d.study({"click": "baseline_start", "error": "baseline_end"}), d.cuts(), closed_only=True), "baselines")
+    return J.asof_baseline(_blocks(d), base, RUN, d.cuts()).select("session_id", "t0", "baseline_t0", "baseline_t1")
 
 
 @plan(
@@ -212,7 +212,7 @@ def asof_baseline(d: Tables):
 )
 def mask_invalid(d: Tables):
     bad = d.ev.where("event_type = 'error'").select(*RUN, F.col("t").alias("t0"), F.col("t").alias("t1"))
-    return J.mask_invalid(_blocks(d), bad, RUN, 3600.0, width=d.width()).select("session_id", "t0", "t1", "invalid")
+    return J.mask_invalid(_blocks(d), bad, RUN, 3600.0, width=d.cuts()).select("session_id", "t0", "t1", "invalid")
 
 
 @plan(
@@ -221,7 +221,7 @@ def mask_invalid(d: Tables):
 )
 def frame_drop_flags(d: Tables):
     drops = d.ev.where("event_type = 'signup'").select(*RUN, "t")
-    return Q.frame_drop_flags(_blocks(d), drops, 60.0, RUN, width=d.width()).select("session_id", "t0", "t1", "invalid")
+    return Q.frame_drop_flags(_blocks(d), drops, 60.0, RUN, width=d.cuts()).select("session_id", "t0", "t1", "invalid")
 
 
 @plan(
@@ -231,7 +231,7 @@ def frame_drop_flags(d: Tables):
     SELECT session_id, t AS t0, CASE WHEN net = 'click' THEN nt ELSE mx END AS t1 FROM p WHERE et = 'error'"""
 )
 def focus_loss(d: Tables):
-    return Q.focus_loss_intervals(d.study({"error": "focus_lost", "click": "focus_regained"}), RUN, d.width()).select("session_id", "t0", "t1")
+    return Q.focus_loss_intervals(d.study({"error": "focus_lost", "click": "focus_regained"}), RUN, d.cuts()).select("session_id", "t0", "t1")
 
 
 _SCORE = (
@@ -247,7 +247,7 @@ _SCORE = (
 def _scores(d: Tables):
     """purchase is a hit, error a miss, view a silently cleared drop."""
     tr = d.ev.where("event_type IN ('purchase', 'error', 'view')").withColumns({"correct": F.col("event_type") == "purchase", "silent": F.col("event_type") == "view"})
-    return X.clamped_score(tr, ORDER, SES, d.width())
+    return X.clamped_score(tr, ORDER, SES, d.cuts())
 
 
 @plan(_SCORE + "SELECT session_id, seq AS event_seq, score FROM sc")
@@ -275,7 +275,7 @@ def high_score(d: Tables):
     SELECT *, max(final_score) OVER (ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best FROM fin) WHERE best IS NULL OR final_score > best"""
 )
 def record_history(d: Tables):
-    return X.record_history(_finals(d), ["ended_at"], "final_score", (), d.width("ev", "event_seq")).select("session_id", "final_score", "previous_best")
+    return X.record_history(_finals(d), ["ended_at"], "final_score", (), d.cuts("ev", "event_seq", None)).select("session_id", "final_score", "previous_best")
 
 
 _MS = EV + ", x AS (SELECT *, epoch_us(ts) AS us FROM ev)\n"
@@ -289,7 +289,7 @@ _MS = EV + ", x AS (SELECT *, epoch_us(ts) AS us FROM ev)\n"
 def rolling_rate(d: Tables):
     o = d.ev.where("event_type IN ('error', 'purchase')").withColumns({"resolve_ms": F.unix_micros("ts"), "outcome": F.when(F.col("event_type") == "error", "collision").otherwise("avoided")})
     # microseconds here, so that the frame is exact on integers
-    out = X.rolling_collision_rate(o, "resolve_ms", SES, 86_400_000, d.width() * 1e6)
+    out = X.rolling_collision_rate(o, "resolve_ms", SES, 86_400_000, d.cuts(tie=None).times(1e6))
     return out.select("session_id", "event_seq", r("rolling_collision_rate", 6).alias("rate"))
 
 
@@ -300,13 +300,13 @@ def rolling_rate(d: Tables):
 )
 def rolling_avg(d: Tables):
     c = d.ev.where("event_type IN ('click', 'view')").select("session_id", "event_seq", F.unix_micros("ts").alias("client_ms"), (F.col("event_type") == "click").alias("forced"), F.col("value").alias("reaction_time_ms"))
-    out = X.rolling_avg_rt(c, "client_ms", SES, 86_400_000, d.width() * 1e6)
+    out = X.rolling_avg_rt(c, "client_ms", SES, 86_400_000, d.cuts(tie=None).times(1e6))
     return out.select("session_id", "event_seq", r("rolling_avg_reaction_time_ms", 8).alias("rt"))
 
 
 @plan(EV + "SELECT session_id, seq AS event_seq, round(t - max(CASE WHEN et = 'error' THEN t END) OVER (PARTITION BY session_id ORDER BY t, seq), 4) AS since FROM ev")
 def time_since_last(d: Tables):
-    out = X.time_since_last(d.ev, F.col("event_type") == "error", "since", "t", ORDER, SES, d.width())
+    out = X.time_since_last(d.ev, F.col("event_type") == "error", "since", "t", ORDER, SES, d.cuts())
     return out.select("session_id", "event_seq", r("since").alias("since"))
 
 
@@ -320,14 +320,14 @@ def camp_exposure(d: Tables):
     spawns = d.ev.where("event_type = 'view'").select("session_id", "event_seq", "t")
     moves = d.ev.where("event_type = 'click'").select("session_id", "t", (F.col("k") % 3 == 0).alias("blocked"))
     starts = d.ev.where("event_type = 'signup'").select("session_id", F.col("t").alias("t0"))
-    out = X.camp_exposure(spawns, moves, starts, 3600.0, 36000.0, 0.8, SES, width=d.width())
+    out = X.camp_exposure(spawns, moves, starts, 3600.0, 36000.0, 0.8, SES, width=d.cuts())
     return out.select("session_id", "event_seq", r("time_in_lane_sec").alias("in_lane"), r("nudge_probability", 6).alias("p"))
 
 
 @plan(EV + "SELECT session_id, seq AS event_seq, round(value - coalesce(lag(value) OVER (PARTITION BY session_id ORDER BY t, seq), 0), 4) AS search FROM ev WHERE et = 'click'")
 def inter_click_time(d: Tables):
     c = d.ev.withColumn("correct", F.col("event_type") == "click")
-    return X.inter_click_time(c, ORDER, SES, "value", d.width()).select("session_id", "event_seq", r("search_sec").alias("search"))
+    return X.inter_click_time(c, ORDER, SES, "value", d.cuts()).select("session_id", "event_seq", r("search_sec").alias("search"))
 
 
 @plan(
@@ -336,7 +336,7 @@ def inter_click_time(d: Tables):
     SELECT *, lag(t) OVER w AS pt, lag(h) OVER w AS ph FROM ev WINDOW w AS (PARTITION BY session_id ORDER BY t, seq))"""
 )
 def clock_step(d: Tables):
-    return Q.clock_step(d.ev, SES, width=d.width()).select("session_id", "event_seq", r("gap_sec").alias("gap"), F.coalesce("stepped", F.lit(False)).alias("stepped"))
+    return Q.clock_step(d.ev, SES, width=d.cuts()).select("session_id", "event_seq", r("gap_sec").alias("gap"), F.coalesce("stepped", F.lit(False)).alias("stepped"))
 
 
 @plan(
@@ -344,7 +344,7 @@ def clock_step(d: Tables):
     + """SELECT et AS phase, round(max(t - pt), 4) AS longest_gap_sec FROM (SELECT *, lag(t) OVER (PARTITION BY session_id ORDER BY t, seq) AS pt FROM ev) GROUP BY 1"""
 )
 def longest_gap(d: Tables):
-    out = Q.longest_gap(Q.clock_step(d.ev, SES, width=d.width()), ["event_type"])
+    out = Q.longest_gap(Q.clock_step(d.ev, SES, width=d.cuts()), ["event_type"])
     return out.select(F.col("event_type").alias("phase"), r("longest_gap_sec").alias("longest_gap_sec"))
 
 
@@ -356,7 +356,7 @@ def longest_gap(d: Tables):
   SELECT CAST(user_id AS VARCHAR) AS session_id, t FROM kept"""
 )
 def debounce(d: Tables):
-    return Q.debounce(d.ev, SES, "t", 43200.0, qualifies=F.col("value") > 20, width=max(16 * 43200.0, d.width())).select("session_id", "t")
+    return Q.debounce(d.ev, SES, "t", 43200.0, qualifies=F.col("value") > 20, width=d.cuts(tie=None)).select("session_id", "t")
 
 
 @plan(EV + "SELECT session_id, k, arg_max(value, (t, seq)) AS value FROM ev WHERE et = 'click' GROUP BY 1, 2")
@@ -467,7 +467,7 @@ def range_check(d: Tables):
 )
 def gauge_gap_check(d: Tables):
     g = d.ev.select(F.col("event_type").alias("gauge"), "event_seq", "t")
-    out = X.gauge_gap_check(g, 300.0, ["gauge"], "t", d.width(), ["t", "event_seq"])
+    out = X.gauge_gap_check(g, 300.0, ["gauge"], "t", d.cuts(), ["t", "event_seq"])
     return out.select("gauge", "event_seq", r("gap_sec").alias("gap"))
 
 
@@ -478,7 +478,7 @@ def gauge_gap_check(d: Tables):
     SELECT session_id, min(t) AS start_t, count(*) AS n FROM g GROUP BY session_id, stretch"""
 )
 def idle_gaps(d: Tables):
-    s = X.activity_stretches(d.ev, SES, ORDER, 86400.0, MONO, d.width())
+    s = X.activity_stretches(d.ev, SES, ORDER, 86400.0, MONO, d.cuts())
     return s.select("session_id", "start_t", "n")
 
 
@@ -506,5 +506,5 @@ def incomplete_rows(d: Tables):
     SELECT v.session_id, v.seq AS event_seq, (SELECT count(*) FROM s WHERE s.session_id = v.session_id AND s.t <= v.t) AS signups FROM (SELECT * FROM ev WHERE et = 'view') v"""
 )
 def running_count(d: Tables):
-    out = running(d.ev, SES, ORDER, {"signups": ("count", F.when(F.col("event_type") == "signup", 1))}, d.width())
+    out = running(d.ev, SES, ORDER, {"signups": ("count", F.when(F.col("event_type") == "signup", 1))}, d.cuts())
     return out.where("event_type = 'view'").select("session_id", "event_seq", "signups")

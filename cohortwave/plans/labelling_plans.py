@@ -38,7 +38,7 @@ def labelled_intervals(d: Tables):
    SELECT CAST(s AS VARCHAR) AS session_id, a AS block_index, b AS trial_index, c AS clip_id FROM x WHERE t0 < e""")
 def overlapping_intervals(d: Tables):
     i = d.trials.select("session_id", F.col("price").alias("t0"), (F.col("price") + F.col("rt_sec") * 10).alias("t1"), "block_index", "trial_index", "clip_id")
-    return B.overlapping_intervals(i, SES, d.width("trials", "price"), ["t0", "t1", "block_index", "trial_index", "clip_id"]).select("session_id", "block_index", "trial_index", "clip_id")
+    return B.overlapping_intervals(i, SES, d.cuts("trials", "price", "block_index"), ["t0", "t1", "block_index", "trial_index", "clip_id"]).select("session_id", "block_index", "trial_index", "clip_id")
 
 
 @plan(_I + "SELECT e.session_id, e.seq AS sample_idx, i.label FROM ev e LEFT JOIN i ON i.session_id = e.session_id AND e.t >= i.t0 AND e.t < i.t1")
@@ -67,9 +67,10 @@ def slice_samples(d: Tables):
     return _sliced(d).select("session_id", "t0", "window_no", "label", "sample_idx", r("offset_sec").alias("offset_sec"))
 
 
-@plan(_SLICED + "SELECT session_id, t0, window_no, count(*) AS found, round(count(*) / 3.0, 6) AS completeness, count(*) / 3.0 >= 0.95 AS accepted FROM s GROUP BY 1, 2, 3")
+@plan(_SLICED + """SELECT w.session_id, w.t0, w.window_no, count(e.seq) AS found, round(count(e.seq) / 3.0, 6) AS completeness, count(e.seq) / 3.0 >= 0.95 AS accepted
+   FROM w LEFT JOIN ev e ON e.session_id = w.session_id AND e.t >= w.w0 AND e.t < w.w0 + 14400 GROUP BY 1, 2, 3""")
 def completeness(d: Tables):
-    out = B.completeness(_sliced(d), 3.0 / (4 * HOUR), 4 * HOUR, ["session_id", "t0", "window_no"])
+    out = B.completeness(_sliced(d), B.fixed_windows(_intervals(d), 4 * HOUR, 2 * HOUR), 3.0 / (4 * HOUR), 4 * HOUR, ["session_id", "t0", "window_no"])
     return out.withColumn("completeness", r("completeness", 6))
 
 
@@ -123,12 +124,14 @@ def align_samples_multi(d: Tables):
     rel = F.col("t") - 1704067200
     s = d.ev.select("session_id", F.lit("dev").alias("device_id"), F.col("event_seq").alias("sample_idx"), rel.alias("rel_sec"))
     sync = d.ev.where("event_type = 'signup'").select("session_id", F.lit("dev").alias("device_id"), (F.col("t") + F.col("k") * 0.01).alias("sync_time_host_utc"), rel.alias("device_rel_sec"), F.lit("ok").alias("result"))
-    return J.align_samples_multi(s, sync, width=d.width()).select("session_id", "sample_idx", r("wall", 3).alias("wall"))
+    return J.align_samples_multi(s, sync, width=d.cuts()).select("session_id", "sample_idx", r("wall", 3).alias("wall"))
 
 
-@plan()
+@plan("""SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS participant_id,
+   CASE WHEN h % 100 < 80 THEN 'train' WHEN h % 100 < 90 THEN 'valid' ELSE 'test' END AS split
+   FROM (SELECT *, ('0x' || substr(md5('0|' || o_custkey), 1, 15))::BIGINT AS h FROM orders)""")
 def participant_split(d: Tables):
-    """Orders split by customer; the split is a hash, so there is no SQL twin (checked in the tests)."""
+    """Orders split by customer."""
     return B.participant_split(d.orders.select("o_orderkey", F.col("o_custkey").cast("string").alias("participant_id")))
 
 

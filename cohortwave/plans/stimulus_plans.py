@@ -16,12 +16,12 @@ _LINKS = f"""WITH a AS (SELECT page_id, regexp_extract_all(html, '{ANCHOR}', 2)
 
 @plan(_LINKS + "SELECT page_id, CAST(pos AS INT) AS pos, name, url FROM l")
 def extract_links(d: Tables):
-    return R.extract_links(d.spread("pages"), ANCHOR, name_group=2, url_group=1)
+    return R.extract_links(d.pages, ANCHOR, name_group=2, url_group=1)
 
 
 @plan(_LINKS + "SELECT name AS code, arg_max(url, (page_id, pos)) AS url FROM l WHERE name <> '' GROUP BY 1")
 def last_link(d: Tables):
-    links = R.extract_links(d.spread("pages"), ANCHOR, name_group=2, url_group=1)
+    links = R.extract_links(d.pages, ANCHOR, name_group=2, url_group=1)
     return R.last_link_per_code(links, F.col("name")).select("code", "url")
 
 
@@ -47,7 +47,7 @@ def unmatched_files(d: Tables):
 
 @plan("""SELECT doc_id, s FROM (SELECT doc_id, coalesce(nullif(regexp_replace(regexp_replace(lower(regexp_replace(text, '^\\s+|\\s+$', '', 'g')), '[^\\pL\\pN_.-]+', '_', 'g'), '^[._]+|[._]+$', '', 'g'), ''), 'unlabelled') AS s FROM documents)""")
 def safe_label(d: Tables):
-    return d.spread("documents").select("doc_id", to_label(F.col("text")).alias("s"))
+    return d.documents.select("doc_id", to_label(F.col("text")).alias("s"))
 
 
 @plan("""SELECT page_id, CASE WHEN m = '' THEN '' ELSE 'VID_' || CAST(CAST(m AS BIGINT) AS VARCHAR) END AS code FROM (
@@ -65,7 +65,7 @@ def code_norm(d: Tables):
    e AS (SELECT doc_id, CASE WHEN len(parts) <> 2 THEN 'arity' WHEN trim(parts[2]) NOT IN ('positive', 'negative', 'neutral') THEN 'group' ELSE 'fine' END AS verdict FROM p)
   SELECT doc_id, verdict, count(*) AS n FROM e GROUP BY 1, 2""")
 def manual_clips(d: Tables):
-    rows = R.parse_manual_clips(d.spread("documents"), "doc_id", "text")
+    rows = R.parse_manual_clips(d.documents, "doc_id", "text")
     return rows.groupBy("doc_id", F.coalesce("error", F.lit("fine")).alias("verdict")).agg(F.count("*").alias("n"))
 
 
@@ -141,12 +141,12 @@ def fixed_selection(d: Tables):
 @plan("""SELECT p_brand AS valence_group, p_partkey AS clip_id, CAST((row_number() OVER (PARTITION BY p_brand ORDER BY p_retailprice, p_partkey) - 1 + CAST(substr(p_brand, 7) AS INT)) % 3 AS INT) AS block FROM part""")
 def interleaved_blocks(d: Tables):
     c = d.clips.withColumn("group_index", F.expr("cast(substring(valence_group, 7) AS INT)"))
-    return L.interleave_in_order(c, ["arousal_score", "clip_id"], 3, ["valence_group"], "group_index", d.width("clips", "arousal_score")).select("valence_group", "clip_id", "block")
+    return L.interleave_in_order(c, ["arousal_score", "clip_id"], 3, ["valence_group"], "group_index", d.cuts("clips", "arousal_score", "clip_id")).select("valence_group", "clip_id", "block")
 
 
 @plan("SELECT p_brand AS valence_group, p_partkey AS clip_id, CAST(ntile(4) OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1 AS INT) AS chunk FROM part")
 def chunk_evenly(d: Tables):
-    return L.chunk_evenly(d.clips, 4, ["valence_group"], ["clip_id"], d.width("clips", "clip_id")).select("valence_group", "clip_id", "chunk")
+    return L.chunk_evenly(d.clips, 4, ["valence_group"], ["clip_id"], d.cuts("clips", "clip_id", None)).select("valence_group", "clip_id", "chunk")
 
 
 @plan("SELECT p_brand AS valence_group, count(*) AS n_clips, CAST(sum(p_size) AS DOUBLE) AS clip_sec FROM part GROUP BY 1")
@@ -164,6 +164,94 @@ def _participants(d: Tables):
     return d.nation.select(F.col("n_name").alias("participant_id"))
 
 
+def _digest(seed: int, *cols: str) -> str:
+    """The order number of `ordered.digest` in SQL."""
+    return f"('0x' || substr(md5('{seed}|' || {" || '|' || ".join(cols)}), 1, 15))::BIGINT"
+
+
+_DRAWN = f"""WITH w AS (SELECT n_name AS who, p_type AS g, p_partkey AS clip FROM nation CROSS JOIN part),
+  s AS (SELECT *, row_number() OVER (PARTITION BY who, g ORDER BY {_digest(42, "who", "clip")}, clip) AS draw FROM w QUALIFY draw <= 6)
+"""
+
+
+@plan(_DRAWN + "SELECT who AS participant_id, g AS valence_group, clip AS clip_id, CAST(draw AS INT) AS draw FROM s")
+def seeded_sample(d: Tables):
+    """Every participant draws 6 clips of each group."""
+    types = d.clips.select(F.col("fine_grained_label").alias("valence_group"), "clip_id")
+    wants = _participants(d).select("participant_id", F.explode(F.array(*[F.lit(g) for g in ("STANDARD", "ECONOMY", "MEDIUM", "PROMO", "LARGE", "SMALL")])).alias("valence_group"))
+    return L.seeded_sample(wants.join(types, "valence_group"), 6, 42).select("participant_id", "valence_group", "clip_id", "draw")
+
+
+_SLOTS = """WITH r AS (SELECT c_custkey AS who, k, CASE WHEN k < 3 THEN 'schulte' ELSE 'stroop' END AS game FROM customer CROSS JOIN range(6) t(k))
+"""
+
+
+@plan(_SLOTS + f"SELECT who AS participant_id, game, CAST(row_number() OVER (PARTITION BY who ORDER BY {_digest(7, 'who', 'k')}, k) - 1 AS INT) AS slot FROM r")
+def slot_order(d: Tables):
+    """Three slots of each game per participant."""
+    return L.slot_order(d.customer.select(F.col("c_custkey").alias("participant_id")), ["schulte", "stroop"], 3, 7).select("participant_id", "game", "slot")
+
+
+_COLORS = ["red", "green", "blue", "yellow", "purple", "pink"]
+
+
+@plan(
+    f"""WITH r AS (SELECT c_custkey AS who, k, k < 3 AS congruent, {_digest(8, "c_custkey", "k")} % 6 AS ink, {_digest(9, "c_custkey", "k")} % 5 + 1 AS step FROM customer CROSS JOIN range(20) t(k))
+  SELECT who AS participant_id, CAST(row_number() OVER (PARTITION BY who ORDER BY {_digest(7, "who", "k")}, k) - 1 AS INT) AS trial_index, congruent,
+    {_COLORS}[ink + 1] AS ink_color, {_COLORS}[(ink + CASE WHEN congruent THEN 0 ELSE step END) % 6 + 1] AS word FROM r"""
+)
+def stroop_stimuli(d: Tables):
+    """20 stimuli with 15 % congruent: 3 match, 17 differ."""
+    s = L.stroop_stimuli(d.customer.select(F.col("c_custkey").alias("participant_id")), _COLORS, 20, 0.15, 7)
+    return s.select("participant_id", "trial_index", "congruent", "ink_color", "word")
+
+
+_SIZES = [41.0, 61.4, 80.2, 85.3, 102.4]
+
+
+@plan(
+    f"""WITH r AS (SELECT n_name AS who, rep, s, n, (s - 1) * 9 + n AS k FROM nation CROSS JOIN range(3) a(rep) CROSS JOIN range(1, 6) b(s) CROSS JOIN range(1, 10) c(n)),
+  o AS (SELECT n_name AS who, n FROM nation CROSS JOIN range(1, 10) c(n) QUALIFY row_number() OVER (PARTITION BY n_name ORDER BY {_digest(8, "n_name", "n")}) <= 3)
+  SELECT who AS participant_id, CAST(rep * 45 + row_number() OVER (PARTITION BY who, rep ORDER BY {_digest(7, "who", "rep", "k")}, k) - 1 AS INT) AS trial_index, CAST(n AS INT) AS number,
+    {_SIZES}[s]::DOUBLE AS font_size, (who, n) IN (SELECT (who, n) FROM o) AS is_omit FROM r"""
+)
+def sart_table(d: Tables):
+    """3 repetitions of 9 numbers x 5 sizes; 3 numbers are withheld."""
+    return L.sart_table(_participants(d), _SIZES, 3, 7).select("participant_id", "trial_index", "number", "font_size", "is_omit")
+
+
+_GROUPS = "CASE WHEN p_type IN ('LARGE', 'PROMO') THEN 'positive' WHEN p_type IN ('SMALL', 'ECONOMY') THEN 'negative' ELSE 'neutral' END"
+_CHOSEN = f"""WITH w AS (SELECT n_name AS who, {_GROUPS} AS g, p_partkey AS clip FROM nation CROSS JOIN part),
+  s AS (SELECT *, CASE g WHEN 'positive' THEN 0 WHEN 'negative' THEN 1 ELSE 2 END AS gi FROM w QUALIFY row_number() OVER (PARTITION BY who, g ORDER BY {_digest(11, "who", "clip")}, clip) <= 4)
+"""
+
+
+def _schedule(d: Tables, structure: str):
+    group = F.when(F.col("fine_grained_label").isin("LARGE", "PROMO"), "positive").when(F.col("fine_grained_label").isin("SMALL", "ECONOMY"), "negative").otherwise("neutral")
+    s = L.clip_schedule(_participants(d), d.clips.withColumn("valence_group", group), {"positive": 4, "negative": 4, "neutral": 4}, 11, structure=structure)
+    return s.select("participant_id", "valence_group", "clip_id", "block", "position")
+
+
+@plan(
+    _CHOSEN
+    + f""", i AS (SELECT *, (row_number() OVER (PARTITION BY who, g ORDER BY {_digest(21, "who", "clip")}, clip) - 1 + gi) % 3 AS block FROM s)
+  SELECT who AS participant_id, g AS valence_group, clip AS clip_id, CAST(block AS INT) AS block, row_number() OVER (PARTITION BY who, block ORDER BY {_digest(22, "who", "clip")}, clip) AS position FROM i"""
+)
+def cohort_interleaved(d: Tables):
+    """Clip schedule of a cohort: 4 clips of 3 groups over 3 blocks."""
+    return _schedule(d, "interleaved")
+
+
+@plan(
+    _CHOSEN
+    + f""", o AS (SELECT who, g, row_number() OVER (PARTITION BY who ORDER BY {_digest(21, "who", "g")}, g) - 1 AS block FROM (SELECT DISTINCT who, g FROM s))
+  SELECT s.who AS participant_id, s.g AS valence_group, clip AS clip_id, CAST(block AS INT) AS block, row_number() OVER (PARTITION BY s.who, block ORDER BY {_digest(22, "s.who", "clip")}, clip) AS position FROM s JOIN o USING (who, g)"""
+)
+def cohort_grouped(d: Tables):
+    """The same clips with a block for each group."""
+    return _schedule(d, "grouped_by_valence")
+
+
 @plan("""SELECT n_name AS participant_id, p_type AS valence_group, least(count(*), 6) AS n FROM nation CROSS JOIN part GROUP BY 1, 2""")
 def seeded_sample_sizes(d: Tables):
     """Every participant draws min(6, pool) clips of each group."""
@@ -174,15 +262,6 @@ def seeded_sample_sizes(d: Tables):
     return s.groupBy("participant_id", "valence_group").agg(F.count_distinct("clip_id").alias("n"))
 
 
-@plan("""SELECT c_custkey AS participant_id, game, 3 AS n, 15 AS slot_sum FROM customer CROSS JOIN (VALUES ('all')) v(game)""")
-def slot_order(d: Tables):
-    """Three slots of each game per participant; slots are 0..5."""
-    s = L.slot_order(d.customer.select(F.col("c_custkey").alias("participant_id")), ["schulte", "stroop"], 3, 7)
-    return s.groupBy("participant_id").agg(
-        F.lit("all").alias("game"), F.count_if(F.col("game") == "schulte").cast("int").alias("n"), F.sum("slot").cast("int").alias("slot_sum")
-    )
-
-
 @plan("SELECT c_custkey AS participant_id, 3 AS congruent, 17 AS differing, 190 AS order_sum FROM customer")
 def stroop_flags(d: Tables):
     """20 stimuli with 15 % congruent: 3 match, 17 differ."""
@@ -193,16 +272,6 @@ def stroop_flags(d: Tables):
     )
 
 
-@plan("SELECT n_name AS participant_id, 135 AS trials, 45 AS omits, 9045 AS order_sum, 15 AS per_number FROM nation")
-def sart_table(d: Tables):
-    """3 repetitions of 9 numbers x 5 sizes; 3 numbers are withheld."""
-    s = L.sart_table(_participants(d), [41.0, 61.4, 80.2, 85.3, 102.4], 3, 7)
-    return s.groupBy("participant_id").agg(
-        F.count("*").cast("int").alias("trials"), F.count_if("is_omit").cast("int").alias("omits"), F.sum("trial_index").cast("int").alias("order_sum"),
-        F.count_if(F.col("number") == 9).cast("int").alias("per_number"),
-    )
-
-
 @plan("SELECT n_name AS participant_id, 4 AS smallest, 4 AS largest, 12 AS n FROM nation")
 def cohort_blocks(d: Tables):
     """Clip schedule of a cohort: 4 clips of 3 groups over 3 blocks are 4 per block."""

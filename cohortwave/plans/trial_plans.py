@@ -80,7 +80,7 @@ def _obstacles(d: Tables):
 @plan("""SELECT CAST(l_suppkey AS VARCHAR) AS session_id, count(*) FILTER (l_returnflag <> 'R') AS avoided, count(*) FILTER (l_returnflag = 'R') AS collisions,
    count(*) FILTER (l_discount > 0.08) AS near_misses, count(*) FILTER (l_tax < 0.01) AS no_responses, round(median(l_extendedprice), 4) AS median_margin_sec FROM lineitem GROUP BY 1""")
 def highway_stats(d: Tables):
-    out = A.highway_block_stats(_obstacles(d), SES, d.width("trials", "price"))
+    out = A.highway_block_stats(_obstacles(d), SES, d.cuts("trials", "price", "block_index"))
     return _rounded(out, ["session_id", "avoided", "collisions", "near_misses", "no_responses"], ["median_margin_sec"])
 
 
@@ -167,7 +167,7 @@ def confusion(d: Tables):
 @plan("""SELECT g AS flag, item, count(*) AS n, round(avg(score), 4) AS mean, round(stddev_samp(score), 4) AS sd FROM (
   SELECT l_returnflag AS g, 'valence' AS item, l_quantity AS score FROM lineitem UNION ALL SELECT l_returnflag, 'arousal', l_discount FROM lineitem) GROUP BY 1, 2""")
 def rating_summary(d: Tables):
-    ratings = as_trials(d.spread("lineitem")).select("flag", F.try_parse_json(F.to_json(F.struct(F.col("rt_sec").alias("valence"), F.col("discount").alias("arousal")))).alias("event_payload_json"))
+    ratings = as_trials(d.lineitem).select("flag", F.try_parse_json(F.to_json(F.struct(F.col("rt_sec").alias("valence"), F.col("discount").alias("arousal")))).alias("event_payload_json"))
     out = A.rating_summary(A.rating_items(ratings, ["valence", "arousal", "liking"]), ["flag"])
     return _rounded(out, ["flag", "item", "n"], ["mean", "sd"])
 
@@ -210,7 +210,7 @@ def tier_band(d: Tables):
    round(avg(CASE WHEN err THEN 1.0 ELSE 0.0 END) FILTER (third = 1), 4) AS err_third_1, round(regr_slope(rt, pos), 6) AS rt_slope, round(regr_slope(CASE WHEN err THEN 1.0 ELSE 0.0 END, pos), 6) AS err_slope
   FROM x GROUP BY 1""")
 def vigilance(d: Tables):
-    out = X.vigilance_trend(d.trials, ["price", "block_index", "trial_index", "clip_id"], SES, width=d.width("trials", "price"))
+    out = X.vigilance_trend(d.trials, ["price", "block_index", "trial_index", "clip_id"], SES, width=d.cuts("trials", "price", "block_index"))
     return out.select("session_id", *[r(c).alias(c) for c in ("rt_third_1", "rt_third_2", "rt_third_3", "err_third_1")], *[r(c, 6).alias(c) for c in ("rt_slope", "err_slope")])
 
 
@@ -218,7 +218,7 @@ def vigilance(d: Tables):
     abs(((l_linenumber * l_quantity) - l_suppkey) / 4 - l_quantity) < 1e-9 AS answer_ok, (l_returnflag <> 'R') = (l_discount > 0.05) AS verdict_ok FROM lineitem""")
 def answer_audit(d: Tables):
     expr = F.concat_ws(" ", "l_linenumber", F.lit("*"), F.col("l_quantity").cast("bigint"), F.lit("-"), "l_suppkey", F.lit("/"), F.lit("4"))
-    rows = d.spread("lineitem").select(
+    rows = d.lineitem.select(
         F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("trial_index"), F.col("l_partkey").alias("clip_id"), expr.alias("expression"), F.col("l_quantity").alias("correct_answer"),
         F.when(F.col("l_discount") > 0.05, F.col("l_quantity")).alias("participant_answer"), (F.col("l_returnflag") != "R").alias("correct"),
     )
@@ -266,7 +266,7 @@ def panas(d: Tables):
 @plan("""WITH m AS (SELECT l_returnflag AS g, median(l_extendedprice) AS med FROM lineitem GROUP BY 1)
   SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice AS price FROM lineitem JOIN m ON g = l_returnflag WHERE l_extendedprice < med * 0.1""")
 def unit_outliers(d: Tables):
-    return Q.unit_outliers(d.trials, "price", ["flag"], d.width("trials", "price")).select(F.col("block_index").alias("l_orderkey"), F.col("trial_index").alias("l_linenumber"), F.col("clip_id").alias("l_partkey"), "price")
+    return Q.unit_outliers(d.trials, "price", ["flag"], d.cuts("trials", "price", "block_index")).select(F.col("block_index").alias("l_orderkey"), F.col("trial_index").alias("l_linenumber"), F.col("clip_id").alias("l_partkey"), "price")
 
 
 _LIVE = EV + """, sp AS (SELECT session_id, seq, k, t * 1000 AS s, t * 1000 + value * 60000 AS e, k % 4 AS lane, value * 60 AS fall FROM ev WHERE et = 'view')
@@ -290,7 +290,7 @@ def _live(d: Tables):
 def live_state(d: Tables):
     ticks = d.ev.where("event_type = 'click'").select("session_id", F.col("event_seq").alias("tick_id"), (F.col("t") * 1000).alias("t_ms"))
     moves = d.ev.where("event_type = 'purchase'").select("session_id", (F.col("t") * 1000).alias("client_ms"), (F.col("k") % 4).alias("to_lane"), (F.col("k") % 5 == 0).alias("blocked"))
-    out = X.live_state(ticks, _live(d), moves, 4, SES, d.width() * 1000)
+    out = X.live_state(ticks, _live(d), moves, 4, SES, d.cuts(tie=None).times(1000))
     return out.select("session_id", "tick_id", "own_lane", F.col("active_obstacle_count").alias("active"), F.col("blocked_lane_count").alias("blocked"),
                       r("nearest_time_to_collision_ms", 2).alias("nearest"), r("own_lane_time_to_collision_ms", 2).alias("own_ttc"))
 
@@ -298,7 +298,7 @@ def live_state(d: Tables):
 @plan(_LIVE + """SELECT a.session_id, a.seq AS trial_index, count(DISTINCT b.lane) AS blocked FROM sp a JOIN sp b ON a.session_id = b.session_id AND b.s <= a.s AND a.s < b.e
   GROUP BY 1, 2 HAVING count(DISTINCT b.lane) >= 2""")
 def safe_lane_invariant(d: Tables):
-    return Q.safe_lane_invariant(_live(d), 4, SES, d.width() * 1000).select("session_id", "trial_index", "blocked")
+    return Q.safe_lane_invariant(_live(d), 4, SES, d.cuts(tie=None).times(1000)).select("session_id", "trial_index", "blocked")
 
 
 @plan(_LIVE + """SELECT w.session_id, w.seq AS event_seq, sp.seq AS drop_seq FROM (SELECT * FROM ev WHERE et = 'error') w JOIN sp ON sp.session_id = w.session_id

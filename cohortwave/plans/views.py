@@ -7,17 +7,17 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from cohortwave.functions.ordered import slice_width
+from cohortwave.functions.ordered import Cuts
 from cohortwave.schema import HOST, MONO, PAY
 
 DAY = 86400.0
-_WIDTHS: dict[tuple[str, str, str], float] = {}
 
 
 class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         self.spark, self.dir = spark, sf_dir.rstrip("/")
+        self._found: dict[tuple, Cuts] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
@@ -26,22 +26,16 @@ class Tables:
         setattr(self, name, df)  # the footer is read once
         return df
 
-    def spread(self, name: str) -> DataFrame:
-        """A table for work that is heavy per row: one that arrives in fewer pieces than there are
-        cores is dealt out first. A large table has more pieces than that and is left alone."""
-        df, cores = getattr(self, name), self.spark.sparkContext.defaultParallelism
-        return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-    def width(self, table: str = "ev", t: str = "t") -> float:
-        """Slice width for ordered work on a table, found once per folder."""
-        at = (self.dir, table, t)
-        if at not in _WIDTHS:
-            _WIDTHS[at] = slice_width(getattr(self, table), t)
-        return _WIDTHS[at]
+    def cuts(self, table: str = "ev", t: str = "t", tie: str | None = "event_seq") -> Cuts:
+        """Cut points for ordered work on a table, sampled once per plan."""
+        at = (table, t, tie)
+        if at not in self._found:
+            self._found[at] = Cuts(getattr(self, table), t, tie)
+        return self._found[at]
 
     @cached_property
     def ev(self) -> DataFrame:
-        return as_events(self.spread("events"))
+        return as_events(self.events)
 
     def study(self, types: dict[str, str], payload: Column | None = None) -> DataFrame:
         """Events in the log's shape, their types renamed by `types`."""

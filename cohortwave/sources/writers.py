@@ -22,4 +22,6 @@ def write_report(df: DataFrame, path: str, fmt: str = "json") -> None:
 
 
 def write_dataset(df: DataFrame, path: str, by: Sequence[str]) -> None:
-    df.write.mode("overwrite").partitionBy(*by).parquet(path)
+    """Replace the whole dataset: what an earlier export left would put a participant on two sides. Rows gather by the
+    partition columns first, so a folder gets few files."""
+    df.repartition(*by).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*by).parquet(path)

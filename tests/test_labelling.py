@@ -54,9 +54,10 @@ def test_windows_features_and_completeness(samples, sync, intervals):
     holed = J.align_samples(samples, sync).where("NOT (sample_idx BETWEEN 500 AND 599)")
     s = B.slice_samples(holed, intervals, 1.0, 1.0, bucket=7.0)
     assert s.where("offset_sec < 0 OR offset_sec >= 1").count() == 0
-    c = B.completeness(s, 250.0, 1.0)
-    bad = c.where("NOT accepted").collect()
-    assert [(r.t0, r.window_no, r.found) for r in bad] == [(1000.0, 2, 150)] and c.count() == 10 + 20
+    planned = B.fixed_windows(intervals, 1.0, 1.0).withColumn("device_id", F.lit("d1"))
+    c = B.completeness(s.where("NOT (t0 = 1010 AND window_no = 4)"), planned, 250.0, 1.0)
+    bad = c.where("NOT accepted").orderBy("t0").collect()
+    assert [(r.t0, r.window_no, r.found) for r in bad] == [(1000.0, 2, 150), (1010.0, 4, 0)] and c.count() == 10 + 20
     f = A.window_features(s, ["t0", "window_no"])
     one = f.where("t0 = 1000 AND window_no = 0 AND channel = 3").first()
     assert (one.n, one.min, one.max) == (250, 3.0, 252.0) and one.mean == pytest.approx(127.5) and one.missing_share == 0.0
@@ -74,14 +75,27 @@ def test_plan_has_no_nested_loop(samples, sync, intervals):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_overlapping_labels_are_an_error(samples, sync, intervals):
+    twice = intervals.unionByName(intervals.where("t0 = 1010").withColumn("t0", F.lit(1015.0)))
+    with pytest.raises(Exception, match="labels overlap"):
+        B.label_recordings(samples, sync, twice, 1.0, 1.0).count()
+    again = sync.unionByName(sync.where("sync_time_host_utc = 1000").withColumn("sync_time_host_utc", F.lit(5000.0)))  # synced anew after the recording
+    rec = samples.select("recording_id").distinct().withColumn("started_utc", F.lit(1001.0))
+    assert B.label_recordings(samples, again, intervals, 1.0, 1.0, recordings=rec).count() == B.label_recordings(samples, sync, intervals, 1.0, 1.0).count()
+    drifting = sync.withColumn("device_rel_sec", F.lit(0.0)).where("sync_time_host_utc = 1000")
+    assert B.label_recordings(samples, drifting, intervals, 1.0, 1.0, drift=True).count() == B.label_recordings(samples, sync, intervals, 1.0, 1.0).count()
+
+
 def test_split_keeps_participants_together(spark, tmp_path):
     df = spark.range(2000).select(F.concat(F.lit("P"), F.col("id") % 200).alias("participant_id"), "id")
     s = B.participant_split(df, seed=3)
     assert s.groupBy("participant_id").agg(F.count_distinct("split").alias("n")).where("n > 1").count() == 0
     n = {r.split: r.n for r in s.groupBy("split").agg(F.count_distinct("participant_id").alias("n")).collect()}
     assert sum(n.values()) == 200 and n["train"] > 130
+    B.export_dataset(df, str(tmp_path / "out"), seed=0)  # an earlier export with another split must leave nothing behind
     B.export_dataset(df, str(tmp_path / "out"), seed=3)
     back = spark.read.parquet(str(tmp_path / "out"))
+    assert back.groupBy("participant_id").agg(F.count_distinct("split").alias("n")).where("n > 1").count() == 0
     assert back.count() == 2000 and back.where("split = 'train'").select("participant_id").distinct().count() == n["train"]
 
 

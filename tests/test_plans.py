@@ -40,7 +40,24 @@ def test_a_long_key_is_split(stored):
     assert "unused" not in text
 
 
-def test_slice_width(stored):
-    assert O.slice_width(stored, "t", 100) == pytest.approx(99.9)
-    w = O.slice_width(stored, "t")
-    assert stored.select(O.slice_id("t", w)).distinct().count() == 1
+def test_cuts_hold_slices_down_wherever_rows_lie(spark):
+    """One clock at 0, a third of the rows in one hour, many rows at one reading: slices of the hot key stay even."""
+    n = 60_000
+    t = F.when(F.col("id") == 0, 0.0).when(F.col("id") % 3 == 0, 1.7e9 + F.rand(3) * 3600).when(F.col("id") % 10 == 1, 1.71e9).otherwise(1.6e9 + F.rand(4) * 3e7)
+    df = spark.range(n).select(F.when(F.col("id") % 4 == 0, "other").otherwise("hot").alias("s"), t.alias("t"), F.col("id").alias("seq")).cache()
+    cuts = O.Cuts(df, "t", "seq", slices=32)
+    sizes = [r["count"] for r in df.groupBy("s", cuts.of("t", "seq").alias("slice")).count().collect()]
+    assert len(cuts.points()) == 31 and max(sizes) < 2 * n / 32
+    out = O.running(df, ["s"], ["t", "seq"], {"n": ("count", F.lit(1))}, cuts)
+    assert out.groupBy("s").agg(F.max("n").alias("m"), F.count_distinct("n").alias("d")).where("m <> d").count() == 0
+    alone = O.running(df, ["s"], ["t", "seq"], {"n": ("count", F.lit(1))})
+    assert alone.join(out.withColumnRenamed("n", "n2"), ["s", "t", "seq"]).where("n <> n2").count() == 0
+
+
+def test_cuts_of_nothing_and_of_other_units(spark):
+    df = spark.createDataFrame([], "s STRING, t DOUBLE, seq BIGINT")
+    assert O.running(df, ["s"], ["t", "seq"], {"n": ("count", F.lit(1))}).count() == 0
+    df = spark.range(1000).select(F.lit("a").alias("s"), (F.col("id") / 10).alias("t"), F.col("id").alias("seq"))
+    cuts = O.Cuts(df, "t", slices=16)
+    ms = df.withColumn("ms", F.round(F.col("t") * 1000).cast("bigint"))
+    assert ms.select((cuts.times(1000).of("ms") == cuts.of("t")).alias("same")).where("same").count() >= 990
