@@ -14,13 +14,14 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from cohortwave.llm.words import text_of
+from cohortwave.llm.words import small_batches, text_of
 from cohortwave.session import keep, work_dir
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"  # in the folder of public tokenizers
 END = 50256  # ends a document, and fills up the last sequence of a task
 PIECE = 400_000  # code points that are encoded at a time
 ROUNDS = 6
+LEVEL = 6  # of compression on the way; the shards are plain
 GAP = 2  # bytes between records: two zeros
 SPANS = "array<struct<doc_id:bigint,at:bigint,n:int>>"
 
@@ -60,7 +61,7 @@ class Packer:
 
 
 def sequences(docs: DataFrame, length: int = 1024, vocabulary: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(task, k, ids, spans): sequences of `length` token ids, 16 bits each and compressed, and the pieces of documents they hold.
+    """(task, k, ids, spans): sequences of `length` token ids, 16 bits each, and the pieces of documents they hold.
 
     Every document is encoded whole and followed by END; a null or empty text is END alone. Documents follow each other
     over sequences without padding; only a task's last sequence is filled up.
@@ -68,7 +69,7 @@ def sequences(docs: DataFrame, length: int = 1024, vocabulary: str | None = None
     path = vocabulary or public_tokenizers.path(VOCABULARY)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, packer, squeeze, k = encoder(path), Packer(length), zstandard.ZstdCompressor(level=1), 0
+        enc, packer, k = encoder(path), Packer(length), 0
         task = TaskContext.get().partitionId()
         fields = [pa.field("task", pa.int32()), pa.field("k", pa.int64()), pa.field("ids", pa.binary()), pa.field("spans", pa.list_(pa.struct([("doc_id", pa.int64()), ("at", pa.int64()), ("n", pa.int32())])))]
 
@@ -76,7 +77,7 @@ def sequences(docs: DataFrame, length: int = 1024, vocabulary: str | None = None
             nonlocal k
             rows, packer.ready = packer.ready, []
             k += len(rows)
-            cols = [[task] * len(rows), list(range(k - len(rows), k)), [squeeze.compress(r) for r, _ in rows], [s for _, s in rows]]
+            cols = [[task] * len(rows), list(range(k - len(rows), k)), [r for r, _ in rows], [s for _, s in rows]]
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, fields)], schema=pa.schema(fields))
 
         for b in batches:
@@ -87,7 +88,7 @@ def sequences(docs: DataFrame, length: int = 1024, vocabulary: str | None = None
         packer.flush()
         yield out()
 
-    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("binary").alias("text"))
+    rows = small_batches(docs).select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("binary").alias("text"))
     return rows.mapInArrow(run, f"task int, k bigint, ids binary, spans {SPANS}")
 
 
@@ -143,7 +144,11 @@ def materialise(docs: DataFrame, path: str, *, key: int = 20240607, length: int
     An empty table gives no shard and no row.
     """
     spark = docs.sparkSession
-    made = keep(sequences(docs, length, vocabulary, **cols), "sequences")
+    stored = work_dir(spark, "sequences")
+    # blocks of many sequences compress better than one; each is compressed alone only for the shuffle
+    zstd = {"compression": "zstd", "parquet.compression.codec.zstd.level": str(LEVEL)}
+    sequences(docs, length, vocabulary, **cols).write.options(**zstd).parquet(stored)
+    made = spark.read.parquet(stored)
     counts = made.groupBy("task").agg(F.count("*").alias("n"))
     base = keep(counts.select("task", F.coalesce(F.sum("n").over(W.orderBy("task").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("base"), "n"), "tasks")
     total = base.agg(F.sum("n")).first()[0] or 0
@@ -153,6 +158,11 @@ def materialise(docs: DataFrame, path: str, *, key: int = 20240607, length: int
     def slot_of(number: pd.Series) -> pd.Series:
         return pd.Series(permute(number.to_numpy(), total, key))
 
+    @F.pandas_udf("binary")
+    def squeezed(ids: pd.Series) -> pd.Series:
+        c = zstandard.ZstdCompressor(level=LEVEL)
+        return ids.map(c.compress)
+
     def open_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         d = zstandard.ZstdDecompressor()
         for b in batches:
@@ -161,7 +171,7 @@ def materialise(docs: DataFrame, path: str, *, key: int = 20240607, length: int
     placed = made.join(base.drop("n"), "task").withColumn("sequence", F.col("base") + F.col("k")).withColumn("slot", slot_of("sequence"))
     if total:
         shards = -(-total // per_shard)
-        dealt = placed.select("slot", "ids").repartitionById(shards, F.floor(F.col("slot") / per_shard).cast("int")).sortWithinPartitions("slot")
+        dealt = placed.select("slot", squeezed("ids").alias("ids")).repartitionById(shards, F.floor(F.col("slot") / per_shard).cast("int")).sortWithinPartitions("slot")
         records = dealt.select("ids").mapInArrow(open_up, "ids binary")
         records.select(F.col("ids").cast("string").alias("value")).write.option("lineSep", "\0" * GAP).text(path)
     return layout, placed.select("slot", "sequence", "spans")
@@ -184,7 +194,7 @@ def read_shards(spark: SparkSession, layout: Layout, start: int = 0) -> DataFram
                     if rows:
                         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int64(), pa.binary()))], names=["slot", "shard", "byte_offset", "ids"])
 
-    files = spark.read.format("binaryFile").load(layout.path)
+    files = small_batches(spark.read.format("binaryFile").load(layout.path))
     shard = F.regexp_extract("path", r"/part-(\d+)[^/]*$", 1).cast("int")
     return files.select(shard.alias("shard"), "content").where(F.col("shard") >= start // per).mapInArrow(run, schema)
 
