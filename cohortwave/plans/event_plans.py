@@ -389,6 +389,14 @@ def union_dedupe(d: Tables):
     return U.dedupe_events(ev, ["session_id", MONO, "event_type"]).agg(F.count("*").alias("n"))
 
 
+@plan(EV + "SELECT DISTINCT session_id, t, et AS event_type, props FROM ev JOIN events ON event_id = seq")
+def deduped_events(d: Tables):
+    """The log ingested twice, the second time without one column: every row is there once."""
+    twice = U.union_sessions(d.ev, d.ev.drop("value"))
+    ev = twice.select("session_id", F.col("t").alias(MONO), "event_type", F.col("props").alias(PAY))
+    return U.dedupe_events(ev, ["session_id", MONO, "event_type"]).select("session_id", F.col(MONO).alias("t"), "event_type", F.col(PAY).alias("props"))
+
+
 @plan(EV + "SELECT session_id, k, count(*) AS times, count(DISTINCT et) AS sessions FROM ev GROUP BY 1, 2 HAVING count(*) > 1")
 def repeat_exposure(d: Tables):
     return U.repeat_exposure(d.ev, "session_id", "k", "event_type")
@@ -495,6 +503,14 @@ def session_summary(d: Tables):
     return A.session_summary(status, n, means.select("session_id", r("click_mean", 8).alias("click_mean"), r("view_mean", 8).alias("view_mean")))
 
 
+@plan(EV + "SELECT seq AS event_seq FROM ev WHERE k % 11 = 0 OR k % 13 = 1 OR k % 17 = 2 OR k % 19 = 3")
+def incomplete_events(d: Tables):
+    """Events that lost their session, type or one of their clocks."""
+    lost = lambda m, r, c: F.when(F.coalesce(F.col("k") % m == r, F.lit(False)), None).otherwise(F.col(c))
+    ev = d.ev.withColumns({"session_id": lost(11, 0, "session_id"), "event_type": lost(13, 1, "event_type"), MONO: lost(17, 2, MONO), HOST: lost(19, 3, HOST)})
+    return Q.incomplete_rows(ev).select("event_seq")
+
+
 @plan("SELECT count(*) AS incomplete FROM events WHERE user_id IS NULL OR event_type IS NULL OR ts IS NULL")
 def incomplete_rows(d: Tables):
     return Q.incomplete_rows(d.ev).agg(F.count("*").alias("incomplete"))

@@ -289,7 +289,7 @@ def grouped_blocks(d: Tables):
     return b.groupBy("participant_id").agg(F.max("block").alias("last_block"), F.max("g").alias("groups_per_block"))
 
 
-_MERGE = """WITH e AS (SELECT s_suppkey AS line_no, 'VID_' || (s_suppkey * 40) AS code, CASE s_suppkey % 3 WHEN 0 THEN 'positive' WHEN 1 THEN 'negative' ELSE 'neutral' END AS g FROM supplier),
+_MERGE = """WITH e AS (SELECT s_suppkey AS line_no, 'VID_' || (s_suppkey * 41) AS code, CASE s_suppkey % 3 WHEN 0 THEN 'positive' WHEN 1 THEN 'negative' ELSE 'neutral' END AS g FROM supplier),
   k AS (SELECT 'VID_' || p_partkey AS code, p_brand AS g FROM part), m AS (SELECT 'VID_' || (c_custkey * 10) AS code, c_mktsegment AS emo FROM customer),
   f AS (SELECT e.*, m.emo FROM e JOIN m USING (code) WHERE NOT EXISTS (SELECT 1 FROM k WHERE k.code = e.code))
 """
@@ -300,7 +300,7 @@ def _merge(d: Tables):
         F.concat(F.lit("clip_"), "clip_id").alias("clip_id"), "valence_group", "fine_grained_label", F.concat(F.lit("VID_"), "clip_id").alias("title"), F.lit("none").alias("language"), F.lit("f").alias("file_path"), "duration_sec"
     )
     entries = d.supplier.select(
-        F.col("s_suppkey").alias("line_no"), F.concat(F.lit("VID_"), F.col("s_suppkey") * 40).alias("video_code"),
+        F.col("s_suppkey").alias("line_no"), F.concat(F.lit("VID_"), F.col("s_suppkey") * 41).alias("video_code"),
         F.when(F.col("s_suppkey") % 3 == 0, "positive").when(F.col("s_suppkey") % 3 == 1, "negative").otherwise("neutral").alias("valence_group"),
     )
     meta = d.customer.select(
