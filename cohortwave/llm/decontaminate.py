@@ -8,7 +8,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from cohortwave.llm.words import text_of
+from cohortwave.llm.words import small_batches, text_of
 
 RATE = 0.08  # errors that are allowed for each code point of a normalised item
 BLOCK_BYTES = 8 << 20  # of item texts that are searched for in one pass over the documents
@@ -122,7 +122,7 @@ def matches(docs: DataFrame, items: DataFrame, *, rate: float = RATE, id_col: st
     """
     kind = docs.select(id_col).schema[0].dataType.simpleString()
     item_kind = items.select("item_id").schema[0].dataType.simpleString()
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
+    source = small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
     schema = f"{id_col} {kind}, item_id {item_kind}, start int, end int, errors int"
 
     def search(block: list[tuple[int, str]]):
@@ -161,5 +161,5 @@ def keep_clean(docs: DataFrame, items: DataFrame, *, rate: float = RATE, text_co
         return run
 
     for b in blocks(items, most=most):
-        docs = docs.mapInArrow(keep_by(b), docs.schema)
+        docs = small_batches(docs).mapInArrow(keep_by(b), docs.schema)
     return docs

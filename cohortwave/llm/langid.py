@@ -11,7 +11,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, functions as F
 
-from cohortwave.llm.words import TypeTable, code_points, in_parts
+from cohortwave.llm.words import TypeTable, code_points, in_parts, small_batches
 
 LETTERS = re.compile(r"[^\W\d_]+")
 VOCABULARY = "piece_bpe_32k.model"  # in the folder of public tokenizers
@@ -123,8 +123,8 @@ class Model:
     def per_type(self, words: list[str]) -> np.ndarray:
         """log P(word | language) for each word."""
         out = np.zeros((len(words), self.prob.shape[1]))
-        for at in range(0, len(words), 20_000):
-            size, edges = self.lattice.edges(words[at : at + 20_000])
+        for at in range(0, len(words), 5_000):
+            size, edges = self.lattice.edges(words[at : at + 5_000])
             if len(size):
                 out[at : at + len(size)] = np.log(self.forward(size, edges)[np.arange(len(size)), size])
         return out
@@ -132,8 +132,8 @@ class Model:
     def expected(self, words: list[str], count: np.ndarray) -> np.ndarray:
         """How often each piece is expected in segmentations drawn by their probability, by language (count: likewise)."""
         out = np.zeros_like(self.prob)
-        for at in range(0, len(words), 20_000):
-            size, edges = self.lattice.edges(words[at : at + 20_000])
+        for at in range(0, len(words), 5_000):
+            size, edges = self.lattice.edges(words[at : at + 5_000])
             alpha, beta, k = self.forward(size, edges), np.zeros((len(size), int(size.max()) + 1, self.prob.shape[1])), np.arange(len(size))
             beta[k, size] = 1
             for i, n, rows, piece in reversed(edges):
@@ -211,5 +211,5 @@ def predictions(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x for x, _ in found], pa.string()), pa.array([p for _, p in found], pa.float64())], names=["id", "lang_pred", "score"])
 
     kind = docs.select(id_col).schema[0].dataType.simpleString()
-    out = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(run, f"id {kind}, lang_pred string, score double")
+    out = small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(run, f"id {kind}, lang_pred string, score double")
     return out.withColumnRenamed("id", id_col)

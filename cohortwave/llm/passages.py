@@ -7,7 +7,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from cohortwave.llm.words import text_of
+from cohortwave.llm.words import small_batches, text_of
 from cohortwave.session import keep
 
 _CUT = re.compile(r"\n|[.!?]+(?=\s)")
@@ -64,7 +64,7 @@ def all_units(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             if rows:
                 yield out()
 
-    source = docs.select(F.col(id_col).alias("id"), _text_hash(text_col).alias("text_hash"), F.col(text_col).cast("binary").alias("text"))
+    source = small_batches(docs).select(F.col(id_col).alias("id"), _text_hash(text_col).alias("text_hash"), F.col(text_col).cast("binary").alias("text"))
     return source.mapInArrow(run, f"digest binary, id {kind}, text_hash bigint, unit int, start int, end int, words int")
 
 

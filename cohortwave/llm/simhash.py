@@ -9,6 +9,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from cohortwave.llm.graph import components
+from cohortwave.llm.words import small_batches
 from cohortwave.session import keep
 
 SEED = 42
@@ -48,7 +49,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     kind = docs.select(id_col).schema[0].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), _text_hash(text_col).alias("text_hash"), F.col(text_col).cast("binary").alias("text"))
-    return rows.mapInArrow(run, f"id {kind}, text_hash bigint, fp bigint")
+    return small_batches(rows).mapInArrow(run, f"id {kind}, text_hash bigint, fp bigint")
 
 
 def close_pairs(a: np.ndarray, b: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
@@ -134,7 +135,7 @@ def links(fps: DataFrame, radius: int = 2, parts: int = 4, tile: int = 2048) ->
                 if len(u):
                     yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
 
-    return tiles.join(right, ["c", "k"]).select("fps", "b").mapInArrow(run, "u bigint, v bigint")
+    return small_batches(tiles.join(right, ["c", "k"]).select("fps", "b")).mapInArrow(run, "u bigint, v bigint")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = 3, radius: int = 2, parts: int = 4, tile: int = 2048) -> DataFrame:

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cohortwave.llm.words import TypeTable, code_points, in_parts, numbers
+from cohortwave.llm.words import TypeTable, code_points, in_parts, numbers, small_batches
 
 WORD = re.compile(r"\w+")
 SHORTEST, LONGEST = 3, 6  # code points of a subword, word ends included
@@ -73,9 +73,13 @@ class Model:
     bits: int
 
     def per_type(self, words: list[str]) -> np.ndarray:
-        grams, owner = subwords(words, self.bits)
-        n = len(words)
-        return np.stack([np.bincount(owner, weights=self.gain[grams], minlength=n), np.bincount(owner, minlength=n).astype(float)], axis=1)
+        """For each word the gain of its subwords and their number."""
+        out = np.zeros((len(words), 2))
+        for at in range(0, len(words), 5_000):  # keeps temporary arrays small
+            grams, owner = subwords(part := words[at : at + 5_000], self.bits)
+            n = len(part)
+            out[at : at + n, 0], out[at : at + n, 1] = np.bincount(owner, weights=self.gain[grams], minlength=n), np.bincount(owner, minlength=n)
+        return out
 
     def score(self, at: np.ndarray, rows: np.ndarray) -> float:
         """The most toxic bag decides, so that a few words count as much in a long text as in a short one."""
@@ -193,7 +197,7 @@ def scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(list(scored(model, table, b.column(1))), pa.float64())], names=["id", "score"])
 
     kind = docs.select(id_col).schema[0].dataType.simpleString()
-    out = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(run, f"id {kind}, score double")
+    out = small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(run, f"id {kind}, score double")
     return out.withColumnRenamed("id", id_col)
 
 
@@ -209,4 +213,4 @@ def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.5, text_col:
             texts = b.column(b.schema.get_field_index(text_col))
             yield b.filter(pa.array([s < threshold for s in scored(model, table, texts)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return small_batches(docs).mapInArrow(run, docs.schema)

@@ -6,7 +6,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import public_tokenizers
 import tiktoken
@@ -83,7 +82,7 @@ def sequences(docs: DataFrame, length: int = 1024, vocabulary: str | None = None
         for b in batches:
             for i, t in zip(b.column(0), b.column(1)):
                 packer.add(i.as_py(), encode(enc, text_of(t.as_py())))
-                if len(packer.ready) >= 1024:
+                if len(packer.ready) >= 512:
                     yield out()
         packer.flush()
         yield out()
@@ -154,19 +153,19 @@ def materialise(docs: DataFrame, path: str, *, key: int = 20240607, length: int
     total = base.agg(F.sum("n")).first()[0] or 0
     layout = Layout(path, total, length, per_shard, key)
 
-    @F.pandas_udf("bigint")
-    def slot_of(number: pd.Series) -> pd.Series:
-        return pd.Series(permute(number.to_numpy(), total, key))
+    @F.arrow_udf("bigint")
+    def slot_of(number: pa.Array) -> pa.Array:
+        return pa.array(permute(number.to_numpy(), total, key))
 
-    @F.pandas_udf("binary")
-    def squeezed(ids: pd.Series) -> pd.Series:
+    @F.arrow_udf("binary")
+    def squeezed(ids: pa.Array) -> pa.Array:
         c = zstandard.ZstdCompressor(level=LEVEL)
-        return ids.map(c.compress)
+        return pa.array([c.compress(x.as_buffer()) for x in ids], pa.binary())
 
     def open_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         d = zstandard.ZstdDecompressor()
         for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([d.decompress(x.as_py()) for x in b.column(0)], pa.binary())], names=["ids"])
+            yield pa.RecordBatch.from_arrays([pa.array([d.decompress(x.as_buffer()) for x in b.column(0)], pa.binary())], names=["ids"])
 
     placed = made.join(base.drop("n"), "task").withColumn("sequence", F.col("base") + F.col("k")).withColumn("slot", slot_of("sequence"))
     if total:

@@ -8,6 +8,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+from cohortwave.llm.words import small_batches
 from cohortwave.session import keep
 
 _NODE = [("start", "i4"), ("end", "i4"), ("inner", "i4"), ("outer", "i4"), ("vantage", "i4"), ("lo", "f8", 2), ("hi", "f8", 2)]
@@ -159,6 +160,6 @@ def nearest(
     asked = rows.where(is_query).dropDuplicates(["id", "v"]).withColumn("block", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks)).cast("int"))
     packed = asked.groupBy("dim", "block").applyInPandas(parcel, "dim int, block int, queries binary")
     pairs = keep(trees, "trees").join(packed.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))), ["dim", "shard"])
-    found = pairs.select("tree", "queries").mapInArrow(run, "query_id bigint, vec_id bigint, score double")
+    found = small_batches(pairs.select("tree", "queries")).mapInArrow(run, "query_id bigint, vec_id bigint, score double")
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -5,16 +5,28 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
 #: Types held at a time; the table starts anew beyond it. Bounds a task's memory and has no influence on results.
-MOST_TYPES = 300_000
+MOST_TYPES = 100_000
+
+
+#: Bytes of texts that go to a Python worker at a time.
+BATCH = "8m"
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """The same rows, in a session that hands them to Python workers in small batches: a batch is held by the JVM and
+    by the worker at once, so its size counts several times in an executor's memory."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH)
+    return df
 
 
 def text_of(raw: bytes | None) -> str:
     return raw.decode("utf-8", "replace") if raw else ""
 
 
-def in_parts(column: pa.Array, most: int = 1 << 20) -> Iterator[list[str]]:
+def in_parts(column: pa.Array, most: int = 1 << 19) -> Iterator[list[str]]:
     """The texts of a column a few at a time, so that only about `most` bytes of them are held as words."""
     part, held = [], 0
     for t in column:
@@ -26,6 +38,7 @@ def in_parts(column: pa.Array, most: int = 1 << 20) -> Iterator[list[str]]:
             part, held = [], 0
     if part:
         yield part
+    pa.default_memory_pool().release_unused()
 
 
 def numbers() -> defaultdict:
