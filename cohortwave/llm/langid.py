@@ -5,6 +5,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -188,13 +189,12 @@ def train(docs: DataFrame, *, held_out: tuple[int, int] = (4, 2), most: int = 30
     known = docs.where("lang is not null and text is not null").where(remainder("doc_id", held_out[0]) != held_out[1])
     short = known.where(F.octet_length("text") <= longest)
     sizes = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(100).collect()
-    key = F.xxhash64("doc_id")
-    texts, langs = [], []
-    for r in sorted(sizes):
-        rows = short.where(F.col("lang") == r.lang).select("text", key.alias("k"), "doc_id").orderBy("k", "doc_id", "text").limit(most).collect()
-        texts += [x.text for x in rows]
-        langs += [r.lang] * len(rows)
-    model = fit(texts, langs, vocabulary or vocabulary_path(), **how)
+    ids = [short.where(F.col("lang") == r.lang).where("doc_id is not null").select("doc_id", "lang").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most) for r in sorted(sizes)]
+    rows = []
+    if ids:  # ids first, then their texts: no more texts than are learned from reach the driver
+        picked = F.broadcast(reduce(DataFrame.union, ids).distinct())
+        rows = sorted(short.join(picked, ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text")).collect())
+    model = fit([r.text for r in rows], [r.lang for r in rows], vocabulary or vocabulary_path(), **how)
     counts = {r.lang: r["count"] for r in sizes}
     total = np.array([counts[g] for g in model.langs], dtype=float)
     model.prior = total / max(1.0, total.sum())

@@ -177,8 +177,8 @@ def train(docs: DataFrame, labels: DataFrame, *, most: tuple[int, int] = (1500,
     known = labels.where("toxic in (0, 1)").where(remainder("doc_id", held_out) != 0).select("doc_id", F.col("toxic").cast("int").alias("toxic")).distinct()
     first = [known.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for k, n in enumerate(most)]
     picked = docs.select("doc_id", "text").join(F.broadcast(first[0].union(first[1])), "doc_id").where(F.octet_length("text") <= longest)
-    # copies of a document may share its id: no more rows than were picked
-    rows = picked.orderBy(F.xxhash64("doc_id"), "doc_id", "text", "toxic").limit(sum(most)).collect()
+    # rows may share an id; one text of each is enough, and no more than were picked
+    rows = sorted(picked.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).collect(), key=lambda r: (r.doc_id, r.toxic))
     return fit([r.text for r in rows], [r.toxic for r in rows], **how)
 
 
