@@ -252,11 +252,12 @@ def align_samples(samples: DataFrame, sync: DataFrame, recordings: DataFrame | N
     return samples.join(offset, "recording_id").withColumn("wall", F.col("__sync") + F.col("rel_sec")).drop("__sync")
 
 
-def align_samples_multi(samples: DataFrame, sync: DataFrame, keys: Sequence[str] = ("session_id", "device_id"), width: Slicing = None) -> DataFrame:
+def align_samples_multi(samples: DataFrame, sync: DataFrame, keys: Sequence[str] = ("session_id", "device_id"), width: Slicing = None, bucket: float = 3600.0) -> DataFrame:
     """Offset interpolated between sync records that carry a device counter; end slopes extended.
 
-    Each record is turned into the line that starts at it, so a sample needs one as-of record.
-    With one record this is J14.
+    Two neighbouring records are a line on the half-open range between them, which samples meet in buckets of
+    `bucket` seconds; before the first and after the last record they take that record's line. Samples are joined
+    to these few rows and never sorted in time. With one record this is J14.
     """
     ok = sync.where("result = 'ok' AND device_rel_sec IS NOT NULL").select(
         *keys, F.col("device_rel_sec").alias("r"), (F.col("sync_time_host_utc") - F.col("device_rel_sec")).alias("o")
@@ -267,16 +268,12 @@ def align_samples_multi(samples: DataFrame, sync: DataFrame, keys: Sequence[str]
     slope = F.coalesce(
         F.try_divide(F.col("nxt.o") - F.col("o"), F.col("nxt.r") - F.col("r")), F.try_divide(F.col("o") - F.col("prv.o"), F.col("r") - F.col("prv.r")), F.lit(0.0)
     )
-    lines = both.withColumn("slope", slope)
-    # samples before the first record extend the first line backwards
-    start = F.when(F.col("prv").isNull(), F.lit(float("-inf"))).otherwise(F.col("r"))
-    lines = both.select(*keys, start.alias("__from"), F.struct("r", "o", slope.alias("slope")).alias("__l"))
-    return (
-        asof_join(samples, lines, keys, "rel_sec", "__from", ["__l"], width)
-        .where("__l IS NOT NULL")
-        .withColumn("wall", F.col("rel_sec") + F.col("__l.o") + F.col("__l.slope") * (F.col("rel_sec") - F.col("__l.r")))
-        .drop("__l")
-    )
+    lines = both.select(*keys, F.struct("r", "o", slope.alias("slope")).alias("__l"), F.col("r").alias("__t0"), F.col("nxt.r").alias("__t1"))
+    ends = lines.groupBy(*keys).agg(F.min_by("__l", "__t0").alias("__first"), F.max_by("__l", "__t0").alias("__last"))
+    at = F.col("rel_sec")
+    line = F.when(at < F.col("__first.r"), F.col("__first")).when(at >= F.col("__last.r"), F.col("__last")).otherwise(F.col("__l"))
+    met = range_join(samples.join(ends, list(keys)), lines.where("__t1 IS NOT NULL"), keys, "rel_sec", "__t0", "__t1", bucket, how="left")
+    return met.withColumn("__l", line).withColumn("wall", at + F.col("__l.o") + F.col("__l.slope") * (at - F.col("__l.r"))).select(*samples.columns, "wall")
 
 
 def label_samples(samples: DataFrame, intervals: DataFrame, keys: Sequence[str] = ("session_id",), bucket: float = 60.0, keep_unlabelled: bool = False) -> DataFrame:

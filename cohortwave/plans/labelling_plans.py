@@ -124,7 +124,7 @@ def align_samples_multi(d: Tables):
     rel = F.col("t") - 1704067200
     s = d.ev.select("session_id", F.lit("dev").alias("device_id"), F.col("event_seq").alias("sample_idx"), rel.alias("rel_sec"))
     sync = d.ev.where("event_type = 'signup'").select("session_id", F.lit("dev").alias("device_id"), (F.col("t") + F.col("k") * 0.01).alias("sync_time_host_utc"), rel.alias("device_rel_sec"), F.lit("ok").alias("result"))
-    return J.align_samples_multi(s, sync, width=d.cuts()).select("session_id", "sample_idx", r("wall", 3).alias("wall"))
+    return J.align_samples_multi(s, sync, bucket=86400.0).select("session_id", "sample_idx", r("wall", 3).alias("wall"))
 
 
 @plan("""SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS participant_id,
