@@ -81,7 +81,8 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
     """
     rows = keep(all_units(docs, id_col, text_col), "units")
     held = rows.groupBy("digest").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.max(F.col("id").isNull()).alias("nulls"))
-    shared = held.where("lo < hi or (nulls and lo is not null)").select("digest", "lo")
+    # a written table, so that either side of the join has its own exchange and Spark can split a frequent digest
+    shared = keep(held.where("lo < hi or (nulls and lo is not null)").select("digest", "lo"), "shared")
     again = rows.join(shared, "digest").where(~F.col("id").eqNullSafe(F.col("lo"))).drop("digest")
     again = again.dropDuplicates(["id", "text_hash", "unit"])
     run = F.col("unit") - F.row_number().over(W.partitionBy("id", "text_hash").orderBy("unit"))
