@@ -1,4 +1,4 @@
-"""Passages that repeat across documents: sentences and lines are hashed, the earliest document keeps them."""
+"""Passages that repeat: sentences and lines are hashed, the earliest occurrence keeps them."""
 
 import re
 from collections.abc import Iterator
@@ -13,21 +13,26 @@ from cohortwave.session import keep
 _CUT = re.compile(r"\n|[.!?]+(?=\s)")
 _WORD = re.compile(r"[^\W_]+")
 SHORT = 6  # a unit of fewer words is known by its neighbours too
-LEAST = 16  # words of a passage that one earlier document holds
+LEAST = 16  # words of a passage, whichever documents keep them
+# Scripts without blanks between words: Thai, Lao, Myanmar, Khmer, kana and ideographs.
+_UNSPACED = "\u0e01-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_LENGTH = re.compile(rf"[{_UNSPACED}]|[^\W_{_UNSPACED}]+")
 
 
 def units(text: str) -> Iterator[tuple[bytes, int, int, int]]:
     """(digest, start, end, words) of every sentence or line that has words, in order.
 
     Digests are of lower-case words only. A unit of fewer than SHORT words counts as equal only between equal
-    neighbours, so that "And." in two texts says nothing, and yet a whole passage is found.
+    neighbours, so that "And." in two texts says nothing, and yet a whole passage is found. In scripts without blanks
+    every code point counts as a word.
     """
     ends = [m.end() for m in _CUT.finditer(text)] + [len(text)]
     found, start = [], 0
     for end in ends:
-        words = _WORD.findall(text[start:end].lower())
+        unit = text[start:end].lower()
+        words = _WORD.findall(unit)
         if words:
-            found.append((" ".join(words), start, end, len(words)))
+            found.append((" ".join(words), start, end, len(words) if unit.isascii() else len(_LENGTH.findall(unit))))
         start = end
     for i, (key, start, end, n) in enumerate(found):
         if n < SHORT:
@@ -72,8 +77,8 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
     """(id, text_hash, start, end, words, units, kept_in): passages to remove, in code points of the text as it is.
 
     Units that several documents hold stay in the document of the smallest id (the earliest rank; a null id is the
-    latest) and are repeats in all others. A passage is a run of neighbouring repeats, at least `least` words of
-    which one document keeps; `kept_in` lists all documents that keep its units. Repeats inside one document, and shorter runs (stock
+    latest) and are repeats in all others. A passage is a run of neighbouring repeats of at least `least` words in
+    all, whichever documents keep them; `kept_in` lists those documents. Repeats inside one document, and shorter runs (stock
     lines), are left alone. Null and empty texts have no units. Rows that share id and text give their passages once.
 
     Digests are pre-aggregated before they are shuffled, and only repeated ones are joined back, so a passage in a third
@@ -86,14 +91,10 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
     again = rows.join(shared, "digest").where(~F.col("id").eqNullSafe(F.col("lo"))).drop("digest")
     again = again.dropDuplicates(["id", "text_hash", "unit"])
     run = F.col("unit") - F.row_number().over(W.partitionBy("id", "text_hash").orderBy("unit"))
-    of_one = again.withColumn("run", run).groupBy("id", "text_hash", "run", "lo").agg(
-        F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").cast("int").alias("words"), F.count("*").cast("int").alias("units")
+    runs = again.withColumn("run", run).groupBy("id", "text_hash", "run").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").cast("int").alias("words"), F.count("*").cast("int").alias("units"), F.sort_array(F.collect_set("lo")).alias("kept_in")
     )
-    runs = of_one.groupBy("id", "text_hash", "run").agg(
-        F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").cast("int").alias("words"), F.sum("units").cast("int").alias("units"),
-        F.max("words").alias("most"), F.sort_array(F.collect_set("lo")).alias("kept_in"),
-    )
-    return runs.where(F.col("most") >= least).select(F.col("id").alias(id_col), "text_hash", "start", "end", "words", "units", "kept_in")
+    return runs.where(F.col("words") >= least).select(F.col("id").alias(id_col), "text_hash", "start", "end", "words", "units", "kept_in")
 
 
 def cut_out(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

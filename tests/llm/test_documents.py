@@ -246,3 +246,15 @@ def test_passages(spark, odd, odd_clashing, nothing):
         assert cut[i] == texts[i][:start] + texts[i][end:]
     assert all(cut[i] == texts[i] for i in range(61))
     assert passages.repeated(nothing).count() == 0 and passages.cut_out(nothing, passages.repeated(nothing)).count() == 0
+
+
+def test_passages_whose_keepers_scatter(spark):
+    """Five sentences of 12 words, each first seen in another document: no keeper has 16 words, the run has 60."""
+    rng = random.Random(8)
+    parts = [sentence(rng, 12) for _ in range(5)]
+    rows = [(i, f"{sentence(rng)}\n{p}\n{sentence(rng)}", None, None, None) for i, p in enumerate(parts)]
+    rows.append((9, f"{sentence(rng)}\n" + " ".join(parts) + f"\n{sentence(rng)}", None, None, None))
+    han = "".join(chr(0x4E00 + rng.randrange(5000)) for _ in range(40))  # one word for \w, 40 code points
+    rows += [(i, f"{sentence(rng)}\n{han}\n{sentence(rng)}", None, None, None) for i in (20, 21)]
+    got = {(r.doc_id, r.words, r.units, tuple(r.kept_in)) for r in passages.repeated(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {(9, 60, 5, (0, 1, 2, 3, 4)), (21, 40, 1, (20,))}
