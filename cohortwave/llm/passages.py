@@ -76,22 +76,26 @@ def all_units(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, least: int = LEAST) -> DataFrame:
     """(id, text_hash, start, end, words, units, kept_in): passages to remove, in code points of the text as it is.
 
-    Units that several documents hold stay in the document of the smallest id (the earliest rank; a null id is the
-    latest) and are repeats in all others. A passage is a run of neighbouring repeats of at least `least` words in
-    all, whichever documents keep them; `kept_in` lists those documents. Repeats inside one document, and shorter runs (stock
-    lines), are left alone. Null and empty texts have no units. Rows that share id and text give their passages once.
+    Of a unit that occurs more than once the first occurrence stays, by (id, text_hash, position); a null id is the
+    latest. All others are repeats, also in the document that keeps it and in a text that repeats itself. A passage is a
+    run of neighbouring repeats of at least `least` words in all, whichever documents keep them; `kept_in` lists the ids
+    of those documents, without null. Shorter runs (stock lines) are left alone. Null and empty texts have no units. Rows that share id
+    and text are one document: they give their passages once, and are no repeats of each other.
 
-    Digests are pre-aggregated before they are shuffled, and only repeated ones are joined back, so a passage in a third
+    Digests are counted before they are shuffled, and only repeated ones are joined back, so a passage in a third
     of all documents is one row of the small side of a join whose large side can be split.
     """
     rows = keep(all_units(docs, id_col, text_col), "units")
-    held = rows.groupBy("digest").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.max(F.col("id").isNull()).alias("nulls"))
-    # a written table, so that either side of the join has its own exchange and Spark can split a frequent digest
-    shared = keep(held.where("lo < hi or (nulls and lo is not null)").select("digest", "lo"), "shared")
-    again = rows.join(shared, "digest").where(~F.col("id").eqNullSafe(F.col("lo"))).drop("digest")
-    again = again.dropDuplicates(["id", "text_hash", "unit"])
+    # written tables, so that either side of a join has its own exchange and Spark can split a frequent digest
+    often = keep(rows.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest"), "often")
+    again = keep(rows.join(often, "digest"), "again")
+    place = F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash", "unit")
+    held = again.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    shared = keep(held.where(~F.col("first").eqNullSafe(F.col("last"))).select("digest", "first"), "shared")
+    repeats = again.join(shared, "digest").where(~place.eqNullSafe(F.col("first"))).withColumn("lo", F.col("first.id")).drop("digest", "first")
+    repeats = repeats.dropDuplicates(["id", "text_hash", "unit"])
     run = F.col("unit") - F.row_number().over(W.partitionBy("id", "text_hash").orderBy("unit"))
-    runs = again.withColumn("run", run).groupBy("id", "text_hash", "run").agg(
+    runs = repeats.withColumn("run", run).groupBy("id", "text_hash", "run").agg(
         F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").cast("int").alias("words"), F.count("*").cast("int").alias("units"), F.sort_array(F.collect_set("lo")).alias("kept_in")
     )
     return runs.where(F.col("words") >= least).select(F.col("id").alias(id_col), "text_hash", "start", "end", "words", "units", "kept_in")

@@ -258,3 +258,18 @@ def test_passages_whose_keepers_scatter(spark):
     rows += [(i, f"{sentence(rng)}\n{han}\n{sentence(rng)}", None, None, None) for i in (20, 21)]
     got = {(r.doc_id, r.words, r.units, tuple(r.kept_in)) for r in passages.repeated(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert got == {(9, 60, 5, (0, 1, 2, 3, 4)), (21, 40, 1, (20,))}
+
+
+def test_passages_inside_one_document(spark):
+    """Further copies go, in the keeper and in a text that only repeats itself; repeated rows are no repeats."""
+    rng = random.Random(9)
+    once, twice, apart = (sentence(rng, 20) for _ in range(3))
+    own = "\n".join([once, sentence(rng), once, once])
+    rows = [(1, f"{twice}\n{sentence(rng)}\n{twice}", None, None, None), (2, f"{sentence(rng)}\n{twice}", None, None, None), (3, own, None, None, None), (4, f"{apart}\n{sentence(rng)}", None, None, None)]
+    rows += [rows[-1], (5, f"{apart} {sentence(rng)}", None, None, None), (5, f"{apart} {sentence(rng)}", None, None, None)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    found = passages.repeated(docs)
+    got = Counter((r.doc_id, r.words, r.units, tuple(r.kept_in)) for r in found.collect())
+    assert got == Counter({(1, 20, 1, (1,)): 1, (2, 20, 1, (1,)): 1, (3, 40, 2, (3,)): 1, (5, 20, 1, (4,)): 2})
+    left = [r.text for r in passages.cut_out(docs, found).collect()]
+    assert [sum(t.count(p[:-1]) for t in left) for p in (once, twice)] == [1, 1] and sum(apart[:-1] in t for t in left) == 2
