@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortwave.llm import decontaminate, langid, linedup, mixing, passages, rendezvous, simhash, toxicity, training_order, vptree
+from cohortwave.llm import decontaminate, langid, linedup, merkle, mixing, passages, rendezvous, simhash, toxicity, training_order, vptree
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,10 +62,24 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    others = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    leaf = merkle.leaf(*others, F.col("text"))
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    given = F.when(tampered, merkle.leaf(*others, merkle.lower_ascii(F.col("text"))))
+    out = merkle.proofs(docs, "doc_id", "source", leaf, given=given).withColumn("folded", merkle.folded(F.coalesce("given", "leaf"), F.col("path")))
+    return out.select(
+        "doc_id", *[merkle.as_hex(F.col(c)).alias(c) for c in ("leaf", "subroot", "root")], merkle.proof_hash(F.col("path")).alias("proof_sha256"),
+        merkle.as_hex(F.col("folded")).alias("folded_root"), (F.col("folded") == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_simhash, op2_decontaminate, op3_langid, op4_training_order, op5_vptree, op6_passages, op7_line_bitmaps, op8_pareto_mix, op9_rendezvous, op10_toxicity,
+        op12_merkle,
     )
 }
-SQL: dict[str, str] = {"op7_line_bitmaps": linedup.SQL, "op8_pareto_mix": mixing.SQL}
+SQL: dict[str, str] = {"op7_line_bitmaps": linedup.SQL, "op8_pareto_mix": mixing.SQL, "op12_merkle": merkle.SQL}
