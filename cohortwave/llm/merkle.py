@@ -92,11 +92,11 @@ def proofs(rows: DataFrame, id_col: str, group_col: str, leaf: Column, **carried
     g = F.coalesce(F.concat(F.lit("="), F.col(group_col).cast("string")), F.lit(""))
     named = {f"carried_{k}": v for k, v in carried.items()}
     digests = keep(rows.select(F.col(id_col).alias("id"), g.alias("g"), leaf.alias("digest"), *[v.alias(k) for k, v in named.items()]), "leaves")
-    levels = _levels(placed(digests, "g", ["id", "digest"], "ranges"))
+    levels = _levels(placed(digests, "g", ["id", "digest"], "ranges")[0].drop("at"))
     subroots = levels[0].where("n = 1").select("g", "digest")
     for level in levels[1:]:
         subroots = subroots.union(level.where("n = 1").select("g", "digest"))
-    groups = placed(keep(subroots.select(F.lit("all").alias("g"), F.col("g").alias("of"), F.col("digest"), F.col("digest").alias("subroot")), "subroots"), "g", ["of"], "groups")
+    groups = placed(keep(subroots.select(F.lit("all").alias("g"), F.col("g").alias("of"), F.col("digest"), F.col("digest").alias("subroot")), "subroots"), "g", ["of"], "groups")[0].drop("at")
     upper = _levels(groups)
     root = upper[-1].select("g", F.col("digest").alias("root"), F.expr("CAST(array() AS array<struct<left: binary, right: binary>>)").alias("path"))
     tops = keep(_paths(upper, root).select(F.col("of").alias("g"), "subroot", "root", "path"), "tops")
@@ -113,7 +113,7 @@ def proof_hash(path: Column) -> Column:
     return F.sha2(F.array_join(F.transform(path, lambda s: as_hex(F.concat(s["left"], s["right"]))), ""), 256)
 
 
-def _crc32(text: str) -> str:
+def crc32_sql(text: str) -> str:
     """CRC-32 of an ASCII text as DuckDB SQL: a byte is mixed in, then eight shifts."""
     steps = f"flatten(list_transform(string_split({text}, ''), lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))"
     return f"xor(list_reduce(list_prepend(4294967295, {steps}), lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295)"
@@ -139,7 +139,7 @@ SQL = f"""
 WITH RECURSIVE leaves AS (
   SELECT doc_id, coalesce('=' || source, '') AS g, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS pos, count(*) OVER (PARTITION BY source) AS n,
          sha256({" || ".join(map(_field_sql, [*_FIELDS, "text"]))}) AS leaf,
-         sha256({" || ".join(map(_field_sql, [*_FIELDS, f"CASE WHEN {_crc32('doc_id::VARCHAR')} % 5 = 0 THEN translate(text, '{_UPPER}', '{_UPPER.lower()}') ELSE text END"]))}) AS given
+         sha256({" || ".join(map(_field_sql, [*_FIELDS, f"CASE WHEN {crc32_sql('doc_id::VARCHAR')} % 5 = 0 THEN translate(text, '{_UPPER}', '{_UPPER.lower()}') ELSE text END"]))}) AS given
   FROM documents),
 {_grow_sql("nodes", "SELECT 0 AS level, g, pos, leaf AS digest, n FROM leaves")},
 subroots AS (SELECT g, digest, row_number() OVER (ORDER BY g) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1),
