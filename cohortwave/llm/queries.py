@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortwave.llm import decontaminate, langid, linedup, merkle, mixing, passages, rendezvous, simhash, toxicity, training_order, turns, vptree
+from cohortwave.llm import decontaminate, langid, linedup, merkle, minhash, mixing, passages, rendezvous, simhash, toxicity, training_order, turns, vptree
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,6 +62,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     others = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
@@ -84,7 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_simhash, op2_decontaminate, op3_langid, op4_training_order, op5_vptree, op6_passages, op7_line_bitmaps, op8_pareto_mix, op9_rendezvous, op10_toxicity,
-        op12_merkle, op13_turns,
+        op11_minhash, op12_merkle, op13_turns,
     )
 }
-SQL: dict[str, str] = {"op7_line_bitmaps": linedup.SQL, "op8_pareto_mix": mixing.SQL, "op12_merkle": merkle.SQL, "op13_turns": turns.SQL}
+SQL: dict[str, str] = {"op7_line_bitmaps": linedup.SQL, "op8_pareto_mix": mixing.SQL, "op11_minhash": minhash.SQL, "op12_merkle": merkle.SQL, "op13_turns": turns.SQL}
