@@ -7,10 +7,12 @@ from collections.abc import Iterator
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from cohortwave.llm.words import small_batches, text_of
 
 RATE = 0.08  # errors that are allowed for each code point of a normalised item
+LEAST = 20  # code points of a normalised item; shorter ones ("yes", "one of them") are in any text and say nothing
 BLOCK_BYTES = 8 << 20  # of item texts that are searched for in one pass over the documents
 _NO_WORD = re.compile(r"[\W_]+")
 _WORD = re.compile(r"[^\W_]+")
@@ -44,10 +46,11 @@ def distance(pattern: str, text: str, most: int) -> tuple[int, int]:
 
 
 class Matcher:
-    """All pieces of a block of items in one automaton."""
+    """All pieces of a block of items in one automaton. Items match whole words: both sides are searched with a blank
+    at either end."""
 
-    def __init__(self, items: list[tuple[int, str]], rate: float = RATE):
-        self.items = [(i, t, int(rate * len(t))) for i, t in ((i, normalise(t)) for i, t in items) if t]
+    def __init__(self, items: list[tuple[int, str]], rate: float = RATE, least: int = LEAST):
+        self.items = [(i, f" {t} ", int(rate * len(t))) for i, t in ((i, normalise(t)) for i, t in items) if len(t) >= max(1, least)]
         self.automaton = ahocorasick.Automaton()
         places: dict[str, list[tuple[int, int]]] = {}
         for n, (_, t, k) in enumerate(self.items):
@@ -66,6 +69,7 @@ class Matcher:
         """
         if not self.items or not text:
             return []
+        text = f" {text} "
         near: dict[int, set[int]] = {}
         for end, (size, where) in self.automaton.iter(text):
             for n, a in where:
@@ -82,13 +86,14 @@ class Matcher:
                     spans.append([lo, hi, s])
             for lo, hi, _ in spans:
                 if (at := text.find(t, lo, hi)) >= 0:
-                    out.append((item, at, at + len(t), 0))
+                    out.append((item, at, at + len(t) - 2, 0))
                     continue
                 errors, end = distance(t, text[lo:hi], k)
                 if errors <= k:
                     back = distance(t[::-1], text[lo : lo + end][::-1], k)[1]
-                    out.append((item, lo + end - back, lo + end, errors))
-        return sorted(out)
+                    start = max(0, lo + end - back - 1)
+                    out.append((item, start + (text[start + 1] == " "), min(lo + end, len(text) - 1) - 1, errors))
+        return sorted(out, key=lambda x: (x[1:], x[0] is None, str(x[0])))
 
 
 def original(text: str, spans: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
@@ -113,21 +118,24 @@ def blocks(items: DataFrame, id_col: str = "item_id", text_col: str = "text", mo
         yield [(r.id, r.text) for r in rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k).collect()]
 
 
-def matches(docs: DataFrame, items: DataFrame, *, rate: float = RATE, id_col: str = "doc_id", text_col: str = "text", most: int = BLOCK_BYTES) -> DataFrame:
+def matches(docs: DataFrame, items: DataFrame, *, rate: float = RATE, least: int = LEAST, id_col: str = "doc_id", text_col: str = "text", most: int = BLOCK_BYTES) -> DataFrame:
     """(doc id, item_id, start, end, errors): every place of a document, in code points of its text, that holds an item
-    with at most rate * length errors (inserted, lost or changed letters of the normalised texts).
+    with at most rate * length errors (inserted, lost or changed letters of the normalised texts), from word border to
+    word border. Items of fewer than `least` code points match nothing: they would be found in most texts.
 
     Documents are read once for each block of items, whole and without a shuffle. Items without a word, null items and null
-    or empty documents match nothing. Items with the same text all match; repeated documents are reported each.
+    or empty documents match nothing. Items with the same text all match, also those without id; repeated documents are reported each.
+    An empty table on either side gives no rows. Other columns are not looked at.
     """
     kind = docs.select(id_col).schema[0].dataType.simpleString()
     item_kind = items.select("item_id").schema[0].dataType.simpleString()
+    item_type = to_arrow_type(items.schema["item_id"].dataType)
     source = small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
     schema = f"{id_col} {kind}, item_id {item_kind}, start int, end int, errors int"
 
     def search(block: list[tuple[int, str]]):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            finder = Matcher(block, rate)
+            finder = Matcher(block, rate, least)
             for b in batches:
                 rows = []
                 for row, t in enumerate(b.column(1)):
@@ -137,7 +145,7 @@ def matches(docs: DataFrame, items: DataFrame, *, rate: float = RATE, id_col: st
                 if rows:
                     row, item, start, end, errors = zip(*rows)
                     ids = b.column(0).take(pa.array(row))
-                    yield pa.RecordBatch.from_arrays([ids, pa.array(item), *[pa.array(c, pa.int32()) for c in (start, end, errors)]], names=[id_col, "item_id", "start", "end", "errors"])
+                    yield pa.RecordBatch.from_arrays([ids, pa.array(item, item_type), *[pa.array(c, pa.int32()) for c in (start, end, errors)]], names=[id_col, "item_id", "start", "end", "errors"])
 
         return source.mapInArrow(run, schema)
 
@@ -148,12 +156,12 @@ def matches(docs: DataFrame, items: DataFrame, *, rate: float = RATE, id_col: st
     return out
 
 
-def keep_clean(docs: DataFrame, items: DataFrame, *, rate: float = RATE, text_col: str = "text", most: int = BLOCK_BYTES) -> DataFrame:
-    """The rows of `docs` that hold no item, all columns kept."""
+def keep_clean(docs: DataFrame, items: DataFrame, *, rate: float = RATE, least: int = LEAST, text_col: str = "text", most: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of `docs` that hold no item (see `matches`), all columns kept."""
 
     def keep_by(block: list[tuple[int, str]]):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            finder = Matcher(block, rate)
+            finder = Matcher(block, rate, least)
             for b in batches:
                 texts = b.column(b.schema.get_field_index(text_col))
                 yield b.filter(pa.array([not finder.find(normalise(text_of(t.as_buffer().to_pybytes() if t.is_valid else None))) for t in texts], pa.bool_()))
