@@ -1,23 +1,22 @@
 """Language ID: unigram pieces of a fixed vocabulary, all segmentations of a word summed."""
 
 import os
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import regex
 import sentencepiece
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from cohortwave.llm.words import TypeTable, code_points, in_parts, small_batches
 
-LETTERS = re.compile(r"[^\W\d_]+")
+LETTERS = regex.compile(r"\p{L}+")
 VOCABULARY = "piece_bpe_32k.model"  # in the folder of public tokenizers
-LONGEST_PIECE = 12
-RUN = 32  # longer runs of letters are scored in parts of so many, so that no product of probabilities vanishes
+RESCALE = 8  # letters after which sums of products of probabilities are scaled, so that none vanishes however long a word is
+CELLS = 1 << 16  # letters of words that are worked on together; a longer word is alone
 UNKNOWN = 1e-7  # probability of a letter that no piece has, alike in all languages
 _START = "▁"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -26,20 +25,28 @@ UNDECIDED = "und"
 
 def words_of(text: str) -> list[str]:
     """Runs of letters, lower-cased, with the vocabulary's mark for the start of a word."""
-    out = []
-    for w in LETTERS.findall(text.lower()):
-        w = _START + w
-        out += [w] if len(w) <= RUN else [w[i : i + RUN] for i in range(0, len(w), RUN)]
-    return out
+    return [_START + w for w in LETTERS.findall(text.lower())]
 
 
 def pieces_of(path: str) -> list[str]:
     """Lower-case pieces of letters of a vocabulary, and their single letters."""
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
-    pieces = {p for i in range(sp.get_piece_size()) if 0 < len(p := sp.id_to_piece(i).lower()) <= LONGEST_PIECE and LETTERS.fullmatch(p.removeprefix(_START) or "a")}
+    pieces = {p for i in range(sp.get_piece_size()) if (p := sp.id_to_piece(i).lower()) and LETTERS.fullmatch(p.removeprefix(_START) or "a")}
     return sorted(pieces | {c for p in pieces for c in p})
 
 
+def parts_of(words: list[str]) -> Iterator[list[int]]:
+    """Places of words in parts of about CELLS letters, like lengths together."""
+    part: list[int] = []
+    for i in sorted(range(len(words)), key=lambda i: len(words[i])):
+        if part and (len(part) + 1) * len(words[i]) > CELLS:
+            yield part
+            part = []
+        part.append(i)
+    if part:
+        yield part
+
+
 class Lattice:
     """Places of all pieces in words: positions are cut out by a rolling hash and found in a table of hashes."""
 
@@ -51,6 +58,7 @@ class Lattice:
         self.bits = 20
         self.first = np.searchsorted(self.hashes >> np.uint64(64 - self.bits), np.arange((1 << self.bits) + 1, dtype=np.uint64))
         self.deepest = int(np.diff(self.first).max())
+        self.longest = max(map(len, pieces))
 
     @staticmethod
     def _step(h, c):
@@ -72,26 +80,21 @@ class Lattice:
             out = np.where(self.hashes[i] == h, self.order[i], out)
         return out
 
-    def edges(self, words: list[str]) -> tuple[np.ndarray, list[tuple[int, int, np.ndarray, np.ndarray]]]:
-        """Lengths, and for each (start, size) the words and the pieces that fit there, by start and size."""
+    def fits(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Lengths, and for each word, place and size (less one) the piece that begins there: -1 for an unknown letter, -2
+        for none."""
         size = np.fromiter(map(len, words), np.int64, len(words))
         wide = int(size.max(initial=0))
         grid = np.zeros((len(words), wide), np.uint64)
         grid[np.arange(wide) < size[:, None]] = code_points("".join(words))
-        found = []
-        for i in range(wide):
-            rows = np.nonzero(size > i)[0]
-            h = np.zeros(len(rows), np.uint64)
-            for n in range(1, min(LONGEST_PIECE, wide - i) + 1):
-                left = size[rows] >= i + n
-                rows, h = rows[left], h[left]
-                h = self._step(h, grid[rows, i + n - 1])
-                piece = self.find(h)
-                hit = piece >= 0
-                if n == 1:  # every letter is a piece, or an unknown one
-                    hit[:] = True
-                found.append((i, n, rows[hit], piece[hit]))
-        return size, found
+        out = np.full((len(words), wide, min(wide, self.longest)), -2, np.int32)
+        h = np.zeros_like(grid)
+        for n in range(1, out.shape[2] + 1):
+            h = self._step(h[:, : wide - n + 1], grid[:, n - 1 :])
+            inside = np.arange(wide - n + 1) + n <= size[:, None]
+            piece = self.find(h[inside])
+            out[:, : wide - n + 1, n - 1][inside] = piece if n == 1 else np.where(piece < 0, -2, piece)
+        return size, out
 
 
 @dataclass
@@ -113,35 +116,56 @@ class Model:
             self._lattice = Lattice(self.pieces)
         return self._lattice
 
-    def forward(self, size: np.ndarray, edges: list) -> np.ndarray:
-        """alpha[word, position, language]: the summed probability of all segmentations of the first letters."""
-        alpha = np.zeros((len(size), int(size.max(initial=0)) + 1, self.prob.shape[1]))
-        alpha[:, 0] = 1
-        for i, n, rows, piece in edges:
-            alpha[rows, i + n] += alpha[rows, i] * self.prob[piece]
-        return alpha
+    def sums(self, size: np.ndarray, piece: np.ndarray, back: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """(values, logs): exp(logs) * values[word, place, language] is the summed probability of all segmentations of the
+        letters before a place, or with `back` of those from it. Each language is scaled by itself."""
+        words, wide, longest = piece.shape
+        prob = np.concatenate([self.prob[:-1], np.zeros((1, self.prob.shape[1])), self.prob[-1:]])  # -2: none, -1: unknown
+        value = np.zeros((words, wide + 1, prob.shape[1]))
+        logs = np.zeros_like(value)
+        value[np.arange(words), size if back else 0] = 1
+        for step in range(1, wide + 1):
+            i = wide - step if back else step
+            n = np.arange(1, min(longest, step) + 1)
+            if back:
+                got = (value[:, i + n] * prob[piece[:, i, : len(n)]]).sum(axis=1)
+                live = size > i
+            else:
+                got = (value[:, i - n] * prob[piece[:, i - n, n - 1]]).sum(axis=1)
+                live = size >= i
+            value[live, i] = got[live]
+            logs[live, i] = logs[live, i + 1 if back else i - 1]
+            if step % RESCALE == 0:
+                near = slice(i, i + longest + 1) if back else slice(max(0, i - longest), i + 1)
+                scale = np.where(live[:, None], value[:, i], 1.0)[:, None]
+                value[:, near] /= scale
+                logs[:, near] += np.log(scale)
+        return value, logs
 
     def per_type(self, words: list[str]) -> np.ndarray:
         """log P(word | language) for each word."""
         out = np.zeros((len(words), self.prob.shape[1]))
-        for at in range(0, len(words), 5_000):
-            size, edges = self.lattice.edges(words[at : at + 5_000])
-            if len(size):
-                out[at : at + len(size)] = np.log(self.forward(size, edges)[np.arange(len(size)), size])
+        for part in parts_of(words):
+            size, piece = self.lattice.fits([words[i] for i in part])
+            value, logs = self.sums(size, piece)
+            k = np.arange(len(size))
+            out[part] = np.log(value[k, size]) + logs[k, size]
         return out
 
     def expected(self, words: list[str], count: np.ndarray) -> np.ndarray:
         """How often each piece is expected in segmentations drawn by their probability, by language (count: likewise)."""
         out = np.zeros_like(self.prob)
-        for at in range(0, len(words), 5_000):
-            size, edges = self.lattice.edges(words[at : at + 5_000])
-            alpha, beta, k = self.forward(size, edges), np.zeros((len(size), int(size.max()) + 1, self.prob.shape[1])), np.arange(len(size))
-            beta[k, size] = 1
-            for i, n, rows, piece in reversed(edges):
-                beta[rows, i] += self.prob[piece] * beta[rows, i + n]
-            scale = count[at : at + len(size)] / alpha[k, size]
-            for i, n, rows, piece in edges:
-                np.add.at(out, piece, alpha[rows, i] * self.prob[piece] * beta[rows, i + n] * scale[rows])
+        for part in parts_of(words):
+            size, piece = self.lattice.fits([words[i] for i in part])
+            (a, la), (b, lb), k = self.sums(size, piece), self.sums(size, piece, back=True), np.arange(len(size))
+            whole = (np.log(a[k, size]) + la[k, size])[:, None]
+            for n in range(1, piece.shape[2] + 1):
+                ends = a.shape[1] - n
+                here = piece[:, :ends, n - 1]
+                row, at = np.nonzero(here != -2)
+                p = here[row, at]
+                share = a[row, at] * self.prob[p] * b[row, at + n] * np.exp(la[row, at] + lb[row, at + n] - whole[row, 0])
+                np.add.at(out, p, share * count[np.array(part)[row]])
         return out
 
     def decide(self, at: np.ndarray, rows: np.ndarray) -> tuple[str, float]:
@@ -183,17 +207,18 @@ def vocabulary_path(folder: str = "/opt/tokenizers", name: str = VOCABULARY) ->
 def train(docs: DataFrame, *, held_out: tuple[int, int] = (4, 2), most: int = 300, longest: int = 20_000, vocabulary: str | None = None, **how) -> Model:
     """Learn from the texts of rows with a language, less those whose id's CRC-32 leaves `held_out`.
 
-    A bounded sample: `most` rows of each language, those first by a hash of the id, of texts of at most
-    `longest` bytes. Languages are few (at most 100 are learned, the most frequent ones).
+    A bounded sample, the only one: of each language `most` rows, those first by a hash of the id, of texts of at most
+    `longest` bytes, or the shortest text where a language has no such one. Every language is learned; rows without id
+    are not learned from. Shares of languages are those of all rows.
     """
     known = docs.where("lang is not null and text is not null").where(remainder("doc_id", held_out[0]) != held_out[1])
-    short = known.where(F.octet_length("text") <= longest)
-    sizes = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(100).collect()
-    ids = [short.where(F.col("lang") == r.lang).where("doc_id is not null").select("doc_id", "lang").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most) for r in sorted(sizes)]
-    rows = []
-    if ids:  # ids first, then their texts: no more texts than are learned from reach the driver
-        picked = F.broadcast(reduce(DataFrame.union, ids).distinct())
-        rows = sorted(short.join(picked, ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text")).collect())
+    sizes = known.groupBy("lang").count().collect()
+    long = F.octet_length("text") > longest
+    order = [long, F.when(long, F.octet_length("text")), F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")]
+    first = known.where("doc_id is not null").select("doc_id", "lang", F.xxhash64("text").alias("h"), long.alias("long"), F.row_number().over(W.partitionBy("lang").orderBy(*order)).alias("k"))
+    picked = first.where((F.col("k") <= most) & (~F.col("long") | (F.col("k") == 1))).select("doc_id", "lang", "h").distinct()
+    # ids first, then their texts: no more texts than are learned from are moved; `most` rows a language may be broadcast
+    rows = sorted(known.join(F.broadcast(picked), ["doc_id", "lang"]).where(F.xxhash64("text") == F.col("h")).groupBy("doc_id", "lang").agg(F.min("text").alias("text")).collect())
     model = fit([r.text for r in rows], [r.lang for r in rows], vocabulary or vocabulary_path(), **how)
     counts = {r.lang: r["count"] for r in sizes}
     total = np.array([counts[g] for g in model.langs], dtype=float)
@@ -202,7 +227,9 @@ def train(docs: DataFrame, *, held_out: tuple[int, int] = (4, 2), most: int = 30
 
 
 def predictions(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, lang_pred, score) of every row from its whole text; 'und' and 0 where the text is null or has no letter."""
+    """(id, lang_pred, score) of every row from its whole text; 'und' and 0 where the text is null or has no letter (of
+    Unicode's categories L), or nothing was learned. Repeated rows are scored each, an empty table gives no rows, other
+    columns are not looked at. A word of any length is one sum over all its segmentations."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = TypeTable(model.per_type)
