@@ -5,9 +5,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from cohortwave.llm.graph import components
+from cohortwave.llm import wholesets
 from cohortwave.llm.words import small_batches
 from cohortwave.session import keep
 
@@ -19,19 +19,6 @@ _rng = np.random.default_rng(SEED)
 #: h(x) = the upper half of a * x + b: strongly universal for 32-bit x.
 A, B = _rng.integers(1 << 64, size=(2, MINIMA), dtype=np.uint64)
 _AT_A_TIME = 4096  # shingles whose hashes are held at a time
-TILE = 1 << 17  # shingles of the documents of a tile, on the mean
-
-
-def shingles(raw: bytes, n: int = 3) -> np.ndarray:
-    """The distinct word shingles of a UTF-8 text as sorted XXH64; the whole sequence where there are fewer words."""
-    words = raw.lower().split()  # on bytes: A-Z only, and ASCII white space only
-    if not words:
-        return np.empty(0, dtype=np.uint64)
-    if len(words) < n:
-        grams, count = iter([b" ".join(words)]), 1
-    else:
-        grams, count = map(b" ".join, zip(*(words[i:] for i in range(n)))), len(words) - n + 1
-    return np.unique(np.fromiter((xxhash.xxh64_intdigest(g, SEED) for g in grams), dtype=np.uint64, count=count))
 
 
 def signature(found: np.ndarray) -> np.ndarray:
@@ -44,170 +31,74 @@ def signature(found: np.ndarray) -> np.ndarray:
     return low
 
 
-def alike(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+def agree(same: np.ndarray, percent: int) -> np.ndarray:
     """Whether signatures agree in as many places as sets of `percent` similarity may: five deviations less than on the mean.
 
     Such a pair is passed over with a chance below 1e-6."""
     p = percent / 100
-    return (a == b).sum(axis=-1) >= MINIMA * p - 5 * np.sqrt(MINIMA * p * (1 - p))
-
-
-def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    """Whether the sets share `percent` of their union."""
-    both = len(a) + len(b) - len(np.union1d(a, b))
-    return both * 100 >= percent * (len(a) + len(b) - both)
+    return same.sum(axis=-1) >= MINIMA * p - 5 * np.sqrt(MINIMA * p * (1 - p))
 
 
-def _text_hash(text_col: str) -> Column:
-    """Tells rows apart that share an id, or have none."""
-    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+def alike(percent: int) -> wholesets.Alike:
+    """Signatures that agree enough, in the first band that they have in common: elsewhere they are not looked at again."""
 
+    def of(a: np.ndarray, b: np.ndarray, k: int) -> np.ndarray:
+        same = a.view(np.uint32)[None, :] == np.ascontiguousarray(b).view(np.uint32)
+        return agree(same, percent) & (same.reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == k)
 
-def _may(n: str, m: str, percent: int) -> Column:
-    """Sets of these sizes can be alike."""
-    return F.least(n, m) * 100 >= F.greatest(n, m) * percent
+    return of
 
 
 def _signed(texts: DataFrame, kind: str, shingle: int) -> DataFrame:
-    """(id, text_hash, key, n, sig): key names the set (128 bits), n is its size."""
+    """(id, text_hash, key, n, mark): key names the set (128 bits), n is its size, mark its signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keys, sizes, sigs = [], [], []
             for t in b.column(2):
-                found = shingles(t.as_py() or b"", shingle)
+                found = wholesets.shingle_set(t.as_py() or b"", shingle)
                 keys.append(xxhash.xxh3_128_digest(found.tobytes()))
                 sizes.append(len(found))
                 sigs.append(signature(found).tobytes() if len(found) else None)
             columns = [b.column(0), b.column(1), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(sigs, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "text_hash", "key", "n", "sig"])
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "text_hash", "key", "n", "mark"])
 
-    return small_batches(texts).mapInArrow(run, f"id {kind}, text_hash bigint, key binary, n bigint, sig binary")
+    return small_batches(texts).mapInArrow(run, f"id {kind}, text_hash bigint, key binary, n bigint, mark binary")
 
 
-def _sets(texts: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """(node, held): the shingles of `wanted` (node, id, text_hash), from their texts."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            held = [shingles(t.as_py() or b"", shingle).tobytes() for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(held, pa.binary())], names=["node", "held"])
-
-    at = wanted.select("node", F.col("id").alias("w_id"), F.col("text_hash").alias("w_hash"))
-    found = texts.join(at, F.col("id").eqNullSafe(F.col("w_id")) & (F.col("text_hash") == F.col("w_hash"))).select("node", "text")
-    return small_batches(found).mapInArrow(run, "node bigint, held binary").dropDuplicates(["node"])
-
-
-def _check_signatures(pairs: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
+def _check_signatures(pairs: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             a, c = (np.frombuffer(b"".join(b.column(k).to_pylist()), dtype=np.uint32).reshape(-1, MINIMA) for k in ("a", "b"))
-            yield b.select(["u", "v"]).filter(pa.array(alike(a, c, percent)))
+            yield b.select(["u", "v"]).filter(pa.array(agree(a == c, percent)))
 
-    both = pairs.join(sigs.select(F.col("node").alias("u"), F.col("sig").alias("a")), "u").join(sigs.select(F.col("node").alias("v"), F.col("sig").alias("b")), "v")
+    both = pairs.join(marks.select(F.col("node").alias("u"), F.col("mark").alias("a")), "u").join(marks.select(F.col("node").alias("v"), F.col("mark").alias("b")), "v")
     return small_batches(both.select("u", "v", "a", "b")).mapInArrow(run, "u bigint, v bigint")
 
 
-def _check_sets(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ok = [linked(np.frombuffer(x.as_py(), dtype=np.uint64), np.frombuffer(y.as_py(), dtype=np.uint64), percent) for x, y in zip(b.column("a"), b.column("b"))]
-            yield b.select(["u", "v"]).filter(pa.array(ok, pa.bool_()))
-
-    both = pairs.join(sets.select(F.col("node").alias("u"), F.col("held").alias("a")), "u").join(sets.select(F.col("node").alias("v"), F.col("held").alias("b")), "v")
-    return small_batches(both.select("u", "v", "a", "b")).mapInArrow(run, "u bigint, v bigint")
-
-
-def tile_links(left: list[tuple], right: list[tuple] | None, percent: int) -> Iterator[tuple[int, int]]:
-    """Links between two tiles of (node, root, sig, held), or inside one: whole sets are compared where signatures are
-    alike and no link found before, or `root`, connects them."""
-    own = right is None
-    right = left if own else right
-    sigs = [np.frombuffer(b"".join(r[2] for r in rows), dtype=np.uint32).reshape(-1, MINIMA) for rows in (left, right)]
-    root: dict[int, int] = {}
-
-    def find(x: int) -> int:
-        while root.setdefault(x, x) != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    sets: dict[int, np.ndarray] = {}
-
-    def held(r: tuple) -> np.ndarray:
-        if r[0] not in sets:
-            sets[r[0]] = np.frombuffer(r[3], dtype=np.uint64)
-        return sets[r[0]]
-
-    for i, a in enumerate(left):
-        first = i + 1 if own else 0
-        for j in np.flatnonzero(alike(sigs[0][i][None, :], sigs[1][first:], percent)) + first:
-            b = right[j]
-            u, v = find(a[1]), find(b[1])
-            if u != v and linked(held(a), held(b), percent):
-                root[max(u, v)] = min(u, v)
-                yield a[0], b[0]
-
-
-def _rest(apart: DataFrame, sigs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (u, v) between members (band, node, root, n) of a bucket that are in different groups.
-
-    A bucket is cut into tiles of about TILE shingles, tile pairs are compared by numpy, and a pair of tiles gives a link
-    for each two groups that it connects, not each pair; so no task holds a bucket and no join makes its pairs.
-    """
-    sizes = apart.groupBy("band").agg(F.ceil(F.sum("n") / F.lit(TILE)).cast("int").alias("tiles"))
-    dealt = apart.join(sizes, "band").withColumn("tile", F.pmod(F.xxhash64("node"), "tiles").cast("int"))
-    full = dealt.join(sigs.select("node", "sig"), "node").join(sets, "node")
-    tiles = keep(full.groupBy("band", "tile", "tiles").agg(F.collect_list(F.struct("node", "root", "sig", "held")).alias("rows")), "tiles")
-    left = tiles.select("band", "tile", F.col("rows").alias("a"))
-    right = tiles.select("band", F.explode(F.sequence(F.lit(0), "tile")).alias("tile"), F.col("tile").alias("other"), F.col("rows").alias("b"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for same, a, b in zip(*(batch.column(c) for c in ("same", "a", "b"))):
-                a, b = ([tuple(r.values()) for r in x.as_py()] for x in (a, b))
-                found = list(tile_links(a, None if same.as_py() else b, percent))
-                if found:
-                    u, v = zip(*found)
-                    yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
-
-    pairs = left.join(right, ["band", "tile"]).select((F.col("tile") == F.col("other")).alias("same"), "a", "b")
-    return small_batches(pairs).mapInArrow(run, "u bigint, v bigint")
-
-
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = 3, percent: int = 85) -> DataFrame:
     """(id, text_hash, n_shingles, node, root) of every row: `root` is the node that names its group, a group being all
     rows that links of at least `percent` Jaccard similarity connect; both are null for rows without words, which link
     with nothing.
 
     Rows with equal sets are one node, so a group of any number of copies has no pairs. Nodes that agree in a band of
-    their minima share a bucket. Each is compared with one leader of its bucket, by signatures and then by whole sets, so
-    that a group of near copies hangs together after as many comparisons as it has members. What a bucket still holds
-    in different groups is compared in tiles, all with all. Sets are made of texts again, of those that need comparing.
+    their minima share a bucket. Signatures of a member and its bucket's leader are compared, then whole sets; see
+    `wholesets.rooted` for what is in different groups after that.
     """
     kind = docs.select(id_col).schema[0].dataType.simpleString()
-    texts = docs.select(F.col(id_col).alias("id"), _text_hash(text_col).alias("text_hash"), F.col(text_col).cast("binary").alias("text"))
+    texts = wholesets.text_rows(docs, id_col, text_col)
     rows = keep(_signed(texts, kind, shingle), "signatures")
     at = F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash")
-    named = rows.where("n > 0").groupBy("key").agg(F.min(at).alias("at"), F.first("n").alias("n"), F.first("sig").alias("sig"))
+    named = rows.where("n > 0").groupBy("key").agg(F.min(at).alias("at"), F.first("n").alias("n"), F.first("mark").alias("mark"))
     nodes = keep(named.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    band = [F.xxhash64(F.lit(k), F.substring("sig", 4 * ROWS * k + 1, 4 * ROWS)) for k in range(BANDS)]
-    bands = nodes.select("node", "n", F.explode(F.array(*band)).alias("band"))
-    led = keep(bands.groupBy("band").agg(F.min(F.struct("node", "n")).alias("leader"), F.count("*").alias("c")).where("c > 1").drop("c"), "leaders")
-    members = keep(bands.join(led, "band"), "members")
-    star = members.where(F.col("node") != F.col("leader.node")).where(_may("n", "leader.n", percent)).select(F.col("leader.node").alias("u"), F.col("node").alias("v")).distinct()
-    sigs = nodes.select("node", "sig")
-    pairs = keep(_check_signatures(star, sigs, percent), "pairs")
-    place = nodes.select("node", "at.id", "at.text_hash")
-    in_pairs = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    near = keep(_check_sets(pairs, keep(_sets(texts, place.join(in_pairs, "node"), shingle), "sets"), percent), "near")
-    hung = components(near)
-    now = keep(members.select("band", "node", "n").join(hung, "node", "left").select("band", "node", "n", F.coalesce("root", "node").alias("root")), "hung")
-    torn = now.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("band")
-    apart = keep(now.join(torn, "band", "left_semi"), "apart")
-    in_apart = apart.select("node").distinct()
-    rest = keep(_rest(apart, sigs, keep(_sets(texts, place.join(in_apart, "node"), shingle), "sets"), percent), "rest")
-    root = components(near.union(rest))
+    band = [F.xxhash64(F.lit(k), F.substring("mark", 4 * ROWS * k + 1, 4 * ROWS)) for k in range(BANDS)]
+    bands = nodes.select("node", "n", F.posexplode(F.array(*band)).alias("k", "bucket"))
+    led = keep(bands.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("leader"), F.count("*").alias("c")).where("c > 1").drop("c"), "leaders")
+    members = keep(bands.join(led, "bucket"), "members")
+    may = F.least("n", "leader.n") * 100 >= F.greatest("n", "leader.n") * percent
+    star = members.where((F.col("node") != F.col("leader.node")) & may).select(F.col("leader.node").alias("u"), F.col("node").alias("v")).distinct()
+    pairs = keep(_check_signatures(star, nodes.select("node", "mark"), percent), "pairs")
+    root = wholesets.rooted(nodes, members.select("bucket", "k", "node"), pairs, texts, shingle, alike(percent), percent)
     owned = nodes.join(root, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
     return rows.join(owned, "key", "left").select("id", "text_hash", F.col("n").alias("n_shingles"), "node", "root")
 

@@ -1,6 +1,8 @@
 """Learned operators on held-out rows, searches against brute force, and files that are read back."""
 
+import functools
 import random
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -92,14 +94,45 @@ def test_forward_sums_all_segmentations(languages):
         if not w:
             return np.ones(len(languages.langs))
         total = np.zeros(len(languages.langs))
-        for n in range(1, min(len(w), langid.LONGEST_PIECE) + 1):
+        for n in range(1, min(len(w), 40) + 1):
             p = prob.get(w[:n]) if w[:n] in prob else (languages.prob[-1] if n == 1 else None)
             if p is not None:
                 total = total + p * brute(w[n:])
         return total
 
-    words = ["▁the", "▁und", "▁größe", "漢", "▁a", "▁ciónla", "xq漢z"]
+    brute = functools.cache(brute)
+    long = "▁" + "the漢ciónschaft" * 4  # 60 letters
+    words = [long, "▁the", "▁und", "▁größe", "漢", "▁a", "▁ciónla", "xq漢z"]
     assert np.allclose(languages.per_type(words), [np.log(brute(w)) for w in words])
+    assert np.isfinite(languages.per_type(["▁" + "漢" * 2000])).all()
+
+
+def test_expectation_equals_enumeration():
+    """Counts of pieces over all segmentations of words, by their probability; scaling on the way changes nothing."""
+    rng = np.random.default_rng(5)
+    pieces = sorted({"a", "b", "ab", "ba", "aab", "bb", "▁", "▁a"})
+    m = langid.Model(["x", "y"], np.array([0.5, 0.5]), pieces, rng.uniform(0.05, 0.3, (len(pieces) + 1, 2)))
+
+    def segmentations(w):
+        return [[]] if not w else [[w[:n], *rest] for n in range(1, len(w) + 1) if w[:n] in pieces or n == 1 for rest in segmentations(w[n:])]
+
+    words, count, want = ["▁abbaabab", "▁aczb", "▁a"], np.array([[3.0, 1], [1, 2], [0, 5]]), np.zeros((len(pieces) + 1, 2))
+    for w, c in zip(words, count):
+        ways = [[pieces.index(p) if p in pieces else len(pieces) for p in s] for s in segmentations(w)]
+        weight = np.array([m.prob[s].prod(axis=0) for s in ways])
+        for s, share in zip(ways, weight / weight.sum(axis=0) * c):
+            np.add.at(want, s, share)
+    assert np.allclose(m.expected(words, count), want)
+
+
+def test_languages_are_all_learned_and_letters_are_letters(spark):
+    rows = [(i, f"wort{'abcdefgh'[i % 8]} und satz", f"l{i % 130}", None, 1) for i in range(520)] + [(600, "¿qué? " * 6000, "only_long", None, 1)]
+    model = langid.train(spark.createDataFrame(rows, SCHEMA), most=5, rounds=1)
+    learned = {r[2] for r in rows if zlib.crc32(str(r[0]).encode()) % 4 != 2}
+    assert set(model.langs) == learned and len(learned) > 110
+    odd = spark.createDataFrame([(1, "½ ² ①", None, None, 1), (2, "Ⅷ 12", None, None, 1), (3, "½ é", None, None, 1)], SCHEMA)
+    got = {r.doc_id: r.lang_pred for r in langid.predictions(odd, model).collect()}
+    assert got[1] == got[2] == "und" and got[3] != "und"
 
 
 def test_language_of_odd_rows(languages, odd_clashing, nothing):
@@ -132,6 +165,26 @@ def test_bit_parallel_distance():
         assert decontaminate.distance(p, t, 99)[0] == want if want < len(p) else decontaminate.distance(p, t, 99)[0] >= want
 
 
+def brute_within(pattern, t):
+    """As brute_distance, a row of numpy at a time."""
+    row, at = np.zeros(len(t) + 1, dtype=np.int64), np.arange(len(t) + 1)
+    letters = np.array(list(t))
+    for i, c in enumerate(pattern, 1):
+        step = np.concatenate([[i], np.minimum(row[1:] + 1, row[:-1] + (letters != c))])
+        row = np.minimum.accumulate(step - at) + at
+    return row.min()
+
+
+def test_items_match_whole_words_and_may_lack_an_id(spark):
+    docs = spark.createDataFrame([(1, "My eyes hurt, the bone is gone!", None, None, 1), (2, "So: this one sentence is an item, yes.", None, None, 1), (3, "Nothis one sentence is an itemx", None, None, 1)], SCHEMA)
+    items = [(1, "yes"), (2, "One"), (None, "This one sentence is an item"), (4, "this one SENTENCE is an item!")]
+    bench = spark.createDataFrame(items, "item_id BIGINT, text STRING")
+    got = {(r.doc_id, r.item_id, r.start, r.end, r.errors) for r in decontaminate.matches(docs, bench, rate=0.0).collect()}
+    assert got == {(2, None, 4, 32, 0), (2, 4, 4, 32, 0)}
+    assert {r.doc_id for r in decontaminate.keep_clean(docs, bench, rate=0.0).collect()} == {1, 3}
+    assert {r.doc_id for r in decontaminate.matches(docs, bench, rate=0.0, least=1).collect()} == {2, 3}  # "one"
+
+
 def edited(rng, t, n):
     t = list(t)
     for _ in range(n):
@@ -163,6 +216,11 @@ def test_decontamination(spark, odd_clashing, nothing):
         assert brute_distance(decontaminate.normalise(items[r.item_id][1]), found) <= r.errors + 8
     clean = decontaminate.keep_clean(docs, bench, most=300)
     assert clean.columns == docs.columns and {r.doc_id for r in clean.collect()} == set(range(60)) - {i for i, _ in want}
+    # every window of every document by plain edit distance, blanks at either end
+    for r in rows[:12]:
+        norm = f" {decontaminate.normalise(r[1])} "
+        held = {i for i, t in items[:12] if brute_within(f" {decontaminate.normalise(t)} ", norm) <= int(decontaminate.RATE * len(decontaminate.normalise(t)))}
+        assert held == {item for d, item in want if d == r[0]}
     assert decontaminate.matches(odd_clashing, bench).count() == 0
     assert decontaminate.keep_clean(odd_clashing, bench).count() == len(odd_rows())
     assert decontaminate.matches(nothing, bench).count() == 0
