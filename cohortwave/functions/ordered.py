@@ -1,11 +1,11 @@
 """Ordered computations that stay parallel inside one key.
 
 A plain window puts all rows of a key into one task, so one session holding a third of the
-data would stall the job. Here every key is cut into slices of its order column, at cut points
-that hold the number of rows per slice down wherever rows lie (`Cuts`). Slice totals
-are pre-aggregated before any shuffle, a window over the few totals gives each slice the state
-it starts from, and that state enters the slice as one extra leading row. Rows shuffle once,
-by (key, slice).
+data would stall the job. Keys that hold more than a task's share of a table are cut into slices of
+their order column, at cut points of their own that hold the number of rows per slice down wherever
+rows lie (`Cuts`). Slice totals are pre-aggregated before any shuffle, a window over the few totals gives
+each slice the state it starts from, and that state enters the slice as one extra leading row. Rows shuffle
+once, by (key, slice); all other keys are plain windows.
 """
 
 from collections.abc import Mapping, Sequence
@@ -15,58 +15,101 @@ from pyspark.sql import Column, DataFrame, Row, Window as W, functions as F
 _ROW, _SLICE = "__row", "__slice"
 
 
-#: Sampled rows per slice; sizes then stray from their mean by about 1 / sqrt of it.
-_SAMPLED = 64
-_FAN = 16
+_SAMPLED = 32  # sampled rows per slice; sizes then stray from their mean by about 1 / sqrt of it
+_MOST = 512  # slices of a table: the sample, and all cut points together, stay bounded at any number of partitions
+_LOWEST = -(1 << 62)  # slice of rows without a place, which come first
+_EVERY = ("every row",)
 
 
 class Cuts:
-    """Slices of nearly equal row counts: cut points of an order column at counted positions.
+    """Slices of nearly equal row counts for the keys that need them.
 
-    Points are quantiles of a sample of rows, taken with `tie`, the next order column, so that equal values are cut
-    too. The number of slices follows `spark.sql.shuffle.partitions`, so a slice of a key, however large the key and
-    wherever its rows lie, has about a task's share of the table at most. The sample is found once per object, when
-    the first plan asks for it, by a pass over two columns that keeps a bounded number of rows. `scale` serves
+    A table has `slices` shares: twice as many as there are shuffle partitions, 16 at least and 512 at most. A bounded sample
+    of rows (32 for each share) tells which keys hold more than one; they are cut at quantiles of their own sampled
+    rows, taken with `tie`, the next order column, so that equal values are cut too. A slice thus has about one share at most,
+    and so has every other key. The sample is found once per object and set of keys, by a pass over these columns.
+    Keys that the table does not have are left out: a session's runs are cut if the session is large. `scale` serves
     orders in other units.
     """
 
     def __init__(self, df: DataFrame, t: str, tie: str | None = None, slices: int | None = None, scale: float | None = None):
         self.df, self.t, self.tie, self.scale = df, t, tie, scale
-        self.slices = slices or max(16, 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-        self._sample: list[Row] | None = None
+        self.slices = slices or min(_MOST, max(16, 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+        self._samples: dict[tuple[str, ...], list[Row]] = {}
 
     def times(self, scale: float) -> "Cuts":
         other = Cuts(self.df, self.t, self.tie, self.slices, scale)
-        other._sample = self._sample
+        other._samples = self._samples
         return other
 
-    def points(self) -> list[tuple]:
-        if self._sample is None:
+    def _sample(self, keys: tuple[str, ...]) -> list[Row]:
+        if keys not in self._samples:
             # rows are picked by their place in the files, so that many equal values weigh as much as they are
-            picked = self.df.select(F.col(self.t).alias("t"), (F.col(self.tie) if self.tie else F.lit(0)).alias("o"), F.xxhash64(F.monotonically_increasing_id()).alias("h"))
-            self._sample = sorted(picked.where("t is not null").orderBy("h").limit(_SAMPLED * self.slices).select("t", "o").collect(), key=lambda r: (r.t, r.o is not None, r.o or 0))
-        s = self._sample
-        at = sorted({len(s) * i // self.slices for i in range(1, self.slices)}) if s else []
-        return [(s[i].t * self.scale if self.scale else s[i].t, s[i].o) for i in at]
+            picked = self.df.select(
+                F.col(self.t).alias("t"), (F.col(self.tie) if self.tie else F.lit(0)).alias("o"), F.struct(*keys).alias("k") if keys else F.lit(None).alias("k"), F.xxhash64(F.monotonically_increasing_id()).alias("h")
+            )
+            rows = picked.orderBy("h").limit(_SAMPLED * self.slices).select("t", "o", "k").collect()
+            self._samples[keys] = sorted((r for r in rows if r.t is not None), key=lambda r: (r.t, r.o is not None, r.o or 0))
+        return self._samples[keys]
 
-    def of(self, *order: str | Column) -> Column:
-        """Slice of a row: how many cut points are not above it. Heads of blocks are looked at first."""
-        points = self.points()
-        if not points:
-            return F.lit(0).cast("bigint")
+    def _quantiles(self, rows: list[Row], n: int) -> list[tuple]:
+        at = sorted({len(rows) * i // n for i in range(1, n)}) if rows else []
+        return [(rows[i].t * self.scale if self.scale else rows[i].t, rows[i].o) for i in at]
+
+    def points(self) -> list[tuple]:
+        """Cut points of all rows together."""
+        return self._quantiles(self._sample(()), self.slices)
+
+    def heavy(self, keys: Sequence[str]) -> dict[tuple, list[tuple]]:
+        """Cut points of each key with more than one share of the rows; of all rows where the table has none of `keys`."""
+        known = tuple(k for k in keys if k in self.df.columns)
+        if not known:
+            return {_EVERY: self.points()}
+        rows = self._sample(known)
+        held: dict[tuple, list[Row]] = {}
+        for r in rows:
+            held.setdefault(tuple(r.k), []).append(r)
+        share = max(1.0, len(rows) / self.slices)
+        return {k: self._quantiles(own, -(-len(own) // max(1, int(share)))) for k, own in held.items() if len(own) > share}
+
+    def _place(self, points: list[tuple], order: Sequence[str | Column]) -> Column:
+        """How many of the points are not above a row: a binary search in nested CASE, which Spark compiles."""
         cols = [F.col(c) if isinstance(c, str) else c for c in order]
         tied = self.tie is not None and len(order) > 1 and order[1] == self.tie
 
-        def array(rows: list[tuple]) -> Column:
-            return F.array(*[F.struct(F.lit(t).alias("t"), F.lit(o).alias("o")) if tied else F.lit(t) for t, o in rows])
+        def passed(t, o) -> Column:
+            if not tied:
+                return cols[0] >= F.lit(t)
+            return (cols[0] > F.lit(t)) | ((cols[0] == F.lit(t)) & (F.coalesce(cols[1] >= F.lit(o), F.lit(False)) if o is not None else F.lit(True)))
+
+        def search(lo: int, hi: int) -> Column:
+            if lo == hi:
+                return F.lit(lo)
+            mid = (lo + hi) // 2
+            return F.when(passed(*points[mid]), search(mid + 1, hi)).otherwise(search(lo, mid))
 
-        here = F.struct(cols[0].alias("t"), cols[1].alias("o")) if tied else cols[0]
-        below = lambda c: F.coalesce(c <= here, F.lit(False))
-        block = F.greatest(F.size(F.filter(array(points[::_FAN]), below)) - 1, F.lit(0))
-        return (block * _FAN + F.size(F.filter(F.slice(array(points), block * _FAN + 1, _FAN), below))).cast("bigint")
+        return search(0, len(points)).cast("bigint")
+
+    def of(self, *order: str | Column) -> Column:
+        """Slice of a row by the cut points of all rows; rows without a place are in the first."""
+        return self._place(self.points(), order)
+
+    def of_heavy(self, keys: Sequence[str], *order: str | Column) -> Column:
+        """Slice of a row of a heavy key, null for all other keys."""
+        heavy = self.heavy(keys)
+        if _EVERY in heavy:
+            return self._place(heavy[_EVERY], order)
+        known = [k for k in keys if k in self.df.columns]
+        out = None
+        for values, points in heavy.items():
+            same = F.lit(True)
+            for k, v in zip(known, values):
+                same = same & F.col(k).eqNullSafe(F.lit(v))
+            out = out.when(same, self._place(points, order)) if out is not None else F.when(same, self._place(points, order))
+        return F.lit(None).cast("bigint") if out is None else out
 
     def start(self, slice_no: Column) -> Column:
-        """Where a slice begins; null for the first."""
+        """Where a slice of all rows begins; null for the first."""
         points = self.points()
         return F.get(F.array(*[F.lit(t) for t, _ in points]), (slice_no - 1).cast("int")) if points else F.lit(None).cast("double")
 
@@ -81,10 +124,11 @@ def slice_id(t: str | Column, width: "float | Cuts") -> Column:
     return F.floor((F.col(t) if isinstance(t, str) else t) / F.lit(width))
 
 
-def _slices(df: DataFrame, order: Sequence[str], width: Slicing) -> Column:
+def _slices(df: DataFrame, keys: Sequence[str], order: Sequence[str], width: Slicing) -> Column:
+    """Slice of a row; null for the rows of keys that are not cut."""
     if width is None:
         width = Cuts(df, order[0], order[1] if len(order) > 1 else None)
-    return width.of(*order) if isinstance(width, Cuts) else slice_id(order[0], width)
+    return width.of_heavy(keys, *order) if isinstance(width, Cuts) else F.coalesce(slice_id(order[0], width), F.lit(_LOWEST))
 
 
 def _directed(cols: Sequence[str], descending: bool) -> list[Column]:
@@ -113,7 +157,7 @@ def running(
     val = {n: f"__v_{n}" for n in aggs}
     rows = df.withColumns(
         {
-            _SLICE: slice_by if slice_by is not None else _slices(df, order, width),
+            _SLICE: F.coalesce(slice_by.cast("bigint"), F.lit(_LOWEST)) if slice_by is not None else _slices(df, keys, order, width),
             **{
                 val[n]: F.when(e.isNotNull(), F.lit(1)).cast("bigint") if k == "count" else e
                 for n, (k, e) in aggs.items()
@@ -131,7 +175,7 @@ def running(
     }
     over = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max, "last": lambda c: F.last(c, ignorenulls=True)}
 
-    totals = rows.groupBy(*keys, _SLICE).agg(*[total[kinds[n]](val[n]).alias(val[n]) for n in aggs])
+    totals = rows.where(F.col(_SLICE).isNotNull()).groupBy(*keys, _SLICE).agg(*[total[kinds[n]](val[n]).alias(val[n]) for n in aggs])
     before = W.partitionBy(*keys).orderBy(*_directed([_SLICE], descending)).rowsBetween(W.unboundedPreceding, -1)
     carry = totals.select(*keys, _SLICE, *[over[kinds[n]](val[n]).over(before).alias(val[n]) for n in aggs], F.lit(0).alias(_ROW))
 
@@ -156,21 +200,27 @@ def rolling_mean(df: DataFrame, keys: Sequence[str], t: str, span: float, value:
 
     Each row enters the sum at `t` and leaves it after `t + span`, so the mean is one running sum
     over that line. Unlike a sliding frame it does not re-add a window per row, however dense the
-    key. Integers are summed as such, other values as decimals of 18 places, so nothing is left behind.
+    key. Sums are exact, so a row that left leaves nothing behind: integers are summed as decimals without places, other
+    values below 1e18 as decimals of 18 places (smaller parts are cut off), and those from 1e18 on, which are whole
+    numbers, apart from them without places. A sum of 1e38 or more is an error.
     """
-    whole = dict(df.select(value.alias("v")).dtypes)["v"] in ("int", "bigint", "smallint", "tinyint", "boolean")
-    v = value.cast("int").cast("bigint") if whole else value.cast("decimal(38,18)")
-    n, none = F.when(v.isNotNull(), F.lit(1)).otherwise(0), F.lit(None)
+    kind = dict(df.select(value.alias("v")).dtypes)["v"]
+    whole = kind in ("int", "bigint", "smallint", "tinyint", "boolean")
+    large = F.lit(False) if whole else F.abs(value) >= F.lit(1e18)
+    given = value.cast("int") if kind == "boolean" else value
+    v = given.cast("decimal(20,0)") if whole else F.when(large, F.lit(0)).otherwise(given).cast("decimal(38,18)")
+    big = F.when(large, given).otherwise(F.lit(0)).cast("decimal(38,0)")
+    n, none = F.when(given.isNotNull(), F.lit(1)).otherwise(0), F.lit(None)
     at = F.col(t)
     # at one time: rows enter, then the points are read, then rows leave
-    enter = F.struct(at.alias("at"), F.lit(0).alias("k"), v.alias("v"), n.alias("n"))
-    read = F.struct(at.alias("at"), F.lit(1).alias("k"), none.cast("int").alias("v"), none.cast("int").alias("n"))
-    leave = F.struct((at + F.lit(span)).alias("at"), F.lit(2).alias("k"), (-v).alias("v"), (-n).alias("n"))
+    enter = F.struct(at.alias("at"), F.lit(0).alias("k"), v.alias("v"), big.alias("b"), n.alias("n"))
+    read = F.struct(at.alias("at"), F.lit(1).alias("k"), none.cast("int").alias("v"), none.cast("int").alias("b"), none.cast("int").alias("n"))
+    leave = F.struct((at + F.lit(span)).alias("at"), F.lit(2).alias("k"), (-v).alias("v"), (-big).alias("b"), (-n).alias("n"))
     line = df.select(*keys, F.struct(*df.columns).alias("__p"), F.explode(F.array(enter, read, leave)).alias("e")).select(
-        *keys, F.col("e.at").alias("__at"), F.col("e.k").alias("__k"), F.col("e.v").alias("__v"), F.col("e.n").alias("__n"), F.when(F.col("e.k") == 1, F.col("__p")).alias("__p")
+        *keys, F.col("e.at").alias("__at"), F.col("e.k").alias("__k"), F.col("e.v").alias("__v"), F.col("e.b").alias("__b"), F.col("e.n").alias("__n"), F.when(F.col("e.k") == 1, F.col("__p")).alias("__p")
     )
-    sums = running(line, keys, ["__at", "__k"], {"__s": ("sum", F.col("__v")), "__c": ("sum", F.col("__n"))}, width).where("__k = 1")
-    return sums.select("__p.*", F.when(F.col("__c") > 0, F.col("__s").cast("double") / F.col("__c")).alias(out))
+    sums = running(line, keys, ["__at", "__k"], {"__s": ("sum", F.col("__v")), "__l": ("sum", F.col("__b")), "__c": ("sum", F.col("__n"))}, width).where("__k = 1")
+    return sums.select("__p.*", F.when(F.col("__c") > 0, (F.coalesce(F.col("__s").cast("double"), F.lit(0.0)) + F.col("__l").cast("double")) / F.col("__c")).alias(out))
 
 
 def clamped_cumsum(df: DataFrame, keys: Sequence[str], order: Sequence[str], delta: Column, out: str, width: Slicing = None) -> DataFrame:
@@ -179,10 +229,10 @@ def clamped_cumsum(df: DataFrame, keys: Sequence[str], order: Sequence[str], del
     Equals `P - min(0, min P)` with P the plain running sum; the pair (sum, lowest prefix) of a
     slice combines with that of the slices before it.
     """
-    rows = df.withColumns({_SLICE: _slices(df, order, width), "__d": delta})
+    rows = df.withColumns({_SLICE: _slices(df, keys, order, width), "__d": delta})
     local = W.partitionBy(*keys, _SLICE).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     totals = (
-        rows.select(*keys, _SLICE, "__d", F.sum("__d").over(local).alias("__p"))
+        rows.where(F.col(_SLICE).isNotNull()).select(*keys, _SLICE, "__d", F.sum("__d").over(local).alias("__p"))
         .groupBy(*keys, _SLICE)
         .agg(F.sum("__d").alias("__d"), F.min("__p").alias("__p"))
     )

@@ -1,7 +1,7 @@
 """Physical plans: pushdown, rank limits and the shape of ordered work."""
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window as W, functions as F
 
 from cohortwave.functions import ordered as O
 from cohortwave.operators import layout as L, project as P
@@ -61,3 +61,40 @@ def test_cuts_of_nothing_and_of_other_units(spark):
     cuts = O.Cuts(df, "t", slices=16)
     ms = df.withColumn("ms", F.round(F.col("t") * 1000).cast("bigint"))
     assert ms.select((cuts.times(1000).of("ms") == cuts.of("t")).alias("same")).where("same").count() >= 990
+
+
+def test_only_heavy_keys_are_cut(spark):
+    """Of 3,000 small keys and one with a third of the rows, that one is cut; carried rows are as many as it has slices."""
+    n = 30_000
+    key = F.when(F.col("id") % 3 == 0, F.lit(-1)).when(F.col("id") % 1000 == 1, F.lit(None)).otherwise(F.col("id") % 3000)
+    df = spark.range(n).select(key.alias("s"), (F.col("id") % 977).cast("double").alias("t"), F.col("id").alias("seq")).cache()
+    cuts = O.Cuts(df, "t", "seq", slices=64)
+    heavy = cuts.heavy(["s"])
+    assert list(heavy) == [(-1,)] and 16 <= len(heavy[(-1,)]) < 64
+    at = df.withColumn("slice", cuts.of_heavy(["s"], "t", "seq"))
+    assert at.where("s = -1").groupBy("slice").count().agg(F.max("count")).first()[0] < 4 * n / 64
+    assert at.where("slice IS NOT NULL").select("s").distinct().count() == 1
+    out = O.running(df, ["s"], ["t", "seq"], {"n": ("count", F.lit(1)), "m": ("last", F.col("seq"))}, cuts)
+    want = df.withColumn("n2", F.row_number().over(W.partitionBy("s").orderBy("t", "seq")))
+    assert out.join(want, "seq").where("n <> n2 OR m <> seq").count() == 0 and out.count() == n
+    small = O.running(df.where("s >= 0"), ["s"], ["t", "seq"], {"n": ("count", F.lit(1))}, O.Cuts(df.where("s >= 0"), "t", "seq"))
+    assert "Union" not in plan(small)  # nothing is carried where no key is cut
+
+
+def test_keys_that_the_table_does_not_have(spark):
+    """A run's number is found later than the table is sampled: the runs of a large session are cut, those of others not."""
+    base = spark.range(4000).select(F.when(F.col("id") % 2 == 0, "big").otherwise(F.col("id").cast("string")).alias("s"), F.col("id").cast("double").alias("t"), F.col("id").alias("seq"))
+    rows = base.withColumn("run", F.floor(F.col("t") / 1500))
+    for keys in (["s", "run"], ["run"]):
+        out = O.running(rows, keys, ["t", "seq"], {"n": ("count", F.lit(1))}, O.Cuts(base, "t", "seq", slices=16))
+        want = rows.withColumn("n2", F.row_number().over(W.partitionBy(*keys).orderBy("t", "seq"))).select("seq", "n2")
+        assert out.join(want, "seq").where("n <> n2").count() == 0 and out.count() == 4000
+
+
+def test_rolling_means_of_large_and_small_numbers(spark):
+    whole = spark.createDataFrame([("a", i, 3_000_000_000 + i) for i in range(10)] + [("a", 20, (1 << 62) + 5), ("a", 21, None)], "s STRING, t BIGINT, v BIGINT")
+    got = {r.t: r.m for r in O.rolling_mean(whole, ["s"], "t", 2, F.col("v"), "m").collect()}
+    assert got[5] == 3_000_000_004 and got[0] == 3e9 and got[20] == float((1 << 62) + 5) and got[21] == float((1 << 62) + 5)
+    real = spark.createDataFrame([("a", 0, 0.25), ("a", 1, 1e21), ("a", 2, -1e21), ("a", 3, 0.5), ("a", 9, 1e30), ("a", 20, 0.75)], "s STRING, t BIGINT, v DOUBLE")
+    got = {r.t: r.m for r in O.rolling_mean(real, ["s"], "t", 3, F.col("v"), "m").collect()}
+    assert got[0] == 0.25 and got[1] == (1e21 + 0.25) / 2 and got[3] == 0.75 / 4 and got[9] == 1e30 and got[20] == 0.75
