@@ -190,11 +190,12 @@ def fixed_selection(clips: DataFrame, fixed: DataFrame, n: int | dict[str, int],
     return chosen.unionByName(uncovered, allowMissingColumns=True)
 
 
-def merge_manual_clips(clips: DataFrame, entries: DataFrame, metadata: DataFrame, fixed: DataFrame) -> dict[str, DataFrame]:
+def merge_manual_clips(clips: DataFrame, entries: DataFrame, metadata: DataFrame, fixed: DataFrame, language: Column, file_path: Column) -> dict[str, DataFrame]:
     """Upsert of hand-picked clips into the manifest and the fixed lists.
 
     A known code keeps its own group; a new one gets the next clip number in list order. A touched
-    group's fixed list is replaced. Returns `clips`, `fixed` and `errors` (codes nobody knows).
+    group's fixed list is replaced. What a new clip says of its `language` and where its file lies are expressions of the
+    caller over the metadata columns. Returns `clips`, `fixed` and `errors` (codes nobody knows).
     """
     first = entries.groupBy("video_code").agg(F.min("line_no").alias("line_no"), F.min_by("valence_group", "line_no").alias("wanted_group"))
     meta = metadata.select("video_code", "modal_emotion", "language_free", "length_s", "valence_wsd", "arousal_wsd")
@@ -208,10 +209,8 @@ def merge_manual_clips(clips: DataFrame, entries: DataFrame, metadata: DataFrame
         F.col("wanted_group").alias("valence_group"),
         F.col("modal_emotion").alias("fine_grained_label"),
         F.col("video_code").alias("title"),
-        F.when(F.col("language_free") == "TRUE", "none (language_free source clip)")
-        .otherwise("contains spoken dialogue/narration (language_free=FALSE) -- included by explicit request")
-        .alias("language"),
-        F.concat(F.lit("assets/clips/"), "modal_emotion", F.lit("/"), "video_code", F.lit(".webm")).alias("file_path"),
+        language.alias("language"),
+        file_path.alias("file_path"),
         F.col("length_s").alias("duration_sec"),
     )
     all_clips = clips.unionByName(new, allowMissingColumns=True)

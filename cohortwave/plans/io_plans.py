@@ -70,32 +70,37 @@ def read_manifests(d: Tables):
     return m.select("session_id", "participant_id", "demo_scale", records.alias("ok_records"), F.try_variant_get("config_snapshot", F.lit("$.mode"), "string").alias("mode"))
 
 
-@plan("SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS manifest_pos, 'clip_' || p_partkey AS clip_id, p_brand AS valence_group, CAST(p_size AS DOUBLE) AS duration_sec FROM part WHERE p_size < 5")
+@plan("SELECT row_number() OVER (PARTITION BY p_partkey // 500 ORDER BY p_partkey) - 1 AS manifest_pos, 'clip_' || p_partkey AS clip_id, p_brand AS valence_group, CAST(p_size AS DOUBLE) AS duration_sec FROM part")
 def read_clip_manifest(d: Tables):
+    """A manifest for each 500 numbers of clips; a clip's position is that in its own file."""
     c = F.struct(F.concat(F.lit("clip_"), "clip_id").alias("clip_id"), "valence_group", "duration_sec")
-    listed = d.clips.where("duration_sec < 5").agg(F.sort_array(F.collect_list(F.struct("manifest_pos", c.alias("c")))).alias("l"))  # a manifest is one small file
+    listed = d.clips.groupBy(F.floor(F.col("clip_id") / 500).alias("file")).agg(F.sort_array(F.collect_list(F.struct("manifest_pos", c.alias("c")))).alias("l"))
     text = F.to_json(F.struct(F.lit("a note").alias("_comment"), F.transform("l", lambda x: x["c"]).alias("clips")))
-    path = _write_text(listed.select(F.regexp_replace(text, ",", ",\n").alias("value")), work_dir(d.spark, "manifest"))
+    path = work_dir(d.spark, "manifest")
+    listed.select(F.regexp_replace(text, ",", ",\n").alias("value")).write.option("maxRecordsPerFile", 1).text(path)
     return R.read_clip_manifest(d.spark, path).select(F.col("manifest_pos").cast("bigint").alias("manifest_pos"), "clip_id", "valence_group", "duration_sec")
 
 
 @plan("""SELECT CASE s_nationkey % 3 WHEN 0 THEN 'positive' WHEN 1 THEN 'negative' ELSE 'neutral' END AS valence_group,
-  row_number() OVER (PARTITION BY s_nationkey % 3 ORDER BY s_suppkey) - 1 AS pos, 'clip_' || s_suppkey AS clip_id, s_acctbal AS valence_score FROM supplier""")
+  row_number() OVER (PARTITION BY s_nationkey % 3, s_suppkey // 40 ORDER BY s_suppkey) - 1 AS pos, 'clip_' || s_suppkey AS clip_id, s_acctbal AS valence_score FROM supplier""")
 def read_fixed_clips(d: Tables):
+    """A file of three lists for each 40 numbers of clips."""
     item = F.struct(F.concat(F.lit("clip_"), "s_suppkey").alias("clip_id"), F.col("s_acctbal").alias("valence_score"))
     lists = [F.transform(F.sort_array(F.collect_list(F.when(F.col("s_nationkey") % 3 == k, F.struct("s_suppkey", item.alias("c"))))), lambda x: x["c"]).alias(g) for k, g in enumerate(("positive", "negative", "neutral"))]
-    one = d.supplier.agg(*lists).select(F.to_json(F.struct(F.lit("a note").alias("_comment"), "positive", "negative", "neutral")).alias("value"))
-    path = _write_text(one, work_dir(d.spark, "fixed"))
+    files = d.supplier.groupBy(F.floor(F.col("s_suppkey") / 40).alias("file")).agg(*lists)
+    path = work_dir(d.spark, "fixed")
+    files.select(F.to_json(F.struct(F.lit("a note").alias("_comment"), "positive", "negative", "neutral")).alias("value")).write.option("maxRecordsPerFile", 1).text(path)
     return R.read_fixed_clips(d.spark, path).select("valence_group", F.col("pos").cast("bigint").alias("pos"), "clip_id", "valence_score")
 
 
 @plan("SELECT 'VID_' || c_custkey AS video_code, c_mktsegment AS modal_emotion, CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE c_acctbal END AS length_s FROM customer")
 def read_clip_metadata(d: Tables):
-    """The first column name follows a byte-order mark; a length that is no number is null."""
-    rows = d.customer.select(F.concat_ws(",", F.concat(F.lit("VID_"), "c_custkey"), "c_mktsegment", F.when(F.col("c_custkey") % 9 == 0, "n/a").otherwise(F.col("c_acctbal").cast("string"))).alias("value"), "c_custkey")
-    head = d.spark.range(1).select(F.lit("﻿video_code,modal_emotion,length_s").alias("value"), F.lit(-1).cast("bigint").alias("c_custkey"))
-    text = head.union(rows).repartition(1).sortWithinPartitions("c_custkey").select("value")  # one file of metadata, its header first
-    return R.read_clip_metadata(d.spark, _write_text(text, work_dir(d.spark, "metadata")))
+    """Files of 500 rows; the first column name of each follows a byte-order mark; a length that is no number is null."""
+    length = F.when(F.col("c_custkey") % 9 == 0, "n/a").otherwise(F.col("c_acctbal").cast("string"))
+    rows = d.customer.select(F.concat(F.lit("VID_"), "c_custkey").alias("\ufeffvideo_code"), F.col("c_mktsegment").alias("modal_emotion"), length.alias("length_s"))
+    path = work_dir(d.spark, "metadata")
+    rows.write.option("header", True).option("maxRecordsPerFile", 500).csv(path)
+    return R.read_clip_metadata(d.spark, path)
 
 
 @plan("SELECT 'log_' || s_nationkey AS session_id, s_suppkey AS t, s_name AS kind, s_acctbal AS rt FROM supplier")

@@ -308,7 +308,8 @@ def _merge(d: Tables):
         F.lit(1.0).alias("valence_wsd"), F.lit(2.0).alias("arousal_wsd"),
     )
     fixed = d.region.select(F.col("r_name").alias("valence_group"), F.lit(0).alias("pos"), F.lit("clip_0").alias("clip_id"), F.lit("VID_0").alias("title"), F.lit(1.0).alias("valence_score"), F.lit(1.0).alias("arousal_score"))
-    return J.merge_manual_clips(clips, entries, meta, fixed)
+    speech = F.when(F.col("language_free") == "TRUE", "no speech").otherwise("speech")
+    return J.merge_manual_clips(clips, entries, meta, fixed, speech, F.concat_ws("/", F.lit("clips"), "video_code"))
 
 
 @plan(_MERGE + """SELECT 'clip_' || ((SELECT max(p_partkey) FROM part) + row_number() OVER (ORDER BY line_no)) AS clip_id, code AS title, g AS valence_group, emo AS fine_grained_label FROM f""")

@@ -61,9 +61,10 @@ def test_manual_merge(spark, files):
     assert [(r.line_no, r.video_code) for r in entries.orderBy("line_no").collect()] == [(3, "VID_3"), (4, "VID_50"), (5, "VID_5"), (6, "VID_77")]
     assert [(r.line_no, r.error) for r in rejects.orderBy("line_no").collect()] == [(7, "arity"), (8, "group")]
     clips, fixed = R.read_clip_manifest(spark, str(files / "manifest.json")), R.read_fixed_clips(spark, str(files / "fixed.json"))
-    out = J.merge_manual_clips(clips, entries, R.read_clip_metadata(spark, str(files / "meta.csv")), fixed)
+    place = F.concat_ws("/", F.lit("stimuli"), "modal_emotion", F.concat("video_code", F.lit(".mp4")))
+    out = J.merge_manual_clips(clips, entries, R.read_clip_metadata(spark, str(files / "meta.csv")), fixed, F.col("language_free"), place)
     new = out["clips"].where("title = 'VID_50'").first()
-    assert new.clip_id == "clip_10" and new.valence_group == "negative" and new.file_path == "assets/clips/Joy!/VID_50.webm"
+    assert new.clip_id == "clip_10" and new.valence_group == "negative" and new.file_path == "stimuli/Joy!/VID_50.mp4"
     assert [r.video_code for r in out["errors"].collect()] == ["VID_77"]
     lists = {(r.valence_group, r.pos): r.title for r in out["fixed"].collect()}
     assert lists == {("positive", 0): "VID_3", ("negative", 0): "VID_50", ("neutral", 0): "VID_5"}
