@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, functions as F
 from cohortwave.plans.labelling_plans import _I, _intervals
 from cohortwave.plans.registry import plan
 from cohortwave.plans.views import EV, Tables, as_events
+from cohortwave.session import work_dir
 from cohortwave.streaming import streams as S
 
 SES = ["session_id"]
@@ -34,13 +35,48 @@ def stream_monitor(d: Tables):
     return out.select("session_id", F.unix_micros("last_ts").alias("last_us"), "n_events", "status")
 
 
-@plan(EV + """SELECT a.session_id, a.seq AS spawn_seq, b.seq AS resolve_seq FROM ev a JOIN ev b ON a.session_id = b.session_id AND b.et = 'purchase' AND b.ts BETWEEN a.ts AND a.ts + INTERVAL 2 HOUR WHERE a.et = 'view'""")
+class _Landing:
+    """The events as files that land in the order of event time, an eighth of the time at once; two events far ahead come last, so
+    that the watermark passes all others."""
+
+    AT_ONCE = 8
+    AHEAD = "-1"  # session of the events far ahead
+
+    def __init__(self, d: Tables, name: str, kinds: list[str]):
+        self.d, self.kinds, self.path = d, kinds, work_dir(d.spark, name)
+        self.lo, hi = d.events.agg(F.min(F.unix_micros(F.col("ts").cast("timestamp"))), F.max(F.unix_micros(F.col("ts").cast("timestamp")))).first()
+        self.span = (hi - self.lo) // self.AT_ONCE + 1
+        self.lateness = f"{self.span // 1_000_000 + 1} seconds"  # within what lands at once, order is open
+
+    def part(self, k: int) -> None:
+        lo = self.lo + k * self.span
+        at = F.unix_micros(F.col("ts").cast("timestamp"))
+        self.d.events.where((at >= lo) & (at < lo + self.span)).write.mode("append").parquet(self.path)
+
+    def ahead(self, days: int) -> None:
+        kind = self.d.events.schema["ts"].dataType
+        last = self.d.events.where(F.col("event_type").isin(self.kinds)).groupBy("event_type").agg(F.max_by(F.struct(*self.d.events.columns), "ts").alias("e")).select("e.*")
+        moved = last.withColumns({"ts": (F.col("ts") + F.make_dt_interval(F.lit(days))).cast(kind), "user_id": F.lit(-1).cast(last.schema["user_id"].dataType)})
+        moved.coalesce(1).write.mode("append").parquet(self.path)
+
+    def stream(self) -> DataFrame:
+        return as_events(self.d.spark.readStream.schema(self.d.events.schema).option("maxFilesPerTrigger", 4).parquet(self.path))
+
+
+@plan(EV + """SELECT a.session_id, a.seq AS spawn_seq, b.seq AS resolve_seq FROM ev a
+  LEFT JOIN ev b ON a.session_id = b.session_id AND a.k = b.k AND b.et = 'purchase' AND b.ts BETWEEN a.ts AND a.ts + INTERVAL 12 HOUR WHERE a.et = 'view'""")
 def stream_pair_obstacles(d: Tables):
-    """Matched pairs; unmatched spawns need a later watermark and are covered by the tests."""
-    spawns = _stream(d).where("event_type = 'view'").select("session_id", "ts", F.col("event_seq").alias("spawn_seq"))
-    outcomes = _stream(d).where("event_type = 'purchase'").select("session_id", "ts", F.col("event_seq").alias("resolve_seq"))
-    out = _result(d, S.pair_obstacles_stream(spawns, outcomes, SES, "2 hours", MONTH), "pairs")
-    return out.where("resolve_seq IS NOT NULL").select("session_id", "spawn_seq", "resolve_seq")
+    """Events land over several triggers, and the query is stopped and started between them; a spawn without a resolution
+    comes out once the watermark has passed it."""
+    land, root, keys = _Landing(d, "landing", ["view", "purchase"]), work_dir(d.spark, "pairs"), [*SES, "k"]
+    steps = [[lambda k=k: land.part(k) for k in range(4)], [lambda k=k: land.part(k) for k in range(4, 8)], [lambda: land.ahead(60)], [lambda: land.ahead(120)]]
+    for step in steps:
+        for put in step:
+            put()
+        spawns = land.stream().where("event_type = 'view'").select(*keys, "ts", F.col("event_seq").alias("spawn_seq"))
+        outcomes = land.stream().where("event_type = 'purchase'").select(*keys, "ts", F.col("event_seq").alias("resolve_seq"))
+        out = S.run_available(d.spark, S.pair_obstacles_stream(spawns, outcomes, keys, "12 hours", land.lateness), "pairs", root=root)
+    return d.spark.read.parquet(out).where(F.col("session_id") != land.AHEAD).select("session_id", "spawn_seq", "resolve_seq")
 
 
 @plan(EV + """, w AS (SELECT session_id, et, unnest(generate_series(time_bucket(INTERVAL '6 hours', ts, TIMESTAMP '1970-01-01') - INTERVAL 18 HOUR, time_bucket(INTERVAL '6 hours', ts, TIMESTAMP '1970-01-01'), INTERVAL 6 HOUR)) AS s FROM ev WHERE et IN ('error', 'purchase'))

@@ -173,13 +173,13 @@ def batch_files(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def run_available(spark: SparkSession, df: DataFrame, name: str, *, each: Callable[[str], Callable[[DataFrame, int], None]] | None = None, mode: str = "append") -> str:
+def run_available(spark: SparkSession, df: DataFrame, name: str, *, each: Callable[[str], Callable[[DataFrame, int], None]] | None = None, mode: str = "append", root: str | None = None) -> str:
     """Process what has landed, then stop. Returns the folder of the Parquet result.
 
-    Result and checkpoint live under `spark.checkpoint.dir`; `each` builds a foreachBatch function
-    from the result folder.
+    Result and checkpoint live under `spark.checkpoint.dir`, or in `root`, where a query goes on from where it
+    stopped; `each` builds a foreachBatch function from the result folder.
     """
-    root = work_dir(spark, name)
+    root = root or work_dir(spark, name)
     w = df.writeStream.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).outputMode(mode)
     out = f"{root}/result"
     w = w.foreachBatch(each(out)) if each else w.format("parquet").option("path", out)
