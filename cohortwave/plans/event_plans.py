@@ -142,14 +142,16 @@ def completed_blocks(d: Tables):
 @plan(
     EV
     + """, p AS (SELECT *, lead(et) OVER w AS net, lead(t) OVER w AS nt FROM ev WHERE et IN ('click', 'error')
-       WINDOW w AS (PARTITION BY session_id, k % 2 ORDER BY t, seq))
-  SELECT session_id, CASE k % 2 WHEN 0 THEN 'start' ELSE 'end' END AS position, t AS t0, round(nt - t, 4) AS real_sec, value AS planned_sec
-  FROM p WHERE et = 'click' AND net = 'error'"""
+       WINDOW w AS (PARTITION BY session_id, k % 2 ORDER BY t, seq)),
+  last AS (SELECT session_id, max(t) AS last_t FROM ev GROUP BY 1)
+  SELECT session_id, CASE k % 2 WHEN 0 THEN 'start' ELSE 'end' END AS position, t AS t0, round(CASE WHEN net = 'error' THEN nt ELSE last_t END - t, 4) AS real_sec,
+    value AS planned_sec, coalesce(net, '') <> 'error' AS truncated
+  FROM p JOIN last USING (session_id) WHERE et = 'click'"""
 )
 def pair_baselines(d: Tables):
     body = F.try_parse_json(F.to_json(F.struct(F.when(F.col("k") % 2 == 0, "start").otherwise("end").alias("position"), F.col("value").alias("duration_sec"))))
     b = J.pair_baselines(d.study({"click": "baseline_start", "error": "baseline_end"}, body), d.cuts())
-    return b.where("NOT truncated").select("session_id", "position", "t0", r("real_sec").alias("real_sec"), "planned_sec")
+    return b.select("session_id", "position", "t0", r("real_sec").alias("real_sec"), "planned_sec", "truncated")
 
 
 @plan(
