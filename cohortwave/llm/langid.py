@@ -15,7 +15,7 @@ from cohortwave.llm.words import TypeTable, code_points, in_parts, small_batches
 
 LETTERS = regex.compile(r"\p{L}+")
 VOCABULARY = "piece_bpe_32k.model"  # in the folder of public tokenizers
-RESCALE = 8  # letters after which sums of products of probabilities are scaled, so that none vanishes however long a word is
+RESCALE = 20  # letters after which sums of products of probabilities are scaled, so that none vanishes however long a word is
 CELLS = 1 << 16  # letters of words that are worked on together; a longer word is alone
 UNKNOWN = 1e-7  # probability of a letter that no piece has, alike in all languages
 _START = "▁"
@@ -126,20 +126,19 @@ class Model:
         value[np.arange(words), size if back else 0] = 1
         for step in range(1, wide + 1):
             i = wide - step if back else step
+            live = np.nonzero(size > i if back else size >= i)[0]
             n = np.arange(1, min(longest, step) + 1)
-            if back:
-                got = (value[:, i + n] * prob[piece[:, i, : len(n)]]).sum(axis=1)
-                live = size > i
-            else:
-                got = (value[:, i - n] * prob[piece[:, i - n, n - 1]]).sum(axis=1)
-                live = size >= i
-            value[live, i] = got[live]
+            fit = piece[live, i, : len(n)] if back else piece[live[:, None], i - n, n - 1]
+            # few sizes fit; one letter always does, so every row has a first one
+            row, k = np.nonzero(fit != -2)
+            part = value[live[row], i + n[k] if back else i - n[k]] * prob[fit[row, k]]
+            value[live, i] = np.add.reduceat(part, np.searchsorted(row, np.arange(len(live))), axis=0) if len(live) else 0
             logs[live, i] = logs[live, i + 1 if back else i - 1]
             if step % RESCALE == 0:
                 near = slice(i, i + longest + 1) if back else slice(max(0, i - longest), i + 1)
-                scale = np.where(live[:, None], value[:, i], 1.0)[:, None]
-                value[:, near] /= scale
-                logs[:, near] += np.log(scale)
+                scale = value[live, i][:, None]
+                value[live, near] /= scale
+                logs[live, near] += np.log(scale)
         return value, logs
 
     def per_type(self, words: list[str]) -> np.ndarray:
