@@ -91,6 +91,34 @@ def pair_baselines(ev: DataFrame, width: Slicing = None, closed_only: bool = Fal
     return paired.withColumn("real_sec", F.col("t1") - F.col("t0"))
 
 
+def pair_playbacks(ev: DataFrame, width: Slicing = None) -> DataFrame:
+    """Clip playbacks as intervals on both clocks, by run and clip; `outcome` is played, error or truncated.
+
+    A start lasts until the next end or error of its clip. A player that fails may play the clip again by another
+    way, which logs an end but no second start: so an error opens a playback too if an end follows. A start that is
+    followed by another start, or by nothing, is truncated and closes at the run's last event.
+    """
+    keys = [*RUN, "clip_id"]
+    e = ev.where(F.col("event_type").isin("clip_playback_start", "clip_playback_end", "clip_playback_error")).select(
+        *RUN, field("clip_id", "string").alias("clip_id"), *ORDER, HOST, F.col("event_type").alias("__kind"), field("wall_duration_sec", "double").alias("__wall")
+    )
+    following = F.struct(F.col("__kind").alias("kind"), F.col(MONO).alias("t"), F.col(HOST).alias("h"), F.col("__wall").alias("wall"))
+    seen = running(e, keys, ORDER, {"__next": ("last", following)}, width, inclusive=False, descending=True)
+    kind, begun = F.col("__next.kind"), F.col("__kind") == "clip_playback_start"
+    played, failed = kind == "clip_playback_end", kind == "clip_playback_error"
+    last = ev.groupBy(*RUN).agg(F.max(MONO).alias("__last_t"), F.max(HOST).alias("__last_h"))
+    closed = played | failed
+    return (
+        seen.where(begun | ((F.col("__kind") == "clip_playback_error") & played)).join(last, RUN, "left")
+        .select(
+            *keys, F.col(MONO).alias("t0"), F.when(closed, F.col("__next.t")).otherwise(F.col("__last_t")).alias("t1"),
+            F.col(HOST).alias("host_t0"), F.when(closed, F.col("__next.h")).otherwise(F.col("__last_h")).alias("host_t1"),
+            F.when(played, "played").when(failed, "error").otherwise("truncated").alias("outcome"),
+            (~begun).alias("retried"), F.when(played, F.col("__next.wall")).alias("wall_duration_sec"),
+        )
+    )
+
+
 def obstacle_spawns(ev: DataFrame) -> DataFrame:
     return ev.where("event_type = 'obstacle_spawn'").select(
         *TRIAL, "condition_label", F.col(MONO).alias("spawn_t"), field("client_perf_now_ms", "double").alias("spawn_ms"),
@@ -234,14 +262,17 @@ def align_samples(samples: DataFrame, sync: DataFrame, recordings: DataFrame | N
     """`wall = sync time + relative time`, one offset per recording.
 
     The newest good record is used; with `recordings` (recording_id, started_utc) the newest one
-    at or before the start. Sync rows are few per device; Spark broadcasts them when their
+    at or before the start. Where these rows carry `keys`, the samples are read once. Sync rows are few per device; Spark broadcasts them when their
     measured size allows and splits skewed devices otherwise.
     """
     ok = sync.where("result = 'ok'")
     if recordings is None:
         offset = ok.groupBy(*keys).agg(F.max("sync_time_host_utc").alias("__sync"))
         return samples.join(offset, list(keys)).withColumn("wall", F.col("__sync") + F.col("rel_sec")).drop("__sync")
-    rec = samples.select(*keys, "recording_id").distinct().join(recordings, "recording_id")
+    if set(keys) <= set(recordings.columns):
+        rec = recordings.select(*keys, "recording_id", "started_utc")
+    else:
+        rec = samples.select(*keys, "recording_id").distinct().join(recordings.select("recording_id", "started_utc"), "recording_id")
     offset = (
         rec.join(ok.select(*keys, "sync_time_host_utc"), list(keys))
         .where("sync_time_host_utc <= started_utc")

@@ -9,16 +9,29 @@ from cohortwave.operators.joins import align_samples, align_samples_multi
 from cohortwave.sources.writers import write_dataset
 
 
-def labelled_intervals(*sources: tuple[str, DataFrame], keys: Sequence[str] = ("session_id",)) -> DataFrame:
+def labelled_intervals(*sources: tuple[str, DataFrame], keys: Sequence[str] = ("session_id",), exclusive: bool = False, width: Slicing = None) -> DataFrame:
     """L1: one interval table on the wall clock from (name, frame) pairs with `t0`, `t1`, `label`.
 
-    Rows without a label (pauses, ratings) drop out.
+    Rows without a label (pauses, ratings) drop out. With `exclusive` the job fails where intervals of a session overlap.
     """
     out = None
     for name, df in sources:
         part = df.where("label IS NOT NULL").select(*keys, F.col("t0").cast("double").alias("t0"), F.col("t1").cast("double").alias("t1"), F.col("label").cast("string").alias("label"), F.lit(name).alias("source"))
         out = part if out is None else out.unionByName(part)
-    return out
+    return without_overlaps(out, keys, width) if exclusive else out
+
+
+def baseline_source(baselines: DataFrame) -> DataFrame:
+    """L1: finished baselines (J3) as a source, all labelled `baseline`."""
+    return baselines.where("NOT truncated").select("session_id", F.col("host_t0").alias("t0"), F.col("host_t1").alias("t1"), F.lit("baseline").alias("label"))
+
+
+def playback_source(playbacks: DataFrame, clips: DataFrame, label: str = "valence_group") -> DataFrame:
+    """L1: playbacks as a source, labelled by their clip; failed and truncated ones get no label, nor do clips that no table knows."""
+    known = clips.select("clip_id", F.col(label).alias("__label"))
+    return playbacks.join(known, "clip_id", "left").select(
+        "session_id", F.col("host_t0").alias("t0"), F.col("host_t1").alias("t1"), F.when(F.col("outcome") == "played", F.col("__label")).alias("label")
+    )
 
 
 def overlapping_intervals(intervals: DataFrame, keys: Sequence[str] = ("session_id",), width: Slicing = None, order: Sequence[str] = ("t0", "t1")) -> DataFrame:
