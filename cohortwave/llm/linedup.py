@@ -19,6 +19,12 @@ def _row_id(text_col: str) -> Column:
     return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
 
 
+def _range(hex_hash: str, n: int) -> Column:
+    """The one of `n` equal ranges that the leading 28 bits of a hash fall in, turned on by its slice."""
+    lead = F.conv(F.substring(hex_hash, 1, 7), 16, 10).cast("bigint")
+    return F.pmod(F.shiftright(lead * F.lit(n), 28) + F.col("slice"), F.lit(n)).cast("int")
+
+
 def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, least: int = 10) -> DataFrame:
     """(id, text_hash, kept_runs) of the documents that lose lines.
 
@@ -28,10 +34,11 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     an entry per dropped line and lines after the last one stay. Documents that lose nothing have no row.
     Repeated rows share a bitmap; rows that share an id but not a text have one each.
 
-    128-bit hashes are dealt out in ranges of (hash, slice of the ids) and sorted by document and position in each
-    range; the first document of a slice streams past first, and later ones lose their lines. Only the first
-    documents of the slices meet once more by hash. So one line in a third of all documents is split over all
-    partitions, and then is one row per slice.
+    128-bit hashes are dealt out in equal ranges, each slice of the ids turned on by a partition, and sorted by hash,
+    slice, document and position in each range; the first document of a slice streams past first, and later ones lose
+    their lines. Only the first documents of the slices meet once more by hash. So one line in a third of all documents
+    is split over all partitions, and then is one row per slice. Hashes are uniform, so the borders of the ranges follow
+    by arithmetic, and texts are split once.
     """
     spark = docs.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -39,11 +46,12 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     lines = (
         docs.select(F.col(id_col).alias("id"), _row_id(text_col).alias("text_hash"), F.posexplode(lines_of(F.col(text_col))).alias("pos", "line"))
         .where(F.length(key) >= least)
-        .select(F.unhex(F.md5(key)).alias("hash"), F.pmod(F.xxhash64("id"), F.lit(n)).cast("int").alias("slice"), "id", "text_hash", "pos")
-        .repartitionByRange(n, "hash", "slice")
+        .select(F.md5(key).alias("hex"), F.pmod(F.xxhash64("id"), F.lit(n)).cast("int").alias("slice"), "id", "text_hash", "pos")
+        .select(F.unhex("hex").alias("hash"), "slice", "id", "text_hash", "pos", _range("hex", n).alias("range"))
+        .repartitionById(n, "range")
     )
     last = F.col("id").asc_nulls_last()
-    in_slice = lines.withColumn("first", F.first("id").over(W.partitionBy("hash", "slice").orderBy(last, "pos")))
+    in_slice = lines.withColumn("first", F.first("id").over(W.partitionBy("range", "hash", "slice").orderBy(last, "pos")))
     is_first = F.col("id").eqNullSafe(F.col("first"))
     # slices deal out ids: two documents of a slice are two documents of the key
     over = in_slice.where(is_first).withColumn("first", F.first("id").over(W.partitionBy("hash").orderBy(last, "pos")))

@@ -61,7 +61,8 @@ def mix(
     nearest to what is left, if that is nearer than none. So a source misses its target by half a row at most.
 
     Null texts have size 0 and take part with 0 words. Null sources are one source. Repeated rows are drawn one by one.
-    Ranks come from sums over `buckets` pieces of each source's order, so no source passes through one task.
+    Ranks come from sums over `buckets` pieces of each source's order, so no source passes through one task: the pieces
+    hold equal shares of the rows of equal importance, however near a target is to a whole multiple of its source.
     """
     uniform = (F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("id").cast("string"), F.lit("")), F.col("size").cast("string"))), 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
     rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), words(F.col(text_col)).alias("size"), (importance if importance is not None else F.lit(1.0)).alias("v"))
@@ -75,10 +76,14 @@ def mix(
 
     due = F.least(F.lit(float(most)), F.when(F.col("mass") > 0, F.col("v") * F.col("target") / F.col("mass")).otherwise(0.0))
     p, odds = F.col("p"), F.col("u") / (1 - F.col("u"))
+    # the odds of a row of equal importance: with them taken back, places of such rows are uniform again
+    plain = F.least(F.lit(float(most)), F.coalesce(F.try_divide(F.col("target"), F.col("source_size")), F.lit(0.0)))
+    plain = plain - F.floor(plain)
+    place = 1 - 1 / (1 + F.col("q") * F.when(plain > 0, plain / (1 - plain)).otherwise(1.0))
     ranked = (
         per_source(rows, goal).withColumn("due", due).withColumns({"certain": F.floor("due"), "p": F.col("due") - F.floor("due")})
         .withColumn("q", F.when((p > 0) & (F.col("size") > 0), odds / (p / (1 - p))))
-        .withColumn("bucket", F.least(F.floor(F.col("q") / (1 + F.col("q")) * buckets), F.lit(buckets - 1)).cast("int"))
+        .withColumn("bucket", F.least(F.floor(place * buckets), F.lit(buckets - 1)).cast("int"))
     )
     drawable = F.col("q").isNotNull()
     sums = ranked.groupBy("source", "target", "bucket").agg(F.sum(F.when(drawable, F.col("size")).otherwise(0)).alias("s"), F.sum(F.col("certain") * F.col("size")).alias("c"))
@@ -87,10 +92,10 @@ def mix(
         F.col("source").alias("s_"), F.col("bucket").alias("b_"), (F.col("target") - F.sum("c").over(by_source)).alias("need"),
         F.coalesce(F.sum("s").over(by_source.orderBy(F.col("bucket").asc_nulls_first()).rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"),
     )
-    place = W.partitionBy("source", "bucket").orderBy("q", F.col("id").asc_nulls_last(), "size")
+    in_bucket = W.partitionBy("source", "bucket").orderBy("q", F.col("id").asc_nulls_last(), "size")
     drawn = (
         ranked.where(drawable).join(cut, F.col("source").eqNullSafe(F.col("s_")) & (F.col("bucket") == F.col("b_"))).drop("s_", "b_")
-        .withColumns({"k": F.row_number().over(place), "cum": F.sum("size").over(place.rowsBetween(W.unboundedPreceding, 0))})
+        .withColumns({"k": F.row_number().over(in_bucket), "cum": F.sum("size").over(in_bucket.rowsBetween(W.unboundedPreceding, 0))})
         .withColumn("take", (F.col("before") + F.col("cum") <= F.col("need")).cast("int"))
         .select("id", "source", "size", "source_size", "target", "certain", "take", "need", "bucket", "q", "k")
     )

@@ -126,7 +126,7 @@ def nearest(
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row that meets `is_query` (a condition on `id`) its k nearest by inner product.
 
-    Rows are dealt to shards of about `shard_rows` by a hash of the id and each shard becomes one tree, a row of
+    Rows are dealt to shards of about `shard_rows` by a hash of id and vector and each shard becomes one tree, a row of
     bounded size; queries are packed in blocks of about `block_rows`, which meet every shard. A shard and a block are
     searched at a time, so equal or frequent vectors make no task larger. Each shard gives its k best for a query,
     scored exactly; ties go to the smaller id. Null, zero, non-finite vectors and rows without id take no part, vectors of
@@ -156,8 +156,8 @@ def nearest(
                 hit = ~np.isneginf(scores)
                 yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ask["ids"], hit.sum(axis=1))), pa.array(ids[hit]), pa.array(scores[hit])], names=["query_id", "vec_id", "score"])
 
-    trees = rows.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int")).groupBy("dim", "shard").applyInPandas(plant, "dim int, shard int, tree binary")
-    asked = rows.where(is_query).dropDuplicates(["id", "v"]).withColumn("block", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks)).cast("int"))
+    trees = rows.withColumn("shard", F.pmod(F.xxhash64("id", "v"), F.lit(shards)).cast("int")).groupBy("dim", "shard").applyInPandas(plant, "dim int, shard int, tree binary")
+    asked = rows.where(is_query).dropDuplicates(["id", "v"]).withColumn("block", F.pmod(F.xxhash64("id", "v", F.lit(1)), F.lit(blocks)).cast("int"))
     packed = asked.groupBy("dim", "block").applyInPandas(parcel, "dim int, block int, queries binary")
     pairs = keep(trees, "trees").join(packed.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))), ["dim", "shard"])
     found = small_batches(pairs.select("tree", "queries")).mapInArrow(run, "query_id bigint, vec_id bigint, score double")

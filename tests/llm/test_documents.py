@@ -124,6 +124,17 @@ def test_line_bitmaps(spark, odd, odd_clashing, nothing):
     assert linedup.apply_bitmaps(nothing, linedup.keep_bitmaps(nothing)).count() == 0
 
 
+def test_a_line_in_most_documents_is_spread_over_all_ranges(spark):
+    """The ranges that lines are dealt to hold even shares, hot key or not, and every key one range per slice."""
+    rows = [(i, f"a line that most documents hold\nand line number {i} of them all", None, None, None) for i in range(2000)]
+    key = F.md5(linedup.line_key(F.col("line")))
+    lines = spark.createDataFrame(rows, SCHEMA).select("doc_id", F.explode(linedup.lines_of(F.col("text"))).alias("line"))
+    dealt = lines.select(key.alias("hex"), F.pmod(F.xxhash64("doc_id"), F.lit(16)).cast("int").alias("slice")).withColumn("range", linedup._range("hex", 16))
+    sizes = [r["count"] for r in dealt.groupBy("range").count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 1.5 * sum(sizes) / 16
+    assert dealt.groupBy("hex", "slice").agg(F.count_distinct("range").alias("n")).where("n > 1").count() == 0
+
+
 def brute_targets(sizes, weights=(5, 2, 1), most=3):
     names = sorted(sizes, key=lambda s: (s is None, s or ""))
     w = {s: weights[i % 3] for i, s in enumerate(names)}
@@ -169,6 +180,24 @@ def test_mix(spark, odd, odd_clashing, nothing):
     assert mixing.mix(nothing).count() == 0 and mixing.copies(nothing).count() == 0
 
 
+def test_a_target_just_under_its_source_is_drawn_in_many_pieces(spark, monkeypatch):
+    """With odds of 0.9998 for every row of a source, its order still falls into even pieces."""
+    rows = [(i, "w " * 10, None, "a" if i % 4 else "b", None) for i in range(8000)]
+    held, write = [], mixing.keep
+
+    def keep(df, name):
+        out = write(df, name)
+        held.extend([out] if name == "drawn" else [])
+        return out
+
+    monkeypatch.setattr(mixing, "keep", keep)
+    out = mixing.mix(spark.createDataFrame(rows, SCHEMA), weights=(0.9998 * 60_000, 20_000 + 0.0002 * 60_000), buckets=64)
+    taken = {r.source: (r.n, r.t) for r in out.groupBy("source").agg(F.sum(F.col("copies") * F.col("size")).alias("n"), F.first("target").alias("t")).collect()}
+    assert all(abs(n - t) <= 5 for n, t in taken.values()) and taken["a"][1] == pytest.approx(59_988)
+    sizes = [r["count"] for r in held[0].where("source = 'a'").groupBy("bucket").count().collect()]
+    assert len(sizes) == 64 and max(sizes) < 2 * 6000 / 64
+
+
 def test_unequal_importance(spark):
     rows = [(i, "w " * 20, None, "a" if i % 2 else "b", None) for i in range(4000)]
     out = mixing.mix(spark.createDataFrame(rows, SCHEMA), weights=(1, 3), importance=F.when(F.col("doc_id") % 4 < 2, 1.0).otherwise(3.0))

@@ -259,6 +259,34 @@ def test_factor_one_is_exact(spark, shard_rows):
     assert dict(got) == {i: w for i, w in want.items() if w}
 
 
+def test_an_id_of_most_rows_is_spread_over_shards(spark, monkeypatch):
+    """Nine tenths of the rows share an id: their vectors still go to all shards, and what is found is exact."""
+    rng = np.random.default_rng(7)
+    rows = [(int(i) if i < 60 else 7, rng.normal(size=8).tolist()) for i in range(600)]
+    held, write = [], vptree.keep
+
+    def keep(df, name):
+        out = write(df, name)
+        held.extend([out] if name == "trees" else [])
+        return out
+
+    monkeypatch.setattr(vptree, "keep", keep)
+    found = vptree.nearest(spark.createDataFrame(rows, "vec_id BIGINT, embedding ARRAY<DOUBLE>"), F.col("id") % 20 == 0, factor=1.0, shard_rows=60, leaf=8)
+    got = {i: [pytest.approx(s, abs=1e-9) for _, s in sorted(v)] for i, v in _by_query(found).items()}
+    for i in (0, 20, 40):
+        q = np.array(rows[i][1])
+        assert sorted((float(np.dot(q, v)) for j, v in rows if j != i), reverse=True)[:20] == got[i]
+    sizes = [len(vptree._unpack(bytes(r.tree))["ids"]) for r in held[0].collect()]
+    assert sum(sizes) == 600 and max(sizes) < 120
+
+
+def _by_query(found):
+    out = defaultdict(list)
+    for r in found.collect():
+        out[r.query_id].append((r["rank"], r.score))
+    return out
+
+
 def test_relaxed_pruning_keeps_recall(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
     rows = [(r.vec_id, r.embedding) for r in df.collect()]
