@@ -48,10 +48,15 @@ class _Landing:
         self.span = (hi - self.lo) // self.AT_ONCE + 1
         self.lateness = f"{self.span // 1_000_000 + 1} seconds"  # within what lands at once, order is open
 
+    def place(self):
+        """The number of the part that an event belongs to."""
+        return F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - self.lo) / self.span)
+
+    def put(self, which) -> None:
+        self.d.events.where(which).write.mode("append").parquet(self.path)
+
     def part(self, k: int) -> None:
-        lo = self.lo + k * self.span
-        at = F.unix_micros(F.col("ts").cast("timestamp"))
-        self.d.events.where((at >= lo) & (at < lo + self.span)).write.mode("append").parquet(self.path)
+        self.put(self.place() == k)
 
     def ahead(self, days: int) -> None:
         kind = self.d.events.schema["ts"].dataType
@@ -59,8 +64,8 @@ class _Landing:
         moved = last.withColumns({"ts": (F.col("ts") + F.make_dt_interval(F.lit(days))).cast(kind), "user_id": F.lit(-1).cast(last.schema["user_id"].dataType)})
         moved.coalesce(1).write.mode("append").parquet(self.path)
 
-    def stream(self) -> DataFrame:
-        return as_events(self.d.spark.readStream.schema(self.d.events.schema).option("maxFilesPerTrigger", 4).parquet(self.path))
+    def stream(self, files: int = 4) -> DataFrame:
+        return as_events(self.d.spark.readStream.schema(self.d.events.schema).option("maxFilesPerTrigger", files).parquet(self.path))
 
 
 @plan(EV + """SELECT a.session_id, a.seq AS spawn_seq, b.seq AS resolve_seq FROM ev a
@@ -113,7 +118,7 @@ _SCORED = EV + """, s AS (SELECT session_id, seq, t, CASE et WHEN 'purchase' THE
 @plan(_SCORED + "SELECT session_id, seq AS event_seq, CAST(p - least(0, min(p) OVER (PARTITION BY session_id ORDER BY t, seq)) AS BIGINT) AS score, 0::BIGINT AS late FROM p")
 def stream_clamped_score(d: Tables):
     s = _stream(d).where("event_type IN ('error', 'purchase')").withColumn("delta", F.when(F.col("event_type") == "purchase", 1).otherwise(-1))
-    return _result(d, S.clamped_score_stream(s, SES), "score").drop("t")
+    return _result(d, S.clamped_score_stream(s, SES), "score").drop("t", "is_late")
 
 
 @plan(EV + "SELECT session_id, seq AS event_seq, round(t - max(CASE WHEN et = 'error' THEN t END) OVER (PARTITION BY session_id ORDER BY t, seq), 4) AS since FROM ev")
@@ -123,6 +128,60 @@ def stream_time_since_last(d: Tables):
     return out.select("session_id", "event_seq", F.round(F.nanvl("since", F.lit(None).cast("double")), 4).alias("since"))
 
 
+_LATE = """, span AS (SELECT min(epoch_us(ts)) AS lo, (max(epoch_us(ts)) - min(epoch_us(ts))) // 8 + 1 AS span FROM ev),
+  l AS (SELECT ev.*, ((epoch_us(ts) - lo) // span) // 2 + CASE WHEN k % 10 = 3 THEN 1 ELSE 0 END AS step FROM ev, span WHERE et IN ('purchase', 'error')),
+  m AS (SELECT session_id, step, max(t) AS mt FROM l GROUP BY 1, 2),
+  o AS (SELECT l.*, EXISTS (SELECT 1 FROM m WHERE m.session_id = l.session_id AND m.step < l.step AND m.mt > l.t) AS is_late FROM l),
+  g AS (SELECT *, t - lag(t) OVER (PARTITION BY session_id ORDER BY t, seq) > 172800 AS anew FROM o WHERE NOT is_late),
+  r AS (SELECT *, count(*) FILTER (WHERE anew) OVER (PARTITION BY session_id ORDER BY t, seq) AS run, CASE et WHEN 'purchase' THEN 1 ELSE -1 END AS delta FROM g)
+"""
+IDLE = 2 * 86400.0
+
+
+def _with_late_rows(d: Tables, name: str, build) -> DataFrame:
+    """Events land in four steps, a tenth of each a step late; the query is stopped between them, and goes on from its checkpoint.
+    The watermark waits for late rows, so none is dropped; runs end after two days of silence."""
+    land, root = _Landing(d, f"{name}-landing", ["purchase", "error"]), work_dir(d.spark, name)
+    late, step = F.get_json_object("props", "$.k").cast("int") % 10 == 3, F.floor(land.place() / 2)
+    lateness = f"{4 * land.span // 1_000_000 + 1} seconds"
+    for k in range(5):
+        land.put(((step == k) & ~late) | ((step == k - 1) & late))
+        s = land.stream(1_000_000).where("event_type IN ('error', 'purchase')")  # a step is one batch
+        out = S.run_available(d.spark, build(s, lateness), name, root=root)
+    return d.spark.read.parquet(out)
+
+
+@plan(EV + _LATE + """, p AS (SELECT *, sum(delta) OVER (PARTITION BY session_id, run ORDER BY t, seq) AS p FROM r),
+  z AS (SELECT session_id, seq, CAST(p - least(0, min(p) OVER (PARTITION BY session_id, run ORDER BY t, seq)) AS BIGINT) AS score, false AS is_late FROM p)
+  SELECT session_id, seq AS event_seq, score, is_late FROM z UNION ALL SELECT session_id, seq, NULL, true FROM o WHERE is_late""")
+def stream_score_runs(d: Tables):
+    """S6 with late rows, runs that end, and timers."""
+
+    def build(s: DataFrame, lateness: str) -> DataFrame:
+        moves = s.withColumn("delta", F.when(F.col("event_type") == "purchase", 1).otherwise(-1))
+        return S.clamped_score_stream(moves, SES, idle=IDLE, lateness=lateness)
+
+    out = _with_late_rows(d, "score-runs", build)
+    return out.select("session_id", "event_seq", F.when(~F.col("is_late"), F.col("score")).alias("score"), "is_late")
+
+
+@plan(EV + _LATE + """, s AS (SELECT session_id, seq, round(t - max(CASE WHEN et = 'error' THEN t END) OVER (PARTITION BY session_id, run ORDER BY t, seq), 4) AS since FROM r)
+  SELECT session_id, seq AS event_seq, CASE WHEN tainted THEN NULL ELSE since END AS since, is_late FROM (
+    SELECT s.*, false AS is_late, EXISTS (SELECT 1 FROM o WHERE o.is_late AND o.et = 'error' AND o.session_id = s.session_id) AS tainted FROM s
+    UNION ALL SELECT session_id, seq, NULL, true, false FROM o WHERE is_late)""")
+def stream_since_runs(d: Tables):
+    """S7 with late rows, runs that end, and timers; flags of late rows count later on, so sessions that have some are left to the tests."""
+
+    def build(s: DataFrame, lateness: str) -> DataFrame:
+        return S.time_since_last_stream(s.withColumn("flag", F.col("event_type") == "error"), SES, idle=IDLE, lateness=lateness)
+
+    out = _with_late_rows(d, "since-runs", build)
+    flags = d.ev.where("event_type = 'error'").select("session_id", "event_seq")
+    tainted = out.where("is_late").join(flags, ["session_id", "event_seq"]).select("session_id").distinct().withColumn("tainted", F.lit(True))
+    since = F.when(F.col("tainted").isNull(), F.nanvl("since", F.lit(None).cast("double")))
+    return out.join(tainted, "session_id", "left").select("session_id", "event_seq", F.round(since, 4).alias("since"), "is_late")
+
+
 @plan("""WITH RECURSIVE q AS (SELECT user_id, epoch_us(ts) / 1e6 AS t FROM events WHERE value > 20), f AS (SELECT user_id, min(t) AS t FROM q GROUP BY 1),
   kept(user_id, t) AS (SELECT user_id, t FROM f UNION ALL
     SELECT n.user_id, n.t FROM (SELECT k.user_id, (SELECT min(q.t) FROM q WHERE q.user_id = k.user_id AND q.t > k.t + 43200) AS t FROM kept k) n WHERE n.t IS NOT NULL)

@@ -63,79 +63,121 @@ def idle_gaps_stream(stream: DataFrame, keys: list[str], gap: str, lateness: str
     )
 
 
-def _ordered(pdfs: Iterator[pd.DataFrame]) -> pd.DataFrame:
-    """One key's rows of this micro-batch, whose size `maxFilesPerTrigger` bounds."""
-    return pd.concat(list(pdfs), ignore_index=True).sort_values(["t", "event_seq"], kind="stable")
+Step = Callable[[pd.DataFrame, tuple | None], tuple[pd.DataFrame, tuple]]
 
 
-def clamped_score_stream(trials: DataFrame, keys: list[str]) -> DataFrame:
-    """The clamped score as trials arrive. `trials` has `t`, `event_seq` and `delta` (-1, 0, 1).
+def _by_key(stream: DataFrame, keys: list[str], cols: list[str], result: str, kept: str, step: Step, idle: float | None, lateness: str | None) -> DataFrame:
+    """`step` takes one key's rows of a micro-batch, ordered by time, and what it kept of the key; it gives rows and what to keep.
 
-    Rows are ordered by event time within a batch. A row older than one already scored cannot be
-    placed any more: it is counted in `late` and leaves the score alone.
+    With `lateness` the stream needs an event time `ts`, and a key is forgotten by a timer once the watermark is `idle`
+    seconds past its last row. Rows behind the watermark are dropped by Spark, which counts them in
+    `numRowsDroppedByWatermark`. Without `lateness` a key is kept for ever. `maxFilesPerTrigger` bounds what a key brings at once.
     """
-    types = dict(trials.dtypes)
+    types = dict(stream.dtypes)
     head = ", ".join(f"`{k}` {types[k]}" for k in keys)
-
-    def step(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        pdf = _ordered(pdfs)
-        score, last, late = state.get if state.exists else (0, -np.inf, 0)
-        scores, lates = [], []
-        for t, d in zip(pdf["t"].to_numpy(), pdf["delta"].to_numpy()):
-            if t < last:
-                late += 1
-            else:
-                score, last = max(0, score + int(d)), float(t)
-            scores.append(score)
-            lates.append(late)
-        state.update((score, last, late))
-        yield pdf[[*keys, "t", "event_seq"]].assign(score=np.array(scores, dtype="int64"), late=np.array(lates, dtype="int64"))
-
-    return trials.select(*keys, "t", "event_seq", "delta").groupBy(*keys).applyInPandasWithState(
-        step, f"{head}, t double, event_seq bigint, score bigint, late bigint", "score bigint, last double, late bigint", "append", GroupStateTimeout.NoTimeout
+    timed = lateness is not None
+
+    def run(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["t", "event_seq"], kind="stable", ignore_index=True)
+        *old, until = state.get if state.exists else (0,)
+        out, new = step(pdf, tuple(old) or None)
+        if timed:
+            until = max(until, int(pdf["__ms"].max() + idle * 1000), state.getCurrentWatermarkMs() + 1)
+        state.update((*new, until))
+        if timed:
+            state.setTimeoutTimestamp(until)
+        yield out
+
+    rows = stream.withWatermark("ts", lateness).select(*keys, *cols, "ts", F.unix_millis("ts").alias("__ms")) if timed else stream.select(*keys, *cols)
+    return rows.groupBy(*keys).applyInPandasWithState(
+        run, f"{head}, t double, event_seq bigint{result}", f"{kept}, until bigint", "append", GroupStateTimeout.EventTimeTimeout if timed else GroupStateTimeout.NoTimeout
     )
 
 
-def time_since_last_stream(stream: DataFrame, keys: list[str]) -> DataFrame:
-    """Seconds since the last flagged row. `stream` has `t`, `event_seq` and boolean `flag`."""
-    types = dict(stream.dtypes)
-    head = ", ".join(f"`{k}` {types[k]}" for k in keys)
+def _stretches(t: np.ndarray, last: float, idle: float | None) -> Iterator[tuple[slice, bool]]:
+    """Rows in time order as slices without a silence of more than `idle`; True for those that begin anew."""
+    if idle is None or not len(t):
+        yield slice(0, len(t)), False
+        return
+    cuts = np.flatnonzero(np.diff(t, prepend=last) > idle).tolist()
+    for a, b in zip([0, *cuts], [*cuts, len(t)]):
+        if a < b:
+            yield slice(a, b), a in cuts
 
-    def step(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        pdf = _ordered(pdfs)
-        start = state.get[0] if state.exists else None
-        t = pdf["t"].to_numpy()
-        at = pd.Series(np.where(pdf["flag"].to_numpy(dtype=bool), t, np.nan)).ffill()
-        if start is not None:
-            at = at.fillna(start)
-        if pd.notna(at.iloc[-1]):
-            state.update((float(at.iloc[-1]),))
-        yield pdf[[*keys, "t", "event_seq"]].assign(since=t - at.to_numpy())
-
-    return stream.select(*keys, "t", "event_seq", "flag").groupBy(*keys).applyInPandasWithState(
-        step, f"{head}, t double, event_seq bigint, since double", "at double", "append", GroupStateTimeout.NoTimeout
-    )
 
+def clamped_score_stream(trials: DataFrame, keys: list[str], *, idle: float | None = None, lateness: str | None = None) -> DataFrame:
+    """The clamped score as trials arrive. `trials` has `t`, `event_seq` and `delta` (-1, 0, 1).
+
+    Rows are ordered by event time within a batch. A row older than one already scored cannot be
+    placed any more: it is marked by `is_late`, counted in `late` and leaves the score alone. With `idle`
+    a run ends after so many seconds of silence, and the score begins at 0 again; `lateness` lets state go then.
+    """
 
-def debounce_stream(stream: DataFrame, keys: list[str], min_gap: float) -> DataFrame:
-    """The debounce rule with the last kept time as state."""
-    types = dict(stream.dtypes)
-    head = ", ".join(f"`{k}` {types[k]}" for k in keys)
+    def step(pdf: pd.DataFrame, kept: tuple | None) -> tuple[pd.DataFrame, tuple]:
+        score, last, late = kept or (0, -np.inf, 0)
+        t = pdf["t"].to_numpy()
+        m = int(np.searchsorted(t, last, side="left"))
+        scores, lates = np.full(len(t), score, "int64"), np.full(len(t), late + m, "int64")
+        lates[:m] = late + 1 + np.arange(m)
+        delta = pdf["delta"].to_numpy("int64")[m:]
+        for part, anew in _stretches(t[m:], last, idle):
+            at = (0 if anew else score) + np.cumsum(delta[part])
+            # the sum so far, lifted by how far it has ever been below 0
+            at -= np.minimum(np.minimum.accumulate(at), 0) if len(at) else 0
+            scores[m:][part] = at
+            score = int(at[-1]) if len(at) else score
+        if m < len(t):
+            last = float(t[-1])
+        out = pdf[[*keys, "t", "event_seq"]].assign(score=scores, late=lates, is_late=np.arange(len(t)) < m)
+        return out, (score, last, late + m)
+
+    return _by_key(trials, keys, ["t", "event_seq", "delta"], ", score bigint, late bigint, is_late boolean", "score bigint, last double, late bigint", step, idle, lateness)
+
+
+def time_since_last_stream(stream: DataFrame, keys: list[str], *, idle: float | None = None, lateness: str | None = None) -> DataFrame:
+    """Seconds since the last flagged row. `stream` has `t`, `event_seq` and boolean `flag`.
+
+    A row older than one already seen gets no answer, is marked by `is_late` and counted in `late`; its flag holds for rows that
+    follow. `idle` and `lateness` as in `clamped_score_stream`: a flag is forgotten after a silence.
+    """
 
-    def step(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        pdf = _ordered(pdfs)
-        last, keep, t = state.get[0] if state.exists else -np.inf, [], pdf["t"].to_numpy()
+    def step(pdf: pd.DataFrame, kept: tuple | None) -> tuple[pd.DataFrame, tuple]:
+        start, last, late = kept or (-np.inf, -np.inf, 0)
+        t = pdf["t"].to_numpy()
+        m = int(np.searchsorted(t, last, side="left"))
+        flagged = np.where(pdf["flag"].to_numpy(dtype=bool), t, -np.inf)
+        start = max(start, flagged[:m].max(initial=-np.inf))
+        lates = np.full(len(t), late + m, "int64")
+        lates[:m] = late + 1 + np.arange(m)
+        at = np.full(len(t), -np.inf)
+        for part, anew in _stretches(t[m:], last, idle):
+            at[m:][part] = np.maximum.accumulate(np.maximum(flagged[m:][part], -np.inf if anew else start))
+            start = at[m:][part][-1] if len(at[m:][part]) else start
+        if m < len(t):
+            last = float(t[-1])
+        since = np.where(np.isneginf(at), np.nan, t - at)
+        return pdf[[*keys, "t", "event_seq"]].assign(since=since, late=lates, is_late=np.arange(len(t)) < m), (float(start), last, late + m)
+
+    return _by_key(stream, keys, ["t", "event_seq", "flag"], ", since double, late bigint, is_late boolean", "at double, last double, late bigint", step, idle, lateness)
+
+
+def debounce_stream(stream: DataFrame, keys: list[str], min_gap: float, *, lateness: str | None = None) -> DataFrame:
+    """The debounce rule with the last kept time as state. With `lateness` the state goes once no row can come that it
+    would hold back, so nothing else changes."""
+
+    def step(pdf: pd.DataFrame, kept: tuple | None) -> tuple[pd.DataFrame, tuple]:
+        (last,), keep, t = kept or (-np.inf,), [], pdf["t"].to_numpy()
         i = int(np.searchsorted(t, last + min_gap, side="right"))
         while i < len(t):
             keep.append(i)
             last = float(t[i])
             i = int(np.searchsorted(t, last + min_gap, side="right"))
-        state.update((last,))
-        yield pdf[[*keys, "t", "event_seq"]].iloc[keep]
+        return pdf[[*keys, "t", "event_seq"]].iloc[keep], (float(last),)
 
-    return stream.select(*keys, "t", "event_seq").groupBy(*keys).applyInPandasWithState(
-        step, f"{head}, t double, event_seq bigint", "last double", "append", GroupStateTimeout.NoTimeout
-    )
+    return _by_key(stream, keys, ["t", "event_seq"], "", "last double", step, min_gap, lateness)
 
 
 def dedupe_stream(stream: DataFrame, keys: list[str], lateness: str = "10 minutes") -> DataFrame:

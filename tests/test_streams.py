@@ -58,6 +58,34 @@ def test_late_rows_are_counted(spark, tmp_path):
     assert {r.t: (r.score, r.late) for r in out.collect()} == {1.0: (1, 0), 5.0: (2, 0), 3.0: (2, 1), 6.0: (3, 1)}
 
 
+def test_ended_runs_are_forgotten_and_late_rows_are_marked(spark, tmp_path):
+    """A silence ends a run, a timer drops its state, late rows are marked and counted, and a stop in between changes nothing."""
+    src, root = str(tmp_path / "in"), str(tmp_path / "out")
+    cols = "s STRING, t DOUBLE, event_seq BIGINT, delta INT, flag BOOLEAN"
+    steps = [[("a", 0, 1), ("a", 10, 1), ("b", 5, 1)], [("a", 4, -1), ("a", 12, -1), ("a", 60, 1)], [("c", 500, 1)], [("c", 900, 1), ("a", 905, 1)]]
+    held = {"score": [], "since": [], "deb": []}
+    build = {
+        "score": lambda df: S.clamped_score_stream(df, ["s"], idle=30.0, lateness="20 seconds"), "since": lambda df: S.time_since_last_stream(df, ["s"], idle=30.0, lateness="20 seconds"),
+        "deb": lambda df: S.debounce_stream(df, ["s"], 8.0, lateness="20 seconds"),
+    }
+    for step in steps:
+        rows = [(s, float(t), t, d, d > 0) for s, t, d in step]
+        spark.createDataFrame(rows, cols).withColumn("ts", F.timestamp_seconds(F.col("t") + 1000)).coalesce(1).write.mode("append").parquet(src)
+        for name, make in build.items():
+            out = S.run_available(spark, make(spark.readStream.schema(f"{cols}, ts TIMESTAMP").parquet(src)), name, root=f"{root}/{name}")
+            held[name].append({r.key.s for r in spark.read.format("statestore").load(f"{root}/{name}/checkpoint").select("key").collect()})
+    read = lambda name: spark.read.parquet(f"{root}/{name}/result").collect()
+    assert {(r.s, r.event_seq): (r.score, r.late, r.is_late) for r in read("score")} == {
+        ("a", 0): (1, 0, False), ("a", 10): (2, 0, False), ("b", 5): (1, 0, False), ("a", 4): (2, 1, True), ("a", 12): (1, 1, False), ("a", 60): (1, 1, False),
+        ("c", 500): (1, 0, False), ("c", 900): (1, 0, False), ("a", 905): (1, 0, False),
+    }
+    since = {(r.s, r.event_seq): (None if r.since is None or r.since != r.since else r.since, r.is_late) for r in read("since")}
+    assert since[("a", 4)] == (None, True) and since[("a", 12)] == (2.0, False) and since[("a", 60)] == (0.0, False) and since[("c", 900)] == (0.0, False)
+    assert {(r.s, r.event_seq) for r in read("deb")} == {("a", 0), ("a", 10), ("b", 5), ("a", 60), ("c", 500), ("c", 900), ("a", 905)}
+    for name in held:
+        assert {"a", "b"} <= held[name][0] and held[name][2] == {"c"}, name
+
+
 def test_unmatched_spawns_come_out_after_the_watermark(spark, tmp_path):
     schema = "s STRING, trial INT, ts TIMESTAMP, kind STRING"
     files = [[("a", 1, 0, "spawn"), ("a", 1, 2, "resolved"), ("a", 2, 5, "spawn")], [("a", 9, 500, "spawn"), ("a", 9, 501, "resolved")], [("a", 10, 900, "spawn"), ("a", 10, 901, "resolved")]]
