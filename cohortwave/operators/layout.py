@@ -5,6 +5,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from cohortwave.functions.ordered import Slicing, by_hash, digest, numbered
+from cohortwave.functions.permuted import place
 from cohortwave.operators.joins import fixed_selection
 from cohortwave.operators.windows import chunk_of
 
@@ -25,15 +26,22 @@ def shortest_k(clips: DataFrame, k: int, group: str = "valence_group", duration:
     return _first_k(clips, [group], [F.col(duration).asc_nulls_last(), F.col(position)], k)
 
 
-def seeded_sample(pool: DataFrame, n: int | Mapping[str, int], seed: int, who: str = "participant_id", group: str = "valence_group", ident: str = "clip_id") -> DataFrame:
-    """`n` items per participant and group in hash order; the same seed gives the same sample."""
-    h = digest(seed, who, ident)
-    k = max(n.values()) if isinstance(n, Mapping) else n
-    out = _first_k(pool, [who, group], [h, F.col(ident)], k, "draw")
+def seeded_sample(wants: DataFrame, pool: DataFrame, n: int | Mapping[str, int], seed: int, who: str = "participant_id", group: str = "valence_group", ident: str = "clip_id") -> DataFrame:
+    """`n` items of the group's pool for each row (`who`, `group`) of `wants`; the same seed gives the same sample.
+
+    Pools are numbered once, in the order of `ident`. A draw is sent to its place by a permutation that (`who`, `group`) picks,
+    and meets the item by an equi-join on (`group`, place): what is made are the draws, never all items of all participants.
+    A pool with fewer items is drawn whole.
+    """
     if isinstance(n, Mapping):
-        limit = F.coalesce(*[F.when(F.col(group) == g, F.lit(v)) for g, v in n.items()], F.lit(0))
-        out = out.where(F.col("draw") <= limit)
-    return out
+        most = F.coalesce(*[F.when(F.col(group) == g, F.lit(v)) for g, v in n.items()], F.lit(0))
+    else:
+        most = F.lit(n)
+    sizes = pool.groupBy(group).agg(F.count("*").alias("__size"))
+    drawn = wants.join(sizes, group).withColumn("__n", F.least(most, "__size")).where("__n > 0")
+    drawn = drawn.withColumn("draw", F.explode(F.sequence(F.lit(1), F.col("__n").cast("int"))))
+    drawn = drawn.withColumn("__at", place(F.col("draw") - 1, F.col("__size"), seed, who, group) + 1).drop("__n", "__size")
+    return drawn.join(numbered(pool, [group], [ident], "__at"), [group, "__at"]).drop("__at")
 
 
 def interleaved_blocks(selected: DataFrame, num_blocks: int, seed: int, who: str = "participant_id", group: str = "valence_group", group_index: str = "group_index", ident: str = "clip_id") -> DataFrame:
@@ -115,7 +123,7 @@ def sart_table(participants: DataFrame, font_sizes: Sequence[float], reps: int,
 
 
 def clip_schedule(participants: DataFrame, clips: DataFrame, per_group: Mapping[str, int], seed: int, *, num_blocks: int = 3, structure: str = "interleaved", fixed: DataFrame | None = None, groups: Sequence[str] | None = None, who: str = "participant_id") -> DataFrame:
-    """Clip order for a whole cohort. Participants fan out by group and meet each group's clips.
+    """Clip order for a whole cohort. Participants fan out by group and draw from each group's clips.
 
     `groups` gives the order of groups, which rotates their clips over blocks (else that of `per_group`). Fixed lists
     are cut before the join, so it yields only clips that are shown.
@@ -126,7 +134,7 @@ def clip_schedule(participants: DataFrame, clips: DataFrame, per_group: Mapping[
     if fixed is not None:
         listed = fixed_selection(clips, fixed, dict(per_group))
         pool = listed.unionByName(clips.join(fixed.select("valence_group").distinct(), "valence_group", "left_anti"))
-    sel = seeded_sample(wants.join(pool, "valence_group"), dict(per_group), seed, who).drop("draw")
+    sel = seeded_sample(wants, pool, dict(per_group), seed, who).drop("draw")
     if structure == "interleaved":
         return interleaved_blocks(sel, num_blocks, seed + 10, who)
     return grouped_blocks(sel, seed + 10, who)

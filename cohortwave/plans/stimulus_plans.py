@@ -169,17 +169,26 @@ def _digest(seed: int, *cols: str) -> str:
     return f"('0x' || substr(md5('{seed}|' || {" || '|' || ".join(cols)}), 1, 15))::BIGINT"
 
 
-_DRAWN = f"""WITH w AS (SELECT n_name AS who, p_type AS g, p_partkey AS clip FROM nation CROSS JOIN part),
-  s AS (SELECT *, row_number() OVER (PARTITION BY who, g ORDER BY {_digest(42, "who", "clip")}, clip) AS draw FROM w QUALIFY draw <= 6)
+def _draws(n: int, seed: int, group: str) -> str:
+    """`n` draws of each participant from the parts of each group, by the rounds of `permuted.place`: (who, g, clip, draw)."""
+    return f"""WITH RECURSIVE pool AS (SELECT g, clip, row_number() OVER (PARTITION BY g ORDER BY clip) - 1 AS spot, count(*) OVER (PARTITION BY g) AS n FROM (SELECT {group} AS g, p_partkey AS clip FROM part)),
+  rounds AS (SELECT n_name AS who, g, n, i, i AS x, 0 AS r FROM nation CROSS JOIN (SELECT DISTINCT g, n FROM pool) CROSS JOIN range({n}) t(i) WHERE i < n
+    UNION ALL SELECT who, g, n, i, CASE WHEN {_digest(seed, "r", "who", "g", "greatest(x, y)")} % 2 = 1 THEN y ELSE x END, r + 1
+    FROM (SELECT *, ({_digest(seed, "r", "who", "g")} % n - x + n) % n AS y FROM rounds WHERE r < 32)),
+  drawn AS (SELECT who, rounds.g, clip, i + 1 AS draw FROM rounds JOIN pool ON pool.g = rounds.g AND spot = x WHERE r = 32)
 """
 
 
-@plan(_DRAWN + "SELECT who AS participant_id, g AS valence_group, clip AS clip_id, CAST(draw AS INT) AS draw FROM s")
+@plan(_draws(6, 42, "p_type") + "SELECT who AS participant_id, g AS valence_group, clip AS clip_id, CAST(draw AS INT) AS draw FROM drawn")
 def seeded_sample(d: Tables):
     """Every participant draws 6 clips of each group."""
+    return _six(d).select("participant_id", "valence_group", "clip_id", "draw")
+
+
+def _six(d: Tables):
     types = d.clips.select(F.col("fine_grained_label").alias("valence_group"), "clip_id")
     wants = _participants(d).select("participant_id", F.explode(F.array(*[F.lit(g) for g in ("STANDARD", "ECONOMY", "MEDIUM", "PROMO", "LARGE", "SMALL")])).alias("valence_group"))
-    return L.seeded_sample(wants.join(types, "valence_group"), 6, 42).select("participant_id", "valence_group", "clip_id", "draw")
+    return L.seeded_sample(wants, types, 6, 42)
 
 
 _SLOTS = """WITH r AS (SELECT c_custkey AS who, k, CASE WHEN k < 3 THEN 'schulte' ELSE 'stroop' END AS game FROM customer CROSS JOIN range(6) t(k))
@@ -221,8 +230,7 @@ def sart_table(d: Tables):
 
 
 _GROUPS = "CASE WHEN p_type IN ('LARGE', 'PROMO') THEN 'positive' WHEN p_type IN ('SMALL', 'ECONOMY') THEN 'negative' ELSE 'neutral' END"
-_CHOSEN = f"""WITH w AS (SELECT n_name AS who, {_GROUPS} AS g, p_partkey AS clip FROM nation CROSS JOIN part),
-  s AS (SELECT *, CASE g WHEN 'positive' THEN 0 WHEN 'negative' THEN 1 ELSE 2 END AS gi FROM w QUALIFY row_number() OVER (PARTITION BY who, g ORDER BY {_digest(11, "who", "clip")}, clip) <= 4)
+_CHOSEN = _draws(4, 11, _GROUPS) + """, s AS (SELECT who, g, clip, CASE g WHEN 'positive' THEN 0 WHEN 'negative' THEN 1 ELSE 2 END AS gi FROM drawn)
 """
 
 
@@ -255,10 +263,7 @@ def cohort_grouped(d: Tables):
 @plan("""SELECT n_name AS participant_id, p_type AS valence_group, least(count(*), 6) AS n FROM nation CROSS JOIN part GROUP BY 1, 2""")
 def seeded_sample_sizes(d: Tables):
     """Every participant draws min(6, pool) clips of each group."""
-    types = d.clips.select(F.col("fine_grained_label").alias("valence_group"), "clip_id")
-    groups = F.array(*[F.lit(g) for g in ("STANDARD", "ECONOMY", "MEDIUM", "PROMO", "LARGE", "SMALL")])
-    wants = _participants(d).select("participant_id", F.explode(groups).alias("valence_group"))
-    s = L.seeded_sample(wants.join(types, "valence_group"), 6, 42)
+    s = _six(d)
     return s.groupBy("participant_id", "valence_group").agg(F.count_distinct("clip_id").alias("n"))
 
 
