@@ -1,12 +1,15 @@
 """Sliced scans and the operators on them against plain loops, at slice widths from tiny to one slice."""
 
 import bisect
+import hashlib
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from cohortwave.functions import ordered as O
+from cohortwave.functions.permuted import place
 from cohortwave.functions.scalars import eval_expression
 from cohortwave.operators import joins as J, layout as L, quality as Q, windows as X
 
@@ -135,6 +138,60 @@ def test_exact_median(data):
     assert got == {k: pytest.approx(statistics.median(r[4] for r in rs)) for k, rs in by_key(rows).items()}
 
 
+@pytest.mark.parametrize("kind", ["DOUBLE", "BIGINT", "DECIMAL(20,2)"])
+def test_exact_median_of_long_short_and_tied_keys(spark, kind):
+    # 60,000 rows are compressed by the summary; half of `tied` is one value
+    long = spark.range(60_000).select(F.lit("long").alias("s"), F.pmod(F.xxhash64("id"), F.lit(1_000_003)).alias("v"))
+    tied = spark.range(30_001).select(F.lit("tied").alias("s"), F.when(F.col("id") % 2 == 0, F.lit(7)).otherwise(F.col("id")).alias("v"))
+    short = spark.createDataFrame([("one", 3), ("two", 4), ("two", 9), ("none", None)], "s STRING, v BIGINT")
+    df = long.union(tied).union(short).withColumn("v", F.col("v").cast(kind)).repartition(5)
+    got = {r.s: float(r.m) for r in O.exact_median(df, KEYS, "v", "m").collect()}
+    assert got == {r.s: r.m for r in df.groupBy("s").agg(F.median(F.col("v").cast("double")).alias("m")).where("m IS NOT NULL").collect()}
+    assert set(got) == {"long", "tied", "one", "two"}
+
+
+def test_exact_median_ranks_only_the_middle(spark):
+    df = spark.range(100_000).select(F.lit("a").alias("s"), F.rand(3).alias("v")).cache()
+    seen = O.exact_median(df, KEYS, "v", "m")
+    assert seen.first().m == df.agg(F.median("v")).first()[0]
+    nan = spark.createDataFrame([("a", float("nan"))] * 3 + [("a", 1.0)] + [("b", float("nan")), ("b", 1.0), ("b", 2.0)], "s STRING, v DOUBLE")
+    got = {r.s: r.m for r in O.exact_median(nan, KEYS, "v", "m").collect()}
+    assert got["b"] == 2.0 and got["a"] != got["a"]
+
+
+def plain_place(x, n, seed, *keys):
+    number = lambda *cols: int(hashlib.md5("|".join(map(str, (seed, *cols))).encode()).hexdigest()[:15], 16)
+    for r in range(32):
+        other = (number(r, *keys) % n - x) % n
+        if number(r, *keys, max(x, other)) % 2:
+            x = other
+    return x
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 64, 301])
+def test_places_are_a_permutation(spark, n):
+    got = [r[0] for r in spark.range(n).select(place(F.col("id"), F.lit(n), 5, F.lit("p"))).collect()]
+    assert sorted(got) == list(range(n)) and got == [plain_place(x, n, 5, "p") for x in range(n)]
+
+
+def test_draws_are_even_distinct_and_follow_the_seed(spark):
+    pool = spark.createDataFrame([("a", f"a{i}") for i in range(10)] + [("b", "b0"), ("b", "b1")], "valence_group STRING, clip_id STRING")
+    wants = spark.range(2000).select(F.concat(F.lit("p"), "id").alias("participant_id"), F.explode(F.array(F.lit("a"), F.lit("b"), F.lit("absent"))).alias("valence_group"))
+    out = L.seeded_sample(wants, pool, {"a": 3, "b": 5}, 1)
+    rows = [tuple(r) for r in out.select("participant_id", "valence_group", "draw", "clip_id").collect()]
+    assert len(rows) == 2000 * 5 == len({(p, c) for p, _, _, c in rows})
+    assert {d for _, g, d, _ in rows if g == "b"} == {1, 2}
+    first = Counter(c for _, g, d, c in rows if (g, d) == ("a", 1))
+    assert len(first) == 10 and max(abs(k - 200) for k in first.values()) < 60  # 200 each, 13 is one standard deviation
+    again = L.seeded_sample(wants.repartition(5), pool.repartition(3), {"a": 3, "b": 5}, 1)
+    assert {tuple(r) for r in again.select("participant_id", "valence_group", "draw", "clip_id").collect()} == set(rows)
+    other = L.seeded_sample(wants, pool, 3, 2).where("valence_group = 'a'").select("participant_id", "valence_group", "draw", "clip_id")
+    assert {tuple(r) for r in other.collect()} != {r for r in rows if r[1] == "a"}
+    assert L.seeded_sample(wants, pool, 0, 1).count() == 0
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
 def test_chunks_and_interleaving(spark):
     items = spark.createDataFrame([("g", i) for i in range(10)] + [("h", i) for i in range(2)], "g STRING, i INT")
     got = L.chunk_evenly(items, 4, ["g"], ["i"], 3.0)
