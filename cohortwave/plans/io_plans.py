@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from cohortwave import schema as S
+from cohortwave.functions.ordered import running
 from cohortwave.plans.registry import plan
 from cohortwave.plans.views import EV, Tables
 from cohortwave.session import work_dir
@@ -29,6 +30,19 @@ def _event_files(d: Tables) -> str:
     return root
 
 
+@plan(EV + """SELECT session_id, seq AS n, lag(seq) OVER (PARTITION BY session_id ORDER BY floor(t / 604800), (seq * 7919) % 1000003, seq) AS before FROM ev""")
+def file_order(d: Tables):
+    """Clocks that tick once a week: which event follows which is known only from the lines of a session's file."""
+    root = work_dir(d.spark, "ticks")
+    tick = F.floor(F.col("t") / 604800) * 604800.0
+    lines = d.ev.select(F.pmod(F.col("session_id").cast("int"), F.lit(10)).alias("folder"), "session_id", tick.alias("tick"), ((F.col("event_seq") * 7919) % 1000003).alias("turn"), F.col("event_seq").alias("n"), "event_type")
+    body = F.to_json(F.struct(F.col("tick").alias(S.HOST), "session_id", "event_type", F.struct("n").alias(S.PAY)))
+    placed = lines.repartition("folder").sortWithinPartitions("folder", "session_id", "tick", "turn", "n")  # one file of each folder
+    placed.select("folder", body.alias("value")).write.partitionBy("folder").text(root)
+    ev = R.intact(R.read_events(d.spark, root, "*")).select("session_id", "ts", "event_seq", S.field("n", "bigint").alias("n"))
+    return running(ev, ["session_id"], ["ts", "event_seq"], {"before": ("last", F.col("n"))}, inclusive=False).select("session_id", "n", "before")
+
+
 _SEEN = "session_id, 'P' || session_id AS participant_id, et AS event_type, k AS trial_index, seq AS n, round(t, 3) AS t"
 
 
@@ -125,11 +139,11 @@ def read_samples(d: Tables):
 
 @plan("""SELECT CAST(l_suppkey AS VARCHAR) AS session_id, sum(CASE WHEN l_suppkey % 2 = 0 THEN 2 ELSE 1 END * l_linenumber)::BIGINT AS x, count(*) AS n FROM lineitem GROUP BY 1""")
 def write_curated(d: Tables):
-    """Every session is written, then those of even suppliers again with new values, split over four tasks each."""
+    """Every session is written, then those of even suppliers again with new values."""
     path = work_dir(d.spark, "curated")
     rows = d.lineitem.select(F.col("l_suppkey").cast("string").alias("session_id"), F.col("l_linenumber").cast("bigint").alias("x"), "l_orderkey")
     W.write_curated(rows, path)
-    W.write_curated(rows.where("cast(session_id AS INT) % 2 = 0").withColumn("x", F.col("x") * 2), path, hot_splits=4)
+    W.write_curated(rows.where("cast(session_id AS INT) % 2 = 0").withColumn("x", F.col("x") * 2), path)
     return d.spark.read.parquet(path).groupBy(F.col("session_id").cast("string").alias("session_id")).agg(F.sum("x").alias("x"), F.count("*").alias("n"))
 
 

@@ -11,25 +11,30 @@ _CORRUPT = "_corrupt_record"
 _RAW_EVENTS = T.StructType([*S.ENVELOPE.fields, T.StructField(_CORRUPT, T.StringType())])
 
 
-def _with_time(df: DataFrame) -> DataFrame:
-    """Event time and a deterministic tie-break for rows with equal clock readings."""
-    return df.withColumns(
-        {
-            "ts": F.timestamp_micros(F.round(F.col(S.HOST) * 1e6).cast("bigint")),
-            "event_seq": F.xxhash64("event_type", "block_index", "trial_index", F.to_json(F.col(S.PAY))),
-        }
-    )
+_ROWS = (1 << 33) - 1  # the lower bits of Spark's row id number the rows of a partition
+
+
+def _with_time(df: DataFrame, tie: Column) -> DataFrame:
+    """Event time and the order of rows with equal clock readings."""
+    return df.withColumns({"ts": F.timestamp_micros(F.round(F.col(S.HOST) * 1e6).cast("bigint")), "event_seq": tie})
 
 
-def read_events(spark: SparkSession, root: str) -> DataFrame:
-    """Every session's event log. A torn line is kept with its text in `_corrupt_record`."""
+def read_events(spark: SparkSession, root: str, file: str = "events.jsonl") -> DataFrame:
+    """Every session's event log. A torn line is kept with its text in `_corrupt_record`.
+
+    `event_seq` ascends with the lines of a file, so equal clock readings keep the order in which they were logged: where
+    a line's split begins in the file, plus its place among the rows of its task. Splits begin further apart than a task has
+    rows, as a task reads no more bytes than a split may have and a line is two bytes at least. It is a
+    column from here on, so what is written keeps it; it is no identity, as other files have the same numbers.
+    """
     raw = (
         spark.read.schema(_RAW_EVENTS)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", _CORRUPT)
-        .json(f"{root}/*/events.jsonl")
+        .json(f"{root}/*/{file}")
     )
-    return _with_time(raw.withColumn("source_file", F.col("_metadata.file_path")))
+    line = F.col("_metadata.file_block_start") + F.monotonically_increasing_id().bitwiseAND(F.lit(_ROWS))
+    return _with_time(raw.withColumns({"source_file": F.col("_metadata.file_path"), "__line": line}), F.col("__line")).drop("__line")
 
 
 def intact(events: DataFrame) -> DataFrame:
@@ -41,14 +46,15 @@ def torn(events: DataFrame) -> DataFrame:
 
 
 def read_events_stream(spark: SparkSession, root: str, max_files: int = 1000) -> DataFrame:
-    """Event files as a stream; a file must be moved in whole, the source never re-reads a growing one."""
+    """Event files as a stream; a file must be moved in whole, the source never re-reads a growing one. Streams know no
+    row numbers, so equal clock readings are ordered by a hash of the row: always the same, but not that of the file."""
     raw = (
         spark.readStream.schema(_RAW_EVENTS)
         .option("columnNameOfCorruptRecord", _CORRUPT)
         .option("maxFilesPerTrigger", max_files)
         .json(f"{root}/*/events.jsonl")
     )
-    return _with_time(raw)
+    return _with_time(raw, F.xxhash64("event_type", "block_index", "trial_index", F.to_json(F.col(S.PAY))))
 
 
 def read_manifests(spark: SparkSession, root: str) -> DataFrame:

@@ -5,14 +5,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 
-def write_curated(df: DataFrame, path: str, partition: str = "session_id", hot_splits: int = 1) -> None:
+MOST_ROWS = 5_000_000  # rows of one file
+
+
+def write_curated(df: DataFrame, path: str, partition: str = "session_id") -> None:
     """Replace the partitions present in `df`, leave the others; a rerun gives the same table.
 
-    Rows gather by partition value before the write so each value gets few files; `hot_splits`
-    spreads every value over that many tasks when one of them is very large.
+    Rows gather by partition value before the write, so each value gets few files. Sizes are those that Spark has
+    measured in the shuffle: a value with more than `spark.sql.adaptive.advisoryPartitionSizeInBytes` is written by several tasks,
+    small values share one; those in a large one's shuffle partition are spread with it. Without adaptive execution a value is one task, with files of `MOST_ROWS` rows at most.
     """
-    salt = F.pmod(F.xxhash64(*[c for c, t in df.dtypes if t != "variant"]), F.lit(hot_splits))
-    df.repartition(F.col(partition), salt).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    gathered = df.hint("rebalance", F.col(partition))
+    gathered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", MOST_ROWS).partitionBy(partition).parquet(path)
 
 
 def write_report(df: DataFrame, path: str, fmt: str = "json") -> None:

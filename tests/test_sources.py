@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from cohortwave import schema as S
 from cohortwave.functions.scalars import safe_label, video_code
 from cohortwave.operators import joins as J, layout as L
 from cohortwave.sources import readers as R, writers as W
@@ -37,8 +38,8 @@ def test_clip_files(spark, files):
     fixed = R.read_fixed_clips(spark, str(files / "fixed.json"))
     assert [(r.valence_group, r.pos, r.clip_id) for r in fixed.orderBy("pos").collect()] == [("positive", 0, "clip_02"), ("positive", 1, "clip_99"), ("positive", 2, "clip_01")]
     # the missing listed id is not replaced; groups without a list come from the sample
-    pool = clips.withColumn("participant_id", F.lit("p"))
-    chosen = J.fixed_selection(clips, fixed, 2, L.seeded_sample(pool, 2, 1).drop("draw", "participant_id"))
+    wants = clips.select(F.lit("p").alias("participant_id"), "valence_group").distinct()
+    chosen = J.fixed_selection(clips, fixed, 2, L.seeded_sample(wants, clips, 2, 1).drop("draw", "participant_id"))
     got = {g: n for g, n in chosen.groupBy("valence_group").count().collect()}
     assert got == {"positive": 1, "neutral": 2, "negative": 1}
 
@@ -98,7 +99,56 @@ def test_curated_rewrite_keeps_other_sessions(spark, tmp_path):
     path = str(tmp_path / "t")
     W.write_curated(spark.createDataFrame([("a", 1), ("b", 2)], "session_id STRING, x INT"), path)
     for _ in range(2):
-        W.write_curated(spark.createDataFrame([("a", 5), ("a", 6)], "session_id STRING, x INT"), path, hot_splits=2)
+        W.write_curated(spark.createDataFrame([("a", 5), ("a", 6)], "session_id STRING, x INT"), path)
     assert sorted((r.session_id, r.x) for r in spark.read.parquet(path).collect()) == [("a", 5), ("a", 6), ("b", 2)]
     W.write_report(spark.createDataFrame([(1, "x")], "a INT, b STRING"), str(tmp_path / "r"), "csv")
     assert spark.read.option("header", True).csv(str(tmp_path / "r")).first().b == "x"
+
+
+def test_a_hot_session_is_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    rows = spark.range(0, 400_000, 1, 16).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 40)).alias("session_id"), F.xxhash64("id").alias("x"))
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    monkeypatch.setattr(W, "MOST_ROWS", 50_000)
+    for size, least in (("64m", 3), ("256k", 4)):  # one task must still bound its files
+        spark.conf.set(name, size)
+        spark.conf.set("spark.sql.shuffle.partitions", "32")
+        try:
+            W.write_curated(rows, path)
+        finally:
+            spark.conf.unset(name)
+            spark.conf.set("spark.sql.shuffle.partitions", "4")
+        back = spark.read.parquet(path)
+        per = {r.session_id: (r.n, r.most) for r in back.groupBy("session_id", F.input_file_name().alias("f")).count().groupBy("session_id").agg(F.count("*").alias("n"), F.max("count").alias("most")).collect()}
+        assert per["hot"][0] >= least and per["hot"][1] <= 50_000
+        few = [n <= 2 for s, (n, _) in per.items() if s != "hot"]  # those in the hot one's shuffle partition are spread with it
+        assert len(few) == 40 and sum(few) >= 20
+        assert back.count() == 400_000 and back.agg(F.sum(F.col("x").cast("decimal(38,0)"))).first() == rows.agg(F.sum(F.col("x").cast("decimal(38,0)"))).first()
+
+
+def test_equal_readings_keep_the_order_of_the_file(spark, tmp_path):
+    """A block end and the next start at one reading, over many splits of one file; torn and blank lines between."""
+    names = ["block_end", "block_start", "session_crashed", "key"]
+    want = []
+    for s in ("a", "b"):
+        (tmp_path / s).mkdir()
+        lines = []
+        for i in range(3000):
+            et = names[(i * 7 + i // 5) % 4]
+            lines.append(json.dumps({S.HOST: 5.0, "session_id": s, "event_type": et, S.PAY: {"n": i}}))
+            want.append((s, i))
+            if i % 97 == 0:
+                lines += ["", "{\"torn"]
+        (tmp_path / s / "events.jsonl").write_text("\n".join(lines))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in ("7000", "40000", old):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        try:
+            ev = R.intact(R.read_events(spark, str(tmp_path)))
+            got = ev.select("session_id", "event_seq", S.field("n", "int").alias("n"), "event_type").collect()
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+        assert len({(r.session_id, r.event_seq) for r in got}) == len(want)
+        assert [(r.session_id, r.n) for r in sorted(got, key=lambda r: (r.session_id, r.event_seq))] == want
