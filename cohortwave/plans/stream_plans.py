@@ -128,6 +128,22 @@ def stream_time_since_last(d: Tables):
     return out.select("session_id", "event_seq", F.round(F.nanvl("since", F.lit(None).cast("double")), 4).alias("since"))
 
 
+@plan(EV + "SELECT session_id, epoch_us(max(ts)) AS last_us, count(*) AS n_events, CASE WHEN bool_or(et = 'error' AND k = 0) THEN 'crashed' WHEN bool_or(et = 'purchase' AND k = 1) THEN 'completed' ELSE 'running' END AS status FROM ev GROUP BY 1")
+def stream_live_sessions(d: Tables):
+    """S1 over four steps with stops between. Ended sessions, and those silent for a day, lose their state; the pieces of a session
+    that goes on later add up to the whole."""
+    land, root = _Landing(d, "live-landing", []), work_dir(d.spark, "live")
+    et, k = F.col("event_type"), F.col("k")
+    kind = F.when((et == "error") & (k == 0), "session_crashed").when((et == "purchase") & (k == 1), "session_end").otherwise(et)
+    for step in range(4):
+        land.put(F.floor(land.place() / 2) == step)
+        live = S.monitor_live_sessions(land.stream(1_000_000).withColumn("event_type", kind), 86400.0, land.lateness)
+        out = S.run_available(d.spark, live, "live", each=S.batch_files, mode="update", root=root)
+    pieces = _latest(d.spark.read.parquet(out), [*SES, "begun_us"])
+    worst = F.max_by("status", F.array_position(F.array(*[F.lit(s) for s in ("running", "completed", "aborted", "crashed")]), F.col("status")))
+    return pieces.groupBy(*SES).agg(F.unix_micros(F.max("last_ts")).alias("last_us"), F.sum("n_events").alias("n_events"), worst.alias("status"))
+
+
 _LATE = """, span AS (SELECT min(epoch_us(ts)) AS lo, (max(epoch_us(ts)) - min(epoch_us(ts))) // 8 + 1 AS span FROM ev),
   l AS (SELECT ev.*, ((epoch_us(ts) - lo) // span) // 2 + CASE WHEN k % 10 = 3 THEN 1 ELSE 0 END AS step FROM ev, span WHERE et IN ('purchase', 'error')),
   m AS (SELECT session_id, step, max(t) AS mt FROM l GROUP BY 1, 2),

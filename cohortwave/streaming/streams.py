@@ -22,6 +22,46 @@ def monitor_sessions(stream: DataFrame) -> DataFrame:
     )
 
 
+_ENDS = {"session_end": 1, "session_aborted": 2, "task_abort": 2, "session_crashed": 4}
+
+
+def monitor_live_sessions(stream: DataFrame, silence: float, lateness: str) -> DataFrame:
+    """S1 with state that goes: as `monitor_sessions`, for sessions that are alive (update mode, a row for each change).
+
+    A session that has ended is dropped as soon as the watermark, which waits for `lateness`, has passed its last event; one
+    without an end after `silence` seconds more. Events after that begin a new piece of the session, told apart by
+    `begun_us`, so numbers of events add up over pieces. Rows are reduced to a handful of numbers batch by batch, whatever the
+    session holds; rows without a time take no part.
+    """
+
+    def run(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        begun, last, task, n, ends, until = state.get if state.exists else (None, None, None, 0, 0, 0)
+        first = begun
+        for pdf in pdfs:
+            at = pdf["us"].to_numpy("int64")
+            newest, oldest = int(at.argmax()), int(at.min())
+            first = oldest if first is None or begun is None and oldest < first else first
+            if last is None or at[newest] > last:
+                last, task = int(at[newest]), pdf["task"].iloc[newest]
+            n += len(at)
+            ends |= int(np.bitwise_or.reduce(pdf["ends"].to_numpy("int64")))
+        until = max(last // 1000 + (0 if ends else int(silence * 1000)), state.getCurrentWatermarkMs()) + 1
+        state.update((first, last, task, n, ends, until))
+        state.setTimeoutTimestamp(until)
+        status = "crashed" if ends & 4 else "aborted" if ends & 2 else "completed" if ends else "running"
+        yield pd.DataFrame({"session_id": [key[0]], "begun_us": [first], "last_us": [last], "task": [task], "n_events": [n], "status": [status]})
+
+    ends = F.coalesce(*[F.when(F.col("event_type") == kind, F.lit(bit)) for kind, bit in _ENDS.items()], F.lit(0))
+    rows = stream.where("ts IS NOT NULL").withWatermark("ts", lateness).select("session_id", "task", "ts", F.unix_micros("ts").alias("us"), ends.alias("ends"))
+    live = rows.groupBy("session_id").applyInPandasWithState(
+        run, "session_id string, begun_us bigint, last_us bigint, task string, n_events bigint, status string", "begun bigint, last bigint, task string, n bigint, ends int, until bigint", "update", GroupStateTimeout.EventTimeTimeout
+    )
+    return live.withColumn("last_ts", F.timestamp_micros("last_us")).drop("last_us")
+
+
 def pair_obstacles_stream(spawns: DataFrame, outcomes: DataFrame, keys: list[str], within: str, lateness: str = "1 minute") -> DataFrame:
     """Spawns with their resolution inside `within`; an unmatched spawn is emitted once the
     watermark shows that none can follow. Both sides carry `ts`; `outcomes` has other columns unique."""

@@ -86,6 +86,29 @@ def test_ended_runs_are_forgotten_and_late_rows_are_marked(spark, tmp_path):
         assert {"a", "b"} <= held[name][0] and held[name][2] == {"c"}, name
 
 
+def test_sessions_that_ended_or_fell_silent_are_dropped(spark, tmp_path):
+    src, root = str(tmp_path / "in"), str(tmp_path / "out")
+    cols = "session_id STRING, event_type STRING, task STRING, at INT"
+    steps = [
+        [("a", "session_start", "x", 0), ("a", "session_end", "y", 10), ("b", "key", "x", 5), ("d", "key", "x", None)], [("b", "key", "z", 40), ("c", "key", "x", 60)], [("c", "task_abort", "x", 500)],
+        [("b", "session_crashed", "x", 900), ("c", "key", "w", 905)],
+    ]
+    held = []
+    for step in steps:
+        df = spark.createDataFrame(step, cols).withColumn("ts", F.timestamp_seconds(F.col("at") + 1000))
+        df.coalesce(1).write.mode("append").parquet(src)
+        live = S.monitor_live_sessions(spark.readStream.schema(f"{cols}, ts TIMESTAMP").parquet(src), 100.0, "20 seconds")
+        out = S.run_available(spark, live, "live", each=S.batch_files, mode="update", root=root)
+        held.append({r.key.session_id for r in spark.read.format("statestore").load(f"{root}/checkpoint").select("key").collect()})
+    rows = spark.read.parquet(out).groupBy("session_id", "begun_us").agg(F.max_by(F.struct("n_events", "status", "task", F.unix_seconds("last_ts").alias("s")), "batch").alias("v")).collect()
+    assert {(r.session_id, r.begun_us // 1_000_000 - 1000): (r.v.n_events, r.v.status, r.v.task, r.v.s - 1000) for r in rows} == {
+        ("a", 0): (2, "completed", "y", 10), ("b", 5): (2, "running", "z", 40), ("c", 60): (3, "aborted", "w", 905), ("b", 900): (1, "crashed", "x", 900),
+    }
+    # a ended and is passed at 40; b is silent from 40 on; c's end is not passed yet when its last event comes
+    assert held[0] == {"a", "b"} and held[1] == {"b", "c"} and held[2] == {"c"}, held
+    assert "a" not in held[3] and "d" not in held[3]
+
+
 def test_unmatched_spawns_come_out_after_the_watermark(spark, tmp_path):
     schema = "s STRING, trial INT, ts TIMESTAMP, kind STRING"
     files = [[("a", 1, 0, "spawn"), ("a", 1, 2, "resolved"), ("a", 2, 5, "spawn")], [("a", 9, 500, "spawn"), ("a", 9, 501, "resolved")], [("a", 10, 900, "spawn"), ("a", 10, 901, "resolved")]]
