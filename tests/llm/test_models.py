@@ -1,7 +1,10 @@
 """Learned operators on held-out rows, searches against brute force, and files that are read back."""
 
 import functools
+import itertools
+import math
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -50,6 +53,42 @@ def test_toxicity_held_out(plain):
     assert score(model, long) < 0.5 and score(model, long + " idiot moron ") >= 0.5
 
 
+def plain_score(model, t):
+    """Bags, subwords, averages and the softmax of two labels written out, a word at a time."""
+    wrap, base = (1 << 64) - 1, 0x9E3779B97F4A7C15
+    found, best = re.findall(r"\w+", t.lower()), -math.inf
+    for start in range(0, max(1, len(found) - 16 + 8), 8):
+        total, number = 0.0, 0
+        for i in range(start, min(start + 16, len(found))):
+            w = f"<{found[i]}>"
+            for n in range(3, 7):
+                for j in range(len(w) - n + 1):
+                    h = 0
+                    for c in w[j : j + n]:
+                        h = (h * base + ord(c)) & wrap
+                    number += 1
+                    if found[i] not in found[max(0, i - 8) : i]:
+                        total += model.gain[((h ^ (h >> 29)) * base & wrap) >> (64 - model.bits)]
+        best = max(best, total / (number + 40) + model.bias)
+    one, other = math.exp(best), 1.0
+    return one / (one + other)
+
+
+def test_scores_equal_bags_written_out(plain):
+    texts, _, model = plain
+    rng = random.Random(4)
+    cases = ["", " .,!", "a", "idiot", "idiot " * 40, "Idiot! É moron-pathetic_1 ß \u4e2d\u6587 \U0001f600", text(rng, 100), text(rng, 60) + " worthless moron " + text(rng, 23), *texts[:40]]
+    assert [score(model, t) for t in cases] == pytest.approx([plain_score(model, t) for t in cases], abs=1e-9)
+
+
+def test_gradient_steps_lower_the_loss_of_each_label(plain):
+    """Both labels weigh the same, however few texts one has."""
+    texts, labels, _ = plain
+    few = [(t, y) for i, (t, y) in enumerate(zip(texts[:120], labels)) if y == 0 or i % 12 == 1]
+    got = toxicity.fit([t for t, _ in few], [y for _, y in few])
+    assert np.mean([plain_score(got, t) >= 0.5 for t, y in few if y == 1]) == 1 and np.mean([plain_score(got, t) < 0.5 for t, y in few if y == 0]) >= 0.95
+
+
 def test_toxicity_of_odd_rows(spark, plain, odd_clashing, nothing):
     model = plain[2]
     out = {(r.doc_id, r.score) for r in toxicity.scores(odd_clashing, model).withColumnRenamed("doc_id", "doc_id").collect()}
@@ -307,6 +346,28 @@ def test_permutation(n):
     assert sorted(a) == sorted(b) == list(range(n)) and (n < 17 or (a != b).any())
 
 
+def plain_slot(x, n, key):
+    """One number through six Feistel rounds, again as long as it lies beyond n."""
+    wrap = (1 << 64) - 1
+    half = next(h for h in itertools.count(1) if (1 << 2 * h) >= max(n, 2))
+    while True:
+        left, right = divmod(x, 1 << half)
+        for r in range(1, 7):
+            h = (right + key + r * 0x9E3779B97F4A7C15) & wrap
+            h = (h ^ (h >> 30)) * 0xBF58476D1CE4E5B9 & wrap
+            h = (h ^ (h >> 27)) * 0x94D049BB133111EB & wrap
+            left, right = right, left ^ ((h ^ (h >> 31)) & ((1 << half) - 1))
+        x = (left << half) | right
+        if x < n:
+            return x
+
+
+@pytest.mark.parametrize("n", [1, 2, 5, 64, 65, 1000, 4097])
+def test_slots_equal_a_plain_feistel_walk(n):
+    for key in (0, 20240607, (1 << 63) + 5):
+        assert training_order.permute(np.arange(n), n, key).tolist() == [plain_slot(x, n, key) for x in range(n)]
+
+
 def test_shards_round_trip(spark, odd_clashing, nothing):
     path = work_dir(spark, "shards")
     layout, rows = training_order.materialise(odd_clashing, path, length=64, per_shard=100)
@@ -314,6 +375,7 @@ def test_shards_round_trip(spark, odd_clashing, nothing):
     read = {r.slot: r for r in training_order.read_shards(spark, layout).collect()}
     assert sorted(held) == sorted(read) == list(range(layout.total)) and sorted(r.sequence for r in held.values()) == list(range(layout.total))
     assert all((r.shard, r.byte_offset) == layout.locate(s) for s, r in read.items())
+    assert all(s == plain_slot(r.sequence, layout.total, 20240607) for s, r in held.items())
     enc = training_order.encoder(public_tokenizers.path(training_order.VOCABULARY))
     end, texts, pieces = training_order.END, Counter(), []
     for s in sorted(held, key=lambda s: held[s].sequence):  # documents follow each other in the order of the sequences
