@@ -98,6 +98,35 @@ def normalised_trials(d: Tables):
     return out.select(F.col("trial_index").alias("event_seq"), "trial_index", r("rt_sec", 6).alias("rt_sec"), "correct", "responded", "stimulus")
 
 
+@plan(
+    EV
+    + """SELECT seq AS event_seq, CASE et WHEN 'view' THEN k % 25 WHEN 'signup' THEN seq - 1 ELSE seq END AS trial_index,
+     round(CASE et WHEN 'click' THEN value / 1000 ELSE value END, 6) AS rt_sec, CASE et WHEN 'view' THEN 'since_block_start' ELSE 'since_stimulus' END AS unit,
+     CASE et WHEN 'view' THEN k > 50 WHEN 'click' THEN k > 30 WHEN 'purchase' THEN NULL WHEN 'signup' THEN k > 40 ELSE k > 70 END AS correct,
+     CASE et WHEN 'purchase' THEN k % 4 <> 0 WHEN 'signup' THEN k >= 10 WHEN 'error' THEN k > 20 ELSE true END AS responded, et = 'purchase' AND k % 4 = 0 AS skipped,
+     CASE WHEN et = 'error' THEN k <= 20 END AS missed, et = 'purchase' AND k % 5 = 0 AS repeat, CASE WHEN et = 'signup' THEN k / 2.0::DOUBLE END AS participant_answer,
+     CASE et WHEN 'view' THEN CAST(k % 25 AS VARCHAR) WHEN 'click' THEN 'red' WHEN 'purchase' THEN 'clip_' || k WHEN 'signup' THEN k || ' - 1' ELSE '1 + ' || k END AS stimulus
+   FROM ev WHERE et IN ('view', 'click', 'purchase', 'signup', 'error')"""
+)
+def trial_shapes(d: Tables):
+    """All payload shapes: cell clicks, colour words, ratings, the retired arithmetic task with its index from 1, falling drops."""
+    k, v = F.col("k"), F.col("value")
+    shapes = {
+        "view": [v.alias("rt"), (k > 50).alias("correct"), (k % 25).alias("number_clicked")],
+        "click": [v.alias("rt_ms"), (k > 30).alias("correct"), F.lit("blue").alias("clicked_color"), F.lit("red").alias("word")],
+        "purchase": [v.alias("emotion_pick_rt"), F.when(k % 4 != 0, "calm").alias("emotion_pick"), F.concat(F.lit("clip_"), k).alias("clip_id"), (k % 4 == 0).alias("skipped"), (k % 5 == 0).alias("repeat")],
+        "signup": [v.alias("rt"), (k > 40).alias("correct"), (k < 10).alias("timed_out"), F.concat(k, F.lit(" - 1")).alias("expression"), (k / 2).alias("participant_answer")],
+        "error": [v.alias("rt"), (k > 70).alias("correct"), (k <= 20).alias("missed"), F.concat(F.lit("1 + "), k).alias("expression")],
+    }
+    body = F.coalesce(*[F.when(F.col("event_type") == et, F.to_json(F.struct(*fields))) for et, fields in shapes.items()])
+    names = {"view": "cell_click", "click": "response", "purchase": "rating_response", "signup": "response", "error": "response"}
+    ev = d.study({}, F.try_parse_json(body))
+    named = F.coalesce(*[F.when(F.col("event_type") == et, F.lit(n)) for et, n in names.items()])
+    ev = ev.withColumns({"event_type": named, "trial_index": F.col("event_seq"), "block_index": F.col("event_seq")})
+    out = P.normalise_trials(ev).withColumnRenamed("block_index", "event_seq")
+    return out.select("event_seq", "trial_index", r("rt_sec", 6).alias("rt_sec"), "unit", "correct", "responded", "skipped", "missed", "repeat", "participant_answer", "stimulus")
+
+
 @plan(
     EV
     + """SELECT session_id, CASE WHEN bool_or(et = 'error' AND k = 0) THEN 'crashed' WHEN bool_or(et = 'purchase' AND k < 3) THEN 'aborted'

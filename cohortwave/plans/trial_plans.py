@@ -317,6 +317,27 @@ def label_policy(d: Tables):
     return P.label_policy(df, "ordinal").select("o_orderkey", "binary_label", F.col("label").alias("ordinal_label"))
 
 
+@plan("SELECT l_orderkey, l_linenumber, p_brand AS valence, p_type AS fine FROM lineitem LEFT JOIN part ON p_partkey = l_partkey AND p_size >= 5")
+def clip_labels(d: Tables):
+    """Labels of the clip that a trial belongs to; a trial whose clip is not listed has none."""
+    listed = d.clips.where("duration_sec >= 5")
+    trials = d.lineitem.select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("clip_id"))
+    valence = P.label_policy(trials, "valence", clips=listed).withColumnRenamed("label", "valence")
+    return P.label_policy(valence, "fine", clips=listed).select("l_orderkey", "l_linenumber", "valence", F.col("label").alias("fine"))
+
+
+@plan("""WITH o AS (SELECT s_nationkey AS n, s_suppkey % 3 AS v FROM supplier WHERE s_nationkey % 4 <> 0 AND s_suppkey % 10 < 4)
+  SELECT CAST(c_nationkey AS VARCHAR) AS session_id, c_custkey AS answer_id, CAST(c_custkey % 5 AS VARCHAR) AS value FROM customer
+  WHERE c_nationkey IN (SELECT n FROM o) AND NOT EXISTS (SELECT 1 FROM o WHERE n = c_nationkey AND v = c_custkey % 5)""")
+def options_outside(d: Tables):
+    """Answers that are no option of their item; items without a list of options allow all."""
+    listed = F.when((F.col("s_nationkey") % 4 != 0) & (F.col("s_suppkey") % 10 < 4), (F.col("s_suppkey") % 3).cast("string"))
+    rules = d.supplier.groupBy(F.col("s_nationkey").cast("string").alias("session_id")).agg(F.collect_set(listed).alias("o"))
+    rules = rules.select("session_id", F.when(F.size("o") > 0, F.col("o")).alias("options"))
+    answers = d.customer.select(F.col("c_nationkey").cast("string").alias("session_id"), F.col("c_custkey").alias("answer_id"), (F.col("c_custkey") % 5).cast("string").alias("value"))
+    return Q.option_check(answers, rules, ["session_id"]).select("session_id", "answer_id", "value")
+
+
 _CONF = """WITH c AS (SELECT c_custkey AS id, c_nationkey AS nk FROM customer)
 """
 
