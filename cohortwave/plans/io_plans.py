@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from cohortwave import schema as S
-from cohortwave.functions.ordered import running
+from cohortwave.functions.ordered import numbered, running
 from cohortwave.plans.registry import plan
 from cohortwave.plans.views import EV, Tables
 from cohortwave.session import work_dir
@@ -95,16 +95,20 @@ def read_clip_manifest(d: Tables):
     return R.read_clip_manifest(d.spark, path).select(F.col("manifest_pos").cast("bigint").alias("manifest_pos"), "clip_id", "valence_group", "duration_sec")
 
 
+_LISTED = 2000  # clips of one list in one file
+
+
 @plan("""SELECT CASE s_nationkey % 3 WHEN 0 THEN 'positive' WHEN 1 THEN 'negative' ELSE 'neutral' END AS valence_group,
-  row_number() OVER (PARTITION BY s_nationkey % 3, s_suppkey // 40 ORDER BY s_suppkey) - 1 AS pos, 'clip_' || s_suppkey AS clip_id, s_acctbal AS valence_score FROM supplier""")
+  row_number() OVER (PARTITION BY s_nationkey % 3 ORDER BY s_suppkey) - 1 AS pos, 'clip_' || s_suppkey AS clip_id, s_acctbal AS valence_score FROM supplier""")
 def read_fixed_clips(d: Tables):
-    """A file of three lists for each 40 numbers of clips."""
+    """One list for each group over all suppliers, which goes on from file to file: a file holds the next places of every list."""
     item = F.struct(F.concat(F.lit("clip_"), "s_suppkey").alias("clip_id"), F.col("s_acctbal").alias("valence_score"))
-    lists = [F.transform(F.sort_array(F.collect_list(F.when(F.col("s_nationkey") % 3 == k, F.struct("s_suppkey", item.alias("c"))))), lambda x: x["c"]).alias(g) for k, g in enumerate(("positive", "negative", "neutral"))]
-    files = d.supplier.groupBy(F.floor(F.col("s_suppkey") / 40).alias("file")).agg(*lists)
+    placed = numbered(d.supplier.withColumn("g", F.col("s_nationkey") % 3).where("g IS NOT NULL"), ["g"], ["s_suppkey", "s_acctbal"], "place")
+    lists = [F.transform(F.sort_array(F.collect_list(F.when(F.col("g") == k, F.struct("place", item.alias("c"))))), lambda x: x["c"]).alias(g) for k, g in enumerate(("positive", "negative", "neutral"))]
+    files = placed.groupBy(F.floor((F.col("place") - 1) / _LISTED).alias("part")).agg(*lists)
     path = work_dir(d.spark, "fixed")
-    files.select(F.to_json(F.struct(F.lit("a note").alias("_comment"), "positive", "negative", "neutral")).alias("value")).write.option("maxRecordsPerFile", 1).text(path)
-    return R.read_fixed_clips(d.spark, path).select("valence_group", F.col("pos").cast("bigint").alias("pos"), "clip_id", "valence_score")
+    files.select(F.to_json(F.struct(F.lit("a note").alias("_comment"), "part", "positive", "negative", "neutral")).alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    return R.read_fixed_clips(d.spark, path, part="part").select("valence_group", F.col("pos").cast("bigint").alias("pos"), "clip_id", "valence_score")
 
 
 @plan("SELECT 'VID_' || c_custkey AS video_code, c_mktsegment AS modal_emotion, CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE c_acctbal END AS length_s FROM customer")

@@ -68,15 +68,24 @@ def read_clip_manifest(spark: SparkSession, path: str) -> DataFrame:
     return df.select(F.posexplode("clips").alias("manifest_pos", "c")).select("manifest_pos", "c.*")
 
 
-def read_fixed_clips(spark: SparkSession, path: str, groups: Sequence[str] = S.VALENCE_GROUPS) -> DataFrame:
-    """Group and ordered clip ids. Only the group arrays are in the schema, so a comment key is ignored."""
-    df = spark.read.schema(", ".join(f"{g} ARRAY<STRUCT<{_struct(S.FIXED_CLIP)}>>" for g in groups)).option("multiLine", True).json(path)
+def read_fixed_clips(spark: SparkSession, path: str, groups: Sequence[str] = S.VALENCE_GROUPS, *, part: str | None = None) -> DataFrame:
+    """Group and ordered clip ids. Only the group arrays are in the schema, so a comment key is ignored.
+
+    With `part`, lists go on from file to file in the order of the number that each file has under that key, and positions count
+    through. A file's place follows from the sizes of the lists before it, so the clips of a list need not meet in one task.
+    """
+    head = [] if part is None else [part]
+    schema = ", ".join([*[f"`{p}` BIGINT" for p in head], *[f"{g} ARRAY<STRUCT<{_struct(S.FIXED_CLIP)}>>" for g in groups]])
+    df = spark.read.schema(schema).option("multiLine", True).json(path)
     pairs = ", ".join(f"'{g}', {g}" for g in groups)
-    return (
-        df.selectExpr(f"stack({len(groups)}, {pairs}) AS (valence_group, items)")
-        .select("valence_group", F.posexplode("items").alias("pos", "c"))
-        .select("valence_group", "pos", "c.*")
-    )
+    lists = df.selectExpr(*[f"`{p}`" for p in head], f"stack({len(groups)}, {pairs}) AS (valence_group, items)")
+    clips = lists.select("valence_group", *head, F.posexplode("items").alias("pos", "c"))
+    if part is not None:
+        sizes = lists.groupBy("valence_group", part).agg(F.sum(F.coalesce(F.size("items"), F.lit(0))).alias("__n"))
+        before = F.sum("__n").over(W.partitionBy("valence_group").orderBy(part).rowsBetween(W.unboundedPreceding, -1))
+        starts = sizes.select("valence_group", part, F.coalesce(before, F.lit(0)).alias("__before"))
+        clips = clips.join(starts, ["valence_group", part]).withColumn("pos", F.col("__before") + F.col("pos"))
+    return clips.select("valence_group", "pos", "c.*")
 
 
 def _struct(ddl: str) -> str:

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from cohortwave import schema as S
 from cohortwave.functions.scalars import safe_label, video_code
 from cohortwave.operators import joins as J, layout as L
+from cohortwave.plans import io_plans
+from cohortwave.plans.registry import PLANS
 from cohortwave.sources import readers as R, writers as W
 
 
@@ -105,6 +107,24 @@ def test_curated_rewrite_keeps_other_sessions(spark, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "r")).first().b == "x"
 
 
+def test_fixed_lists_go_on_from_file_to_file(spark, tmp_path):
+    for part, clips in ((10, ["e"]), (2, ["c", "d"]), (1, ["a", "b"])):
+        body = {"part": part, "positive": [{"clip_id": c} for c in clips], "negative": [{"clip_id": f"n{part}"}] if part != 2 else []}
+        (tmp_path / f"{100 - part}.json").write_text(json.dumps(body, indent=1))
+    listed = {(r.valence_group, r.pos): r.clip_id for r in R.read_fixed_clips(spark, str(tmp_path), part="part").collect()}
+    assert listed == {**{("positive", i): c for i, c in enumerate("abcde")}, ("negative", 0): "n1", ("negative", 1): "n10"}
+
+
+def test_fixed_clips_number_all_suppliers_of_a_group(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(io_plans, "_LISTED", 30)
+    rows = [(k, k % 5, k / 2) for k in range(1, 400) if k % 7]
+    spark.createDataFrame(rows, "s_suppkey BIGINT, s_nationkey INT, s_acctbal DOUBLE").write.parquet(str(tmp_path / "supplier.parquet"))
+    out = PLANS["read_fixed_clips"](spark, str(tmp_path)).collect()
+    groups = {0: "positive", 1: "negative", 2: "neutral"}
+    want = {(groups[g], i): (f"clip_{k}", v) for g in groups for i, (k, _, v) in enumerate(r for r in rows if r[1] % 3 == g)}
+    assert {(r.valence_group, r.pos): (r.clip_id, r.valence_score) for r in out} == want and len(out) == len(rows)
+
+
 def test_a_hot_session_is_written_by_many_tasks(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "t")
     rows = spark.range(0, 400_000, 1, 16).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 40)).alias("session_id"), F.xxhash64("id").alias("x"))
