@@ -4,7 +4,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from cohortwave.functions.ordered import Slicing, by_hash, digest, numbered
+from cohortwave.functions.ordered import Slicing, by_hash, digest, numbered, shuffled
 from cohortwave.functions.permuted import place
 from cohortwave.operators.joins import fixed_selection
 from cohortwave.operators.windows import chunk_of
@@ -75,15 +75,14 @@ def chunk_evenly(items: DataFrame, k: int, keys: Sequence[str], order: Sequence[
 def slot_order(participants: DataFrame, games: Sequence[str], per_game: int, seed: int, who: str = "participant_id") -> DataFrame:
     """Which game comes in which slot, `per_game` of each, shuffled per participant."""
     slots = F.flatten(F.array(*[F.array_repeat(F.lit(g), per_game) for g in games]))
-    rows = participants.select(who, F.posexplode(slots).alias("__k", "game"))
-    return by_hash(rows, [who], ["__k"], seed, "slot", [who]).withColumn("slot", (F.col("slot") - 1).cast("int")).drop("__k")
+    drawn = shuffled(participants, [who], len(games) * per_game, seed, "__k", "slot")
+    return drawn.select(who, F.get(slots, F.col("__k")).alias("game"), (F.col("slot") - 1).cast("int").alias("slot"))
 
 
 def stroop_stimuli(participants: DataFrame, colors: Sequence[str], n_trials: int, congruent_fraction: float, seed: int, keys: Sequence[str] = ("participant_id",)) -> DataFrame:
     """Word and ink per stimulus; `round(n * fraction)` (half to even) of them are congruent."""
     n_con = F.bround(F.lit(n_trials) * F.lit(congruent_fraction)).cast("int")
-    rows = participants.select(*keys, F.explode(F.sequence(F.lit(0), F.lit(n_trials - 1))).alias("__k")).withColumn("congruent", F.col("__k") < n_con)
-    out = by_hash(rows, keys, ["__k"], seed, "trial_index", keys).withColumn("trial_index", (F.col("trial_index") - 1).cast("int"))
+    out = shuffled(participants, keys, n_trials, seed, "__k", "trial_index").withColumns({"congruent": F.col("__k") < n_con, "trial_index": (F.col("trial_index") - 1).cast("int")})
     palette = F.array(*[F.lit(c) for c in colors])
     ink = F.pmod(digest(seed + 1, *keys, "__k"), F.lit(len(colors)))
     step = F.when(F.col("congruent"), F.lit(0)).otherwise(F.pmod(digest(seed + 2, *keys, "__k"), F.lit(len(colors) - 1)) + 1)

@@ -98,3 +98,16 @@ def test_rolling_means_of_large_and_small_numbers(spark):
     real = spark.createDataFrame([("a", 0, 0.25), ("a", 1, 1e21), ("a", 2, -1e21), ("a", 3, 0.5), ("a", 9, 1e30), ("a", 20, 0.75)], "s STRING, t BIGINT, v DOUBLE")
     got = {r.t: r.m for r in O.rolling_mean(real, ["s"], "t", 3, F.col("v"), "m").collect()}
     assert got[0] == 0.25 and got[1] == (1e21 + 0.25) / 2 and got[3] == 0.75 / 4 and got[9] == 1e30 and got[20] == 0.75
+
+
+def test_short_orders_are_drawn_in_the_row(spark):
+    """Stimuli do not pass a shuffle; participants that come twice share one order, as a rank over all their rows gives it."""
+    who = spark.createDataFrame([(1,), (2,), (2,), (None,), (3,)], "participant_id INT")
+    out = O.shuffled(who, ["participant_id"], 20, 7, "k", "at")
+    numbers = who.select("participant_id", F.explode(F.sequence(F.lit(0), F.lit(19))).alias("k"))
+    want = O.by_hash(numbers, ["participant_id"], ["k"], 7, "at", ["participant_id"])
+    assert sorted(map(str, out.select("participant_id", "k", "at").collect())) == sorted(map(str, want.select("participant_id", "k", "at").collect()))
+    for df in (L.stroop_stimuli(who, ["red", "green", "blue"], 20, 0.15, 7), L.slot_order(who, ["schulte", "stroop"], 3, 7)):
+        text = plan(df)
+        assert text.count("Exchange") == 1 and "Window" not in text and "Sort " not in text
+        assert text.index("Generate") < text.index("Exchange")  # children are printed below
