@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from cohortwave.functions.ordered import Cuts, Slicing, exact_median, running, slice_id
+from cohortwave.functions.ordered import Cuts, Slicing, exact_median, running, slices
 from cohortwave.functions.sorted_batches import groups, packed, repeat_keys
 from cohortwave.operators.joins import mask_invalid, pair_events
 from cohortwave.schema import BLOCK, HOST, MONO, ORDER, RUN, TRIAL
@@ -26,17 +26,14 @@ def debounce(events: DataFrame, keys: Sequence[str], t: str, min_gap: float, *,
     """Q3: keep a qualifying event only if more than `min_gap` after the last kept one.
 
     The rule is sequential, but a slice of time acts on the last kept time as a step function with
-    few steps (chains from different starts soon meet). Slices compute theirs in parallel, the
-    small step tables are chained per key, and each slice then replays from its true start.
-    Spark partitions and sorts; the tasks only walk sorted arrays. Returns keys, `t` and `tie` of
-    the kept events.
+    few steps (chains from different starts soon meet). Keys with more than a task's share of the rows are cut (see `Cuts`); their
+    slices compute theirs in parallel, the small step tables are chained per key, and each slice then replays from its true
+    start. All other keys are walked whole, in one pass. Spark partitions and sorts; the tasks only walk sorted arrays. Returns
+    keys, `t` and `tie` of the kept events.
     """
     keys = list(keys)
     q = events if qualifies is None else events.where(qualifies)
-    width = Cuts(q, t) if width is None else width
-    rows = q.select(*keys, slice_id(t, width).alias("__s"), F.col(t).cast("double").alias("__t"), F.col(tie).cast("bigint").alias("__tie"))
-    begin = width.start(F.col("__s")).cast("double") if isinstance(width, Cuts) else F.col("__s") * F.lit(float(width))
-    begun = rows.withColumn("__b", F.coalesce(begin, F.lit(float("-inf"))))  # all rows of a slice come at or after it
+    rows = q.select(*keys, slices(q, keys, [t], width).alias("__s"), F.col(t).cast("double").alias("__t"), F.col(tie).cast("bigint").alias("__tie"))
     fields = {f.name: f for f in rows.schema.fields}
     part = [*keys, "__s"]
     step_schema = T.StructType([*[fields[k] for k in part], T.StructField("first", T.DoubleType()), T.StructField("kept", T.DoubleType())])
@@ -50,8 +47,8 @@ def debounce(events: DataFrame, keys: Sequence[str], t: str, min_gap: float, *,
         for i in range(len(ts) - 1, -1, -1):
             if nxt[i] < len(ts):
                 last[i] = last[nxt[i]]
-        # events that can come first here: those up to min_gap after the slice began, and the one after
-        reach = min(int(np.searchsorted(ts, tbl.column("__b")[0].as_py() + min_gap, side="right")), len(ts) - 1)
+        # the last one kept before came no later than the first event here, so up to min_gap after that, or next, is the first to keep
+        reach = min(int(np.searchsorted(ts, ts[0] + min_gap, side="right")), len(ts) - 1)
         firsts, kept = ts[: reach + 1], ts[last[: reach + 1]]
         new = np.append(kept[1:] != kept[:-1], True)  # one step per distinct result, at its highest entry
         return pa.Table.from_arrays([*repeat_keys(tbl, part, int(new.sum())), pa.array(firsts[new]), pa.array(kept[new])], names=step_schema.names)
@@ -71,17 +68,19 @@ def debounce(events: DataFrame, keys: Sequence[str], t: str, min_gap: float, *,
         yield from packed(starts())
 
     def slice_kept(tbl: pa.Table) -> pa.Table:
-        start, ts = tbl.column("start")[0].as_py(), tbl.column("__t").slice(1).to_numpy()
+        start = tbl.column("start")[0].as_py()
+        lead, start = (0, -np.inf) if start is None else (1, start)  # a key that is not cut has no start row
+        ts = tbl.column("__t").slice(lead).to_numpy()
         nxt, keep = np.searchsorted(ts, ts + min_gap, side="right").tolist(), []
         i = int(np.searchsorted(ts, start + min_gap, side="right"))
         while i < len(ts):
-            keep.append(i + 1)
+            keep.append(i + lead)
             i = nxt[i]
         return tbl.take(pa.array(keep, pa.int64())).select(out_schema.names)
 
     steps = lambda batches: packed(slice_steps(g) for g in groups(batches, part))
     replay = lambda batches: packed(slice_kept(g) for g in groups(batches, part))
-    table = begun.repartition(*part).sortWithinPartitions(*part, "__t").mapInArrow(steps, step_schema)
+    table = rows.where("__s IS NOT NULL").repartition(*part).sortWithinPartitions(*part, "__t").mapInArrow(steps, step_schema)
     starts = table.repartition(*keys).sortWithinPartitions(*part, "first").mapInArrow(chain, start_schema)
     line = rows.unionByName(starts, allowMissingColumns=True)  # the start row has no time, so it sorts first
     kept = line.repartition(*part).sortWithinPartitions(*part, "__t", "__tie").mapInArrow(replay, out_schema)

@@ -97,6 +97,20 @@ def test_debounce_equals_loop(data, width, gap):
     assert {tuple(r) for r in out.collect()} == want
 
 
+def test_debounce_cuts_heavy_keys_only(spark, data):
+    """Keys below a task's share are walked whole; the same events are kept as by slices of all keys."""
+    rows, df = data
+    cuts = O.Cuts(df, "t", slices=12)
+    heavy = {k for k, in cuts.heavy(KEYS)}
+    assert heavy and len({r[0] for r in rows} - heavy) > 0
+    for gap in (0.35, 3.0):
+        out, want = Q.debounce(df, KEYS, "t", gap, tie="seq", width=cuts), Q.debounce(df, KEYS, "t", gap, tie="seq", width=7.0)
+        assert {tuple(r) for r in out.collect()} == {tuple(r) for r in want.collect()}
+    whole = df.where(F.col("s").isin(*({r[0] for r in rows} - heavy)))
+    sliced = whole.select(O.slices(whole, KEYS, ["t"], cuts).alias("x"))
+    assert sliced.where("x IS NOT NULL").count() == 0
+
+
 @pytest.mark.parametrize("forward,strict", [(False, False), (False, True), (True, False), (True, True)])
 def test_asof(data, forward, strict):
     rows, df = data
