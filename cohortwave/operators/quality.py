@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from cohortwave.functions.ordered import Cuts, Slicing, exact_median, running, slices
+from cohortwave.functions.ordered import Cuts, Slicing, exact_median, join_per_key, running, slices
 from cohortwave.functions.sorted_batches import groups, packed, repeat_keys
 from cohortwave.operators.joins import mask_invalid, pair_events
 from cohortwave.schema import BLOCK, HOST, MONO, ORDER, RUN, TRIAL
@@ -136,8 +136,9 @@ def safe_lane_invariant(obstacles: DataFrame, n_lanes: int, keys: Sequence[str]
 
 def unit_outliers(meta: DataFrame, col: str, keys: Sequence[str], width: Slicing = None, ratio: float = 0.1) -> DataFrame:
     """Q9: rows whose score is below `ratio` times the group's median, so likely in another unit."""
-    med = exact_median(meta, keys, col, "group_median", width)
-    return meta.join(med, list(keys)).where(F.col(col) < F.col("group_median") * ratio)
+    cuts = width if isinstance(width, Cuts) else Cuts(meta, col)
+    med = exact_median(meta, keys, col, "group_median", cuts if width is None else width)
+    return join_per_key(meta, med, keys, cuts).where(F.col(col) < F.col("group_median") * ratio)
 
 
 def range_check(rows: DataFrame, value: str, low: str | Column, high: str | Column) -> DataFrame:

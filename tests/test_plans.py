@@ -111,3 +111,23 @@ def test_short_orders_are_drawn_in_the_row(spark):
         text = plan(df)
         assert text.count("Exchange") == 1 and "Window" not in text and "Sort " not in text
         assert text.index("Generate") < text.index("Exchange")  # children are printed below
+
+
+def test_facts_of_heavy_keys_meet_their_rows_in_pieces(spark):
+    df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, "a").when(F.col("id") % 100 == 1, F.concat(F.lit("s"), F.col("id") % 7)).otherwise("b").alias("k"), F.col("id").cast("double").alias("v"))
+    facts = df.groupBy("k").agg(F.max("v").alias("top"))
+    cuts = O.Cuts(df, "v", slices=16)
+    assert {k for k, in cuts.heavy(["k"])} == {"a", "b"}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = O.join_per_key(df, facts, ["k"], cuts)
+        assert "hashpartitioning(k" in plan(joined) and "__piece" in plan(joined)
+        assert joined.count() == 30_000 and joined.distinct().count() == 30_000
+        assert joined.where("top < v").count() == 0 and joined.columns == ["k", "v", "top"]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    med = O.exact_median(df, ["k"], "v", "m", cuts)
+    want = df.groupBy("k").agg(F.median("v").alias("m"))
+    assert sorted(map(tuple, med.collect())) == sorted(map(tuple, want.collect()))
