@@ -141,13 +141,16 @@ def read_samples(d: Tables):
     return s.select("recording_id", "sample_idx", "rel_sec", F.size("ch").cast("bigint").alias("channels"), F.round(F.get("ch", F.lit(0)).cast("double"), 5).alias("first"))
 
 
+_FOLDERS = 256  # sessions share them
+
+
 @plan("""SELECT CAST(l_suppkey AS VARCHAR) AS session_id, sum(CASE WHEN l_suppkey % 2 = 0 THEN 2 ELSE 1 END * l_linenumber)::BIGINT AS x, count(*) AS n FROM lineitem GROUP BY 1""")
 def write_curated(d: Tables):
     """Every session is written, then those of even suppliers again with new values."""
     path = work_dir(d.spark, "curated")
     rows = d.lineitem.select(F.col("l_suppkey").cast("string").alias("session_id"), F.col("l_linenumber").cast("bigint").alias("x"), "l_orderkey")
-    W.write_curated(rows, path)
-    W.write_curated(rows.where("cast(session_id AS INT) % 2 = 0").withColumn("x", F.col("x") * 2), path)
+    W.write_curated(rows, path, buckets=_FOLDERS)
+    W.write_curated(rows.where("cast(session_id AS INT) % 2 = 0").withColumn("x", F.col("x") * 2), path, buckets=_FOLDERS)
     return d.spark.read.parquet(path).groupBy(F.col("session_id").cast("string").alias("session_id")).agg(F.sum("x").alias("x"), F.count("*").alias("n"))
 
 

@@ -107,6 +107,19 @@ def test_curated_rewrite_keeps_other_sessions(spark, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "r")).first().b == "x"
 
 
+def test_curated_sessions_share_folders(spark, tmp_path):
+    path, cols = str(tmp_path / "t"), "session_id STRING, x INT"
+    rows = [(f"s{i}", i) for i in range(40)] + [(None, 7), ("s0", 100)]
+    W.write_curated(spark.createDataFrame(rows, cols), path, buckets=4)
+    new = [("s3", 5), ("s3", 6), ("late", 1), (None, 8)]
+    for _ in range(2):
+        W.write_curated(spark.createDataFrame(new, cols), path, buckets=4)
+    back = spark.read.parquet(path)
+    want = [r for r in rows if r[0] not in ("s3", None)] + new
+    assert sorted(((r.session_id, r.x) for r in back.collect()), key=str) == sorted(want, key=str)
+    assert len(list((tmp_path / "t").glob("*=*"))) <= 4 and back.schema["session_id"].dataType.simpleString() == "string"
+
+
 def test_fixed_lists_go_on_from_file_to_file(spark, tmp_path):
     for part, clips in ((10, ["e"]), (2, ["c", "d"]), (1, ["a", "b"])):
         body = {"part": part, "positive": [{"clip_id": c} for c in clips], "negative": [{"clip_id": f"n{part}"}] if part != 2 else []}
