@@ -86,6 +86,31 @@ def test_ended_runs_are_forgotten_and_late_rows_are_marked(spark, tmp_path):
         assert {"a", "b"} <= held[name][0] and held[name][2] == {"c"}, name
 
 
+def test_keys_that_share_state_give_the_same_rows(spark, tmp_path):
+    """Few buckets for many keys: a call each, the same rows, and the same keys forgotten."""
+    src, root = str(tmp_path / "in"), str(tmp_path / "out")
+    cols = "s STRING, u INT, t DOUBLE, event_seq BIGINT, delta INT, flag BOOLEAN"
+    build = {
+        "score": lambda df, n: S.clamped_score_stream(df, ["s", "u"], idle=30.0, lateness="20 seconds", buckets=n), "since": lambda df, n: S.time_since_last_stream(df, ["s", "u"], idle=30.0, lateness="20 seconds", buckets=n),
+        "deb": lambda df, n: S.debounce_stream(df, ["s", "u"], 8.0, lateness="20 seconds", buckets=n), "kept": lambda df, n: S.clamped_score_stream(df, ["s", "u"], buckets=n),
+    }
+    held = {}
+    for step in range(4):
+        at = [(i * 37 % 100 + step * 90 - (25 if i % 11 == 0 else 0), i) for i in range(200)]
+        rows = [(None if i % 13 == 0 else f"k{i % 13}", i % 2 if i % 17 else None, float(t), step * 200 + i, (i * 7) % 3 - 1, i % 4 == 0) for t, i in at if (i % 13 + step) % 4]
+        spark.createDataFrame(rows, cols).withColumn("ts", F.timestamp_seconds(F.col("t") + 1000)).coalesce(1).write.mode("append").parquet(src)
+        for name, make in build.items():
+            for n in (None, 3):
+                S.run_available(spark, make(spark.readStream.schema(f"{cols}, ts TIMESTAMP").parquet(src), n), name, root=f"{root}/{name}-{n}")
+    for name in build:
+        one, shared = (sorted(map(str, spark.read.parquet(f"{root}/{name}-{n}/result").collect())) for n in (None, 3))
+        assert one == shared and one, name
+        state = lambda n: {w for r in spark.read.format("statestore").load(f"{root}/{name}-{n}/checkpoint").select("value.*").collect() for w in r[0].who}
+        held[name] = state(None)
+        assert state(3) == held[name] and spark.read.format("statestore").load(f"{root}/{name}-3/checkpoint").count() <= 3, name
+    assert held["score"] < held["kept"]
+
+
 def test_sessions_that_ended_or_fell_silent_are_dropped(spark, tmp_path):
     src, root = str(tmp_path / "in"), str(tmp_path / "out")
     cols = "session_id STRING, event_type STRING, task STRING, at INT"
